@@ -21,6 +21,23 @@ from .compare import (
     vendor_dedup,
 )
 from .counts import country_counts, distinct_bins, distinct_support
+from .drift import snapshot_drift
+from .quality import (
+    count_metrics,
+    discrepancy_metrics,
+    dq_bin_length,
+    dq_country_code,
+    dq_coverage_reached,
+    dq_nulls,
+    dq_row_count,
+    dq_snapshot_month,
+    dq_total_matches,
+    dq_unique_bin,
+    dq_unique_bin_country,
+    load_metrics,
+    stage_metrics,
+    support_metrics,
+)
 from .coverage import (
     country_share,
     cumulative_share,
@@ -31,6 +48,21 @@ from .coverage import (
 )
 
 __all__ = [
+    "count_metrics",
+    "discrepancy_metrics",
+    "dq_bin_length",
+    "dq_country_code",
+    "dq_coverage_reached",
+    "dq_nulls",
+    "dq_row_count",
+    "dq_snapshot_month",
+    "dq_total_matches",
+    "dq_unique_bin",
+    "dq_unique_bin_country",
+    "load_metrics",
+    "snapshot_drift",
+    "stage_metrics",
+    "support_metrics",
     "country_counts",
     "country_share",
     "cumulative_share",

@@ -76,6 +76,7 @@ def stage_ctes(
     by: str | None = None,
     months: tuple[str, ...] | None = None,
     prefix: str = "",
+    dedup: bool = True,
 ) -> list[str]:
     """CTEs ``{prefix}clean … {prefix}flags`` of one pipeline run.
 
@@ -105,7 +106,8 @@ def stage_ctes(
             txn_count / CAST(bin_total AS DOUBLE) AS country_pct,
             cum / CAST(bin_total AS DOUBLE) AS cumulative_pct, rn
             FROM {p}ranked WHERE {coverage_pred('cum - txn_count', 'bin_total', coverage)})""",
-        f"""{p}vend AS (SELECT "BIN", min(country) AS vendor_country FROM {vendor} GROUP BY "BIN")""",
+        (f"""{p}vend AS (SELECT "BIN", min(country) AS vendor_country FROM {vendor} GROUP BY "BIN")"""
+         if dedup else f"""{p}vend AS (SELECT "BIN", country AS vendor_country FROM {vendor})"""),
         f"""{p}flags AS (SELECT {('t.' + by + ', ') if by else ''}t."BIN", t.country AS inferred_top_country,
             v.vendor_country, coalesce(t.country <> v.vendor_country, FALSE) AS is_discrepant, t.bin_total
             FROM {p}top t LEFT JOIN {p}vend v ON t."BIN" = v."BIN" WHERE t.rn = 1)""",
@@ -120,3 +122,36 @@ def with_(*ctes: str | list[str]) -> str:
 
 
 BASE = [TX_CTE, VENDOR_CTE]
+
+
+# The planted quality violations of the reference's
+# regression fixture (two valid rows, then bad country lengths, bad BIN
+# lengths, a null BIN and a null inferred country).
+PLANTED_ROWS = [
+    ("450000", "US", "US", False, 1600),
+    ("789012", "MX", "MX", False, 300),
+    ("BADCTRY1", "X", "X", False, 50),
+    ("BADCTRY2", "XYZ", "XYZ", False, 55),
+    ("SHORT", "CA", "CA", False, 60),
+    ("LONGBINTOOLONG", "BR", "BR", False, 70),
+    (None, "US", "US", False, 100),
+    ("NULCNTRY", None, "US", True, 110),
+]
+
+
+def _lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return f"CAST({v} AS BIGINT)"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def planted_sql(month: str) -> str:
+    """``SELECT`` of the planted rows in the flags layout plus a month."""
+    rows = ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in PLANTED_ROWS)
+    return (f"""SELECT "BIN", inferred_top_country, vendor_country, is_discrepant, bin_total,
+  '{month}' AS snapshot_month
+FROM (VALUES {rows}) AS t("BIN", inferred_top_country, vendor_country, is_discrepant, bin_total)""")

@@ -194,3 +194,427 @@ def q_report_sorted_coverage(spark, sf):
 @query("report_sorted_flags", o.with_(o.BASE, ALL_CTES) + f"SELECT {FLAG_COLS} FROM flags")
 def q_report_sorted_flags(spark, sf):
     return report(_run(spark, sf).flags, "flags")
+
+
+# ------------------------------------------------- load accounting, formats
+
+REASON_SQL = """CASE WHEN fraud_label IS NULL THEN 'null_label' WHEN fraud_label THEN 'fraud'
+  WHEN billing_address_country IS NULL THEN 'null_country'
+  WHEN NOT coalesce(length("BIN") BETWEEN 6 AND 8, FALSE) THEN 'bad_bin_length'
+  ELSE 'kept' END"""
+
+
+@query("filter_reject_reasons", o.with_(o.BASE)
+       + f"SELECT {REASON_SQL} AS reason, count(*) AS n_rows FROM tx GROUP BY ALL")
+def q_filter_reject_reasons(spark, sf):
+    return ops.reject_reasons(_tx(spark, sf))
+
+
+@query("load_filtered_strict", o.with_(o.BASE) + f"""SELECT {TX_COLS} FROM tx
+WHERE fraud_label = FALSE AND billing_address_country IS NOT NULL AND length("BIN") BETWEEN 6 AND 8
+  AND regexp_matches("BIN", '^[0-9]{{6,8}}$') AND regexp_matches(billing_address_country, '^[A-Z]{{2}}$')""")
+def q_load_filtered_strict(spark, sf):
+    return ops.load_filtered(_tx(spark, sf), strict=True)
+
+
+@query("strict_bin_rejects", o.with_(o.BASE) + """SELECT "BIN", count(*) AS n_rows FROM tx
+WHERE NOT coalesce(regexp_matches("BIN", '^[0-9]{6,8}$'), FALSE) GROUP BY "BIN" """)
+def q_strict_bin_rejects(spark, sf):
+    return ops.strict_bin_rejects(_tx(spark, sf))
+
+
+@query("strict_vendor_rejects", o.with_(o.BASE) + """SELECT "BIN", country FROM vendor
+WHERE country IS NOT NULL AND NOT regexp_matches(country, '^[A-Z]{2}$')""")
+def q_strict_vendor_rejects(spark, sf):
+    return ops.strict_country_rejects(_vendor(spark, sf))
+
+
+# ----------------------------------------------------------- vendor side
+
+VDUP = o.BASE + [o.VENDOR_DUP_CTE]
+
+
+@query("vendor_dedup", o.with_(VDUP)
+       + 'SELECT "BIN", min(country) AS country FROM vendor_dup GROUP BY "BIN"')
+def q_vendor_dedup(spark, sf):
+    return ops.vendor_dedup(vendor_dup_from_tables(spark, sf))
+
+
+@query("vendor_conflicts", o.with_(VDUP) + """SELECT "BIN", count(*) AS n_rows,
+  count(DISTINCT country) AS n_countries, min(country) AS min_country, max(country) AS max_country
+FROM vendor_dup GROUP BY "BIN" HAVING count(DISTINCT country) > 1""")
+def q_vendor_conflicts(spark, sf):
+    return ops.vendor_conflicts(vendor_dup_from_tables(spark, sf))
+
+
+@query("flag_discrepancies_vendor_dup",
+       o.with_(VDUP, o.stage_ctes(None, ALL.min_txns, ALL.coverage, vendor="vendor_dup"))
+       + f"SELECT {FLAG_COLS} FROM flags")
+def q_flag_discrepancies_vendor_dup(spark, sf):
+    r = _run(spark, sf)
+    return ops.flag_discrepancies(r.top_countries, vendor_dup_from_tables(spark, sf))
+
+
+@query("flag_discrepancies_unguarded",
+       o.with_(VDUP, o.stage_ctes(None, ALL.min_txns, ALL.coverage, vendor="vendor_dup",
+                                  dedup=False))
+       + f"SELECT {FLAG_COLS} FROM flags")
+def q_flag_discrepancies_unguarded(spark, sf):
+    r = _run(spark, sf)
+    return ops.flag_discrepancies(r.top_countries, vendor_dup_from_tables(spark, sf), dedup=False)
+
+
+SEVERITY_SQL = f"""j AS (SELECT s.*, v.vendor_country FROM supported s LEFT JOIN vend v ON s."BIN" = v."BIN"),
+r AS (SELECT *, row_number() OVER (PARTITION BY "BIN" {o.RANK}) AS rn2,
+        CAST(sum(txn_count) OVER (PARTITION BY "BIN" {o.RANK} {o.ROWS}) AS BIGINT) AS cum2 FROM j),
+a AS (SELECT "BIN", max(CASE WHEN rn2 = 1 THEN country END) AS inferred_top_country,
+        max(vendor_country) AS vendor_country, max(bin_total) AS bin_total,
+        max(CASE WHEN rn2 = 1 THEN txn_count END) AS top_country_txns,
+        CAST(sum(CASE WHEN country = vendor_country THEN txn_count ELSE 0 END) AS BIGINT) AS vendor_country_txns,
+        max(CASE WHEN country = vendor_country
+                  AND {o.coverage_pred('cum2 - txn_count', 'bin_total', ALL.coverage)} THEN 1 ELSE 0 END) AS vk
+      FROM r GROUP BY "BIN")
+SELECT "BIN", inferred_top_country, vendor_country,
+  coalesce(inferred_top_country <> vendor_country, FALSE) AS is_discrepant, bin_total,
+  top_country_txns, top_country_txns / CAST(bin_total AS DOUBLE) AS top_country_pct,
+  vendor_country_txns, vendor_country_txns / CAST(bin_total AS DOUBLE) AS vendor_country_pct,
+  vk = 1 AS vendor_in_top,
+  coalesce(inferred_top_country <> vendor_country, FALSE) AND vk = 0 AS is_significant
+FROM a"""
+
+
+@query("discrepancy_severity", o.with_(o.BASE, ALL_CTES, [SEVERITY_SQL.split("\nSELECT")[0]])
+       + "SELECT" + SEVERITY_SQL.split("\nSELECT", 1)[1])
+def q_discrepancy_severity(spark, sf):
+    r = _run(spark, sf)
+    return ops.discrepancy_severity(r.supported, _vendor(spark, sf), ALL.coverage)
+
+
+# ---------------------------------------------------------------- metrics
+
+ALL0 = o.stage_ctes(None, 0, ALL.coverage, prefix="all_")
+
+METRIC_SQL = f"""
+SELECT 'load' AS stage, 'rows_in' AS metric, count(*) AS value FROM tx
+UNION ALL SELECT 'load', 'rows_out', count(*) FROM clean
+UNION ALL SELECT 'aggregate', 'rows_in', CAST(sum(txn_count) AS BIGINT) FROM counts
+UNION ALL SELECT 'aggregate', 'rows_out', count(*) FROM counts
+UNION ALL SELECT 'coverage', 'rows_in', count(*) FROM counts
+UNION ALL SELECT 'coverage', 'rows_out', count(*) FROM all_top
+UNION ALL SELECT 'support', 'rows_in', count(*) FROM all_top
+UNION ALL SELECT 'support', 'rows_out', count(*) FROM top
+UNION ALL SELECT 'support', 'bins_in', count(DISTINCT "BIN") FROM counts
+UNION ALL SELECT 'support', 'bins_out', count(DISTINCT "BIN") FROM supported
+UNION ALL SELECT 'compare', 'rows_out', count(*) FROM flags
+UNION ALL SELECT 'compare', 'discrepant', count(*) FILTER (WHERE is_discrepant) FROM flags
+UNION ALL SELECT 'compare', 'vendor_missing', count(*) FILTER (WHERE vendor_country IS NULL) FROM flags
+UNION ALL SELECT 'compare', 'vendor_rows', count(*) FROM vendor"""
+
+
+@query("stage_metrics", o.with_(o.BASE, ALL_CTES, ALL0) + METRIC_SQL)
+def q_stage_metrics(spark, sf):
+    tx, r = _tx(spark, sf), _run(spark, sf)
+    return ops.stage_metrics(tx, r.counts, r.flags, _vendor(spark, sf), None,
+                             ALL.coverage, ALL.min_txns)
+
+
+@query("support_metrics", o.with_(o.BASE, ALL_CTES, ALL0)
+       + "SELECT * FROM (" + METRIC_SQL + ") WHERE stage = 'support'")
+def q_support_metrics(spark, sf):
+    return ops.support_metrics(_run(spark, sf).counts, ALL.coverage, ALL.min_txns)
+
+
+@query("discrepancy_metrics", o.with_(o.BASE, ALL_CTES, ALL0)
+       + "SELECT * FROM (" + METRIC_SQL + ") WHERE stage = 'compare'")
+def q_discrepancy_metrics(spark, sf):
+    return ops.discrepancy_metrics(_run(spark, sf).flags, _vendor(spark, sf))
+
+
+# ------------------------------------------------------ count-level checks
+
+PLANTED_COUNTS = """counts_planted AS (SELECT * FROM counts
+  UNION ALL SELECT * FROM counts WHERE "BIN" LIKE '40%3%')"""
+
+
+def _counts_planted(spark, sf):
+    counts = _run(spark, sf).counts
+    return counts.unionByName(counts.where(F.col("BIN").like("40%3%")))
+
+
+@query("dq_total_matches", o.with_(o.BASE, ALL_CTES, [PLANTED_COUNTS]) + """
+SELECT "BIN", CAST(sum(txn_count) AS BIGINT) AS sum_txn_count, min(bin_total) AS min_bin_total,
+  max(bin_total) AS max_bin_total
+FROM counts_planted GROUP BY "BIN"
+HAVING sum(txn_count) <> max(bin_total) OR min(bin_total) <> max(bin_total)""")
+def q_dq_total_matches(spark, sf):
+    return ops.dq_total_matches(_counts_planted(spark, sf))
+
+
+@query("dq_unique_bin_country", o.with_(o.BASE, ALL_CTES, [PLANTED_COUNTS]) + """
+SELECT "BIN", country, count(*) AS n_rows FROM counts_planted GROUP BY "BIN", country
+HAVING count(*) > 1""")
+def q_dq_unique_bin_country(spark, sf):
+    return ops.dq_unique_bin_country(_counts_planted(spark, sf))
+
+
+def _coverage_check_sql(map_coverage):
+    ctes = o.stage_ctes(None, ALL.min_txns, map_coverage)
+    cov = ALL.coverage
+    return o.with_(o.BASE, ctes) + f"""
+SELECT "BIN", kept_txns, bin_total, n_countries, kept_txns / CAST(bin_total AS DOUBLE) AS kept_pct,
+  CASE WHEN NOT ({o.coverage_pred('kept_txns', 'bin_total', cov)}) THEN NULL
+       ELSE 'not_reached' END AS reason
+FROM (SELECT "BIN", CAST(sum(txn_count) AS BIGINT) AS kept_txns, min(txn_count) AS last_txns,
+        max(bin_total) AS bin_total, count(*) AS n_countries FROM top GROUP BY "BIN") a
+WHERE {o.coverage_pred('kept_txns', 'bin_total', cov)}
+UNION ALL
+SELECT "BIN", kept_txns, bin_total, n_countries, kept_txns / CAST(bin_total AS DOUBLE) AS kept_pct,
+  'not_minimal' AS reason
+FROM (SELECT "BIN", CAST(sum(txn_count) AS BIGINT) AS kept_txns, min(txn_count) AS last_txns,
+        max(bin_total) AS bin_total, count(*) AS n_countries FROM top GROUP BY "BIN") a
+WHERE NOT ({o.coverage_pred('kept_txns', 'bin_total', cov)})
+  AND NOT ({o.coverage_pred('kept_txns - last_txns', 'bin_total', cov)})"""
+
+
+@query("dq_coverage_reached", _coverage_check_sql(Decimal("0.8")))
+def q_dq_coverage_reached(spark, sf):
+    top = _run(spark, sf, params=Params(Decimal("0.8"), ALL.min_txns)).top_countries
+    return ops.dq_coverage_reached(top, ALL.coverage)
+
+
+@query("dq_coverage_minimal", _coverage_check_sql(Decimal("1")))
+def q_dq_coverage_minimal(spark, sf):
+    top = _run(spark, sf, params=Params(Decimal("1"), ALL.min_txns)).top_countries
+    return ops.dq_coverage_reached(top, ALL.coverage)
+
+
+@query("empty_input_pipeline", o.with_(o.BASE, o.stage_ctes("1990-01", 3, ALL.coverage))
+       + f"SELECT {FLAG_COLS} FROM flags")
+def q_empty_input_pipeline(spark, sf):
+    """A month without transactions: every stage yields typed empty output."""
+    return _run(spark, sf, "1990-01", MONTHLY).flags
+
+
+# ------------------------------------------------------------- snapshots
+#
+# Each query publishes runs into a fresh table under the shared
+# spark.checkpoint.dir and returns what a reader sees afterwards.
+
+from ..operators.clean import with_snapshot_month  # noqa: E402
+from ..sinks import SnapshotTable, shared_dir  # noqa: E402
+from ..schemas import FLAGS_SCHEMA  # noqa: E402
+
+MONTH_C = "1998-05"
+RERUN = Params(Decimal("0.95"), 5)
+NONE_KEPT = Params(Decimal("0.95"), 10 ** 12)
+
+
+def _table(spark, name, versioned=True) -> SnapshotTable:
+    return SnapshotTable(shared_dir(spark, "cardgeo", "queries", name), versioned=versioned)
+
+
+def _flags(spark, sf, month, params=MONTHLY, vendor=None, dedup=True):
+    tx = _tx(spark, sf)
+    v = vendor if vendor is not None else _vendor(spark, sf)
+    r = infer(tx, v, month, params)
+    return r.flags if dedup else ops.flag_discrepancies(r.top_countries, v, dedup=False)
+
+
+A5_CTES = o.stage_ctes(MONTH_A, RERUN.min_txns, RERUN.coverage, prefix="a5_")
+AB_CTES = (o.stage_ctes(MONTH_A, MONTHLY.min_txns, MONTHLY.coverage, prefix="a_")
+           + o.stage_ctes(MONTH_B, MONTHLY.min_txns, MONTHLY.coverage, prefix="b_"))
+
+
+def _snap_sql(prefix, month, extra=""):
+    return f"SELECT {FLAG_COLS}{extra}, '{month}' AS snapshot_month FROM {prefix}flags"
+
+
+SNAP_AB = _snap_sql("a_", MONTH_A) + "\nUNION ALL " + _snap_sql("b_", MONTH_B)
+
+
+@query("snapshot_two_months", o.with_(o.BASE, AB_CTES) + SNAP_AB)
+def q_snapshot_two_months(spark, sf):
+    t = _table(spark, "two_months")
+    t.write(_flags(spark, sf, MONTH_A), MONTH_A)
+    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    return t.read(spark)
+
+
+@query("snapshot_read_month", o.with_(o.BASE, AB_CTES) + _snap_sql("a_", MONTH_A))
+def q_snapshot_read_month(spark, sf):
+    t = _table(spark, "read_month")
+    t.write(_flags(spark, sf, MONTH_A), MONTH_A)
+    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    return t.read_month(spark, MONTH_A)
+
+
+@query("snapshot_read_all",
+       o.with_(o.BASE, o.stage_ctes(None, MONTHLY.min_txns, MONTHLY.coverage, by="snapshot_month"))
+       + f"SELECT {FLAG_COLS}, snapshot_month FROM flags")
+def q_snapshot_read_all(spark, sf):
+    """Backfill: every month of history computed and published in one job."""
+    t = _table(spark, "read_all")
+    tx = with_snapshot_month(_tx(spark, sf))
+    flags = infer(tx, _vendor(spark, sf), None, MONTHLY, by=("snapshot_month",)).flags
+    t.write_months(flags)
+    return t.read(spark)
+
+
+def _rerun_sequence(spark, sf, t: SnapshotTable):
+    first = t.write(_flags(spark, sf, MONTH_A), MONTH_A)
+    second = t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    t.write(_flags(spark, sf, MONTH_A, RERUN), MONTH_A)
+    return first, second
+
+
+SNAP_RERUN = (o.with_(o.BASE, AB_CTES, A5_CTES)
+              + _snap_sql("a5_", MONTH_A) + "\nUNION ALL " + _snap_sql("b_", MONTH_B))
+
+
+@query("snapshot_overwrite_month", SNAP_RERUN)
+def q_snapshot_overwrite_month(spark, sf):
+    """Dynamic partition overwrite (no history): the re-run replaces A."""
+    t = _table(spark, "overwrite", versioned=False)
+    _rerun_sequence(spark, sf, t)
+    return t.read(spark)
+
+
+@query("snapshot_latest", SNAP_RERUN)
+def q_snapshot_latest(spark, sf):
+    t = _table(spark, "latest")
+    _rerun_sequence(spark, sf, t)
+    return t.read(spark)
+
+
+@query("snapshot_as_of", o.with_(o.BASE, AB_CTES) + SNAP_AB)
+def q_snapshot_as_of(spark, sf):
+    """Read as of the second run: A's later re-run is not visible."""
+    t = _table(spark, "as_of")
+    _, second = _rerun_sequence(spark, sf, t)
+    return t.read(spark, as_of_run=second.run_id)
+
+
+@query("snapshot_empty_month", o.with_(o.BASE, AB_CTES) + _snap_sql("a_", MONTH_A))
+def q_snapshot_empty_month(spark, sf):
+    """B re-run with no surviving BIN: B reads empty, A is untouched."""
+    t = _table(spark, "empty_month")
+    t.write(_flags(spark, sf, MONTH_A), MONTH_A)
+    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    t.write(_flags(spark, sf, MONTH_B, NONE_KEPT), MONTH_B)
+    return t.read(spark)
+
+
+@query("snapshot_schema_evolution", o.with_(o.BASE, AB_CTES)
+       + _snap_sql("a_", MONTH_A, ", CAST(bin_total % 7 AS INTEGER) AS new_col")
+       + "\nUNION ALL " + _snap_sql("b_", MONTH_B, ", CAST(NULL AS INTEGER) AS new_col"))
+def q_snapshot_schema_evolution(spark, sf):
+    """A gains ``new_col``; B is written without it and reads null."""
+    t = _table(spark, "schema_evolution")
+    a = _flags(spark, sf, MONTH_A).withColumn("new_col", (F.col("bin_total") % 7).cast("int"))
+    t.write(a, MONTH_A)
+    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    return t.read(spark)
+
+
+@query("top_country_map", o.with_(o.BASE, AB_CTES)
+       + f"SELECT {TOP_COLS}, '{MONTH_A}' AS snapshot_month FROM a_top")
+def q_top_country_map(spark, sf):
+    t = _table(spark, "top_country_map")
+    t.write(infer(_tx(spark, sf), _vendor(spark, sf), MONTH_A, MONTHLY).top_countries, MONTH_A)
+    return t.read(spark)
+
+
+DRIFT_SQL = """
+SELECT coalesce(p."BIN", c."BIN") AS "BIN", p.inferred_top_country AS prev_country,
+  c.inferred_top_country AS curr_country, p.bin_total AS prev_bin_total,
+  c.bin_total AS curr_bin_total, c.bin_total - p.bin_total AS volume_change,
+  CASE WHEN p."BIN" IS NULL THEN 'added' WHEN c."BIN" IS NULL THEN 'removed'
+       WHEN p.inferred_top_country IS NOT DISTINCT FROM c.inferred_top_country THEN 'same'
+       ELSE 'country_changed' END AS change
+FROM a_flags p FULL OUTER JOIN b_flags c ON p."BIN" = c."BIN" """
+
+
+@query("snapshot_drift", o.with_(o.BASE, AB_CTES) + DRIFT_SQL)
+def q_snapshot_drift(spark, sf):
+    t = _table(spark, "drift")
+    t.write(_flags(spark, sf, MONTH_A), MONTH_A)
+    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    return ops.snapshot_drift(t.read_month(spark, MONTH_A), t.read_month(spark, MONTH_B))
+
+
+# ------------------------------------------------- checks on a snapshot
+#
+# The checked table: months A and B published by the reference's unguarded
+# join against the duplicated vendor mapping (so BINs repeat), plus the
+# planted rows of the reference's regression fixture as month C.
+
+DQ_CTES = (VDUP
+           + o.stage_ctes(MONTH_A, MONTHLY.min_txns, MONTHLY.coverage, prefix="a_",
+                          vendor="vendor_dup", dedup=False)
+           + o.stage_ctes(MONTH_B, MONTHLY.min_txns, MONTHLY.coverage, prefix="b_",
+                          vendor="vendor_dup", dedup=False)
+           + ["snap AS (" + SNAP_AB + "\nUNION ALL " + o.planted_sql(MONTH_C) + ")"])
+
+
+def _dq_snapshot(spark, sf):
+    t = _table(spark, "dq")
+    vdup = vendor_dup_from_tables(spark, sf)
+    t.write(_flags(spark, sf, MONTH_A, vendor=vdup, dedup=False), MONTH_A)
+    t.write(_flags(spark, sf, MONTH_B, vendor=vdup, dedup=False), MONTH_B)
+    t.write(spark.createDataFrame(o.PLANTED_ROWS, FLAGS_SCHEMA.fieldNames()), MONTH_C)
+    return t.read(spark)
+
+
+@query("dq_nulls", o.with_(DQ_CTES) + """
+SELECT column_name, null_count FROM (
+  SELECT 'BIN' AS column_name, count(*) FILTER (WHERE "BIN" IS NULL) AS null_count FROM snap
+  UNION ALL SELECT 'inferred_top_country', count(*) FILTER (WHERE inferred_top_country IS NULL) FROM snap
+  UNION ALL SELECT 'is_discrepant', count(*) FILTER (WHERE is_discrepant IS NULL) FROM snap
+  UNION ALL SELECT 'snapshot_month', count(*) FILTER (WHERE snapshot_month IS NULL) FROM snap)
+WHERE null_count > 0""")
+def q_dq_nulls(spark, sf):
+    return ops.dq_nulls(_dq_snapshot(spark, sf))
+
+
+@query("dq_unique_bin", o.with_(DQ_CTES) + """
+SELECT snapshot_month, "BIN", count(*) AS n_rows FROM snap WHERE "BIN" IS NOT NULL
+GROUP BY snapshot_month, "BIN" HAVING count(*) > 1""")
+def q_dq_unique_bin(spark, sf):
+    return ops.dq_unique_bin(_dq_snapshot(spark, sf))
+
+
+@query("dq_country_code", o.with_(DQ_CTES) + """
+SELECT snapshot_month, "BIN", inferred_top_country, vendor_country,
+  CASE WHEN inferred_top_country IS NOT NULL AND length(inferred_top_country) <> 2
+         THEN 'bad_inferred_country'
+       ELSE 'bad_vendor_country' END AS reason
+FROM snap
+WHERE (inferred_top_country IS NOT NULL AND length(inferred_top_country) <> 2)
+   OR (vendor_country IS NOT NULL AND length(vendor_country) <> 2)""")
+def q_dq_country_code(spark, sf):
+    return ops.dq_country_code(_dq_snapshot(spark, sf))
+
+
+@query("dq_bin_length", o.with_(DQ_CTES) + """
+SELECT snapshot_month, "BIN", length("BIN") AS bin_length FROM snap
+WHERE "BIN" IS NOT NULL AND NOT (length("BIN") BETWEEN 6 AND 8)""")
+def q_dq_bin_length(spark, sf):
+    return ops.dq_bin_length(_dq_snapshot(spark, sf))
+
+
+@query("dq_snapshot_month", o.with_(DQ_CTES) + """
+SELECT snapshot_month, count(*) AS n_rows,
+  coalesce(regexp_matches(snapshot_month, '^[0-9]{4}-(0[1-9]|1[0-2])$'), FALSE) AS is_valid
+FROM snap GROUP BY snapshot_month""")
+def q_dq_snapshot_month(spark, sf):
+    return ops.dq_snapshot_month(_dq_snapshot(spark, sf))
+
+
+@query("dq_row_count", o.with_(DQ_CTES) + """
+SELECT snapshot_month, n_rows, prev_n_rows, n_rows / CAST(prev_n_rows AS DOUBLE) AS ratio,
+  n_rows = 0 OR coalesce(n_rows / CAST(prev_n_rows AS DOUBLE) < 0.5
+                         OR n_rows / CAST(prev_n_rows AS DOUBLE) > 2.0, FALSE) AS is_anomalous
+FROM (SELECT snapshot_month, n_rows, lag(n_rows) OVER (ORDER BY snapshot_month) AS prev_n_rows
+      FROM (SELECT snapshot_month, count(*) AS n_rows FROM snap GROUP BY snapshot_month))""")
+def q_dq_row_count(spark, sf):
+    return ops.dq_row_count(_dq_snapshot(spark, sf))
