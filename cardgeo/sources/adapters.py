@@ -24,12 +24,23 @@ Fixed values of the fixture:
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Resolved scans per session and directory, like temp views registered once
+# per session: the test tables are read-only, and listing files and reading
+# footers again for every query costs more than running it at small scale.
+_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache = _SCANS.setdefault(spark, {})
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def nation_code(n: Column) -> Column:
