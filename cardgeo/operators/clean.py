@@ -20,12 +20,21 @@ from ..schemas import require_columns
 _TXN_COLS = {"BIN", "billing_address_country", "fraud_label"}
 
 
-def slice_month(tx: DataFrame, month: str | None, ts_col: str = "timestamp") -> DataFrame:
-    """Rows of ``month`` (``None`` = all history). Pushable range filter."""
+def slice_month(tx: DataFrame, month, ts_col: str = "timestamp") -> DataFrame:
+    """Rows of ``month`` -- one ``YYYY-MM`` or a list of them -- (``None`` =
+    all history). Half-open timestamp ranges, so Parquet row groups outside
+    them are skipped; several months are one OR of ranges, one scan."""
     if month is None:
         return tx
     require_columns(tx.columns, {ts_col}, "transactions")
-    return tx.where(in_month(ts_col, month, tx.schema[ts_col].dataType))
+    months = [month] if isinstance(month, str) else list(month)
+    if not months:
+        raise ValueError("empty month list")
+    ts_type = tx.schema[ts_col].dataType
+    cond = in_month(ts_col, months[0], ts_type)
+    for m in months[1:]:
+        cond = cond | in_month(ts_col, m, ts_type)
+    return tx.where(cond)
 
 
 def filter_fraud(tx: DataFrame) -> DataFrame:
@@ -42,13 +51,14 @@ def filter_bin_length(tx: DataFrame) -> DataFrame:
 
 def load_filtered(
     tx: DataFrame,
-    month: str | None = None,
+    month=None,
     *,
     strict: bool = False,
     ts_col: str = "timestamp",
 ) -> DataFrame:
     """Clean transactions: not fraud (null label dropped), country present,
-    BIN of 6..8 characters, optionally one month and strict formats.
+    BIN of 6..8 characters, optionally a month (or list of months) and
+    strict formats.
 
     One ``where`` so Catalyst sees the whole conjunction; the comparisons on
     stored columns become Parquet pushed filters.

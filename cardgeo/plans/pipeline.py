@@ -20,6 +20,7 @@ from ..operators import (
     flag_discrepancies,
     load_filtered,
     select_top_countries,
+    with_snapshot_month,
 )
 from ..params import Params
 
@@ -36,15 +37,18 @@ class Inference:
 def infer(
     tx: DataFrame,
     vendor: DataFrame,
-    month: str | None = None,
+    month=None,
     params: Params = Params(),
     *,
     by=(),
     strict: bool = False,
 ) -> Inference:
     """All stages for one month (``None`` = all history) or, with
-    ``by=("snapshot_month",)`` on a frame that has that column, for many
-    months in a single pass."""
+    ``by=("snapshot_month",)``, for many months in a single pass (``month``
+    may then list the months; ``snapshot_month`` is derived from the
+    timestamp when the frame lacks it)."""
+    if "snapshot_month" in by and "snapshot_month" not in tx.columns:
+        tx = with_snapshot_month(tx)
     clean = load_filtered(tx, month, strict=strict)
     counts = country_counts(clean, by=by)
     # Support before the coverage window: bin_total is constant per BIN,

@@ -400,7 +400,6 @@ def q_empty_input_pipeline(spark, sf):
 # Each query publishes runs into a fresh table under the shared
 # spark.checkpoint.dir and returns what a reader sees afterwards.
 
-from ..operators.clean import with_snapshot_month  # noqa: E402
 from ..sinks import SnapshotTable, shared_dir  # noqa: E402
 from ..schemas import FLAGS_SCHEMA  # noqa: E402
 
@@ -432,9 +431,24 @@ def _snap_sql(prefix, month, extra=""):
 SNAP_AB = _snap_sql("a_", MONTH_A) + "\nUNION ALL " + _snap_sql("b_", MONTH_B)
 
 
+def _publish_ab(spark, sf, t: SnapshotTable):
+    """Months A and B computed in one scan and published in one job."""
+    flags = infer(_tx(spark, sf), _vendor(spark, sf), [MONTH_A, MONTH_B], MONTHLY,
+                  by=("snapshot_month",)).flags
+    return t.write_months(flags, [MONTH_A, MONTH_B])
+
+
 @query("snapshot_two_months", o.with_(o.BASE, AB_CTES) + SNAP_AB)
 def q_snapshot_two_months(spark, sf):
     t = _table(spark, "two_months")
+    _publish_ab(spark, sf, t)
+    return t.read(spark)
+
+
+@query("snapshot_two_runs", o.with_(o.BASE, AB_CTES) + SNAP_AB)
+def q_snapshot_two_runs(spark, sf):
+    """One month per run: creates the table, then adds a month."""
+    t = _table(spark, "two_runs")
     t.write(_flags(spark, sf, MONTH_A), MONTH_A)
     t.write(_flags(spark, sf, MONTH_B), MONTH_B)
     return t.read(spark)
@@ -443,8 +457,7 @@ def q_snapshot_two_months(spark, sf):
 @query("snapshot_read_month", o.with_(o.BASE, AB_CTES) + _snap_sql("a_", MONTH_A))
 def q_snapshot_read_month(spark, sf):
     t = _table(spark, "read_month")
-    t.write(_flags(spark, sf, MONTH_A), MONTH_A)
-    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    _publish_ab(spark, sf, t)
     return t.read_month(spark, MONTH_A)
 
 
@@ -454,8 +467,7 @@ def q_snapshot_read_month(spark, sf):
 def q_snapshot_read_all(spark, sf):
     """Backfill: every month of history computed and published in one job."""
     t = _table(spark, "read_all")
-    tx = with_snapshot_month(_tx(spark, sf))
-    flags = infer(tx, _vendor(spark, sf), None, MONTHLY, by=("snapshot_month",)).flags
+    flags = infer(_tx(spark, sf), _vendor(spark, sf), None, MONTHLY, by=("snapshot_month",)).flags
     t.write_months(flags)
     return t.read(spark)
 
@@ -498,8 +510,7 @@ def q_snapshot_as_of(spark, sf):
 def q_snapshot_empty_month(spark, sf):
     """B re-run with no surviving BIN: B reads empty, A is untouched."""
     t = _table(spark, "empty_month")
-    t.write(_flags(spark, sf, MONTH_A), MONTH_A)
-    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    _publish_ab(spark, sf, t)
     t.write(_flags(spark, sf, MONTH_B, NONE_KEPT), MONTH_B)
     return t.read(spark)
 
@@ -537,8 +548,7 @@ FROM a_flags p FULL OUTER JOIN b_flags c ON p."BIN" = c."BIN" """
 @query("snapshot_drift", o.with_(o.BASE, AB_CTES) + DRIFT_SQL)
 def q_snapshot_drift(spark, sf):
     t = _table(spark, "drift")
-    t.write(_flags(spark, sf, MONTH_A), MONTH_A)
-    t.write(_flags(spark, sf, MONTH_B), MONTH_B)
+    _publish_ab(spark, sf, t)
     return ops.snapshot_drift(t.read_month(spark, MONTH_A), t.read_month(spark, MONTH_B))
 
 

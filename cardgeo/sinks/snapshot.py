@@ -98,6 +98,11 @@ class SnapshotTable:
             for m in months:
                 validate_month(m)
             df = df.where(F.col("snapshot_month").isin(list(months)))
+        # Range-partition the (small, one row per BIN and month) output so
+        # each task writes about one month: files ~ tasks + months, not
+        # tasks x months; a month with many BINs still spreads over tasks.
+        key = [F.col("snapshot_month")] + ([F.col("BIN")] if "BIN" in df.columns else [])
+        df = df.repartitionByRange(*key)
         return self._write(df, list(months) if months is not None else None, run_id, metrics)
 
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
