@@ -1,5 +1,7 @@
 """Plans: the composed pipeline, the query registry and its SQL oracle."""
 
 from .pipeline import Inference, infer, report
+from .publish import DataQualityError, PublishResult, flag_violations, publish_month
 
-__all__ = ["Inference", "infer", "report"]
+__all__ = ["DataQualityError", "Inference", "PublishResult", "flag_violations", "infer",
+           "publish_month", "report"]

@@ -401,6 +401,7 @@ def q_empty_input_pipeline(spark, sf):
 # spark.checkpoint.dir and returns what a reader sees afterwards.
 
 from ..sinks import SnapshotTable, shared_dir  # noqa: E402
+from .publish import publish_month  # noqa: E402
 from ..schemas import FLAGS_SCHEMA  # noqa: E402
 
 MONTH_C = "1998-05"
@@ -530,9 +531,20 @@ def q_snapshot_schema_evolution(spark, sf):
 @query("top_country_map", o.with_(o.BASE, AB_CTES)
        + f"SELECT {TOP_COLS}, '{MONTH_A}' AS snapshot_month FROM a_top")
 def q_top_country_map(spark, sf):
-    t = _table(spark, "top_country_map")
-    t.write(infer(_tx(spark, sf), _vendor(spark, sf), MONTH_A, MONTHLY).top_countries, MONTH_A)
-    return t.read(spark)
+    """The kept top-N countries per BIN, published next to the flags."""
+    flags_t, map_t = _table(spark, "publish_flags"), _table(spark, "publish_map")
+    publish_month(_tx(spark, sf), _vendor(spark, sf), MONTH_A, flags_table=flags_t,
+                  map_table=map_t, params=MONTHLY)
+    return map_t.read(spark)
+
+
+@query("publish_month", o.with_(o.BASE, AB_CTES) + _snap_sql("a_", MONTH_A))
+def q_publish_month(spark, sf):
+    """Gated monthly publication (one scan, staged map, checked flags)."""
+    flags_t, map_t = _table(spark, "publish_flags"), _table(spark, "publish_map")
+    publish_month(_tx(spark, sf), _vendor(spark, sf), MONTH_A, flags_table=flags_t,
+                  map_table=map_t, params=MONTHLY)
+    return flags_t.read(spark)
 
 
 DRIFT_SQL = """

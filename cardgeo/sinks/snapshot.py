@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -62,6 +62,17 @@ class Commit:
     row_count: int
 
 
+@dataclass(frozen=True)
+class StagedRun:
+    table: "SnapshotTable"
+    months: tuple
+    run_id: str
+    counts: dict
+    schema_json: str
+    metrics: dict
+    spark: SparkSession = field(repr=False, compare=False, default=None)
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     root: str
@@ -106,7 +117,19 @@ class SnapshotTable:
         return self._write(df, list(months) if months is not None else None, run_id, metrics)
 
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
-        spark = out.sparkSession
+        return self.commit(self._stage(out, months, run_id, metrics))
+
+    def stage(self, df: DataFrame, month: str, *, run_id: str | None = None,
+              metrics: dict[str, int] | None = None) -> "StagedRun":
+        """Write a run's files without committing it (versioned tables):
+        readers do not see it until :meth:`commit`; an abandoned stage stays
+        invisible. ``read_run`` reads it back, e.g. to cut lineage."""
+        if not self.versioned:
+            raise ValueError("staging needs a versioned table")
+        validate_month(month)
+        return self._stage(df.withColumn("snapshot_month", F.lit(month)), [month], run_id, metrics)
+
+    def _stage(self, out: DataFrame, months, run_id, metrics) -> "StagedRun":
         run_id = run_id or new_run_id()
         schema_json = out.drop(*PARTITION_COLS).schema.json()
         obs = None
@@ -129,17 +152,33 @@ class SnapshotTable:
             got = obs.get
             counts = {m: int(got.get(f"m{i}") or 0) for i, m in enumerate(months)}
         else:
-            counts = self._written_counts(spark, run_id)
+            counts = self._written_counts(out.sparkSession, run_id)
             months = sorted(counts)
+        return StagedRun(self, tuple(months), run_id, counts, schema_json, dict(metrics or {}),
+                         out.sparkSession)
+
+    def commit(self, staged: "StagedRun", metrics: dict[str, int] | None = None) -> list[Commit]:
+        """Append the staged run's ledger rows: from now on readers see it."""
+        spark = staged.spark
         now = dt.datetime.now(dt.timezone.utc)
-        commits = [Commit(m, run_id, now, counts.get(m, 0)) for m in months]
-        rows = [(c.snapshot_month, c.run_id, c.committed_at, c.row_count, schema_json,
-                 dict(metrics or {})) for c in commits]
+        all_metrics = {**staged.metrics, **(metrics or {})}
+        commits = [Commit(m, staged.run_id, now, staged.counts.get(m, 0)) for m in staged.months]
+        rows = [(c.snapshot_month, c.run_id, c.committed_at, c.row_count, staged.schema_json,
+                 all_metrics) for c in commits]
         if rows:
             (spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
              .write.mode("append").format("parquet").save(self.ledger_path))
         return commits
 
+    def read_run(self, spark: SparkSession, staged: "StagedRun") -> DataFrame:
+        """Rows of one (staged or committed) run, without the partition columns."""
+        schema = _merged_schema([staged.schema_json])
+        paths = [f"{self.data_path}/snapshot_month={m}/run_id={staged.run_id}"
+                 for m in staged.months if staged.counts.get(m, 0) > 0]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.format(self.fmt).schema(schema).load(paths)
+
     def _written_counts(self, spark, run_id) -> dict[str, int]:
         """Rows per month of one versioned run, read back from its committed
         files (Parquet answers counts from footers). One row per month."""

@@ -1,0 +1,115 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardgeo import Params, infer
+from cardgeo.operators import (
+    dq_bin_length,
+    dq_country_code,
+    dq_coverage_reached,
+    dq_nulls,
+    dq_row_count,
+    dq_total_matches,
+    dq_unique_bin,
+    dq_unique_bin_country,
+    snapshot_drift,
+    stage_metrics,
+)
+from cardgeo.plans import DataQualityError, publish_month
+from cardgeo.plans.oracle import PLANTED_ROWS
+from cardgeo.schemas import COUNTRY_COUNTS_SCHEMA, FLAGS_SCHEMA, TXN_SCHEMA
+from cardgeo.sinks import SnapshotTable, shared_dir
+from conftest import rows
+
+T = dt.datetime(2023, 1, 10)
+
+
+def snapshot(spark):
+    good = [("450000", "US", "US", False, 1500), ("510000", "GB", "CA", True, 200)]
+    return (spark.createDataFrame(good, FLAGS_SCHEMA).withColumn("snapshot_month", F.lit("2023-01"))
+            .unionByName(spark.createDataFrame(PLANTED_ROWS, FLAGS_SCHEMA.fieldNames())
+                         .withColumn("snapshot_month", F.lit("2023-02"))))
+
+
+def test_planted_violations_reported_once(spark):
+    snap = snapshot(spark)
+    assert rows(dq_nulls(snap)) == [("BIN", 1), ("inferred_top_country", 1)]
+    assert rows(dq_country_code(snap), "BIN", "reason") == [
+        ("BADCTRY1", "bad_inferred_country"), ("BADCTRY2", "bad_inferred_country")]
+    assert rows(dq_bin_length(snap), "BIN", "bin_length") == [
+        ("LONGBINTOOLONG", 14), ("SHORT", 5)]
+    assert dq_unique_bin(snap).count() == 0
+    dup = snap.unionByName(snap.where("BIN = '450000'"))
+    assert rows(dq_unique_bin(dup), "snapshot_month", "BIN", "n_rows") == [
+        ("2023-01", "450000", 2), ("2023-02", "450000", 2)]
+
+
+def test_row_count_anomaly(spark):
+    got = {r.snapshot_month: r for r in dq_row_count(snapshot(spark)).collect()}
+    assert got["2023-01"].prev_n_rows is None and not got["2023-01"].is_anomalous
+    assert got["2023-02"].ratio == 4.0 and got["2023-02"].is_anomalous
+
+
+def test_count_checks(spark):
+    counts = spark.createDataFrame([("B1", "US", 60, 100), ("B1", "CA", 40, 100),
+                                    ("B2", "US", 5, 9), ("B2", "US", 5, 9)], COUNTRY_COUNTS_SCHEMA)
+    assert rows(dq_total_matches(counts), "BIN") == [("B2",)]
+    assert rows(dq_unique_bin_country(counts), "BIN", "country") == [("B2", "US")]
+    # B1 map {US} reaches 0.5 but not 0.95; {US, CA} is not minimal for 0.5.
+    assert rows(dq_coverage_reached(counts.where("BIN = 'B1' AND country = 'US'"), 0.95),
+                "reason") == [("not_reached",)]
+    assert rows(dq_coverage_reached(counts.where("BIN = 'B1'"), 0.5), "reason") == [
+        ("not_minimal",)]
+    assert dq_coverage_reached(counts.where("BIN = 'B1'"), 0.95).count() == 0
+
+
+def test_drift(spark):
+    prev = spark.createDataFrame([("B1", "US", None, False, 10), ("B2", "CA", None, False, 5),
+                                  ("B3", "GB", None, False, 7)], FLAGS_SCHEMA)
+    curr = spark.createDataFrame([("B1", "US", None, False, 12), ("B2", "MX", None, False, 5),
+                                  ("B4", "DE", None, False, 1)], FLAGS_SCHEMA)
+    assert rows(snapshot_drift(prev, curr), "BIN", "change", "volume_change") == [
+        ("B1", "same", 2), ("B2", "country_changed", 0), ("B3", "removed", None),
+        ("B4", "added", None)]
+
+
+def txns(spark, spec):
+    data, i = [], 0
+    for b, c, n in spec:
+        for _ in range(n):
+            data.append((f"t{i}", T, b, c, False))
+            i += 1
+    return spark.createDataFrame(data, TXN_SCHEMA)
+
+
+def test_whole_pipeline_golden(spark):
+    tx = txns(spark, [("123456", "US", 105), ("123456", "CA", 35), ("654321", "US", 50),
+                      ("111111", "FR", 99)])
+    vendor = spark.createDataFrame([("123456", "US")], "BIN string, country string")
+    r = infer(tx, vendor, "2023-01", Params())
+    assert rows(r.flags) == [("123456", "US", "US", False, 140)]
+    metrics = {(m.stage, m.metric): m.value
+               for m in stage_metrics(tx, r.counts, r.flags, vendor).collect()}
+    assert metrics[("load", "rows_in")] == 289
+    assert metrics[("support", "bins_in")] == 3 and metrics[("support", "bins_out")] == 1
+    assert metrics[("compare", "rows_out")] == 1
+
+
+def test_publish_month_gates_and_commits(spark):
+    tx = txns(spark, [("123456", "US", 105), ("123456", "CA", 35), ("654321", "USA", 120)])
+    vendor = spark.createDataFrame([("123456", "US")], "BIN string, country string")
+    flags_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
+    map_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
+    with pytest.raises(DataQualityError) as e:
+        publish_month(tx, vendor, "2023-01", flags_table=flags_t, map_table=map_t)
+    assert e.value.violations["bad_country_code"] == 1
+    assert flags_t.read(spark).count() == 0 and map_t.read(spark).count() == 0
+
+    res = publish_month(tx.where("billing_address_country <> 'USA'"), vendor, "2023-01",
+                        flags_table=flags_t, map_table=map_t)
+    assert res.flag_rows == 1 and res.map_rows == 2
+    assert res.metrics["rows_in"] == 140 and res.metrics["kept"] == 140
+    assert rows(flags_t.read(spark)) == [("123456", "US", "US", False, 140, "2023-01")]
+    ledger = flags_t.ledger(spark).first()
+    assert ledger.row_count == 1 and ledger.metrics["discrepant"] == 0
