@@ -35,6 +35,7 @@ from .quality import (
     dq_unique_bin,
     dq_unique_bin_country,
     load_metrics,
+    reason_counts,
     stage_metrics,
     support_metrics,
 )
@@ -60,6 +61,7 @@ __all__ = [
     "dq_unique_bin",
     "dq_unique_bin_country",
     "load_metrics",
+    "reason_counts",
     "snapshot_drift",
     "stage_metrics",
     "support_metrics",

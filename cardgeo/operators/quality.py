@@ -177,10 +177,60 @@ def discrepancy_metrics(flags: DataFrame, vendor: DataFrame) -> DataFrame:
             .unionByName(_metrics(v, [("compare", "vendor_rows", "vendor_rows")])))
 
 
-def stage_metrics(tx: DataFrame, counts: DataFrame, flags: DataFrame, vendor: DataFrame,
-                  month: str | None = None, coverage=DEFAULT_COVERAGE,
+def reason_counts(tx: DataFrame, month=None) -> DataFrame:
+    """Rows per (reject reason, BIN, country): one scan and one partial/final
+    aggregate from which every stage metric can be derived."""
+    return (slice_month(tx, month)
+            .groupBy(reject_reason().alias("reason"), "BIN",
+                     F.col("billing_address_country").alias("country"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def stage_metrics(tx: DataFrame, vendor: DataFrame, month=None, coverage=DEFAULT_COVERAGE,
                   min_txns: int = DEFAULT_MIN_TXNS) -> DataFrame:
-    """All stage metrics; ``counts`` are the unfiltered country counts."""
-    return (load_metrics(tx, month)
-            .unionByName(count_metrics(counts, coverage, min_txns))
-            .unionByName(discrepancy_metrics(flags, vendor)))
+    """All stage metrics (load, aggregate, coverage, support, compare) from
+    ONE scan of ``tx`` in a single branch of the plan: aggregate by
+    (reason, BIN, country); rank each BIN's kept rows in one window (kept
+    rows sort first); join the vendor country; one global aggregate.
+    (Separate branches would each rescan: Catalyst pushes each branch's own
+    filters below the shared aggregate, so its shuffle cannot be reused.)"""
+    from .compare import vendor_dedup
+
+    k = F.col("reason") == "kept"
+    part = Window.partitionBy("BIN")
+    order = part.orderBy(k.desc(), F.col("n").desc(), F.col("country").asc_nulls_first())
+    kn = F.when(k, F.col("n")).otherwise(F.lit(0))
+    ranked = (reason_counts(tx, month)
+              .withColumn("bin_total", F.sum(kn).over(part))
+              .withColumn("_cum", F.sum(kn).over(
+                  order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .withColumn("_rn", F.row_number().over(order)))
+    v = vendor_dedup(vendor).select("BIN", F.col("country").alias("vendor_country"))
+    j = ranked.join(v, "BIN", "left")
+    cov = k & within_coverage(F.col("_cum") - F.col("n"), "bin_total", coverage)
+    sup = F.col("bin_total") >= F.lit(int(min_txns))
+    first = k & (F.col("_rn") == 1)
+    flag = first & sup
+
+    def cnt(cond):
+        return F.sum(F.when(cond, 1).otherwise(0))
+
+    one = j.agg(
+        F.sum("n").alias("rows_in"), F.sum(kn).alias("clean_rows"),
+        cnt(k).alias("count_rows"), cnt(cov).alias("top_rows"),
+        cnt(cov & sup).alias("supported_rows"), cnt(first).alias("bins"),
+        cnt(flag).alias("flag_rows"),
+        cnt(flag & F.coalesce(F.col("country") != F.col("vendor_country"), F.lit(False)))
+         .alias("discrepant"),
+        cnt(flag & F.col("vendor_country").isNull()).alias("vendor_missing"))
+    tx_metrics = _metrics(one, [
+        ("load", "rows_in", "rows_in"), ("load", "rows_out", "clean_rows"),
+        ("aggregate", "rows_in", "clean_rows"), ("aggregate", "rows_out", "count_rows"),
+        ("coverage", "rows_in", "count_rows"), ("coverage", "rows_out", "top_rows"),
+        ("support", "rows_in", "top_rows"), ("support", "rows_out", "supported_rows"),
+        ("support", "bins_in", "bins"), ("support", "bins_out", "flag_rows"),
+        ("compare", "rows_out", "flag_rows"), ("compare", "discrepant", "discrepant"),
+        ("compare", "vendor_missing", "vendor_missing")])
+    vendor_rows = _metrics(vendor.agg(F.count(F.lit(1)).alias("vendor_rows")),
+                           [("compare", "vendor_rows", "vendor_rows")])
+    return tx_metrics.unionByName(vendor_rows)

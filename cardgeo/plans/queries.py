@@ -313,8 +313,7 @@ UNION ALL SELECT 'compare', 'vendor_rows', count(*) FROM vendor"""
 
 @query("stage_metrics", o.with_(o.BASE, ALL_CTES, ALL0) + METRIC_SQL)
 def q_stage_metrics(spark, sf):
-    tx, r = _tx(spark, sf), _run(spark, sf)
-    return ops.stage_metrics(tx, r.counts, r.flags, _vendor(spark, sf), None,
+    return ops.stage_metrics(_tx(spark, sf), _vendor(spark, sf), None,
                              ALL.coverage, ALL.min_txns)
 
 
