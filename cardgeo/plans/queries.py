@@ -639,3 +639,22 @@ FROM (SELECT snapshot_month, n_rows, lag(n_rows) OVER (ORDER BY snapshot_month)
       FROM (SELECT snapshot_month, count(*) AS n_rows FROM snap GROUP BY snapshot_month))""")
 def q_dq_row_count(spark, sf):
     return ops.dq_row_count(_dq_snapshot(spark, sf))
+
+
+# ------------------------------------------------------------- streaming
+
+from ..streaming import counts_from_partials, start_count_stream  # noqa: E402
+
+
+@query("stream_country_counts", o.with_(o.BASE, AB_CTES) + f"SELECT {COUNT_COLS} FROM a_counts")
+def q_stream_country_counts(spark, sf):
+    """All transactions land as several files; an available-now stream
+    folds them into partial counts, one micro-batch per file; month A's
+    counts are read back from the partials."""
+    root = shared_dir(spark, "cardgeo", "queries", "stream")
+    landing = f"{root}/landing"
+    _tx(spark, sf).repartition(4).write.parquet(landing)
+    q = start_count_stream(spark, landing, f"{root}/partials", f"{root}/_checkpoint",
+                           schema=spark.read.parquet(landing).schema, max_files_per_trigger=1)
+    q.awaitTermination()
+    return counts_from_partials(spark, f"{root}/partials", MONTH_A)
