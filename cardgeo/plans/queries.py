@@ -617,7 +617,7 @@ def q_dq_country_code(spark, sf):
 
 
 @query("dq_bin_length", o.with_(DQ_CTES) + """
-SELECT snapshot_month, "BIN", length("BIN") AS bin_length FROM snap
+SELECT snapshot_month, "BIN", CAST(length("BIN") AS INTEGER) AS bin_length FROM snap
 WHERE "BIN" IS NOT NULL AND NOT (length("BIN") BETWEEN 6 AND 8)""")
 def q_dq_bin_length(spark, sf):
     return ops.dq_bin_length(_dq_snapshot(spark, sf))
