@@ -6,6 +6,7 @@ from .columns import (
     bin_length_ok,
     country_present,
     in_month,
+    in_month_dates,
     is_discrepant,
     month_of,
     not_fraud,
@@ -21,6 +22,7 @@ __all__ = [
     "bin_length_ok",
     "country_present",
     "in_month",
+    "in_month_dates",
     "is_discrepant",
     "month_of",
     "not_fraud",

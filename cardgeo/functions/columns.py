@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampNTZType
+from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType
 
 from ..params import BIN_MAX_LEN, BIN_MIN_LEN, as_decimal, month_bounds
 
@@ -61,6 +61,19 @@ def in_month(ts_col, month: str, ts_type: DataType = TimestampNTZType()) -> Colu
     return (c >= F.lit(lo).cast(ts_type)) & (c < F.lit(hi).cast(ts_type))
 
 
+def in_month_dates(date_col, month: str, col_type: DataType) -> Column:
+    """The same half-open month range on a date-like *partition* column
+    (``date``, ISO ``yyyy-MM-dd`` string, or timestamp), so the scan prunes
+    whole partitions (``PartitionFilters``) before reading any file."""
+    lo, hi = month_bounds(month)
+    c = _c(date_col)
+    if isinstance(col_type, StringType):
+        return (c >= F.lit(lo[:10])) & (c < F.lit(hi[:10]))
+    if isinstance(col_type, DateType):
+        return (c >= F.lit(lo[:10]).cast("date")) & (c < F.lit(hi[:10]).cast("date"))
+    return (c >= F.lit(lo).cast(col_type)) & (c < F.lit(hi).cast(col_type))
+
+
 def month_of(ts_col) -> Column:
     return F.date_format(_c(ts_col), "yyyy-MM")
 

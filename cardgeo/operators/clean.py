@@ -10,6 +10,7 @@ from ..functions import (
     bin_length_ok,
     country_present,
     in_month,
+    in_month_dates,
     month_of,
     not_fraud,
     strict_bin_ok,
@@ -20,21 +21,34 @@ from ..schemas import require_columns
 _TXN_COLS = {"BIN", "billing_address_country", "fraud_label"}
 
 
-def slice_month(tx: DataFrame, month, ts_col: str = "timestamp") -> DataFrame:
+def slice_month(tx: DataFrame, month, ts_col: str = "timestamp",
+                date_col: str | None = None) -> DataFrame:
     """Rows of ``month`` -- one ``YYYY-MM`` or a list of them -- (``None`` =
     all history). Half-open timestamp ranges, so Parquet row groups outside
-    them are skipped; several months are one OR of ranges, one scan."""
+    them are skipped; several months are one OR of ranges, one scan.
+
+    ``date_col`` names a date partition column of the table (e.g.
+    ``txn_date``); the same range on it prunes whole partitions.
+    """
     if month is None:
         return tx
-    require_columns(tx.columns, {ts_col}, "transactions")
+    require_columns(tx.columns, {ts_col} | ({date_col} if date_col else set()), "transactions")
     months = [month] if isinstance(month, str) else list(month)
     if not months:
         raise ValueError("empty month list")
+
+    def any_month(pred):
+        cond = pred(months[0])
+        for m in months[1:]:
+            cond = cond | pred(m)
+        return cond
+
     ts_type = tx.schema[ts_col].dataType
-    cond = in_month(ts_col, months[0], ts_type)
-    for m in months[1:]:
-        cond = cond | in_month(ts_col, m, ts_type)
-    return tx.where(cond)
+    out = tx.where(any_month(lambda m: in_month(ts_col, m, ts_type)))
+    if date_col:
+        d_type = tx.schema[date_col].dataType
+        out = out.where(any_month(lambda m: in_month_dates(date_col, m, d_type)))
+    return out
 
 
 def filter_fraud(tx: DataFrame) -> DataFrame:
@@ -55,6 +69,7 @@ def load_filtered(
     *,
     strict: bool = False,
     ts_col: str = "timestamp",
+    date_col: str | None = None,
 ) -> DataFrame:
     """Clean transactions: not fraud (null label dropped), country present,
     BIN of 6..8 characters, optionally a month (or list of months) and
@@ -67,7 +82,7 @@ def load_filtered(
     cond = not_fraud() & country_present() & bin_length_ok()
     if strict:
         cond = cond & strict_bin_ok() & strict_country_ok("billing_address_country")
-    return slice_month(tx, month, ts_col).where(cond)
+    return slice_month(tx, month, ts_col, date_col).where(cond)
 
 
 def with_snapshot_month(tx: DataFrame, ts_col: str = "timestamp") -> DataFrame:

@@ -42,6 +42,7 @@ def infer(
     *,
     by=(),
     strict: bool = False,
+    date_col: str | None = None,
 ) -> Inference:
     """All stages for one month (``None`` = all history) or, with
     ``by=("snapshot_month",)``, for many months in a single pass (``month``
@@ -49,7 +50,7 @@ def infer(
     timestamp when the frame lacks it)."""
     if "snapshot_month" in by and "snapshot_month" not in tx.columns:
         tx = with_snapshot_month(tx)
-    clean = load_filtered(tx, month, strict=strict)
+    clean = load_filtered(tx, month, strict=strict, date_col=date_col)
     counts = country_counts(clean, by=by)
     # Support before the coverage window: bin_total is constant per BIN,
     # and Catalyst does not push this filter through the window by itself.

@@ -76,3 +76,18 @@ def test_entry_flagship(spark):
     assert df.count() == 8
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert not PY_NODES.search(plan(df))
+
+
+def test_date_partition_pruned(spark):
+    from pyspark.sql import functions as F
+    path = shared_dir(spark, "cardgeo", "tests", "txp")
+    data = [(f"t{i}", dt.datetime(2023, 1 + i % 3, 5), "123456", "US", False) for i in range(30)]
+    (spark.createDataFrame(data, TXN_SCHEMA).withColumn("txn_date", F.to_date("timestamp"))
+     .write.partitionBy("txn_date").parquet(path))
+    tx = read_transactions(spark, path)
+    clean = infer(tx, spark.createDataFrame([], "BIN string, country string"), "2023-02",
+                  date_col="txn_date").clean
+    p = plan(clean)
+    part = re.search(r"PartitionFilters: \[([^\]]*)\]", p).group(1)
+    assert "txn_date" in part and "2023-02-01" in part and "2023-03-01" in part
+    assert clean.count() == 10
