@@ -72,6 +72,7 @@ def publish_month(
     params: Params = Params(),
     gate: bool = True,
     run_id: str | None = None,
+    date_col: str | None = None,
 ) -> PublishResult:
     validate_month(month)
     spark = tx.sparkSession
@@ -79,7 +80,7 @@ def publish_month(
 
     load_obs = Observation(f"load-{run_id}")
     reason = reject_reason()
-    sliced = slice_month(tx, month).observe(
+    sliced = slice_month(tx, month, date_col=date_col).observe(
         load_obs, F.count(F.lit(1)).alias("rows_in"),
         *[F.sum(F.when(reason == r, 1).otherwise(0)).alias(r) for r in _REASONS])
     top = infer(sliced, vendor, None, params).top_countries
