@@ -97,7 +97,8 @@ class SnapshotTable:
         return self._write(out, [month], run_id, metrics)[0]
 
     def write_months(self, df: DataFrame, months=None, *, run_id: str | None = None,
-                     metrics: dict[str, int] | None = None) -> list[Commit]:
+                     metrics: dict[str, int] | None = None,
+                     files_per_month: int = 1) -> list[Commit]:
         """Publish several months in one job; ``df`` has ``snapshot_month``.
 
         ``months`` are the months this run replaces (a listed month with no
@@ -109,11 +110,14 @@ class SnapshotTable:
             for m in months:
                 validate_month(m)
             df = df.where(F.col("snapshot_month").isin(list(months)))
-        # Range-partition the (small, one row per BIN and month) output so
-        # each task writes about one month: files ~ tasks + months, not
-        # tasks x months; a month with many BINs still spreads over tasks.
-        key = [F.col("snapshot_month")] + ([F.col("BIN")] if "BIN" in df.columns else [])
-        df = df.repartitionByRange(*key)
+        # Hash-partition the (small: one row per BIN and month) output on
+        # (month, hash(BIN) mod files_per_month): files = months x
+        # files_per_month instead of tasks x months, and no sampling job (a
+        # range partitioner would evaluate the whole upstream plan twice).
+        key = [F.col("snapshot_month")]
+        if files_per_month > 1 and "BIN" in df.columns:
+            key.append(F.pmod(F.hash("BIN"), F.lit(int(files_per_month))))
+        df = df.repartition(*key)
         return self._write(df, list(months) if months is not None else None, run_id, metrics)
 
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
@@ -181,14 +185,15 @@ class SnapshotTable:
 
     def _written_counts(self, spark, run_id) -> dict[str, int]:
         """Rows per month of one versioned run, read back from its committed
-        files (Parquet answers counts from footers). One row per month."""
+        files only (a glob on this run id, not a listing of the whole
+        table); Parquet answers the counts from footers."""
         try:
-            df = spark.read.format(self.fmt).load(self.data_path)
+            df = (spark.read.format(self.fmt).option("basePath", self.data_path)
+                  .load(f"{self.data_path}/snapshot_month=*/run_id={run_id}"))
         except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":  # nothing written yet
+            if e.getCondition() == "PATH_NOT_FOUND":  # the run wrote no rows
                 return {}
             raise
-        df = df.where(F.col("run_id") == run_id)
         return {str(r[0]): int(r[1])
                 for r in df.groupBy(F.col("snapshot_month").cast("string")).count().collect()}
 
