@@ -1,7 +1,13 @@
 """Plans: the composed pipeline, the query registry and its SQL oracle."""
 
 from .pipeline import Inference, infer, report
-from .publish import DataQualityError, PublishResult, flag_violations, publish_month
+from .publish import (
+    DataQualityError,
+    PublishResult,
+    flag_violations,
+    publish_month,
+    publish_months,
+)
 
 __all__ = ["DataQualityError", "Inference", "PublishResult", "flag_violations", "infer",
-           "publish_month", "report"]
+           "publish_month", "publish_months", "report"]

@@ -2,8 +2,9 @@
 
 One scan of the transactions per run. The flow:
 
-1. slice the month (pushed range filter), observe load accounting (rows in,
-   rejects by reason) while the top-country map is staged -- a single job;
+1. slice the month(s) (pushed range filter), observe load accounting (rows
+   in, rejects by reason, per month) while the top-country map is staged --
+   a single job, however many months;
 2. read the staged map back from the shared folder (lineage cut: a lost
    executor later recomputes from these files, never from the raw scan);
 3. derive the flags from it, check them (one small aggregate), and stage
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import bin_length_ok
-from ..operators import flag_discrepancies, reject_reason, slice_month
+from ..operators import flag_discrepancies, reject_reason, slice_month, with_snapshot_month
 from ..params import Params, validate_month
 from ..sinks import SnapshotTable, new_run_id
 from .pipeline import infer
@@ -47,12 +48,14 @@ class PublishResult:
 
 
 def flag_violations(flags: DataFrame) -> DataFrame:
-    """One row: number of flag rows breaking each publication rule."""
+    """One row: number of flag rows breaking each publication rule
+    (BINs must be unique per month)."""
     n = F.count(F.lit(1))
+    key = [c for c in ("snapshot_month",) if c in flags.columns] + ["BIN"]
     return flags.agg(
         F.sum(F.when(F.col("BIN").isNull() | F.col("inferred_top_country").isNull()
                      | F.col("is_discrepant").isNull(), 1).otherwise(0)).alias("null_critical"),
-        (n - F.count_distinct("BIN")).alias("duplicate_bins"),
+        (n - F.count_distinct(*key)).alias("duplicate_bins"),
         F.sum(F.when(F.col("BIN").isNotNull() & ~bin_length_ok(), 1).otherwise(0))
          .alias("bad_bin_length"),
         F.sum(F.when((F.length("inferred_top_country") != 2)
@@ -62,10 +65,10 @@ def flag_violations(flags: DataFrame) -> DataFrame:
     )
 
 
-def publish_month(
+def publish_months(
     tx: DataFrame,
     vendor: DataFrame,
-    month: str,
+    months,
     *,
     flags_table: SnapshotTable,
     map_table: SnapshotTable,
@@ -73,32 +76,57 @@ def publish_month(
     gate: bool = True,
     run_id: str | None = None,
     date_col: str | None = None,
-) -> PublishResult:
-    validate_month(month)
+) -> list[PublishResult]:
+    """Publish ``months`` (a list of ``YYYY-MM``) from ONE scan of ``tx``:
+    the windows run per (month, BIN), each table gets one run id covering
+    all months, and either every month is committed or none is."""
+    months = [validate_month(m) for m in ([months] if isinstance(months, str) else months)]
+    if not months:
+        raise ValueError("no months to publish")
     spark = tx.sparkSession
     run_id = run_id or new_run_id()
+    by = ("snapshot_month",)
 
+    # 1. One scan; load accounting per month observed while the map is staged.
     load_obs = Observation(f"load-{run_id}")
     reason = reject_reason()
-    sliced = slice_month(tx, month, date_col=date_col).observe(
-        load_obs, F.count(F.lit(1)).alias("rows_in"),
-        *[F.sum(F.when(reason == r, 1).otherwise(0)).alias(r) for r in _REASONS])
-    top = infer(sliced, vendor, None, params).top_countries
-    staged_map = map_table.stage(top, month, run_id=run_id)
-    load = {k: int(v or 0) for k, v in load_obs.get.items()}
-
-    flags = flag_discrepancies(map_table.read_run(spark, staged_map), vendor)
+    sliced = with_snapshot_month(slice_month(tx, months, date_col=date_col))
+    in_m = {m: F.col("snapshot_month") == F.lit(m) for m in months}
+    sliced = sliced.observe(load_obs, *[
+        F.sum(F.when(in_m[m] & cond, 1).otherwise(0)).alias(f"{i}|{name}")
+        for i, m in enumerate(months)
+        for name, cond in [("rows_in", F.lit(True))] + [(r, reason == r) for r in _REASONS]])
+    top = infer(sliced, vendor, None, params, by=by).top_countries
+    staged_map = map_table.stage_months(top, months, run_id=run_id)
+    got = load_obs.get
+    per_month = {m: {name: int(got.get(f"{i}|{name}") or 0)
+                     for name in ("rows_in",) + _REASONS} for i, m in enumerate(months)}
+
+    # 2.-3. Flags from the staged map (lineage cut), checked before staging.
+    flags = flag_discrepancies(map_table.read_run(spark, staged_map), vendor, by=by)
     violations = {k: int(v or 0) for k, v in flag_violations(flags).first().asDict().items()}
     if gate and any(violations.values()):
-        raise DataQualityError(month, violations)
-
+        raise DataQualityError(",".join(months), violations)
     flag_obs = Observation(f"flags-{run_id}")
-    flags = flags.observe(flag_obs, F.sum(F.when(F.col("is_discrepant"), 1).otherwise(0))
-                          .alias("discrepant"))
-    staged_flags = flags_table.stage(flags, month, run_id=run_id)
-    map_rows, flag_rows = staged_map.counts.get(month, 0), staged_flags.counts.get(month, 0)
-    metrics = {**load, "map_rows": map_rows, "flag_rows": flag_rows,
-               "discrepant": int(flag_obs.get.get("discrepant") or 0)}
-    flags_table.commit(staged_flags, metrics)
-    map_table.commit(staged_map, metrics)
-    return PublishResult(month, run_id, map_rows, flag_rows, metrics, violations)
+    flags = flags.observe(flag_obs, *[
+        F.sum(F.when(in_m[m] & F.col("is_discrepant"), 1).otherwise(0)).alias(str(i))
+        for i, m in enumerate(months)])
+    staged_flags = flags_table.stage_months(flags, months, run_id=run_id)
+    disc = flag_obs.get
+
+    # 4. Commit both tables; each month's ledger row carries its metrics.
+    results = []
+    for i, m in enumerate(months):
+        per_month[m].update(map_rows=staged_map.counts.get(m, 0),
+                            flag_rows=staged_flags.counts.get(m, 0),
+                            discrepant=int(disc.get(str(i)) or 0))
+        results.append(PublishResult(m, run_id, per_month[m]["map_rows"],
+                                     per_month[m]["flag_rows"], per_month[m], violations))
+    flags_table.commit(staged_flags, month_metrics=per_month)
+    map_table.commit(staged_map, month_metrics=per_month)
+    return results
+
+
+def publish_month(tx: DataFrame, vendor: DataFrame, month: str, **kw) -> PublishResult:
+    """One month: see :func:`publish_months`."""
+    return publish_months(tx, vendor, [month], **kw)[0]

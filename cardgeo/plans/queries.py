@@ -400,7 +400,7 @@ def q_empty_input_pipeline(spark, sf):
 # spark.checkpoint.dir and returns what a reader sees afterwards.
 
 from ..sinks import SnapshotTable, shared_dir  # noqa: E402
-from .publish import publish_month  # noqa: E402
+from .publish import publish_month, publish_months  # noqa: E402
 from ..schemas import FLAGS_SCHEMA  # noqa: E402
 
 MONTH_C = "1998-05"
@@ -546,6 +546,15 @@ def q_publish_month(spark, sf):
     return flags_t.read(spark)
 
 
+@query("publish_months", o.with_(o.BASE, AB_CTES) + SNAP_AB)
+def q_publish_months(spark, sf):
+    """Reprocessing of two months end to end from one scan, one run id."""
+    flags_t, map_t = _table(spark, "publish_flags"), _table(spark, "publish_map")
+    publish_months(_tx(spark, sf), _vendor(spark, sf), [MONTH_A, MONTH_B],
+                   flags_table=flags_t, map_table=map_t, params=MONTHLY)
+    return flags_t.read(spark)
+
+
 DRIFT_SQL = """
 SELECT coalesce(p."BIN", c."BIN") AS "BIN", p.inferred_top_country AS prev_country,
   c.inferred_top_country AS curr_country, p.bin_total AS prev_bin_total,

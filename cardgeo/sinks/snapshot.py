@@ -104,12 +104,18 @@ class SnapshotTable:
         ``months`` are the months this run replaces (a listed month with no
         rows is committed as empty); default: the months present in ``df``.
         """
+        return self.commit(self.stage_months(df, months, run_id=run_id, metrics=metrics,
+                                             files_per_month=files_per_month))
+
+    def stage_months(self, df: DataFrame, months=None, *, run_id: str | None = None,
+                     metrics: dict[str, int] | None = None,
+                     files_per_month: int = 1) -> "StagedRun":
+        """Like :meth:`write_months` but without committing (see :meth:`stage`)."""
         if "snapshot_month" not in df.columns:
             raise ValueError("write_months needs a snapshot_month column")
         if months is not None:
-            for m in months:
-                validate_month(m)
-            df = df.where(F.col("snapshot_month").isin(list(months)))
+            months = [validate_month(m) for m in months]
+            df = df.where(F.col("snapshot_month").isin(months))
         # Hash-partition the (small: one row per BIN and month) output on
         # (month, hash(BIN) mod files_per_month): files = months x
         # files_per_month instead of tasks x months, and no sampling job (a
@@ -117,8 +123,7 @@ class SnapshotTable:
         key = [F.col("snapshot_month")]
         if files_per_month > 1 and "BIN" in df.columns:
             key.append(F.pmod(F.hash("BIN"), F.lit(int(files_per_month))))
-        df = df.repartition(*key)
-        return self._write(df, list(months) if months is not None else None, run_id, metrics)
+        return self._stage(df.repartition(*key), months, run_id, metrics)
 
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
         return self.commit(self._stage(out, months, run_id, metrics))
@@ -161,27 +166,32 @@ class SnapshotTable:
         return StagedRun(self, tuple(months), run_id, counts, schema_json, dict(metrics or {}),
                          out.sparkSession)
 
-    def commit(self, staged: "StagedRun", metrics: dict[str, int] | None = None) -> list[Commit]:
-        """Append the staged run's ledger rows: from now on readers see it."""
+    def commit(self, staged: "StagedRun", metrics: dict[str, int] | None = None,
+               month_metrics: dict[str, dict[str, int]] | None = None) -> list[Commit]:
+        """Append the staged run's ledger rows: from now on readers see it.
+        ``month_metrics`` adds metrics to one month's ledger row."""
         spark = staged.spark
         now = dt.datetime.now(dt.timezone.utc)
-        all_metrics = {**staged.metrics, **(metrics or {})}
+        base = {**staged.metrics, **(metrics or {})}
         commits = [Commit(m, staged.run_id, now, staged.counts.get(m, 0)) for m in staged.months]
         rows = [(c.snapshot_month, c.run_id, c.committed_at, c.row_count, staged.schema_json,
-                 all_metrics) for c in commits]
+                 {**base, **(month_metrics or {}).get(c.snapshot_month, {})}) for c in commits]
         if rows:
             (spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
              .write.mode("append").format("parquet").save(self.ledger_path))
         return commits
 
     def read_run(self, spark: SparkSession, staged: "StagedRun") -> DataFrame:
-        """Rows of one (staged or committed) run, without the partition columns."""
-        schema = _merged_schema([staged.schema_json])
+        """Rows of one (staged or committed) run with ``snapshot_month``."""
+        schema = StructType(list(_merged_schema([staged.schema_json]).fields)
+                            + [StructField("snapshot_month", StringType(), True),
+                               StructField("run_id", StringType(), True)])
         paths = [f"{self.data_path}/snapshot_month={m}/run_id={staged.run_id}"
                  for m in staged.months if staged.counts.get(m, 0) > 0]
         if not paths:
-            return spark.createDataFrame([], schema)
-        return spark.read.format(self.fmt).schema(schema).load(paths)
+            return spark.createDataFrame([], schema).drop("run_id")
+        return (spark.read.format(self.fmt).schema(schema)
+                .option("basePath", self.data_path).load(paths).drop("run_id"))
 
     def _written_counts(self, spark, run_id) -> dict[str, int]:
         """Rows per month of one versioned run, read back from its committed

@@ -113,3 +113,24 @@ def test_publish_month_gates_and_commits(spark):
     assert rows(flags_t.read(spark)) == [("123456", "US", "US", False, 140, "2023-01")]
     ledger = flags_t.ledger(spark).first()
     assert ledger.row_count == 1 and ledger.metrics["discrepant"] == 0
+
+
+def test_publish_months_one_scan_per_month_metrics(spark):
+    from cardgeo.plans import publish_months
+    jan, feb = dt.datetime(2023, 1, 10), dt.datetime(2023, 2, 10)
+    data = ([(f"a{i}", jan, "123456", "US", False) for i in range(4)]
+            + [(f"b{i}", feb, "123456", "CA", False) for i in range(3)]
+            + [("c0", feb, "123456", "CA", True)])
+    tx = spark.createDataFrame(data, TXN_SCHEMA)
+    vendor = spark.createDataFrame([("123456", "US")], "BIN string, country string")
+    flags_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
+    map_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
+    res = publish_months(tx, vendor, ["2023-01", "2023-02", "2023-03"], flags_table=flags_t,
+                         map_table=map_t, params=Params(min_txns=1))
+    assert len({r.run_id for r in res}) == 1
+    assert [(r.month, r.flag_rows, r.metrics["rows_in"], r.metrics["fraud"]) for r in res] == [
+        ("2023-01", 1, 4, 0), ("2023-02", 1, 4, 1), ("2023-03", 0, 0, 0)]
+    assert rows(flags_t.read(spark), "snapshot_month", "inferred_top_country", "is_discrepant") == [
+        ("2023-01", "US", False), ("2023-02", "CA", True)]
+    led = {r.snapshot_month: r for r in flags_t.ledger(spark).collect()}
+    assert led["2023-02"].metrics["discrepant"] == 1 and led["2023-03"].row_count == 0
