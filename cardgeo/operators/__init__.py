@@ -20,7 +20,7 @@ from .compare import (
     vendor_conflicts,
     vendor_dedup,
 )
-from .counts import country_counts, distinct_bins, distinct_support
+from .counts import country_counts, counts_from_partials, distinct_bins, distinct_support
 from .drift import snapshot_drift
 from .quality import (
     count_metrics,
@@ -66,6 +66,7 @@ __all__ = [
     "stage_metrics",
     "support_metrics",
     "country_counts",
+    "counts_from_partials",
     "country_share",
     "cumulative_share",
     "discrepancy_severity",

@@ -25,6 +25,16 @@ def country_counts(clean: DataFrame, by=()) -> DataFrame:
     return counts.select(*by, "BIN", "country", "txn_count", total.alias("bin_total"))
 
 
+def counts_from_partials(partials: DataFrame, by=()) -> DataFrame:
+    """Country counts from pre-aggregated rows ``(by…, BIN, country, n)``
+    (several rows per key allowed: micro-batch partials, staged counts)."""
+    require_columns(partials.columns, {"BIN", "country", "n", *by}, "partial counts")
+    counts = (partials.groupBy(*by, "BIN", "country")
+              .agg(F.sum("n").cast("long").alias("txn_count")))
+    total = F.sum("txn_count").over(Window.partitionBy(*by, "BIN"))
+    return counts.select(*by, "BIN", "country", "txn_count", total.alias("bin_total"))
+
+
 def distinct_support(clean: DataFrame, min_txns: int, by=()) -> DataFrame:
     """Rows vs distinct transaction ids per BIN, and support on distinct ids.
 

@@ -177,11 +177,11 @@ def discrepancy_metrics(flags: DataFrame, vendor: DataFrame) -> DataFrame:
             .unionByName(_metrics(v, [("compare", "vendor_rows", "vendor_rows")])))
 
 
-def reason_counts(tx: DataFrame, month=None) -> DataFrame:
+def reason_counts(tx: DataFrame, month=None, by=()) -> DataFrame:
     """Rows per (reject reason, BIN, country): one scan and one partial/final
     aggregate from which every stage metric can be derived."""
     return (slice_month(tx, month)
-            .groupBy(reject_reason().alias("reason"), "BIN",
+            .groupBy(*by, reject_reason().alias("reason"), "BIN",
                      F.col("billing_address_country").alias("country"))
             .agg(F.count(F.lit(1)).alias("n")))
 

@@ -1,31 +1,41 @@
 """Monthly publication: the inferred country map and the vendor flags.
 
-One scan of the transactions per run. The flow:
-
-1. slice the month(s) (pushed range filter), observe load accounting (rows
-   in, rejects by reason, per month) while the top-country map is staged --
-   a single job, however many months;
-2. read the staged map back from the shared folder (lineage cut: a lost
-   executor later recomputes from these files, never from the raw scan);
-3. derive the flags from it, check them (one small aggregate), and stage
-   them;
+One pass over the transactions per run, however many months. The flow:
+
+1. slice the month(s) (pushed range filter) and aggregate rows per
+   (month, reject reason, BIN, country) -- the only pass over raw data --
+   into a work folder next to the map table. Everything after reads these
+   small files: a lost executor recomputes from them, never from the raw
+   scan, and the load accounting (rows in, rejects by reason) is an exact
+   aggregate of committed files, not an accumulator that a re-run stage
+   could count twice;
+2. counts -> support -> coverage cut; stage the top-country map;
+3. flags from the staged map, checked (one small aggregate), staged;
 4. commit both runs to their ledgers only if the checks pass (``gate``);
    otherwise nothing becomes visible and :class:`DataQualityError` is
-   raised.
+   raised. Row counts of staged runs come from result-stage observations
+   (applied once per partition) on the writes.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bin_length_ok
-from ..operators import flag_discrepancies, reject_reason, slice_month, with_snapshot_month
+from ..operators import (
+    counts_from_partials,
+    filter_supported_bins,
+    flag_discrepancies,
+    reason_counts,
+    select_top_countries,
+    slice_month,
+    with_snapshot_month,
+)
 from ..params import Params, validate_month
 from ..sinks import SnapshotTable, new_run_id
-from .pipeline import infer
 
 _REASONS = ("null_label", "fraud", "null_country", "bad_bin_length", "kept")
 
@@ -87,39 +97,43 @@ def publish_months(
     run_id = run_id or new_run_id()
     by = ("snapshot_month",)
 
-    # 1. One scan; load accounting per month observed while the map is staged.
-    load_obs = Observation(f"load-{run_id}")
-    reason = reject_reason()
+    # 1. The one pass over raw rows: counts per (month, reason, BIN, country).
+    work = f"{map_table.root.rstrip('/')}/_work/run_id={run_id}"
     sliced = with_snapshot_month(slice_month(tx, months, date_col=date_col))
-    in_m = {m: F.col("snapshot_month") == F.lit(m) for m in months}
-    sliced = sliced.observe(load_obs, *[
-        F.sum(F.when(in_m[m] & cond, 1).otherwise(0)).alias(f"{i}|{name}")
-        for i, m in enumerate(months)
-        for name, cond in [("rows_in", F.lit(True))] + [(r, reason == r) for r in _REASONS]])
-    top = infer(sliced, vendor, None, params, by=by).top_countries
+    reason_counts(sliced, by=by).write.mode("overwrite").parquet(work)
+    staged_counts = spark.read.parquet(work)
+    load_rows = (staged_counts.groupBy("snapshot_month")
+                 .agg(F.sum("n").alias("rows_in"),
+                      *[F.sum(F.when(F.col("reason") == r, F.col("n")).otherwise(0)).alias(r)
+                        for r in _REASONS]).collect())
+    per_month = {m: dict.fromkeys(("rows_in",) + _REASONS, 0) for m in months}
+    for r in load_rows:
+        per_month[r["snapshot_month"]].update(
+            {k: int(r[k] or 0) for k in ("rows_in",) + _REASONS})
+
+    # 2. Counts, support, coverage; stage the top-country map.
+    kept = staged_counts.where(F.col("reason") == "kept").drop("reason")
+    counts = counts_from_partials(kept, by=by)
+    top = select_top_countries(filter_supported_bins(counts, params.min_txns),
+                               params.coverage, by=by)
     staged_map = map_table.stage_months(top, months, run_id=run_id)
-    got = load_obs.get
-    per_month = {m: {name: int(got.get(f"{i}|{name}") or 0)
-                     for name in ("rows_in",) + _REASONS} for i, m in enumerate(months)}
 
-    # 2.-3. Flags from the staged map (lineage cut), checked before staging.
+    # 3. Flags from the staged map, checked before staging.
     flags = flag_discrepancies(map_table.read_run(spark, staged_map), vendor, by=by)
     violations = {k: int(v or 0) for k, v in flag_violations(flags).first().asDict().items()}
     if gate and any(violations.values()):
         raise DataQualityError(",".join(months), violations)
-    flag_obs = Observation(f"flags-{run_id}")
-    flags = flags.observe(flag_obs, *[
-        F.sum(F.when(in_m[m] & F.col("is_discrepant"), 1).otherwise(0)).alias(str(i))
-        for i, m in enumerate(months)])
     staged_flags = flags_table.stage_months(flags, months, run_id=run_id)
-    disc = flag_obs.get
+    disc = {r[0]: int(r[1] or 0) for r in (
+        flags_table.read_run(spark, staged_flags).groupBy("snapshot_month")
+        .agg(F.sum(F.when(F.col("is_discrepant"), 1).otherwise(0))).collect())}
 
     # 4. Commit both tables; each month's ledger row carries its metrics.
     results = []
-    for i, m in enumerate(months):
+    for m in months:
         per_month[m].update(map_rows=staged_map.counts.get(m, 0),
                             flag_rows=staged_flags.counts.get(m, 0),
-                            discrepant=int(disc.get(str(i)) or 0))
+                            discrepant=disc.get(m, 0))
         results.append(PublishResult(m, run_id, per_month[m]["map_rows"],
                                      per_month[m]["flag_rows"], per_month[m], violations))
     flags_table.commit(staged_flags, month_metrics=per_month)

@@ -17,10 +17,11 @@ then stop) or continuously.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import counts_from_partials as _sum_partials
 from ..operators import load_filtered, with_snapshot_month
 from ..params import validate_month
 from ..schemas import TXN_SCHEMA
@@ -62,6 +63,4 @@ def counts_from_partials(spark: SparkSession, partials_path: str, month: str) ->
     validate_month(month)
     partials = (spark.read.parquet(partials_path)
                 .where(F.col("snapshot_month").cast("string") == month))
-    counts = partials.groupBy("BIN", "country").agg(F.sum("n").cast("long").alias("txn_count"))
-    total = F.sum("txn_count").over(Window.partitionBy("BIN"))
-    return counts.select("BIN", "country", "txn_count", total.alias("bin_total"))
+    return _sum_partials(partials)
