@@ -56,7 +56,25 @@ def bin_of(key: Column) -> Column:
     return full.substr(F.lit(1), length)
 
 
+def _cached(spark: SparkSession, sf_dir: str, name: str, build):
+    cache = _SCANS.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), name)
+    if key not in cache:
+        cache[key] = build(spark, sf_dir)
+    return cache[key]
+
+
 def tx_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``TXN_SCHEMA``-shaped transactions (``timestamp`` is TIMESTAMP_NTZ)."""
+    return _cached(spark, sf_dir, "tx", _build_tx)
+
+
+def vendor_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor mapping ``(BIN, country)`` derived from the supplier table."""
+    return _cached(spark, sf_dir, "vendor", _build_vendor)
+
+
+def _build_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``TXN_SCHEMA``-shaped transactions (``timestamp`` is TIMESTAMP_NTZ).
 
     BIN and nation codes depend only on the supplier / customer key, so they
@@ -95,7 +113,7 @@ def tx_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vendor_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
     country = (F.when(k % 11 == 0, F.lit(None).cast("string"))
