@@ -97,33 +97,28 @@ class SnapshotTable:
         return self._write(out, [month], run_id, metrics)[0]
 
     def write_months(self, df: DataFrame, months=None, *, run_id: str | None = None,
-                     metrics: dict[str, int] | None = None,
-                     files_per_month: int = 1) -> list[Commit]:
+                     metrics: dict[str, int] | None = None) -> list[Commit]:
         """Publish several months in one job; ``df`` has ``snapshot_month``.
 
         ``months`` are the months this run replaces (a listed month with no
         rows is committed as empty); default: the months present in ``df``.
         """
-        return self.commit(self.stage_months(df, months, run_id=run_id, metrics=metrics,
-                                             files_per_month=files_per_month))
+        return self.commit(self.stage_months(df, months, run_id=run_id, metrics=metrics))
 
     def stage_months(self, df: DataFrame, months=None, *, run_id: str | None = None,
-                     metrics: dict[str, int] | None = None,
-                     files_per_month: int = 1) -> "StagedRun":
+                     metrics: dict[str, int] | None = None) -> "StagedRun":
         """Like :meth:`write_months` but without committing (see :meth:`stage`)."""
         if "snapshot_month" not in df.columns:
             raise ValueError("write_months needs a snapshot_month column")
         if months is not None:
             months = [validate_month(m) for m in months]
             df = df.where(F.col("snapshot_month").isin(months))
-        # Hash-partition the (small: one row per BIN and month) output on
-        # (month, hash(BIN) mod files_per_month): files = months x
-        # files_per_month instead of tasks x months, and no sampling job (a
-        # range partitioner would evaluate the whole upstream plan twice).
-        key = [F.col("snapshot_month")]
-        if files_per_month > 1 and "BIN" in df.columns:
-            key.append(F.pmod(F.hash("BIN"), F.lit(int(files_per_month))))
-        return self._stage(df.repartition(*key), months, run_id, metrics)
+        # Rebalance by month: each task writes about one month (files ~
+        # months, not tasks x months); AQE coalesces small months and splits
+        # an oversized one by the advisory partition size, so no month ends
+        # up whole in one task. No sampling job (a range partitioner would
+        # evaluate the whole upstream plan twice).
+        return self._stage(df.hint("rebalance", "snapshot_month"), months, run_id, metrics)
 
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
         return self.commit(self._stage(out, months, run_id, metrics))
