@@ -102,3 +102,12 @@ def test_distinct_support_counts_ids(spark):
          ("t2", None, "B1", "CA", False)], TXN_SCHEMA)
     r = distinct_support(df, 2).first()
     assert (r.bin_total, r.distinct_txns, r.is_supported_distinct) == (3, 2, True)
+
+
+def test_distinct_support_sketch_option(spark):
+    df = spark.createDataFrame(
+        [(f"t{i % 500}", None, "B1", "US", False) for i in range(2000)], TXN_SCHEMA)
+    exact = distinct_support(df, 100).first()
+    approx = distinct_support(df, 100, rsd=0.02).first()
+    assert exact.distinct_txns == 500
+    assert abs(approx.distinct_txns - 500) <= 25 and approx.bin_total == 2000
