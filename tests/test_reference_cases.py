@@ -1,0 +1,98 @@
+"""Remaining unit cases of the reference's test plan (same inputs, our
+decisions where SURVEY §2.14 says so)."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from cardgeo.operators import (
+    country_counts,
+    dq_snapshot_month,
+    filter_supported_bins,
+    flag_discrepancies,
+    load_filtered,
+    select_top_countries,
+)
+from cardgeo.schemas import (
+    COUNTRY_COUNTS_SCHEMA,
+    FLAGS_SCHEMA,
+    TOP_COUNTRIES_SCHEMA,
+    TXN_SCHEMA,
+    VENDOR_SCHEMA,
+    same_shape,
+)
+from cardgeo.sinks import SnapshotTable
+from conftest import rows
+
+
+def tx(spark, pairs, fraud=False):
+    return spark.createDataFrame(
+        [(f"t{i}", None, b, c, fraud) for i, (b, c) in enumerate(pairs)], TXN_SCHEMA)
+
+
+def test_counts_single_bin_many_countries(spark):
+    out = country_counts(tx(spark, [("B1", "US")] * 3 + [("B1", "CA")] * 2 + [("B1", "MX")]))
+    assert rows(out) == [("B1", "CA", 2, 6), ("B1", "MX", 1, 6), ("B1", "US", 3, 6)]
+
+
+def test_counts_single_transaction_and_single_country(spark):
+    assert rows(country_counts(tx(spark, [("B1", "US")]))) == [("B1", "US", 1, 1)]
+    assert rows(country_counts(tx(spark, [("B2", "DE")] * 4))) == [("B2", "DE", 4, 4)]
+
+
+def test_counts_schema_on_data(spark):
+    assert same_shape(country_counts(tx(spark, [("B1", "US")])).schema, COUNTRY_COUNTS_SCHEMA)
+
+
+def test_no_valid_rows(spark):
+    df = tx(spark, [("123456", "US"), ("654321", "CA")], fraud=True)
+    assert load_filtered(df).count() == 0
+
+
+def counts(spark, data):
+    return spark.createDataFrame(data, COUNTRY_COUNTS_SCHEMA)
+
+
+def test_coverage_several_bins(spark):
+    df = counts(spark, [("B1", "US", 60, 100), ("B1", "CA", 30, 100), ("B1", "MX", 10, 100),
+                        ("B2", "DE", 90, 100), ("B2", "FR", 10, 100),
+                        ("B3", "JP", 100, 100)])
+    assert rows(select_top_countries(df), "BIN", "country") == [
+        ("B1", "CA"), ("B1", "MX"), ("B1", "US"), ("B2", "DE"), ("B2", "FR"), ("B3", "JP")]
+
+
+def test_coverage_empty_and_schema(spark):
+    out = select_top_countries(counts(spark, []))
+    assert out.count() == 0 and same_shape(out.schema, TOP_COUNTRIES_SCHEMA)
+
+
+def test_support_all_above_all_below_empty_and_schema(spark):
+    top = select_top_countries(counts(spark, [("B1", "US", 150, 150), ("B2", "CA", 120, 120)]))
+    assert filter_supported_bins(top, 100).count() == 2
+    assert filter_supported_bins(top, 200).count() == 0
+    assert filter_supported_bins(select_top_countries(counts(spark, [])), 100).count() == 0
+    assert same_shape(filter_supported_bins(top, 100).schema, TOP_COUNTRIES_SCHEMA)
+
+
+def test_empty_vendor(spark):
+    out = flag_discrepancies(counts(spark, [("B1", "US", 5, 5)]),
+                             spark.createDataFrame([], VENDOR_SCHEMA))
+    assert rows(out) == [("B1", "US", None, False, 5)]
+    assert same_shape(out.schema, FLAGS_SCHEMA)
+
+
+def test_table_layout_and_ledger(spark, table_root):
+    t = SnapshotTable(table_root)
+    c = t.write(spark.createDataFrame([("B1", "US", "US", False, 1)], FLAGS_SCHEMA), "2023-01")
+    local = table_root.removeprefix("file:")
+    assert os.path.isdir(f"{local}/data/snapshot_month=2023-01/run_id={c.run_id}")
+    assert os.path.isdir(f"{local}/_ledger")
+    led = t.ledger(spark).first()
+    assert (led.snapshot_month, led.run_id, led.row_count) == ("2023-01", c.run_id, 1)
+
+
+def test_snapshot_month_report(spark):
+    snap = spark.createDataFrame([("B1", "US", "US", False, 1)], FLAGS_SCHEMA)
+    df = (snap.withColumn("snapshot_month", F.lit("2023-01"))
+          .unionByName(snap.withColumn("snapshot_month", F.lit("2023-13"))))
+    assert rows(dq_snapshot_month(df)) == [("2023-01", 1, True), ("2023-13", 1, False)]
