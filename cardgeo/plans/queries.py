@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 
 from .. import operators as ops
 from ..params import Params
+from ..schemas import FLAGS_SCHEMA
+from ..sinks import SnapshotTable, shared_dir
 from ..sources import tx_from_tables, vendor_dup_from_tables, vendor_from_tables
+from ..streaming import counts_from_partials, start_count_stream
 from . import oracle as o
 from .pipeline import infer, report
+from .publish import publish_month, publish_months
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -399,9 +403,6 @@ def q_empty_input_pipeline(spark, sf):
 # Each query publishes runs into a fresh table under the shared
 # spark.checkpoint.dir and returns what a reader sees afterwards.
 
-from ..sinks import SnapshotTable, shared_dir  # noqa: E402
-from .publish import publish_month, publish_months  # noqa: E402
-from ..schemas import FLAGS_SCHEMA  # noqa: E402
 
 MONTH_C = "1998-05"
 RERUN = Params(Decimal("0.95"), 5)
@@ -652,7 +653,6 @@ def q_dq_row_count(spark, sf):
 
 # ------------------------------------------------------------- streaming
 
-from ..streaming import counts_from_partials, start_count_stream  # noqa: E402
 
 
 @query("stream_country_counts", o.with_(o.BASE, AB_CTES) + f"SELECT {COUNT_COLS} FROM a_counts")
