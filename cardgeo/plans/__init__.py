@@ -7,7 +7,8 @@ from .publish import (
     flag_violations,
     publish_month,
     publish_months,
+    publish_months_from_counts,
 )
 
 __all__ = ["DataQualityError", "Inference", "PublishResult", "flag_violations", "infer",
-           "publish_month", "publish_months", "report"]
+           "publish_month", "publish_months", "publish_months_from_counts", "report"]

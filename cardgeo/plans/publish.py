@@ -75,6 +75,13 @@ def flag_violations(flags: DataFrame) -> DataFrame:
     )
 
 
+def _months(months) -> list[str]:
+    months = [validate_month(m) for m in ([months] if isinstance(months, str) else months)]
+    if not months:
+        raise ValueError("no months to publish")
+    return months
+
+
 def publish_months(
     tx: DataFrame,
     vendor: DataFrame,
@@ -90,18 +97,43 @@ def publish_months(
     """Publish ``months`` (a list of ``YYYY-MM``) from ONE scan of ``tx``:
     the windows run per (month, BIN), each table gets one run id covering
     all months, and either every month is committed or none is."""
-    months = [validate_month(m) for m in ([months] if isinstance(months, str) else months)]
-    if not months:
-        raise ValueError("no months to publish")
-    spark = tx.sparkSession
+    months = _months(months)
     run_id = run_id or new_run_id()
-    by = ("snapshot_month",)
-
     # 1. The one pass over raw rows: counts per (month, reason, BIN, country).
     work = f"{map_table.root.rstrip('/')}/_work/run_id={run_id}"
     sliced = with_snapshot_month(slice_month(tx, months, date_col=date_col))
-    reason_counts(sliced, by=by).write.mode("overwrite").parquet(work)
-    staged_counts = spark.read.parquet(work)
+    reason_counts(sliced, by=("snapshot_month",)).write.mode("overwrite").parquet(work)
+    return _publish(tx.sparkSession.read.parquet(work), vendor, months, flags_table=flags_table,
+                    map_table=map_table, params=params, gate=gate, run_id=run_id)
+
+
+def publish_months_from_counts(
+    partials: DataFrame,
+    vendor: DataFrame,
+    months,
+    *,
+    flags_table: SnapshotTable,
+    map_table: SnapshotTable,
+    params: Params = Params(),
+    gate: bool = True,
+    run_id: str | None = None,
+) -> list[PublishResult]:
+    """Publish from committed partial counts ``(snapshot_month, reason, BIN,
+    country, n)`` -- e.g. the incremental stream's table -- without touching
+    the raw transactions (several rows per key are summed)."""
+    months = _months(months)
+    partials = partials.where(F.col("snapshot_month").cast("string").isin(months))
+    return _publish(partials, vendor, months, flags_table=flags_table, map_table=map_table,
+                    params=params, gate=gate, run_id=run_id or new_run_id())
+
+
+def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
+             flags_table: SnapshotTable, map_table: SnapshotTable, params: Params,
+             gate: bool, run_id: str) -> list[PublishResult]:
+    spark = staged_counts.sparkSession
+    by = ("snapshot_month",)
+    staged_counts = staged_counts.withColumn(
+        "snapshot_month", F.col("snapshot_month").cast("string"))
     load_rows = (staged_counts.groupBy("snapshot_month")
                  .agg(F.sum("n").alias("rows_in"),
                       *[F.sum(F.when(F.col("reason") == r, F.col("n")).otherwise(0)).alias(r)

@@ -18,10 +18,10 @@ from ..params import Params
 from ..schemas import FLAGS_SCHEMA
 from ..sinks import SnapshotTable, shared_dir
 from ..sources import tx_from_tables, vendor_dup_from_tables, vendor_from_tables
-from ..streaming import counts_from_partials, start_count_stream
+from ..streaming import counts_from_partials, read_partials, start_count_stream
 from . import oracle as o
 from .pipeline import infer, report
-from .publish import publish_month, publish_months
+from .publish import publish_month, publish_months, publish_months_from_counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -655,15 +655,29 @@ def q_dq_row_count(spark, sf):
 
 
 
-@query("stream_country_counts", o.with_(o.BASE, AB_CTES) + f"SELECT {COUNT_COLS} FROM a_counts")
-def q_stream_country_counts(spark, sf):
-    """All transactions land as several files; an available-now stream
-    folds them into partial counts, one micro-batch per file; month A's
-    counts are read back from the partials."""
+def _stream_all(spark, sf) -> str:
+    """All transactions land as several files; an available-now stream folds
+    them into partial counts, one micro-batch per file. Returns the root."""
     root = shared_dir(spark, "cardgeo", "queries", "stream")
     landing = f"{root}/landing"
     _tx(spark, sf).repartition(4).write.parquet(landing)
     q = start_count_stream(spark, landing, f"{root}/partials", f"{root}/_checkpoint",
                            schema=spark.read.parquet(landing).schema, max_files_per_trigger=1)
     q.awaitTermination()
-    return counts_from_partials(spark, f"{root}/partials", MONTH_A)
+    return root
+
+
+@query("stream_country_counts", o.with_(o.BASE, AB_CTES) + f"SELECT {COUNT_COLS} FROM a_counts")
+def q_stream_country_counts(spark, sf):
+    return counts_from_partials(spark, f"{_stream_all(spark, sf)}/partials", MONTH_A)
+
+
+@query("stream_publish_months", o.with_(o.BASE, AB_CTES) + SNAP_AB)
+def q_stream_publish_months(spark, sf):
+    """Months A and B published from the stream's partial counts."""
+    root = _stream_all(spark, sf)
+    flags_t, map_t = _table(spark, "stream_flags"), _table(spark, "stream_map")
+    publish_months_from_counts(read_partials(spark, f"{root}/partials"), _vendor(spark, sf),
+                               [MONTH_A, MONTH_B], flags_table=flags_t, map_table=map_t,
+                               params=MONTHLY)
+    return flags_t.read(spark)

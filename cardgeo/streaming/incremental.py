@@ -1,9 +1,12 @@
 """Incremental per-month country counts from a landing folder of
 transaction files (Structured Streaming).
 
-Each micro-batch cleans its new rows (the stateless load filter) and writes
-its partial ``(snapshot_month, BIN, country) -> n`` counts, partitioned by
-month and batch id, through ``foreachBatch``. A retried batch overwrites
+Each micro-batch writes the partial counts of its new rows,
+``(snapshot_month, reason, BIN, country) -> n`` with ``reason`` the load
+filter's verdict (``kept`` or why the row is dropped), partitioned by month
+and batch id, through ``foreachBatch`` -- the same layout publication
+stages from a raw scan, so ``publish_months_from_counts`` publishes straight
+from this table. A retried batch overwrites
 exactly its own partitions (dynamic partition overwrite keyed by the batch
 id), so together with the stream checkpoint the partial table is
 exactly-once; no state store is kept, so late files simply add to their
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import counts_from_partials as _sum_partials
-from ..operators import load_filtered, with_snapshot_month
+from ..operators import reason_counts, with_snapshot_month
 from ..params import validate_month
 from ..schemas import TXN_SCHEMA
 
@@ -41,26 +44,31 @@ def start_count_stream(
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    clean = with_snapshot_month(load_filtered(reader.load(source_path)))
+    rows = with_snapshot_month(reader.load(source_path))
 
     def write_partials(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("snapshot_month", "BIN",
-                       F.col("billing_address_country").alias("country"))
-         .agg(F.count(F.lit(1)).alias("n"))
+        (reason_counts(batch, by=("snapshot_month",))
          .withColumn("batch_id", F.lit(int(batch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("snapshot_month", "batch_id").parquet(partials_path))
 
-    writer = (clean.writeStream.foreachBatch(write_partials)
+    writer = (rows.writeStream.foreachBatch(write_partials)
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
+def read_partials(spark: SparkSession, partials_path: str) -> DataFrame:
+    """The partial-count table ``(snapshot_month, reason, BIN, country, n,
+    batch_id)``; filters on ``snapshot_month`` prune partitions."""
+    return (spark.read.parquet(partials_path)
+            .withColumn("snapshot_month", F.col("snapshot_month").cast("string")))
+
+
 def counts_from_partials(spark: SparkSession, partials_path: str, month: str) -> DataFrame:
     """``(BIN, country, txn_count, bin_total)`` of ``month`` from the
-    partial counts (partition-pruned to that month)."""
+    partial counts (partition-pruned to that month, kept rows only)."""
     validate_month(month)
-    partials = (spark.read.parquet(partials_path)
-                .where(F.col("snapshot_month").cast("string") == month))
+    partials = read_partials(spark, partials_path).where(
+        (F.col("snapshot_month") == month) & (F.col("reason") == "kept"))
     return _sum_partials(partials)

@@ -27,3 +27,37 @@ def test_incremental_counts_exactly_once(spark):
     assert rows(counts_from_partials(spark, partials, "2023-01")) == [
         ("123456", "CA", 1, 3), ("123456", "US", 2, 3)]
     assert rows(counts_from_partials(spark, partials, "2023-02")) == [("123456", "US", 1, 1)]
+
+
+def test_publish_from_stream_equals_publish_from_scan(spark):
+    from cardgeo import Params
+    from cardgeo.plans import publish_months, publish_months_from_counts
+    from cardgeo.sinks import SnapshotTable
+    from cardgeo.streaming import read_partials
+
+    root = shared_dir(spark, "cardgeo", "tests", "stream")
+    landing = f"{root}/landing"
+    jan = dt.datetime(2023, 1, 5)
+    data = ([(f"a{i}", jan, "123456", "US", False) for i in range(5)]
+            + [(f"b{i}", jan, "123456", "CA", i == 0) for i in range(3)]
+            + [("c0", jan, "12345", "US", False), ("c1", jan, "654321", None, False)])
+    land(spark, landing, data[:4])
+    land(spark, landing, data[4:])
+    start_count_stream(spark, landing, f"{root}/partials", f"{root}/_ckpt",
+                       max_files_per_trigger=1).awaitTermination()
+    vendor = spark.createDataFrame([("123456", "CA")], "BIN string, country string")
+    kw = dict(params=Params(min_txns=1))
+
+    def tables():
+        return dict(flags_table=SnapshotTable(shared_dir(spark, "cardgeo", "tests")),
+                    map_table=SnapshotTable(shared_dir(spark, "cardgeo", "tests")))
+
+    a, b = tables(), tables()
+    ra = publish_months(spark.read.parquet(landing), vendor, ["2023-01"], **a, **kw)[0]
+    rb = publish_months_from_counts(read_partials(spark, f"{root}/partials"), vendor,
+                                    ["2023-01"], **b, **kw)[0]
+    assert rows(a["flags_table"].read(spark)) == rows(b["flags_table"].read(spark)) == [
+        ("123456", "US", "CA", True, 7, "2023-01")]
+    assert ra.metrics == rb.metrics
+    assert (rb.metrics["rows_in"], rb.metrics["fraud"], rb.metrics["bad_bin_length"],
+            rb.metrics["null_country"]) == (10, 1, 1, 1)
