@@ -96,3 +96,28 @@ def test_snapshot_month_report(spark):
     df = (snap.withColumn("snapshot_month", F.lit("2023-01"))
           .unionByName(snap.withColumn("snapshot_month", F.lit("2023-13"))))
     assert rows(dq_snapshot_month(df)) == [("2023-01", 1, True), ("2023-13", 1, False)]
+
+
+def test_job_cli(spark, capsys):
+    import datetime as dt
+
+    import pytest
+
+    from cardgeo.job import main, month_range
+    from cardgeo.sinks import shared_dir
+
+    assert month_range("2023-11:2024-02") == ["2023-11", "2023-12", "2024-01", "2024-02"]
+    with pytest.raises(ValueError):
+        month_range("2023-13:2024-01")
+    root = shared_dir(spark, "cardgeo", "tests", "job")
+    jan = dt.datetime(2023, 1, 3)
+    spark.createDataFrame([(f"t{i}", jan, "123456", "US", False) for i in range(3)],
+                          TXN_SCHEMA).write.parquet(f"{root}/tx")
+    spark.createDataFrame([("123456", "CA")], VENDOR_SCHEMA).write.parquet(f"{root}/vendor")
+    res = main(["--months", "2023-01:2023-02", "--transactions", f"{root}/tx",
+                "--vendor", f"{root}/vendor", "--flags-table", f"{root}/flags",
+                "--map-table", f"{root}/map", "--min-txns", "1"], spark=spark)
+    assert [(r.month, r.flag_rows) for r in res] == [("2023-01", 1), ("2023-02", 0)]
+    assert '"month": "2023-01"' in capsys.readouterr().out
+    assert rows(SnapshotTable(f"{root}/flags").read(spark)) == [
+        ("123456", "US", "CA", True, 3, "2023-01")]
