@@ -30,6 +30,7 @@ HEADLINE = [
     "stage_metrics",
     "snapshot_read_all",
     "snapshot_drift",
+    "publish_months",
 ]
 
 
