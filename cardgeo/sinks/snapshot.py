@@ -116,8 +116,8 @@ class SnapshotTable:
         # Rebalance by month: each task writes about one month (files ~
         # months, not tasks x months); AQE coalesces small months and splits
         # an oversized one by the advisory partition size, so no month ends
-        # up whole in one task. No sampling job (a range partitioner would
-        # evaluate the whole upstream plan twice).
+        # up whole in one task. No sampling job either (a range partitioner
+        # re-runs its input stage once to sample the bounds).
         return self._stage(df.hint("rebalance", "snapshot_month"), months, run_id, metrics)
 
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
