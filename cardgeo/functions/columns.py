@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType
 
-from ..params import BIN_MAX_LEN, BIN_MIN_LEN, as_decimal, month_bounds
+from ..params import BIN_MAX_LEN, BIN_MIN_LEN, as_decimal, month_intervals
 
 # Strict formats asked for by the spec (digits-only BIN of
 # 6 to 8 characters, upper-case two-letter country code).
@@ -49,29 +49,44 @@ def strict_country_ok(col, allow_null: bool = False) -> Column:
     return (ok | _c(col).isNull()) if allow_null else ok
 
 
-def in_month(ts_col, month: str, ts_type: DataType = TimestampNTZType()) -> Column:
-    """Half-open month range on a timestamp column.
+def _any_interval(months, one) -> Column:
+    """OR over the maximal contiguous month ranges (a 7-year backfill is one
+    range: two comparisons per row, not two per month)."""
+    ranges = month_intervals([months] if isinstance(months, str) else months)
+    if not ranges:
+        raise ValueError("empty month list")
+    cond = one(*ranges[0])
+    for lo, hi in ranges[1:]:
+        cond = cond | one(lo, hi)
+    return cond
+
+
+def in_month(ts_col, months, ts_type: DataType = TimestampNTZType()) -> Column:
+    """Half-open range(s) of one month or a list of months on a timestamp
+    column.
 
     The bounds are literals of the column's own type, so the predicate is a
     plain comparison that Parquet can push down and skip row groups with
     (never ``date_format(ts) = month``, which reads every row).
     """
-    lo, hi = month_bounds(month)
     c = _c(ts_col)
-    return (c >= F.lit(lo).cast(ts_type)) & (c < F.lit(hi).cast(ts_type))
+    return _any_interval(
+        months, lambda lo, hi: (c >= F.lit(lo).cast(ts_type)) & (c < F.lit(hi).cast(ts_type)))
 
 
-def in_month_dates(date_col, month: str, col_type: DataType) -> Column:
-    """The same half-open month range on a date-like *partition* column
+def in_month_dates(date_col, months, col_type: DataType) -> Column:
+    """The same half-open range(s) on a date-like *partition* column
     (``date``, ISO ``yyyy-MM-dd`` string, or timestamp), so the scan prunes
     whole partitions (``PartitionFilters``) before reading any file."""
-    lo, hi = month_bounds(month)
     c = _c(date_col)
-    if isinstance(col_type, StringType):
-        return (c >= F.lit(lo[:10])) & (c < F.lit(hi[:10]))
-    if isinstance(col_type, DateType):
-        return (c >= F.lit(lo[:10]).cast("date")) & (c < F.lit(hi[:10]).cast("date"))
-    return (c >= F.lit(lo).cast(col_type)) & (c < F.lit(hi).cast(col_type))
+
+    def one(lo, hi):
+        if isinstance(col_type, StringType):
+            return (c >= F.lit(lo[:10])) & (c < F.lit(hi[:10]))
+        if isinstance(col_type, DateType):
+            return (c >= F.lit(lo[:10]).cast("date")) & (c < F.lit(hi[:10]).cast("date"))
+        return (c >= F.lit(lo).cast(col_type)) & (c < F.lit(hi).cast(col_type))
+    return _any_interval(months, one)
 
 
 def month_of(ts_col) -> Column:

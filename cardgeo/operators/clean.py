@@ -36,18 +36,9 @@ def slice_month(tx: DataFrame, month, ts_col: str = "timestamp",
     months = [month] if isinstance(month, str) else list(month)
     if not months:
         raise ValueError("empty month list")
-
-    def any_month(pred):
-        cond = pred(months[0])
-        for m in months[1:]:
-            cond = cond | pred(m)
-        return cond
-
-    ts_type = tx.schema[ts_col].dataType
-    out = tx.where(any_month(lambda m: in_month(ts_col, m, ts_type)))
+    out = tx.where(in_month(ts_col, months, tx.schema[ts_col].dataType))
     if date_col:
-        d_type = tx.schema[date_col].dataType
-        out = out.where(any_month(lambda m: in_month_dates(date_col, m, d_type)))
+        out = out.where(in_month_dates(date_col, months, tx.schema[date_col].dataType))
     return out
 
 

@@ -61,3 +61,15 @@ class Params:
             raise ValueError(f"min_txns must be >= 0, got {self.min_txns}")
         object.__setattr__(self, "coverage", cov)
         object.__setattr__(self, "min_txns", int(self.min_txns))
+
+
+def month_intervals(months) -> list[tuple[str, str]]:
+    """Months merged into maximal contiguous half-open ranges
+    ``[first instant, end)``: 2024-01, 2024-02, 2024-04 -> two ranges."""
+    out: list[list[str]] = []
+    for lo, hi in sorted(month_bounds(m) for m in set(months)):
+        if out and out[-1][1] == lo:
+            out[-1][1] = hi
+        else:
+            out.append([lo, hi])
+    return [(lo, hi) for lo, hi in out]
