@@ -98,3 +98,26 @@ def test_write_months_one_job(spark, table_root):
         "2023-01": 1, "2023-02": 1, "2023-03": 0}
     assert len({c.run_id for c in commits}) == 1
     assert t.read(spark).count() == 2
+
+
+def test_unversioned_write_months_and_limits(spark, table_root):
+    t = SnapshotTable(table_root, versioned=False)
+    df = flags(spark, ["B1", "B2"]).withColumn(
+        "snapshot_month", F.when(F.col("BIN") == "B1", "2023-01").otherwise("2023-02"))
+    with pytest.raises(ValueError):
+        t.write_months(df)  # an unversioned run must name the months it replaces
+    t.write_months(df, ["2023-01", "2023-02"])
+    t.write_months(df.where("BIN = 'B2'"), ["2023-01", "2023-02"])  # 2023-01 now empty
+    assert bins_of(t.read(spark), "2023-01") == [] and bins_of(t.read(spark), "2023-02") == ["B2"]
+    with pytest.raises(ValueError):
+        t.read(spark, as_of_run="x")
+    with pytest.raises(ValueError):
+        t.stage(flags(spark, ["B1"]), "2023-01")
+
+
+def test_read_subset_of_months_and_metrics_in_ledger(spark, table_root):
+    t = SnapshotTable(table_root)
+    for m, b in [("2023-01", "B1"), ("2023-02", "B2"), ("2023-03", "B3")]:
+        t.write(flags(spark, [b]), m, metrics={"rows_in": 10})
+    assert rows(t.read(spark, ["2023-03", "2023-01"]), "BIN") == [("B1",), ("B3",)]
+    assert {r.metrics["rows_in"] for r in t.ledger(spark).collect()} == {10}
