@@ -8,6 +8,8 @@ from .columns import (
     in_month,
     in_month_dates,
     is_discrepant,
+    month_key,
+    month_key_text,
     month_of,
     not_fraud,
     share,
@@ -24,6 +26,8 @@ __all__ = [
     "in_month",
     "in_month_dates",
     "is_discrepant",
+    "month_key",
+    "month_key_text",
     "month_of",
     "not_fraud",
     "share",

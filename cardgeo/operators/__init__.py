@@ -20,7 +20,14 @@ from .compare import (
     vendor_conflicts,
     vendor_dedup,
 )
-from .counts import country_counts, counts_from_partials, distinct_bins, distinct_support
+from .counts import (
+    country_counts,
+    counts_from_partials,
+    distinct_bins,
+    distinct_support,
+    group_keys,
+    months_as_text,
+)
 from .drift import snapshot_drift
 from .quality import (
     count_metrics,
@@ -73,6 +80,8 @@ __all__ = [
     "discrepant_bins",
     "distinct_bins",
     "distinct_support",
+    "group_keys",
+    "months_as_text",
     "filter_bin_length",
     "filter_fraud",
     "filter_null_country",

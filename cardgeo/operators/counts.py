@@ -5,9 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import month_key, month_key_text
 from ..schemas import require_columns
 
 
+def group_keys(df: DataFrame, by, ts_col: str = "timestamp"):
+    """Grouping expressions for ``by``. ``snapshot_month`` absent from the
+    frame is derived from ``ts_col`` as the integer ``yyyymm`` key (cheap
+    per raw row); :func:`months_as_text` renders it after aggregation."""
+    out = []
+    for c in by:
+        if c == "snapshot_month" and c not in df.columns:
+            require_columns(df.columns, {ts_col}, "transactions")
+            out.append(month_key(ts_col).alias(c))
+        else:
+            require_columns(df.columns, {c}, "frame")
+            out.append(F.col(c))
+    return out
+
+
+def months_as_text(df: DataFrame) -> DataFrame:
+    """Integer ``snapshot_month`` keys -> ``YYYY-MM`` (no-op for text)."""
+    if "snapshot_month" in df.columns and df.schema["snapshot_month"].dataType.typeName() in (
+            "integer", "long"):
+        return df.withColumn("snapshot_month", month_key_text("snapshot_month"))
+    return df
+
+
 def country_counts(clean: DataFrame, by=()) -> DataFrame:
     """``(BIN, country, txn_count, bin_total)`` from clean transactions.
 
@@ -17,10 +41,11 @@ def country_counts(clean: DataFrame, by=()) -> DataFrame:
     partitioned by BIN, so downstream windows and the vendor join on BIN
     reuse that partitioning.
     """
-    require_columns(clean.columns, {"BIN", "billing_address_country", *by}, "transactions")
-    counts = (clean
-              .groupBy(*by, "BIN", F.col("billing_address_country").alias("country"))
-              .agg(F.count(F.lit(1)).alias("txn_count")))
+    require_columns(clean.columns, {"BIN", "billing_address_country"}, "transactions")
+    counts = months_as_text(
+        clean.groupBy(*group_keys(clean, by), "BIN",
+                      F.col("billing_address_country").alias("country"))
+        .agg(F.count(F.lit(1)).alias("txn_count")))
     total = F.sum("txn_count").over(Window.partitionBy(*by, "BIN"))
     return counts.select(*by, "BIN", "country", "txn_count", total.alias("bin_total"))
 
@@ -45,12 +70,12 @@ def distinct_support(clean: DataFrame, min_txns: int, by=(), *,
     ``rsd`` (e.g. 0.01) opts into Spark's HyperLogLog++ sketch aggregate
     instead: a fixed-size sketch per BIN per task is all that is shuffled.
     """
-    require_columns(clean.columns, {"BIN", "transaction_id", *by}, "transactions")
+    require_columns(clean.columns, {"BIN", "transaction_id"}, "transactions")
     distinct = (F.count_distinct("transaction_id") if rsd is None
                 else F.approx_count_distinct("transaction_id", rsd))
-    return (clean.groupBy(*by, "BIN")
-            .agg(F.count(F.lit(1)).alias("bin_total"),
-                 distinct.alias("distinct_txns"))
+    return (months_as_text(clean.groupBy(*group_keys(clean, by), "BIN")
+                           .agg(F.count(F.lit(1)).alias("bin_total"),
+                                distinct.alias("distinct_txns")))
             .withColumn("is_supported_distinct", F.col("distinct_txns") >= F.lit(int(min_txns))))
 
 

@@ -15,6 +15,7 @@ from ..functions import bin_length_ok, share, strict_country_ok, within_coverage
 from ..params import DEFAULT_COVERAGE, DEFAULT_MIN_TXNS
 from ..schemas import require_columns
 from .clean import reject_reason, slice_month
+from .counts import group_keys, months_as_text
 from .coverage import rank_window, running_count
 
 _MONTH_PATTERN = "^[0-9]{4}-(0[1-9]|1[0-2])$"
@@ -180,10 +181,11 @@ def discrepancy_metrics(flags: DataFrame, vendor: DataFrame) -> DataFrame:
 def reason_counts(tx: DataFrame, month=None, by=()) -> DataFrame:
     """Rows per (reject reason, BIN, country): one scan and one partial/final
     aggregate from which every stage metric can be derived."""
-    return (slice_month(tx, month)
-            .groupBy(*by, reject_reason().alias("reason"), "BIN",
-                     F.col("billing_address_country").alias("country"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    sliced = slice_month(tx, month)
+    return months_as_text(
+        sliced.groupBy(*group_keys(sliced, by), reject_reason().alias("reason"), "BIN",
+                       F.col("billing_address_country").alias("country"))
+        .agg(F.count(F.lit(1)).alias("n")))
 
 
 def stage_metrics(tx: DataFrame, vendor: DataFrame, month=None, coverage=DEFAULT_COVERAGE,

@@ -20,7 +20,6 @@ from ..operators import (
     flag_discrepancies,
     load_filtered,
     select_top_countries,
-    with_snapshot_month,
 )
 from ..params import Params
 
@@ -47,9 +46,7 @@ def infer(
     """All stages for one month (``None`` = all history) or, with
     ``by=("snapshot_month",)``, for many months in a single pass (``month``
     may then list the months; ``snapshot_month`` is derived from the
-    timestamp when the frame lacks it)."""
-    if "snapshot_month" in by and "snapshot_month" not in tx.columns:
-        tx = with_snapshot_month(tx)
+    timestamp at aggregation time when the frame lacks it)."""
     clean = load_filtered(tx, month, strict=strict, date_col=date_col)
     counts = country_counts(clean, by=by)
     # Support before the coverage window: bin_total is constant per BIN,

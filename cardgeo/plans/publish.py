@@ -32,7 +32,6 @@ from ..operators import (
     reason_counts,
     select_top_countries,
     slice_month,
-    with_snapshot_month,
 )
 from ..params import Params, validate_month
 from ..sinks import SnapshotTable, new_run_id
@@ -101,7 +100,7 @@ def publish_months(
     run_id = run_id or new_run_id()
     # 1. The one pass over raw rows: counts per (month, reason, BIN, country).
     work = f"{map_table.root.rstrip('/')}/_work/run_id={run_id}"
-    sliced = with_snapshot_month(slice_month(tx, months, date_col=date_col))
+    sliced = slice_month(tx, months, date_col=date_col)
     reason_counts(sliced, by=("snapshot_month",)).write.mode("overwrite").parquet(work)
     return _publish(tx.sparkSession.read.parquet(work), vendor, months, flags_table=flags_table,
                     map_table=map_table, params=params, gate=gate, run_id=run_id)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import counts_from_partials as _sum_partials
-from ..operators import reason_counts, with_snapshot_month
+from ..operators import reason_counts
 from ..params import validate_month
 from ..schemas import TXN_SCHEMA
 
@@ -44,7 +44,7 @@ def start_count_stream(
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = with_snapshot_month(reader.load(source_path))
+    rows = reader.load(source_path)
 
     def write_partials(batch: DataFrame, batch_id: int) -> None:
         (reason_counts(batch, by=("snapshot_month",))
