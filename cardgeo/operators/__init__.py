@@ -5,7 +5,10 @@ from .clean import (
     filter_fraud,
     filter_null_country,
     load_filtered,
+    REASONS,
+    reason_text,
     reject_reason,
+    reject_reason_code,
     reject_reasons,
     slice_month,
     strict_bin_rejects,
@@ -89,7 +92,10 @@ __all__ = [
     "flag_discrepancies",
     "load_filtered",
     "rank_window",
+    "REASONS",
+    "reason_text",
     "reject_reason",
+    "reject_reason_code",
     "reject_reasons",
     "select_top_countries",
     "slice_month",

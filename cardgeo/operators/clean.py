@@ -81,26 +81,44 @@ def with_snapshot_month(tx: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     return tx.withColumn("snapshot_month", month_of(ts_col))
 
 
-def reject_reason(strict: bool = False):
-    """First-match reason a row is dropped by :func:`load_filtered`."""
-    r = (F.when(F.col("fraud_label").isNull(), "null_label")
-         .when(F.col("fraud_label"), "fraud")
-         .when(F.col("billing_address_country").isNull(), "null_country")
-         .when(~bin_length_ok(), "bad_bin_length"))
+# Reject reasons in first-match order; "kept" means the row passes.
+REASONS = ("null_label", "fraud", "null_country", "bad_bin_length",
+           "bad_bin_format", "bad_country_format", "kept")
+
+
+def reject_reason_code(strict: bool = False):
+    """First-match reason a row is dropped by :func:`load_filtered`, as an
+    index into ``REASONS`` (an integer is a cheaper per-row grouping key
+    than text; :func:`reason_text` names it after aggregation)."""
+    code = {r: i for i, r in enumerate(REASONS)}
+    r = (F.when(F.col("fraud_label").isNull(), code["null_label"])
+         .when(F.col("fraud_label"), code["fraud"])
+         .when(F.col("billing_address_country").isNull(), code["null_country"])
+         .when(~bin_length_ok(), code["bad_bin_length"]))
     if strict:
-        r = (r.when(~strict_bin_ok(), "bad_bin_format")
-             .when(~strict_country_ok("billing_address_country"), "bad_country_format"))
-    return r.otherwise("kept")
+        r = (r.when(~strict_bin_ok(), code["bad_bin_format"])
+             .when(~strict_country_ok("billing_address_country"), code["bad_country_format"]))
+    return r.otherwise(code["kept"])
+
+
+def reason_text(code_col):
+    return F.element_at(F.array(*[F.lit(r) for r in REASONS]), code_col + F.lit(1))
+
+
+def reject_reason(strict: bool = False):
+    """First-match reason a row is dropped by :func:`load_filtered` (text)."""
+    return reason_text(reject_reason_code(strict))
 
 
 def reject_reasons(
-    tx: DataFrame, month: str | None = None, *, strict: bool = False, by=()
+    tx: DataFrame, month=None, *, strict: bool = False, by=()
 ) -> DataFrame:
     """Rows per reason (``kept`` included) in one partial/final aggregate."""
     require_columns(tx.columns, _TXN_COLS, "transactions")
     return (slice_month(tx, month)
-            .groupBy(*by, reject_reason(strict).alias("reason"))
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+            .groupBy(*by, reject_reason_code(strict).alias("_code"))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(*by, reason_text(F.col("_code")).alias("reason"), "n_rows"))
 
 
 def strict_bin_rejects(tx: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import bin_length_ok, share, strict_country_ok, within_coverage
 from ..params import DEFAULT_COVERAGE, DEFAULT_MIN_TXNS
 from ..schemas import require_columns
-from .clean import reject_reason, slice_month
+from .clean import reason_text, reject_reason, reject_reason_code, slice_month
 from .counts import group_keys, months_as_text
 from .coverage import rank_window, running_count
 
@@ -182,10 +182,12 @@ def reason_counts(tx: DataFrame, month=None, by=()) -> DataFrame:
     """Rows per (reject reason, BIN, country): one scan and one partial/final
     aggregate from which every stage metric can be derived."""
     sliced = slice_month(tx, month)
-    return months_as_text(
-        sliced.groupBy(*group_keys(sliced, by), reject_reason().alias("reason"), "BIN",
-                       F.col("billing_address_country").alias("country"))
-        .agg(F.count(F.lit(1)).alias("n")))
+    keys = group_keys(sliced, by)
+    agg = (sliced.groupBy(*keys, reject_reason_code().alias("_code"), "BIN",
+                          F.col("billing_address_country").alias("country"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    return months_as_text(agg.select(*[k for k in by], reason_text(F.col("_code")).alias("reason"),
+                                     "BIN", "country", "n"))
 
 
 def stage_metrics(tx: DataFrame, vendor: DataFrame, month=None, coverage=DEFAULT_COVERAGE,
