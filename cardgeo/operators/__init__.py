@@ -31,7 +31,7 @@ from .counts import (
     group_keys,
     months_as_text,
 )
-from .drift import snapshot_drift
+from .drift import drift_summary, next_month, snapshot_drift
 from .quality import (
     count_metrics,
     discrepancy_metrics,
@@ -73,6 +73,8 @@ __all__ = [
     "load_metrics",
     "reason_counts",
     "snapshot_drift",
+    "drift_summary",
+    "next_month",
     "stage_metrics",
     "support_metrics",
     "country_counts",

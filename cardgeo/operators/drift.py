@@ -31,3 +31,37 @@ def snapshot_drift(prev: DataFrame, curr: DataFrame) -> DataFrame:
     return j.select("BIN", "prev_country", "curr_country", "prev_bin_total", "curr_bin_total",
                     (F.col("curr_bin_total") - F.col("prev_bin_total")).alias("volume_change"),
                     change.alias("change"))
+
+
+def next_month(month_col):
+    """``YYYY-MM`` -> the following ``YYYY-MM`` (on small, aggregated data)."""
+    first = F.to_date(F.concat(F.col(month_col) if isinstance(month_col, str) else month_col,
+                               F.lit("-01")))
+    return F.date_format(F.add_months(first, 1), "yyyy-MM")
+
+
+def drift_summary(flags: DataFrame) -> DataFrame:
+    """Per month of a multi-month flags frame, BINs ``added`` / ``removed`` /
+    ``country_changed`` / ``same`` against the previous calendar month, for
+    months whose previous month is in the frame.
+
+    One full outer join on (month, BIN) of the flags with the same flags
+    shifted one month forward -- no per-month loop, no driver round trip.
+    """
+    require_columns(flags.columns, _COLS | {"snapshot_month"}, "flags")
+    cur = flags.select("snapshot_month", "BIN", F.col("inferred_top_country").alias("curr"),
+                       F.lit(True).alias("_in_curr"))
+    prev = flags.select(next_month("snapshot_month").alias("snapshot_month"), "BIN",
+                        F.col("inferred_top_country").alias("prev"), F.lit(True).alias("_in_prev"))
+    months = flags.select("snapshot_month").distinct()
+    has_prev = months.join(
+        months.select(next_month("snapshot_month").alias("snapshot_month")), "snapshot_month",
+        "left_semi")
+    j = cur.join(prev, ["snapshot_month", "BIN"], "full_outer").join(
+        has_prev, "snapshot_month", "left_semi")
+    change = (F.when(F.col("_in_prev").isNull(), "added")
+              .when(F.col("_in_curr").isNull(), "removed")
+              .when(F.col("prev").eqNullSafe(F.col("curr")), "same")
+              .otherwise("country_changed"))
+    return j.groupBy("snapshot_month", change.alias("change")).agg(
+        F.count(F.lit(1)).alias("n_bins"))

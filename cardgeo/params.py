@@ -73,3 +73,9 @@ def month_intervals(months) -> list[tuple[str, str]]:
         else:
             out.append([lo, hi])
     return [(lo, hi) for lo, hi in out]
+
+
+def prev_month(month: str) -> str:
+    y, m = map(int, validate_month(month).split("-"))
+    y, m = (y - 1, 12) if m == 1 else (y, m - 1)
+    return f"{y:04d}-{m:02d}"

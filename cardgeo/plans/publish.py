@@ -11,6 +11,8 @@ One pass over the transactions per run, however many months. The flow:
    could count twice;
 2. counts -> support -> coverage cut; stage the top-country map;
 3. flags from the staged map, checked (one small aggregate), staged;
+   drift counts against the previous month (from this run or the table)
+   go into each month's ledger metrics;
 4. commit both runs to their ledgers only if the checks pass (``gate``);
    otherwise nothing becomes visible and :class:`DataQualityError` is
    raised. Row counts of staged runs come from result-stage observations
@@ -27,13 +29,14 @@ from pyspark.sql import functions as F
 from ..functions import bin_length_ok
 from ..operators import (
     counts_from_partials,
+    drift_summary,
     filter_supported_bins,
     flag_discrepancies,
     reason_counts,
     select_top_countries,
     slice_month,
 )
-from ..params import Params, validate_month
+from ..params import Params, prev_month, validate_month
 from ..sinks import SnapshotTable, new_run_id
 
 _REASONS = ("null_label", "fraud", "null_country", "bad_bin_length", "kept")
@@ -155,16 +158,28 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
     if gate and any(violations.values()):
         raise DataQualityError(",".join(months), violations)
     staged_flags = flags_table.stage_months(flags, months, run_id=run_id)
+    staged = flags_table.read_run(spark, staged_flags)
     disc = {r[0]: int(r[1] or 0) for r in (
-        flags_table.read_run(spark, staged_flags).groupBy("snapshot_month")
+        staged.groupBy("snapshot_month")
         .agg(F.sum(F.when(F.col("is_discrepant"), 1).otherwise(0))).collect())}
 
+    # Drift against the previous month: from this run, else the table.
+    earlier = sorted({prev_month(m) for m in months} - set(months))
+    cols = ["snapshot_month", "BIN", "inferred_top_country", "bin_total"]
+    both = staged.select(*cols)
+    prior = flags_table.read(spark, earlier) if earlier else None
+    if prior is not None and set(cols) <= set(prior.columns):  # table may be new
+        both = both.unionByName(prior.select(*cols))
+    drift = {}
+    for r in drift_summary(both).collect():
+        drift.setdefault(r["snapshot_month"], {})[f"drift_{r['change']}"] = int(r["n_bins"])
+
     # 4. Commit both tables; each month's ledger row carries its metrics.
     results = []
     for m in months:
         per_month[m].update(map_rows=staged_map.counts.get(m, 0),
                             flag_rows=staged_flags.counts.get(m, 0),
-                            discrepant=disc.get(m, 0))
+                            discrepant=disc.get(m, 0), **drift.get(m, {}))
         results.append(PublishResult(m, run_id, per_month[m]["map_rows"],
                                      per_month[m]["flag_rows"], per_month[m], violations))
     flags_table.commit(staged_flags, month_metrics=per_month)

@@ -573,6 +573,16 @@ def q_snapshot_drift(spark, sf):
     return ops.snapshot_drift(t.read_month(spark, MONTH_A), t.read_month(spark, MONTH_B))
 
 
+@query("drift_summary", o.with_(o.BASE, AB_CTES) + f"""
+SELECT '{MONTH_B}' AS snapshot_month, change, count(*) AS n_bins
+FROM ({DRIFT_SQL}) d GROUP BY change""")
+def q_drift_summary(spark, sf):
+    """Per-month drift counts of a two-month run (one pass, one join)."""
+    flags = infer(_tx(spark, sf), _vendor(spark, sf), [MONTH_A, MONTH_B], MONTHLY,
+                  by=("snapshot_month",)).flags
+    return ops.drift_summary(flags)
+
+
 # ------------------------------------------------- checks on a snapshot
 #
 # The checked table: months A and B published by the reference's unguarded

@@ -134,3 +134,31 @@ def test_publish_months_one_scan_per_month_metrics(spark):
         ("2023-01", "US", False), ("2023-02", "CA", True)]
     led = {r.snapshot_month: r for r in flags_t.ledger(spark).collect()}
     assert led["2023-02"].metrics["discrepant"] == 1 and led["2023-03"].row_count == 0
+
+
+def test_drift_summary_and_publish_drift_metrics(spark):
+    from cardgeo.operators import drift_summary
+    from cardgeo.plans import publish_month
+
+    fl = spark.createDataFrame(
+        [("B1", "US", None, False, 5, "2023-01"), ("B2", "CA", None, False, 5, "2023-01"),
+         ("B1", "US", None, False, 6, "2023-02"), ("B3", "MX", None, False, 6, "2023-02"),
+         ("B1", "FR", None, False, 6, "2023-04")],
+        FLAGS_SCHEMA.fieldNames() + ["snapshot_month"])
+    # 2023-04 has no 2023-03 to compare with, 2023-01 has no predecessor.
+    assert rows(drift_summary(fl)) == [("2023-02", "added", 1), ("2023-02", "removed", 1),
+                                       ("2023-02", "same", 1)]
+
+    jan, feb = dt.datetime(2023, 1, 10), dt.datetime(2023, 2, 10)
+    tx = spark.createDataFrame(
+        [("a", jan, "123456", "US", False), ("b", jan, "654321", "CA", False),
+         ("c", feb, "123456", "MX", False), ("d", feb, "777777", "DE", False)], TXN_SCHEMA)
+    vendor = spark.createDataFrame([], "BIN string, country string")
+    flags_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
+    map_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
+    kw = dict(flags_table=flags_t, map_table=map_t, params=Params(min_txns=1))
+    first = publish_month(tx, vendor, "2023-01", **kw)
+    assert not any(k.startswith("drift_") for k in first.metrics)
+    second = publish_month(tx, vendor, "2023-02", **kw)
+    assert {k: v for k, v in second.metrics.items() if k.startswith("drift_")} == {
+        "drift_added": 1, "drift_removed": 1, "drift_country_changed": 1}
