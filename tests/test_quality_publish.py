@@ -18,7 +18,7 @@ from cardgeo.operators import (
 )
 from cardgeo.plans import DataQualityError, publish_month
 from cardgeo.plans.oracle import PLANTED_ROWS
-from cardgeo.schemas import COUNTRY_COUNTS_SCHEMA, FLAGS_SCHEMA, TXN_SCHEMA
+from cardgeo.schemas import COUNTRY_COUNTS_SCHEMA, FLAGS_SCHEMA, SNAPSHOT_SCHEMA, TXN_SCHEMA
 from cardgeo.sinks import SnapshotTable, shared_dir
 from conftest import rows
 
@@ -144,7 +144,7 @@ def test_drift_summary_and_publish_drift_metrics(spark):
         [("B1", "US", None, False, 5, "2023-01"), ("B2", "CA", None, False, 5, "2023-01"),
          ("B1", "US", None, False, 6, "2023-02"), ("B3", "MX", None, False, 6, "2023-02"),
          ("B1", "FR", None, False, 6, "2023-04")],
-        FLAGS_SCHEMA.fieldNames() + ["snapshot_month"])
+        SNAPSHOT_SCHEMA)
     # 2023-04 has no 2023-03 to compare with, 2023-01 has no predecessor.
     assert rows(drift_summary(fl)) == [("2023-02", "added", 1), ("2023-02", "removed", 1),
                                        ("2023-02", "same", 1)]
