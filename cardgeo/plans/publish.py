@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions import bin_length_ok
 from ..operators import (
     counts_from_partials,
+    dq_coverage_reached,
     drift_summary,
     filter_supported_bins,
     flag_discrepancies,
@@ -77,6 +78,17 @@ def flag_violations(flags: DataFrame) -> DataFrame:
     )
 
 
+def map_violations(top: DataFrame, coverage, by=("snapshot_month",)) -> DataFrame:
+    """Rows ``(check, n)``: duplicate (month, BIN, country) pairs in the
+    top-country map, and BINs whose kept countries do not reach the coverage
+    target or are not minimal (exact arithmetic)."""
+    dup = top.groupBy(*by, "BIN", "country").count().where(F.col("count") > 1)
+    cov = dq_coverage_reached(top, coverage, by=by)
+    return (dup.agg(F.lit("map_duplicate_pairs").alias("check"), F.count(F.lit(1)).alias("n"))
+            .unionByName(cov.agg(F.lit("map_coverage").alias("check"),
+                                 F.count(F.lit(1)).alias("n"))))
+
+
 def _months(months) -> list[str]:
     months = [validate_month(m) for m in ([months] if isinstance(months, str) else months)]
     if not months:
@@ -152,9 +164,12 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
                                params.coverage, by=by)
     staged_map = map_table.stage_months(top, months, run_id=run_id)
 
-    # 3. Flags from the staged map, checked before staging.
-    flags = flag_discrepancies(map_table.read_run(spark, staged_map), vendor, by=by)
+    # 3. Flags from the staged map; map and flags checked before staging.
+    staged_top = map_table.read_run(spark, staged_map)
+    flags = flag_discrepancies(staged_top, vendor, by=by)
     violations = {k: int(v or 0) for k, v in flag_violations(flags).first().asDict().items()}
+    violations.update({r["check"]: int(r["n"]) for r in
+                       map_violations(staged_top, params.coverage).collect()})
     if gate and any(violations.values()):
         raise DataQualityError(",".join(months), violations)
     staged_flags = flags_table.stage_months(flags, months, run_id=run_id)
