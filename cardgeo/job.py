@@ -49,6 +49,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--coverage", default="0.95")
     p.add_argument("--min-txns", type=int, default=100)
     p.add_argument("--no-gate", action="store_true", help="publish despite DQ violations")
+    p.add_argument("--strict", action="store_true",
+                   help="also reject non-digit BINs and malformed country codes")
     a = p.parse_args(argv)
     a.all_months = [validate_month(m) for m in a.month] + (month_range(a.months) if a.months else [])
     if not a.all_months:
@@ -74,6 +76,7 @@ def main(argv=None, spark=None) -> list:
         params=Params(a.coverage, a.min_txns),
         gate=not a.no_gate,
         date_col=a.date_col,
+        strict=a.strict,
     )
     for r in results:
         print(json.dumps({"month": r.month, "run_id": r.run_id, **r.metrics}))

@@ -178,12 +178,12 @@ def discrepancy_metrics(flags: DataFrame, vendor: DataFrame) -> DataFrame:
             .unionByName(_metrics(v, [("compare", "vendor_rows", "vendor_rows")])))
 
 
-def reason_counts(tx: DataFrame, month=None, by=()) -> DataFrame:
+def reason_counts(tx: DataFrame, month=None, by=(), *, strict: bool = False) -> DataFrame:
     """Rows per (reject reason, BIN, country): one scan and one partial/final
     aggregate from which every stage metric can be derived."""
     sliced = slice_month(tx, month)
     keys = group_keys(sliced, by)
-    agg = (sliced.groupBy(*keys, reject_reason_code().alias("_code"), "BIN",
+    agg = (sliced.groupBy(*keys, reject_reason_code(strict).alias("_code"), "BIN",
                           F.col("billing_address_country").alias("country"))
            .agg(F.count(F.lit(1)).alias("n")))
     return months_as_text(agg.select(*[k for k in by], reason_text(F.col("_code")).alias("reason"),

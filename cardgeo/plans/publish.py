@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bin_length_ok
 from ..operators import (
+    REASONS,
     counts_from_partials,
     dq_coverage_reached,
     drift_summary,
@@ -40,7 +41,7 @@ from ..operators import (
 from ..params import Params, prev_month, validate_month
 from ..sinks import SnapshotTable, new_run_id
 
-_REASONS = ("null_label", "fraud", "null_country", "bad_bin_length", "kept")
+_REASONS = REASONS
 
 
 class DataQualityError(RuntimeError):
@@ -107,16 +108,18 @@ def publish_months(
     gate: bool = True,
     run_id: str | None = None,
     date_col: str | None = None,
+    strict: bool = False,
 ) -> list[PublishResult]:
     """Publish ``months`` (a list of ``YYYY-MM``) from ONE scan of ``tx``:
     the windows run per (month, BIN), each table gets one run id covering
-    all months, and either every month is committed or none is."""
+    all months, and either every month is committed or none is. ``strict``
+    also rejects non-digit BINs and non-upper-case-letter country codes."""
     months = _months(months)
     run_id = run_id or new_run_id()
     # 1. The one pass over raw rows: counts per (month, reason, BIN, country).
     work = f"{map_table.root.rstrip('/')}/_work/run_id={run_id}"
     sliced = slice_month(tx, months, date_col=date_col)
-    reason_counts(sliced, by=("snapshot_month",)).write.mode("overwrite").parquet(work)
+    reason_counts(sliced, by=("snapshot_month",), strict=strict).write.mode("overwrite").parquet(work)
     return _publish(tx.sparkSession.read.parquet(work), vendor, months, flags_table=flags_table,
                     map_table=map_table, params=params, gate=gate, run_id=run_id)
 

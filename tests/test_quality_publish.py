@@ -162,3 +162,18 @@ def test_drift_summary_and_publish_drift_metrics(spark):
     second = publish_month(tx, vendor, "2023-02", **kw)
     assert {k: v for k, v in second.metrics.items() if k.startswith("drift_")} == {
         "drift_added": 1, "drift_removed": 1, "drift_country_changed": 1}
+
+
+def test_publish_strict_rejects_formats(spark):
+    from cardgeo.plans import publish_month
+    jan = dt.datetime(2023, 1, 10)
+    tx = spark.createDataFrame(
+        [("a", jan, "123456", "US", False), ("b", jan, "12A456", "US", False),
+         ("c", jan, "123456", "us", False)], TXN_SCHEMA)
+    vendor = spark.createDataFrame([], "BIN string, country string")
+    kw = dict(params=Params(min_txns=1))
+    res = publish_month(tx, vendor, "2023-01", strict=True,
+                        flags_table=SnapshotTable(shared_dir(spark, "cardgeo", "tests")),
+                        map_table=SnapshotTable(shared_dir(spark, "cardgeo", "tests")), **kw)
+    m = res.metrics
+    assert (m["kept"], m["bad_bin_format"], m["bad_country_format"], res.flag_rows) == (1, 1, 1, 1)
