@@ -212,6 +212,14 @@ class SnapshotTable:
                 return spark.createDataFrame([], LEDGER_SCHEMA)
             raise
 
+    def runs(self, spark: SparkSession, month: str | None = None) -> DataFrame:
+        """Version history: every committed run (of ``month``), newest first."""
+        led = self.ledger(spark)
+        if month is not None:
+            led = led.where(F.col("snapshot_month") == validate_month(month))
+        return (led.select("snapshot_month", "run_id", "committed_at", "row_count", "metrics")
+                .orderBy(F.col("committed_at").desc(), F.col("run_id").desc()))
+
     def current_runs(self, spark: SparkSession, *, as_of: dt.datetime | None = None,
                      as_of_run: str | None = None):
         """Latest committed run per month (optionally as of a time / run)."""

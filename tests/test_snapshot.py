@@ -42,6 +42,7 @@ def test_history_as_of(spark, table_root):
     assert bins_of(t.read(spark, as_of_run=first.run_id), "2023-01") == ["B1", "B2"]
     assert bins_of(t.read(spark, as_of=first.committed_at), "2023-01") == ["B1", "B2"]
     assert t.ledger(spark).count() == 2
+    assert [r.row_count for r in t.runs(spark, "2023-01").collect()] == [1, 2]
 
 
 def test_schema_evolution_older_month_reads_null(spark, table_root):
