@@ -54,7 +54,8 @@ def main() -> None:
                .config("spark.sql.session.timeZone", "UTC"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+    from cardgeo.sinks import checkpoint_dir
+    if not checkpoint_dir(spark):
         import tempfile
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cardgeo-bench-"))
 

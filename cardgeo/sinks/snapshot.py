@@ -42,13 +42,25 @@ def new_run_id(now: dt.datetime | None = None) -> str:
     return now.strftime("%Y%m%dT%H%M%S%fZ") + "-" + uuid.uuid4().hex[:8]
 
 
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The session's ``spark.checkpoint.dir`` (conf first; the context's
+    setting where a classic SparkContext is available)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # e.g. Spark Connect sessions have no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
     Never a machine-local temporary folder: all executors and the driver
     must see what is written there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = checkpoint_dir(spark)
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
