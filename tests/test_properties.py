@@ -79,3 +79,51 @@ def test_skewed_pipeline_matches_brute_force(spark):
             want[b] = (top, v, v is not None and v != top, total)
     assert got == want
     assert got["400001"][0] == "US" and got["400001"][2] is True
+
+
+raw_rows = st.lists(
+    st.tuples(st.sampled_from(["12345", "123456", "1234567", "123456789", "654321"]),
+              st.sampled_from(["US", "CA", "MX", None]),
+              st.sampled_from([True, False, False, False, None])),
+    min_size=0, max_size=80)
+
+
+@settings(max_examples=15, deadline=None)
+@given(data=raw_rows, min_txns=st.integers(0, 6), coverage=st.sampled_from(COVERAGES))
+def test_raw_pipeline_matches_brute_force(spark, data, min_txns, coverage):
+    from cardgeo.operators import reject_reasons
+    from pyspark.sql.types import StructField, StructType
+    schema = StructType([StructField(f.name, f.dataType, True) for f in TXN_SCHEMA.fields])
+    tx = spark.createDataFrame([(f"t{i}", None, b, c, f) for i, (b, c, f) in enumerate(data)],
+                               schema)
+    vendor = spark.createDataFrame([("123456", "US"), ("654321", "CA")],
+                                   "BIN string, country string")
+    params = Params(coverage, min_txns)
+
+    def reason(b, c, f):
+        if f is None:
+            return "null_label"
+        if f:
+            return "fraud"
+        if c is None:
+            return "null_country"
+        if not 6 <= len(b) <= 8:
+            return "bad_bin_length"
+        return "kept"
+
+    assert {(r.reason, r.n_rows) for r in reject_reasons(tx).collect()} == set(
+        Counter(reason(*r) for r in data).items())
+
+    kept = Counter((b, c) for b, c, f in data if reason(b, c, f) == "kept")
+    per_bin = {}
+    for (b, c), n in kept.items():
+        per_bin.setdefault(b, {})[c] = n
+    vend = {"123456": "US", "654321": "CA"}
+    want = {(b, ranked(cs)[0][0], vend.get(b), vend.get(b) not in (None, ranked(cs)[0][0]),
+             sum(cs.values()))
+            for b, cs in per_bin.items() if sum(cs.values()) >= min_txns}
+    got = {tuple(r) for r in infer(tx, vendor, None, params).flags.collect()}
+    assert got == want
+    top = {(r.BIN, r.country) for r in infer(tx, vendor, None, params).top_countries.collect()}
+    assert top == brute_top({b: cs for b, cs in per_bin.items()
+                             if sum(cs.values()) >= min_txns}, coverage)
