@@ -10,9 +10,9 @@ One pass over the transactions per run, however many months. The flow:
    aggregate of committed files, not an accumulator that a re-run stage
    could count twice;
 2. counts -> support -> coverage cut; stage the top-country map;
-3. flags from the staged map, checked (one small aggregate), staged;
-   drift counts against the previous month (from this run or the table)
-   go into each month's ledger metrics;
+3. flags from the staged map; map and flags checked (small aggregates);
+   flags staged; drift counts against the previous month (from this run or
+   the table) go into each month's ledger metrics;
 4. commit both runs to their ledgers only if the checks pass (``gate``);
    otherwise nothing becomes visible and :class:`DataQualityError` is
    raised. Row counts of staged runs come from result-stage observations
@@ -41,7 +41,6 @@ from ..operators import (
 from ..params import Params, prev_month, validate_month
 from ..sinks import SnapshotTable, new_run_id
 
-_REASONS = REASONS
 
 
 class DataQualityError(RuntimeError):
@@ -154,11 +153,11 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
     load_rows = (staged_counts.groupBy("snapshot_month")
                  .agg(F.sum("n").alias("rows_in"),
                       *[F.sum(F.when(F.col("reason") == r, F.col("n")).otherwise(0)).alias(r)
-                        for r in _REASONS]).collect())
-    per_month = {m: dict.fromkeys(("rows_in",) + _REASONS, 0) for m in months}
+                        for r in REASONS]).collect())
+    per_month = {m: dict.fromkeys(("rows_in",) + REASONS, 0) for m in months}
     for r in load_rows:
         per_month[r["snapshot_month"]].update(
-            {k: int(r[k] or 0) for k in ("rows_in",) + _REASONS})
+            {k: int(r[k] or 0) for k in ("rows_in",) + REASONS})
 
     # 2. Counts, support, coverage; stage the top-country map.
     kept = staged_counts.where(F.col("reason") == "kept").drop("reason")
