@@ -77,7 +77,9 @@ def load_filtered(
 
 
 def with_snapshot_month(tx: DataFrame, ts_col: str = "timestamp") -> DataFrame:
-    """Add ``snapshot_month`` (YYYY-MM) for multi-month runs in one pass."""
+    """Add the row-level ``snapshot_month`` label (YYYY-MM). Aggregations
+    with ``by=("snapshot_month",)`` do not need it: they group by a cheaper
+    integer month key and render the label after aggregating."""
     return tx.withColumn("snapshot_month", month_of(ts_col))
 
 
@@ -114,11 +116,13 @@ def reject_reasons(
     tx: DataFrame, month=None, *, strict: bool = False, by=()
 ) -> DataFrame:
     """Rows per reason (``kept`` included) in one partial/final aggregate."""
+    from .counts import group_keys, months_as_text
     require_columns(tx.columns, _TXN_COLS, "transactions")
-    return (slice_month(tx, month)
-            .groupBy(*by, reject_reason_code(strict).alias("_code"))
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(*by, reason_text(F.col("_code")).alias("reason"), "n_rows"))
+    sliced = slice_month(tx, month)
+    return months_as_text(
+        sliced.groupBy(*group_keys(sliced, by), reject_reason_code(strict).alias("_code"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(*by, reason_text(F.col("_code")).alias("reason"), "n_rows"))
 
 
 def strict_bin_rejects(tx: DataFrame) -> DataFrame:

@@ -106,3 +106,11 @@ def test_reject_reasons_first_match(spark):
 def test_strict_bin_rejects(spark):
     df = tx(spark, [("12a456", "US", False), ("123456", "US", False), ("12345", "US", False)])
     assert rows(strict_bin_rejects(df)) == [("12345", 1), ("12a456", 1)]
+
+
+def test_reject_reasons_by_month(spark):
+    data = [("123456", "US", False, dt.datetime(2023, 1, 5)),
+            ("123456", "US", True, dt.datetime(2023, 2, 5)),
+            ("12345", "US", False, dt.datetime(2023, 2, 6))]
+    got = rows(reject_reasons(tx(spark, data), by=("snapshot_month",)))
+    assert got == [("2023-01", "kept", 1), ("2023-02", "bad_bin_length", 1), ("2023-02", "fraud", 1)]
