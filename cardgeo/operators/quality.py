@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import bin_length_ok, share, strict_country_ok, within_coverage
 from ..params import DEFAULT_COVERAGE, DEFAULT_MIN_TXNS
 from ..schemas import require_columns
-from .clean import reason_text, reject_reason, reject_reason_code, slice_month
+from .clean import REASONS, reason_text, reject_reason_code, slice_month
 from .counts import group_keys, months_as_text
 from .coverage import rank_window, running_count
 
@@ -133,10 +133,10 @@ def _metrics(one_row: DataFrame, spec) -> DataFrame:
 
 
 def load_metrics(tx: DataFrame, month: str | None = None) -> DataFrame:
-    r = reject_reason()
+    kept = reject_reason_code() == F.lit(REASONS.index("kept"))
     one = slice_month(tx, month).agg(
         F.count(F.lit(1)).alias("rows_in"),
-        F.sum(F.when(r == "kept", 1).otherwise(0)).alias("rows_out"))
+        F.sum(F.when(kept, 1).otherwise(0)).alias("rows_out"))
     return _metrics(one, [("load", "rows_in", "rows_in"), ("load", "rows_out", "rows_out")])
 
 
@@ -186,7 +186,7 @@ def reason_counts(tx: DataFrame, month=None, by=(), *, strict: bool = False) ->
     agg = (sliced.groupBy(*keys, reject_reason_code(strict).alias("_code"), "BIN",
                           F.col("billing_address_country").alias("country"))
            .agg(F.count(F.lit(1)).alias("n")))
-    return months_as_text(agg.select(*[k for k in by], reason_text(F.col("_code")).alias("reason"),
+    return months_as_text(agg.select(*by, reason_text(F.col("_code")).alias("reason"),
                                      "BIN", "country", "n"))
 
 
