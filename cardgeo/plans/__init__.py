@@ -1,6 +1,6 @@
-"""Plans: the composed pipeline, the query registry and its SQL oracle."""
+"""Plans: the composed inference, publication, the query registry and its SQL oracle."""
 
-from .pipeline import Inference, infer, report
+from .inference import Inference, infer, report
 from .publish import (
     DataQualityError,
     PublishResult,

@@ -78,7 +78,7 @@ def stage_ctes(
     prefix: str = "",
     dedup: bool = True,
 ) -> list[str]:
-    """CTEs ``{prefix}clean … {prefix}flags`` of one pipeline run.
+    """CTEs ``{prefix}clean … {prefix}flags`` of one inference run.
 
     ``by`` adds a grouping column (``snapshot_month``) computed from the
     timestamp; ``months`` restricts to those months (multi-month runs).

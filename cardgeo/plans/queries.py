@@ -20,7 +20,7 @@ from ..sinks import SnapshotTable, shared_dir
 from ..sources import tx_from_tables, vendor_dup_from_tables, vendor_from_tables
 from ..streaming import counts_from_partials, read_partials, start_count_stream
 from . import oracle as o
-from .pipeline import infer, report
+from .inference import infer, report
 from .publish import publish_month, publish_months, publish_months_from_counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -391,9 +391,9 @@ def q_dq_coverage_minimal(spark, sf):
     return ops.dq_coverage_reached(top, ALL.coverage)
 
 
-@query("empty_input_pipeline", o.with_(o.BASE, o.stage_ctes("1990-01", 3, ALL.coverage))
+@query("empty_input_month", o.with_(o.BASE, o.stage_ctes("1990-01", 3, ALL.coverage))
        + f"SELECT {FLAG_COLS} FROM flags")
-def q_empty_input_pipeline(spark, sf):
+def q_empty_input_month(spark, sf):
     """A month without transactions: every stage yields typed empty output."""
     return _run(spark, sf, "1990-01", MONTHLY).flags
 
