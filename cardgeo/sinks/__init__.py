@@ -1,5 +1,7 @@
 """Sinks: versioned monthly snapshot tables with a run ledger."""
 
-from .snapshot import Commit, SnapshotTable, StagedRun, checkpoint_dir, new_run_id, shared_dir
+from .snapshot import (Commit, SnapshotTable, StagedRun, checkpoint_dir, new_run_id, path_matches,
+                       shared_dir)
 
-__all__ = ["Commit", "SnapshotTable", "StagedRun", "checkpoint_dir", "new_run_id", "shared_dir"]
+__all__ = ["Commit", "SnapshotTable", "StagedRun", "checkpoint_dir", "new_run_id", "path_matches",
+           "shared_dir"]

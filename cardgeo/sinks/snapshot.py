@@ -54,6 +54,23 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def path_matches(spark: SparkSession, pattern: str) -> bool | None:
+    """Whether ``pattern`` (a path or a glob) names anything, asked of the
+    Hadoop file system of a classic session; ``None`` when that is not
+    reachable (e.g. Spark Connect), and callers then read and catch
+    ``PATH_NOT_FOUND``. Asking first keeps an expected miss -- a table's
+    first run, a run that wrote no rows -- out of the query listeners,
+    which log every failed analysis once an ``Observation`` has run."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return None
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(conf).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -204,9 +221,12 @@ class SnapshotTable:
         """Rows per month of one versioned run, read back from its committed
         files only (a glob on this run id, not a listing of the whole
         table); Parquet answers the counts from footers."""
+        pattern = f"{self.data_path}/snapshot_month=*/run_id={run_id}"
+        if path_matches(spark, pattern) is False:  # the run wrote no rows
+            return {}
         try:
             df = (spark.read.format(self.fmt).option("basePath", self.data_path)
-                  .load(f"{self.data_path}/snapshot_month=*/run_id={run_id}"))
+                  .load(pattern))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":  # the run wrote no rows
                 return {}
@@ -217,6 +237,8 @@ class SnapshotTable:
     # ------------------------------------------------------------- read
 
     def ledger(self, spark: SparkSession) -> DataFrame:
+        if path_matches(spark, self.ledger_path) is False:  # no run committed yet
+            return spark.createDataFrame([], LEDGER_SCHEMA)
         try:
             return spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
         except AnalysisException as e:

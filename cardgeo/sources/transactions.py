@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TXN_SCHEMA, VENDOR_SCHEMA, require_columns
+from ..sinks.snapshot import path_matches
 
 log = logging.getLogger(__name__)
 
@@ -30,15 +31,21 @@ def read_transactions(
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
+    if allow_missing and path_matches(spark, path) is False:
+        return _missing(spark, path, schema)
     try:
         return reader.load(path)
     except AnalysisException as e:
         if allow_missing and e.getCondition() == "PATH_NOT_FOUND":
-            log.warning("transactions path %s not found; using an empty table", path)
-            return spark.createDataFrame([], schema or TXN_SCHEMA)
+            return _missing(spark, path, schema)
         raise
 
 
+def _missing(spark: SparkSession, path: str, schema) -> DataFrame:
+    log.warning("transactions path %s not found; using an empty table", path)
+    return spark.createDataFrame([], schema or TXN_SCHEMA)
+
+
 def read_vendor(
     spark: SparkSession,
     source: str,

@@ -122,3 +122,14 @@ def test_read_subset_of_months_and_metrics_in_ledger(spark, table_root):
         t.write(flags(spark, [b]), m, metrics={"rows_in": 10})
     assert rows(t.read(spark, ["2023-03", "2023-01"]), "BIN") == [("B1",), ("B3",)]
     assert {r.metrics["rows_in"] for r in t.ledger(spark).collect()} == {10}
+
+
+def test_path_matches_plain_and_glob(spark, table_root):
+    from cardgeo.sinks import path_matches
+    t = SnapshotTable(table_root)
+    assert path_matches(spark, t.ledger_path) is False
+    assert t.ledger(spark).count() == 0  # a new table reads as no runs
+    c = t.write(flags(spark, ["B1"]), "2023-01")
+    assert path_matches(spark, t.ledger_path) is True
+    assert path_matches(spark, f"{t.data_path}/snapshot_month=*/run_id={c.run_id}") is True
+    assert path_matches(spark, f"{t.data_path}/snapshot_month=*/run_id=none") is False
