@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..params import Params
 from ..schemas import FLAGS_SCHEMA
-from ..sinks import SnapshotTable, shared_dir
+from ..sinks import SnapshotTable, literal_rows, shared_dir
 from ..sources import tx_from_tables, vendor_dup_from_tables, vendor_from_tables
 from ..streaming import counts_from_partials, read_partials, start_count_stream
 from . import oracle as o
@@ -602,7 +602,7 @@ def _dq_snapshot(spark, sf):
     vdup = vendor_dup_from_tables(spark, sf)
     t.write(_flags(spark, sf, MONTH_A, vendor=vdup, dedup=False), MONTH_A)
     t.write(_flags(spark, sf, MONTH_B, vendor=vdup, dedup=False), MONTH_B)
-    t.write(spark.createDataFrame(o.PLANTED_ROWS, FLAGS_SCHEMA.fieldNames()), MONTH_C)
+    t.write(literal_rows(spark, o.PLANTED_ROWS, FLAGS_SCHEMA), MONTH_C)
     return t.read(spark)
 
 

@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from ..params import validate_month
 from ..schemas import LEDGER_SCHEMA
@@ -201,7 +201,7 @@ class SnapshotTable:
         rows = [(c.snapshot_month, c.run_id, c.committed_at, c.row_count, staged.schema_json,
                  {**base, **(month_metrics or {}).get(c.snapshot_month, {})}) for c in commits]
         if rows:
-            (spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
+            (literal_rows(spark, rows, LEDGER_SCHEMA)
              .write.mode("append").format("parquet").save(self.ledger_path))
         return commits
 
@@ -300,6 +300,21 @@ class SnapshotTable:
         return f"{p}/run_id={r['run_id']}" if self.versioned else p
 
 
+def literal_rows(spark: SparkSession, rows, schema: StructType) -> DataFrame:
+    """A few driver-side rows as one JVM-side literal relation (one task, no
+    Python worker; ``createDataFrame`` of a list would ship the rows through a
+    Python RDD). Map cells are Python dicts."""
+    def cell(v, f: StructField):
+        if isinstance(f.dataType, MapType):
+            kv = [c for k, x in sorted((v or {}).items()) for c in (F.lit(k), F.lit(x))]
+            return F.create_map(*kv).cast(f.dataType)
+        return F.lit(v).cast(f.dataType)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    recs = [F.struct(*[cell(v, f).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*recs)))
+
+
 def _merged_schema(schema_jsons) -> StructType:
     """Union of run schemas by column name (first type seen wins)."""
     fields: dict[str, StructField] = {}

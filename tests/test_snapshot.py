@@ -133,3 +133,18 @@ def test_path_matches_plain_and_glob(spark, table_root):
     assert path_matches(spark, t.ledger_path) is True
     assert path_matches(spark, f"{t.data_path}/snapshot_month=*/run_id={c.run_id}") is True
     assert path_matches(spark, f"{t.data_path}/snapshot_month=*/run_id=none") is False
+
+
+def test_literal_rows_match_declared_schema(spark):
+    import datetime as dt
+    from cardgeo.schemas import LEDGER_SCHEMA
+    from cardgeo.sinks import literal_rows
+    at = dt.datetime(2024, 2, 1, 12, 0)
+    got = [("2024-01", "r1", at, 5, "{}", {"a": 1, "b": 2 ** 40}), ("2024-02", "r1", at, 0, "{}", {})]
+    df = literal_rows(spark, got, LEDGER_SCHEMA)
+    assert names_and_types(df.schema) == names_and_types(LEDGER_SCHEMA)
+    assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in df.collect()] == got
+    assert literal_rows(spark, [], LEDGER_SCHEMA).count() == 0
+    planted = literal_rows(spark, [("B1", None, "US", True, 7)], FLAGS_SCHEMA)
+    assert rows(planted) == [("B1", None, "US", True, 7)]
