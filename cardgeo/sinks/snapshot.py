@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..params import validate_month
 from ..schemas import LEDGER_SCHEMA
@@ -301,18 +301,24 @@ class SnapshotTable:
 
 
 def literal_rows(spark: SparkSession, rows, schema: StructType) -> DataFrame:
-    """A few driver-side rows as one JVM-side literal relation (one task, no
-    Python worker; ``createDataFrame`` of a list would ship the rows through a
-    Python RDD). Map cells are Python dicts."""
-    def cell(v, f: StructField):
-        if isinstance(f.dataType, MapType):
-            kv = [c for k, x in sorted((v or {}).items()) for c in (F.lit(k), F.lit(x))]
-            return F.create_map(*kv).cast(f.dataType)
-        return F.lit(v).cast(f.dataType)
+    """A few driver-side rows as one JVM-side literal relation: one task, no
+    Python worker (``createDataFrame`` of a list plans a Python RDD scan).
+    The rows travel as ONE JSON string literal parsed by ``from_json``, so
+    building the plan costs a handful of gateway calls however many rows
+    there are (a backfill commits one ledger row per month). Map cells are
+    Python dicts; naive datetimes are local time, as in ``createDataFrame``."""
     if not rows:
         return spark.createDataFrame([], schema)
-    recs = [F.struct(*[cell(v, f).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*recs)))
+
+    def cell(v):
+        if isinstance(v, dt.datetime):
+            return v.astimezone().isoformat(timespec="microseconds")
+        return v.isoformat() if isinstance(v, dt.date) else v
+
+    text = json.dumps([{f.name: cell(v) for v, f in zip(r, schema.fields)} for r in rows])
+    parsed = F.from_json(F.lit(text), ArrayType(schema),
+                         {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return spark.range(0, 1, 1, 1).select(F.inline(parsed))
 
 
 def _merged_schema(schema_jsons) -> StructType:
