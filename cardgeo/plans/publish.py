@@ -169,27 +169,32 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
     # 3. Flags from the staged map; map and flags checked before staging.
     staged_top = map_table.read_run(spark, staged_map)
     flags = flag_discrepancies(staged_top, vendor, by=by)
-    violations = {k: int(v or 0) for k, v in flag_violations(flags).first().asDict().items()}
-    violations.update({r["check"]: int(r["n"]) for r in
-                       map_violations(staged_top, params.coverage).collect()})
+    fv = flag_violations(flags)
+    checks = (fv.unpivot([], fv.columns, "check", "n")
+              .unionByName(map_violations(staged_top, params.coverage)))
+    violations = {r["check"]: int(r["n"] or 0) for r in checks.collect()}  # one action
     if gate and any(violations.values()):
         raise DataQualityError(",".join(months), violations)
     staged_flags = flags_table.stage_months(flags, months, run_id=run_id)
     staged = flags_table.read_run(spark, staged_flags)
-    disc = {r[0]: int(r[1] or 0) for r in (
-        staged.groupBy("snapshot_month")
-        .agg(F.sum(F.when(F.col("is_discrepant"), 1).otherwise(0))).collect())}
 
-    # Drift against the previous month: from this run, else the table.
+    # Discrepant counts, and drift against the previous month (from this
+    # run, else the table), in one action.
     earlier = sorted({prev_month(m) for m in months} - set(months))
     cols = ["snapshot_month", "BIN", "inferred_top_country", "bin_total"]
     both = staged.select(*cols)
     prior = flags_table.read(spark, earlier) if earlier else None
     if prior is not None and set(cols) <= set(prior.columns):  # table may be new
         both = both.unionByName(prior.select(*cols))
-    drift = {}
-    for r in drift_summary(both).collect():
-        drift.setdefault(r["snapshot_month"], {})[f"drift_{r['change']}"] = int(r["n_bins"])
+    disc_rows = (staged.groupBy("snapshot_month")
+                 .agg(F.lit("discrepant").alias("change"),
+                      F.sum(F.when(F.col("is_discrepant"), 1).otherwise(0)).alias("n_bins")))
+    disc, drift = {}, {}
+    for r in disc_rows.unionByName(drift_summary(both)).collect():
+        if r["change"] == "discrepant":
+            disc[r["snapshot_month"]] = int(r["n_bins"] or 0)
+        else:
+            drift.setdefault(r["snapshot_month"], {})[f"drift_{r['change']}"] = int(r["n_bins"])
 
     # 4. Commit both tables; each month's ledger row carries its metrics.
     results = []

@@ -110,6 +110,9 @@ def test_publish_month_gates_and_commits(spark):
                         flags_table=flags_t, map_table=map_t)
     assert res.flag_rows == 1 and res.map_rows == 2
     assert res.metrics["rows_in"] == 140 and res.metrics["kept"] == 140
+    assert res.violations == dict.fromkeys(
+        ("null_critical", "duplicate_bins", "bad_bin_length", "bad_country_code",
+         "map_duplicate_pairs", "map_coverage"), 0)
     assert rows(flags_t.read(spark)) == [("123456", "US", "US", False, 140, "2023-01")]
     ledger = flags_t.ledger(spark).first()
     assert ledger.row_count == 1 and ledger.metrics["discrepant"] == 0
