@@ -15,7 +15,7 @@ One pass over the transactions per run, however many months. The flow:
    the table) go into each month's ledger metrics;
 4. commit both runs to their ledgers only if the checks pass (``gate``);
    otherwise nothing becomes visible and :class:`DataQualityError` is
-   raised. Row counts of staged runs come from result-stage observations
+   raised. After a commit the work folder is deleted; a failed run keeps it. Row counts of staged runs come from result-stage observations
    (applied once per partition) on the writes.
 """
 
@@ -39,7 +39,7 @@ from ..operators import (
     slice_month,
 )
 from ..params import Params, prev_month, validate_month
-from ..sinks import SnapshotTable, new_run_id
+from ..sinks import SnapshotTable, new_run_id, remove_dir
 
 
 
@@ -119,8 +119,13 @@ def publish_months(
     work = f"{map_table.root.rstrip('/')}/_work/run_id={run_id}"
     sliced = slice_month(tx, months, date_col=date_col)
     reason_counts(sliced, by=("snapshot_month",), strict=strict).write.mode("overwrite").parquet(work)
-    return _publish(tx.sparkSession.read.parquet(work), vendor, months, flags_table=flags_table,
-                    map_table=map_table, params=params, gate=gate, run_id=run_id)
+    results = _publish(tx.sparkSession.read.parquet(work), vendor, months,
+                       flags_table=flags_table, map_table=map_table, params=params, gate=gate,
+                       run_id=run_id)
+    # Committed: nothing reads the staged counts any more. A run that fails
+    # (or is gated) keeps them for inspection.
+    remove_dir(tx.sparkSession, work)
+    return results
 
 
 def publish_months_from_counts(

@@ -1,7 +1,7 @@
 """Sinks: versioned monthly snapshot tables with a run ledger."""
 
 from .snapshot import (Commit, SnapshotTable, StagedRun, checkpoint_dir, literal_rows, new_run_id,
-                       path_matches, shared_dir)
+                       path_matches, remove_dir, shared_dir)
 
 __all__ = ["Commit", "SnapshotTable", "StagedRun", "checkpoint_dir", "literal_rows", "new_run_id",
-           "path_matches", "shared_dir"]
+           "path_matches", "remove_dir", "shared_dir"]

@@ -71,6 +71,18 @@ def path_matches(spark: SparkSession, pattern: str) -> bool | None:
     return found is not None and len(found) > 0
 
 
+def remove_dir(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` recursively through the Hadoop file system of a
+    classic session; ``False`` if that is not reachable (nothing deleted)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).delete(p, True))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
