@@ -4,9 +4,9 @@ One pass over the transactions per run, however many months. The flow:
 
 1. slice the month(s) (pushed range filter) and aggregate rows per
    (month, reject reason, BIN, country) -- the only pass over raw data --
-   into a work folder next to the map table. Everything after reads these
-   small files: a lost executor recomputes from them, never from the raw
-   scan, and the load accounting (rows in, rejects by reason) is an exact
+   into a work folder under the shared ``spark.checkpoint.dir``. Everything
+   after reads these small files: a lost executor recomputes from them, never
+   from the raw scan, and the load accounting (rows in, rejects by reason) is an exact
    aggregate of committed files, not an accumulator that a re-run stage
    could count twice;
 2. counts -> support -> coverage cut; stage the top-country map;
@@ -39,15 +39,16 @@ from ..operators import (
     slice_month,
 )
 from ..params import Params, prev_month, validate_month
-from ..sinks import SnapshotTable, new_run_id, remove_dir
+from ..sinks import SnapshotTable, checkpoint_dir, new_run_id, remove_dir
 
 
 
 class DataQualityError(RuntimeError):
-    def __init__(self, month: str, violations: dict[str, int]):
+    def __init__(self, month: str, violations: dict[str, int], run_id: str | None = None):
         super().__init__(f"data-quality checks failed for {month}: {violations}")
         self.month = month
         self.violations = violations
+        self.run_id = run_id
 
 
 @dataclass(frozen=True)
@@ -96,6 +97,14 @@ def _months(months) -> list[str]:
     return months
 
 
+def work_dir(spark, map_table: SnapshotTable, run_id: str) -> str:
+    """Where a run stages its partial counts: under the cluster's shared
+    ``spark.checkpoint.dir``; next to the map table only if that is unset."""
+    base = checkpoint_dir(spark)
+    root = f"{base.rstrip('/')}/cardgeo/publish" if base else f"{map_table.root.rstrip('/')}/_work"
+    return f"{root}/run_id={run_id}"
+
+
 def publish_months(
     tx: DataFrame,
     vendor: DataFrame,
@@ -116,7 +125,7 @@ def publish_months(
     months = _months(months)
     run_id = run_id or new_run_id()
     # 1. The one pass over raw rows: counts per (month, reason, BIN, country).
-    work = f"{map_table.root.rstrip('/')}/_work/run_id={run_id}"
+    work = work_dir(tx.sparkSession, map_table, run_id)
     sliced = slice_month(tx, months, date_col=date_col)
     reason_counts(sliced, by=("snapshot_month",), strict=strict).write.mode("overwrite").parquet(work)
     results = _publish(tx.sparkSession.read.parquet(work), vendor, months,
@@ -179,7 +188,7 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
               .unionByName(map_violations(staged_top, params.coverage)))
     violations = {r["check"]: int(r["n"] or 0) for r in checks.collect()}  # one action
     if gate and any(violations.values()):
-        raise DataQualityError(",".join(months), violations)
+        raise DataQualityError(",".join(months), violations, run_id)
     staged_flags = flags_table.stage_months(flags, months, run_id=run_id)
     staged = flags_table.read_run(spark, staged_flags)
 

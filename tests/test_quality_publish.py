@@ -110,10 +110,12 @@ def test_publish_month_gates_and_commits(spark):
                         flags_table=flags_t, map_table=map_t)
     assert res.flag_rows == 1 and res.map_rows == 2
     assert res.metrics["rows_in"] == 140 and res.metrics["kept"] == 140
-    from cardgeo.sinks import path_matches
-    work = f"{map_t.root}/_work"
-    assert path_matches(spark, f"{work}/run_id=*") is True  # the gated run's counts stay
-    assert path_matches(spark, f"{work}/run_id={res.run_id}") is False  # committed: removed
+    from cardgeo.plans.publish import work_dir
+    from cardgeo.sinks import checkpoint_dir, path_matches
+    work = work_dir(spark, map_t, res.run_id)
+    assert work.startswith(checkpoint_dir(spark).rstrip("/") + "/")
+    assert path_matches(spark, work) is False  # committed: removed
+    assert path_matches(spark, work_dir(spark, map_t, e.value.run_id)) is True  # gated: kept
     assert res.violations == dict.fromkeys(
         ("null_critical", "duplicate_bins", "bad_bin_length", "bad_country_code",
          "map_duplicate_pairs", "map_coverage"), 0)
