@@ -54,33 +54,36 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
-def path_matches(spark: SparkSession, pattern: str) -> bool | None:
-    """Whether ``pattern`` (a path or a glob) names anything, asked of the
-    Hadoop file system of a classic session; ``None`` when that is not
-    reachable (e.g. Spark Connect), and callers then read and catch
-    ``PATH_NOT_FOUND``. Asking first keeps an expected miss -- a table's
-    first run, a run that wrote no rows -- out of the query listeners,
-    which log every failed analysis once an ``Observation`` has run."""
+def _hadoop_path(spark: SparkSession, path: str):
+    """``(FileSystem, Path)`` of ``path`` through a classic session's
+    gateway; ``None`` where there is none (e.g. Spark Connect)."""
     try:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
     except Exception:
         return None
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(conf).globStatus(path)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
+def path_matches(spark: SparkSession, pattern: str) -> bool | None:
+    """Whether ``pattern`` (a path or a glob) names anything; ``None`` when
+    the file system is not reachable, and callers then read and catch
+    ``PATH_NOT_FOUND``. Asking first keeps an expected miss -- a table's
+    first run, a run that wrote no rows -- out of the query listeners,
+    which log every failed analysis once an ``Observation`` has run."""
+    fsp = _hadoop_path(spark, pattern)
+    if fsp is None:
+        return None
+    found = fsp[0].globStatus(fsp[1])
     return found is not None and len(found) > 0
 
 
 def remove_dir(spark: SparkSession, path: str) -> bool:
-    """Delete ``path`` recursively through the Hadoop file system of a
-    classic session; ``False`` if that is not reachable (nothing deleted)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:
-        return False
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(conf).delete(p, True))
+    """Delete ``path`` recursively; ``False`` if the file system is not
+    reachable (nothing deleted)."""
+    fsp = _hadoop_path(spark, path)
+    return fsp is not None and bool(fsp[0].delete(fsp[1], True))
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
