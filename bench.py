@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once to warm up, then ``BENCH_REPS`` (default 3) timed runs
+Each query runs once to warm up, then ``BENCH_REPS`` (default 5) timed runs
 into the ``noop`` sink (full execution, no driver collection); the median is
 reported. Prints ONE JSON line.
 """
@@ -37,7 +37,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from pyspark.sql import SparkSession
