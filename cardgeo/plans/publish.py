@@ -5,17 +5,18 @@ One pass over the transactions per run, however many months. The flow:
 1. slice the month(s) (pushed range filter) and aggregate rows per
    (month, reject reason, BIN, country) -- the only pass over raw data --
    into a work folder under the shared ``spark.checkpoint.dir``. Everything
-   after reads these small files: a lost executor recomputes from them, never
-   from the raw scan, and the load accounting (rows in, rejects by reason) is an exact
-   aggregate of committed files, not an accumulator that a re-run stage
-   could count twice;
+   after reads these small files: a lost executor recomputes from them,
+   never from the raw scan, and the load accounting (rows in, rejects by
+   reason) is an exact aggregate of committed files, not an accumulator
+   that a re-run stage could count twice;
 2. counts -> support -> coverage cut; stage the top-country map;
 3. flags from the staged map; map and flags checked (small aggregates);
    flags staged; drift counts against the previous month (from this run or
    the table) go into each month's ledger metrics;
 4. commit both runs to their ledgers only if the checks pass (``gate``);
    otherwise nothing becomes visible and :class:`DataQualityError` is
-   raised. After a commit the work folder is deleted; a failed run keeps it. Row counts of staged runs come from result-stage observations
+   raised. After a commit the work folder is deleted; a failed run keeps
+   it. Row counts of staged runs come from result-stage observations
    (applied once per partition) on the writes.
 """
 
@@ -42,7 +43,6 @@ from ..params import Params, prev_month, validate_month
 from ..sinks import SnapshotTable, checkpoint_dir, new_run_id, remove_dir
 
 
-
 class DataQualityError(RuntimeError):
     def __init__(self, month: str, violations: dict[str, int], run_id: str | None = None):
         super().__init__(f"data-quality checks failed for {month}: {violations}")
