@@ -186,3 +186,26 @@ def test_publish_strict_rejects_formats(spark):
                         map_table=SnapshotTable(shared_dir(spark, "cardgeo", "tests")), **kw)
     m = res.metrics
     assert (m["kept"], m["bad_bin_format"], m["bad_country_format"], res.flag_rows) == (1, 1, 1, 1)
+
+
+def test_work_dir_prefers_the_shared_checkpoint_dir():
+    from cardgeo.plans.publish import work_dir
+
+    class Conf:
+        def __init__(self, v):
+            self.v = v
+
+        def get(self, key, default=None):
+            return self.v if key == "spark.checkpoint.dir" else default
+
+    class Session:  # a session whose context cannot be reached (e.g. Spark Connect)
+        def __init__(self, v):
+            self.conf = Conf(v)
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context")
+
+    t = SnapshotTable("/tables/maps/")
+    assert work_dir(Session("/shared/ck/"), t, "r1") == "/shared/ck/cardgeo/publish/run_id=r1"
+    assert work_dir(Session(None), t, "r1") == "/tables/maps/_work/run_id=r1"
