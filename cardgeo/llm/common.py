@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sinks import shared_dir
@@ -59,15 +58,6 @@ class BoundedCache(dict):
         return value
 
 
-def word_hash_cache(limit: int = 1 << 18) -> BoundedCache:
-    """Word (bytes) -> 64-bit hash."""
-    return BoundedCache(xxhash.xxh3_64_intdigest, limit)
-
-
-def hashes_of(words: Iterable[bytes], cache: BoundedCache) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, words), dtype=U64)
-
-
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijective finalizer, so that linear combinations look random."""
     h = h ^ (h >> U64(33))
@@ -77,6 +67,69 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(33))
 
 
+#: White space of the word rule, as a table over bytes, and the bytes lower-cased.
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER_BYTES = np.frombuffer(LOWER, np.uint8)
+#: An odd base for polynomials over bytes and its inverse, modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes of text hashed at a time (a longer document goes alone).
+CHUNK_BYTES = 1 << 22
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    p = np.full(n, base, U64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
+def text_chunks(texts: Iterable[bytes | None], most: int = CHUNK_BYTES):
+    """Runs of texts of about ``most`` bytes: ``(first index, [bytes])``."""
+    first, run, size = 0, [], 0
+    for i, t in enumerate(texts):
+        t = t or b""
+        if run and size + len(t) > most:
+            yield first, run
+            first, run, size = i, [], 0
+        run.append(t)
+        size += len(t)
+    if run:
+        yield first, run
+
+
+class HashedWords:
+    """The words of a run of texts as 64-bit hashes, all at once in numpy.
+
+    ``hash``: one per word, in order; ``doc``: the index of its text;
+    ``start``/``end``: byte positions in ``data`` (texts joined by a space);
+    ``bounds``: words of text i are ``bounds[i]:bounds[i + 1]``.
+    """
+
+    def __init__(self, texts: list[bytes], lower: bool = True):
+        self.data = b" ".join(texts) + b" "
+        raw = np.frombuffer(self.data, np.uint8)
+        space = _IS_SPACE[raw]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if len(raw) and not space[0]:
+            edge = np.concatenate(([0], edge))
+        self.start, self.end = edge[0::2], edge[1::2]
+        value = (_LOWER_BYTES[raw] if lower else raw).astype(U64) + U64(1)
+        power = _powers(_BASE, len(raw))
+        total = np.empty(len(raw) + 1, U64)
+        total[0] = 0
+        np.cumsum(value * power, out=total[1:])
+        h = (total[self.end] - total[self.start]) * _powers(_INVERSE, len(raw))[self.start]
+        self.hash = mix64(h + (self.end - self.start).astype(U64))
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        self.bounds = np.searchsorted(self.start, first)
+        self.doc = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
+
+    def word(self, i: int) -> bytes:
+        return self.data[self.start[i]:self.end[i]]
+
+
 #: An odd multiplier for windows of word hashes.
 WINDOW_BASE = U64(0x9E3779B97F4A7C15)
 

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, hashes_of, lower_words, materialize, mix64, window_hashes, word_hash_cache
+from .common import U64, HashedWords, materialize, mix64, text_chunks, window_hashes
 from .components import connected_components
 
 SHINGLE = 5
@@ -63,12 +63,13 @@ _MULTIPLY, _ADD = (mix64(np.arange(1, 2 * N_HASH + 1, dtype=U64)) >> U64(32)).as
 _MULTIPLY = _MULTIPLY | np.uint32(1)
 
 
-def shingle_set(words: list[bytes], cache) -> np.ndarray:
-    """Sorted distinct hashes of a document's shingles."""
-    if not words:
-        return np.empty(0, U64)
-    h = hashes_of(words, cache)
-    return np.unique(window_hashes(h, min(SHINGLE, len(h))))
+def shingle_sets(texts):
+    """Sorted distinct hashes of each text's shingles."""
+    for _, run in text_chunks(texts):
+        words = HashedWords(run)
+        for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()):
+            h = words.hash[a:b]
+            yield np.sort(pd.unique(window_hashes(h, min(SHINGLE, b - a)))) if b > a else np.empty(0, U64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -90,11 +91,9 @@ SIGNED = "doc_id long, node long, n_shingles long, sig binary"
 
 
 def _sign(batches):
-    cache = word_hash_cache()
     for pdf in batches:
         out = []
-        for doc, text in zip(pdf["doc_id"], pdf["text"]):
-            s = shingle_set(lower_words(text), cache)
+        for doc, s in zip(pdf["doc_id"], shingle_sets(pdf["text"])):
             out.append((doc, digest_of(s), len(s), signature(s).tobytes()) if len(s)
                        else (doc, None, 0, None))
         yield pd.DataFrame(out, columns=["doc_id", "node", "n_shingles", "sig"]).astype(
@@ -214,7 +213,8 @@ def _candidates(batches):
         else:
             edges = _spanning(_matches(est[a:b]))
         if edges:
-            name = xxhash.xxh3_64_intdigest(key[a].tobytes() + node[a:b].tobytes()) >> 1
+            # A region of one edge needs no second search: 0.
+            name = xxhash.xxh3_64_intdigest(key[a].tobytes() + node[a:b].tobytes()) >> 1 if len(edges) > 1 else 0
             for u, v in edges:
                 region.append(name)
                 us.append(node[a + u])
@@ -232,11 +232,9 @@ def _rest_of_region(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sets(batches):
-    cache = word_hash_cache()
     for pdf in batches:
         out = []
-        for want, text in zip(pdf["node"], pdf["text"]):
-            s = shingle_set(lower_words(text), cache)
+        for want, s in zip(pdf["node"], shingle_sets(pdf["text"])):
             if len(s) and digest_of(s) == want:  # a repeated id may have another text
                 out.append((want, s.tobytes()))
         yield pd.DataFrame(out, columns=["node", "shingles"])
@@ -270,13 +268,13 @@ def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id",
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     spark = docs.sparkSession
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
-    docs = docs.select(as_col(id_col).cast("long").alias("doc_id"), as_col(text_col).alias("text"))
+    docs = docs.select(as_col(id_col).cast("long").alias("doc_id"), as_col(text_col).cast("binary").alias("text"))
     signed = materialize(docs.mapInPandas(_sign, SIGNED), "op1-signed")
     live = signed.where("doc_id is not null and node is not null")
     first = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sigs = live.select("node", "sig").dropDuplicates(["node"])
+    sigs = materialize(live.select("node", "sig").dropDuplicates(["node"]), "op1-nodes")
 
-    rows = live.count() * TREES
+    rows = sigs.count() * TREES
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 100_000 + 1)
     forest = (sigs.mapInPandas(_forest_rows, "key binary, est binary, node long")
               .repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node"))
@@ -284,23 +282,23 @@ def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id",
     pairs = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     checked = materialize(_confirmed(pairs, first, docs), "op1-checked")
     links = checked.where("linked").select("u", "v")
-    comp = connected_components(links)
+    comp = materialize(connected_components(links), "op1-components")
 
     # Regions whose forest lost an edge between components: all their pairs.
     lost = (checked.where("not linked").select("u", "v")
             .join(comp.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u", "left")
             .join(comp.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v", "left")
             .where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v"))
-    again = (edges.withColumn("x", F.least("u", "v")).withColumn("y", F.greatest("u", "v"))
-             .join(lost.select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_semi")
-             .select("region").distinct())
-    members = (edges.join(again, "region", "left_semi")
-               .select("region", F.explode(F.array("u", "v")).alias("node")).distinct()
-               .join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
-               .join(sigs, "node"))
-    rest = materialize(members.groupBy("region").applyInPandas(_rest_of_region, "u long, v long")
-                       .distinct().join(checked, ["u", "v"], "left_anti"), "op1-rest")
-    if not rest.isEmpty():
+    again = materialize(edges.where("region != 0").withColumn("x", F.least("u", "v")).withColumn("y", F.greatest("u", "v"))
+                        .join(lost.toDF("x", "y"), ["x", "y"], "left_semi").select("region").distinct(),
+                        "op1-again")
+    if not again.isEmpty():
+        members = materialize(edges.join(again, "region", "left_semi")
+                              .select("region", F.explode(F.array("u", "v")).alias("node")).distinct()
+                              .join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                              .join(sigs, "node"), "op1-members")
+        rest = materialize(members.groupBy("region").applyInPandas(_rest_of_region, "u long, v long")
+                           .distinct().join(checked, ["u", "v"], "left_anti"), "op1-rest")
         more = _confirmed(rest, first, docs).where("linked").select("u", "v")
         star = comp.where("node != root").select(F.col("root").alias("u"), F.col("node").alias("v"))
         comp = connected_components(star.unionByName(more))
