@@ -17,8 +17,8 @@ Documents are sets of distinct 5-word shingles; two documents are linked if
    spanning forest of the plausible pairs leaves the task -- a group of near
    copies costs its size, not its square.
 4. The edges are confirmed on full shingle sets, components are found, and
-   regions whose forest had a refuted edge are searched again in full for
-   links between different components.
+   regions whose forest had a refuted edge are searched again, on full sets,
+   for links between different components.
 
 With one shared value enough in a sparse region, a pair at the threshold is
 missed with probability 0.25 ** 12 = 6e-8; deeper regions rely on the other
@@ -54,6 +54,8 @@ REGION = 512
 PLAUSIBLE = 50
 #: Matches that make an edge of the first pass of a region's forest.
 LIKELY = 82
+#: Shingles of a region up to which its sets are gathered in one task.
+REGION_SHINGLES = 1 << 22
 _CHUNK = 4096
 _KEY = 1 + 4 + 2 * (DEPTH - 1)
 
@@ -222,15 +224,42 @@ def _candidates(batches):
     yield pd.DataFrame({"region": region, "u": us, "v": vs}).astype("int64")
 
 
-def _rest_of_region(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Plausible pairs of one region between different components."""
+def _cross_pairs(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Plausible pairs of one region between different components, the most
+    alike first."""
     est = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), N_HASH)
-    match = _matches((est & 0xFF).astype(np.uint8))
-    root, node = pdf["root"].to_numpy(), pdf["node"].to_numpy()
+    match, root = _matches((est & 0xFF).astype(np.uint8)), pdf["root"].to_numpy()
     i, j = np.nonzero(np.triu((match >= PLAUSIBLE) & (root[:, None] != root[None, :]), 1))
+    by = np.argsort(-match[i, j].astype(int), kind="stable")
+    return i[by], j[by]
+
+
+def _pairs_of_region(pdf: pd.DataFrame) -> pd.DataFrame:
+    (i, j), node = _cross_pairs(pdf), pdf["node"].to_numpy()
     return pd.DataFrame({"u": np.minimum(node[i], node[j]), "v": np.maximum(node[i], node[j])})
 
 
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def _links_of_region(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between components of one region, confirmed on the full sets
+    that its rows carry; none that a link found before makes needless."""
+    node = pdf["node"].to_numpy()
+    place = {r: k for k, r in enumerate(pd.unique(pdf["root"]))}
+    group, parent = [place[r] for r in pdf["root"]], list(range(len(place)))
+    sets = [np.frombuffer(x, U64) for x in pdf["shingles"]]
+    out = []
+    for i, j in zip(*(x.tolist() for x in _cross_pairs(pdf))):
+        a, b = _find(parent, group[i]), _find(parent, group[j])
+        if a != b and _linked(sets[i], sets[j]):
+            parent[a] = b
+            out.append((node[i], node[j]))
+    return pd.DataFrame(out, columns=["u", "v"])
+
+
 def _sets(batches):
     for pdf in batches:
         out = []
@@ -242,22 +271,21 @@ def _sets(batches):
 
 def _confirm(batches):
     for pdf in batches:
-        ok = []
-        for a, b in zip(pdf["a"], pdf["b"]):
-            x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+        ok = [_linked(np.frombuffer(a, U64), np.frombuffer(b, U64)) for a, b in zip(pdf["a"], pdf["b"])]
         yield pd.DataFrame({"u": pdf["u"], "v": pdf["v"], "linked": ok})
 
 
-def _confirmed(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pairs`` (u, v) with ``linked``: the contract's test on whole sets,
-    computed again from the texts of the nodes that occur in a pair."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+def _sets_of(nodes: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
+    """Shingle sets of distinct ``nodes``, computed again from one text each."""
     wanted = first.join(nodes, "node", "left_semi")
     sets = (docs.join(wanted, "doc_id").select("node", "text")
             .mapInPandas(_sets, "node long, shingles binary").dropDuplicates(["node"]))
-    sets = materialize(sets, "op1-sets")
+    return materialize(sets, "op1-sets")
+
+
+def _confirmed(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
+    """``pairs`` (u, v) with ``linked``: the contract's test on whole sets."""
+    sets = _sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), first, docs)
     return (pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
             .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
             .mapInPandas(_confirm, "u long, v long, linked boolean"))
@@ -296,10 +324,20 @@ def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id",
         members = materialize(edges.join(again, "region", "left_semi")
                               .select("region", F.explode(F.array("u", "v")).alias("node")).distinct()
                               .join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
-                              .join(sigs, "node"), "op1-members")
-        rest = materialize(members.groupBy("region").applyInPandas(_rest_of_region, "u long, v long")
-                           .distinct().join(checked, ["u", "v"], "left_anti"), "op1-rest")
-        more = _confirmed(rest, first, docs).where("linked").select("u", "v")
+                              .join(live.select("node", "n_shingles").distinct(), "node"), "op1-members")
+        # A region's sets meet in one task if they are small; the pairs of the
+        # few others are confirmed one by one.
+        large = members.groupBy("region").agg(F.sum("n_shingles").alias("n")).where(F.col("n") > REGION_SHINGLES)
+        small = members.join(large, "region", "left_anti")
+        sets = _sets_of(small.select("node").distinct(), first, docs)
+        more = (small.join(sigs, "node").join(sets, "node").select("region", "node", "root", "sig", "shingles")
+                .groupBy("region").applyInPandas(_links_of_region, "u long, v long"))
+        rest = materialize(members.join(large, "region", "left_semi").join(sigs, "node")
+                           .select("region", "node", "root", "sig").groupBy("region")
+                           .applyInPandas(_pairs_of_region, "u long, v long").distinct()
+                           .join(checked, ["u", "v"], "left_anti"), "op1-rest")
+        if not rest.isEmpty():
+            more = more.unionByName(_confirmed(rest, first, docs).where("linked").select("u", "v"))
         star = comp.where("node != root").select(F.col("root").alias("u"), F.col("node").alias("v"))
         comp = connected_components(star.unionByName(more))
 
