@@ -33,6 +33,14 @@ LENGTH = 1024
 TOKENS = "doc_id long, part int, before long, n long, ids binary"
 
 
+def byte_spelling() -> dict[int, str]:
+    """The character that byte-level vocabularies spell each byte with:
+    printable Latin-1 characters themselves, the others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b if b in printable else next(others)) for b in range(256)}
+
+
 class TokenizerFile:
     """A ``tokenizers`` file of byte-level BPE. The library encodes each
     distinct pre-token of a task once; the pre-tokenizer's own pattern splits
@@ -52,9 +60,14 @@ class TokenizerFile:
     def _make(self) -> Callable[[str | None], bytes]:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(self.json_text)
-        tokenizer.encode_special_tokens = True  # in a text, their names are text
-        one = lambda piece: np.array(tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        # The tokenizer's model on one pre-token, spelt in its byte alphabet;
+        # names of special tokens are text like any other.
+        model, spelling = Tokenizer.from_str(self.json_text).model, byte_spelling()
+
+        def one(piece: str) -> bytes:
+            spelt = piece.encode().decode("latin-1").translate(spelling)
+            return np.array([t.id for t in model.tokenize(spelt)], "<u4").tobytes()
+
         split, cache = regex.compile(self.pattern).findall, BoundedCache(one)
         end = np.array([self.separator], "<u4").tobytes()
         return lambda text: b"".join(map(cache.__getitem__, split(text or ""))) + end
@@ -88,7 +101,9 @@ def cut(tokens: DataFrame, length: int = LENGTH) -> DataFrame:
     # One row per input partition; no key: the prefix sum runs over all.
     base = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
     first = F.col("base") + F.col("before")
-    placed = tokens.join(base, "part").select("doc_id", "n", "ids", first.alias("first"))
+    # As many rows as input partitions, so never near the size of the data;
+    # without the hint, the ids would be shuffled to meet them.
+    placed = tokens.join(F.broadcast(base), "part").select("doc_id", "n", "ids", first.alias("first"))
 
     def piece(seq):
         start = F.greatest(seq * length - F.col("first"), F.lit(0))
