@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, BoundedCache
+from .common import U64, BoundedCache, text_batches
 
 #: Displacements a bucket may try before the next seed, and at a time.
 _TRIES, _AT_ONCE = 1 << 16, 64
@@ -172,7 +172,7 @@ def encode(df: DataFrame, model: BpeModel, text_col: str = "text", ids_col: str
         for texts in batches:
             yield pd.Series([run(t) for t in texts], dtype=object)
 
-    return df.withColumn(ids_col, ids(F.col(text_col)))
+    return text_batches(df).withColumn(ids_col, ids(F.col(text_col)))
 
 
 def decode(df: DataFrame, model: BpeModel, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -185,7 +185,7 @@ def decode(df: DataFrame, model: BpeModel, ids_col: str = "ids", bytes_col: str
         for ids in batches:
             yield pd.Series([model.decode(x) for x in ids], dtype=object)
 
-    return df.withColumn(bytes_col, back(F.col(ids_col)))
+    return text_batches(df).withColumn(bytes_col, back(F.col(ids_col)))
 
 
 def unpack_ids(ids: str | Column) -> Column:

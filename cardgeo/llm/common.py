@@ -29,13 +29,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lower_words(text: str | bytes | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; null has none.
-    ``bytes.split()`` splits on exactly that white space."""
-    if text is None:
-        return []
-    raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text
-    return raw.translate(LOWER).split()
+def text_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, its session set to hand at most ``rows`` texts at a time to
+    Python: batches of long documents stay within a task's memory."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(key)) > rows:
+        conf.set(key, rows)
+    return df
 
 
 class BoundedCache(dict):
@@ -43,7 +43,7 @@ class BoundedCache(dict):
     each: a full young generation becomes the old one, and keys used again
     move back. Frequent keys stay; memory is bounded for any vocabulary."""
 
-    def __init__(self, make: Callable, limit: int = 1 << 18):
+    def __init__(self, make: Callable, limit: int = 1 << 17):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
