@@ -1,7 +1,10 @@
 """Declared schemas of inputs and outputs.
 
-Schemas are never mutated: ``StructType.add`` changes the object in place,
-so derived schemas are built with :func:`extend`.
+Fixed values: the column names and types of the transactions, the vendor
+mapping and the stored outputs. ``TXN_SCHEMA``, ``VENDOR_SCHEMA`` and
+``LEDGER_SCHEMA`` are enforced on reads; the output schemas state what the
+operators return, and tests hold them to it. Schemas are never mutated
+(``StructType.add`` changes the object in place).
 """
 
 from __future__ import annotations
@@ -62,14 +65,10 @@ LEDGER_SCHEMA = StructType([
     StructField("row_count", LongType(), False),
     StructField("schema_json", StringType(), False),
     StructField("metrics", MapType(StringType(), LongType()), True),
+    StructField("requires", StringType(), True),
 ])
 
 
-def extend(base: StructType, *fields: StructField) -> StructType:
-    """New schema with ``fields`` appended; ``base`` is left untouched."""
-    return StructType(list(base.fields) + list(fields))
-
-
 def names_and_types(schema: StructType) -> list[tuple[str, DataType]]:
     """Schema without nullability: windows, division and file reads all
     return nullable columns, so only names and types are comparable."""

@@ -14,6 +14,13 @@ hides the month's older rows, and earlier runs stay readable "as of" a time
 or run. The ledger also stores each run's schema, so reads get a declared
 schema (no footer sampling) and older months read null for newer columns.
 
+A run id names one set of partitions: writing again under the same id replaces
+exactly those (so a scheduler may retry under its own id). Two tables commit
+as one: the first one's ledger rows name the second table's ledger
+(``requires``), and count only once the run is in that ledger too. Rows
+without a month belong to no partition; they are left out and counted in the
+ledger metric ``null_month_rows``.
+
 The ledger grows by one row per run (months x re-runs), not with the data;
 it is the only thing brought to the driver. One writer per month at a time.
 """
@@ -26,7 +33,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -164,6 +171,21 @@ class SnapshotTable:
         # re-runs its input stage once to sample the bounds).
         return self._stage(df.hint("rebalance", "snapshot_month"), months, run_id, metrics)
 
+    def prune(self, spark: SparkSession, keep: int = 1) -> list[tuple[str, str]]:
+        """Delete the files of all but each month's ``keep`` newest runs and
+        return ``(month, run id)`` of those deleted. Their ledger rows stay as
+        history; a read as of a deleted run fails on its missing path."""
+        if keep < 1:
+            raise ValueError("keep at least one run per month")
+        newest = Window.partitionBy("snapshot_month").orderBy(F.desc("committed_at"), F.desc("run_id"))
+        runs = (self._visible(spark).groupBy("snapshot_month", "run_id")
+                .agg(F.max("committed_at").alias("committed_at"))
+                .withColumn("_n", F.row_number().over(newest)).where(F.col("_n") > keep))
+        gone = sorted((r["snapshot_month"], r["run_id"]) for r in runs.collect())
+        for month, run in gone:
+            remove_dir(spark, f"{self.data_path}/snapshot_month={month}/run_id={run}")
+        return gone
+
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
         return self.commit(self._stage(out, months, run_id, metrics))
 
@@ -179,8 +201,14 @@ class SnapshotTable:
 
     def _stage(self, out: DataFrame, months, run_id, metrics) -> "StagedRun":
         run_id = run_id or new_run_id()
+        metrics = dict(metrics or {})
         schema_json = out.drop(*PARTITION_COLS).schema.json()
-        obs = None
+        self._check_types(out.sparkSession, schema_json)
+        obs, no_month = None, None
+        if months is None:
+            no_month = Observation(f"snapshot-null-{run_id}")
+            out = out.observe(no_month, F.sum(F.when(F.col("snapshot_month").isNull(), 1).otherwise(0)).alias("n"))
+            out = out.where(F.col("snapshot_month").isNotNull())
         if months is not None:
             # Rows per month counted while writing (no second pass).
             obs = Observation(f"snapshot-{run_id}")
@@ -192,7 +220,9 @@ class SnapshotTable:
         writer_df = out.withColumn("run_id", F.lit(run_id)) if self.versioned else out
         w = writer_df.write.format(self.fmt)
         if self.versioned:
-            w.mode("append").partitionBy(*PARTITION_COLS).save(self.data_path)
+            # Only this run's partitions: a first attempt's files go.
+            (w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*PARTITION_COLS).save(self.data_path))
         else:
             (w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("snapshot_month").save(self.data_path))
@@ -201,20 +231,30 @@ class SnapshotTable:
             counts = {m: int(got.get(f"m{i}") or 0) for i, m in enumerate(months)}
         else:
             counts = self._written_counts(out.sparkSession, run_id)
-            months = sorted(counts)
-        return StagedRun(self, tuple(months), run_id, counts, schema_json, dict(metrics or {}),
+            months = [validate_month(m) for m in sorted(counts)]
+            metrics["null_month_rows"] = int(no_month.get.get("n") or 0)
+        return StagedRun(self, tuple(months), run_id, counts, schema_json, metrics,
                          out.sparkSession)
 
+    def _check_types(self, spark, schema_json: str) -> None:
+        """New columns and safe widening may join a table; any other change of
+        a column's type would make its older months unreadable."""
+        known = {r["schema_json"] for r in self.current_runs(spark)}
+        _merged_schema([*sorted(known), schema_json])
+
     def commit(self, staged: "StagedRun", metrics: dict[str, int] | None = None,
-               month_metrics: dict[str, dict[str, int]] | None = None) -> list[Commit]:
-        """Append the staged run's ledger rows: from now on readers see it.
-        ``month_metrics`` adds metrics to one month's ledger row."""
+               month_metrics: dict[str, dict[str, int]] | None = None,
+               requires: "SnapshotTable | None" = None) -> list[Commit]:
+        """Append the staged run's ledger rows: from now on readers see it --
+        or, with ``requires``, from when that table has committed the same run
+        too. ``month_metrics`` adds metrics to one month's ledger row."""
         spark = staged.spark
         now = dt.datetime.now(dt.timezone.utc)
         base = {**staged.metrics, **(metrics or {})}
         commits = [Commit(m, staged.run_id, now, staged.counts.get(m, 0)) for m in staged.months]
         rows = [(c.snapshot_month, c.run_id, c.committed_at, c.row_count, staged.schema_json,
-                 {**base, **(month_metrics or {}).get(c.snapshot_month, {})}) for c in commits]
+                 {**base, **(month_metrics or {}).get(c.snapshot_month, {})},
+                 requires.ledger_path if requires else None) for c in commits]
         if rows:
             (literal_rows(spark, rows, LEDGER_SCHEMA)
              .write.mode("append").format("parquet").save(self.ledger_path))
@@ -246,7 +286,7 @@ class SnapshotTable:
             if e.getCondition() == "PATH_NOT_FOUND":  # the run wrote no rows
                 return {}
             raise
-        return {str(r[0]): int(r[1])
+        return {r[0]: int(r[1])
                 for r in df.groupBy(F.col("snapshot_month").cast("string")).count().collect()}
 
     # ------------------------------------------------------------- read
@@ -261,9 +301,34 @@ class SnapshotTable:
                 return spark.createDataFrame([], LEDGER_SCHEMA)
             raise
 
+    def _visible(self, spark: SparkSession) -> DataFrame:
+        """Ledger rows whose commit is complete: a row that requires another
+        table's commit counts only if that ledger has its run."""
+        led = self.ledger(spark)
+        others = [r[0] for r in led.where("requires is not null").select("requires").distinct().collect()]
+        if not others:
+            return led
+        done = None
+        for path in others:
+            if path_matches(spark, path) is False:  # never committed
+                continue
+            try:
+                part = spark.read.schema(LEDGER_SCHEMA).parquet(path).select(
+                    F.lit(path).alias("requires"), "snapshot_month", "run_id").distinct()
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            done = part if done is None else done.unionByName(part)
+        own = led.where("requires is null")
+        if done is None:
+            return own
+        return own.unionByName(led.join(done, ["requires", "snapshot_month", "run_id"], "left_semi")
+                               .select(*led.columns))
+
     def runs(self, spark: SparkSession, month: str | None = None) -> DataFrame:
         """Version history: every committed run (of ``month``), newest first."""
-        led = self.ledger(spark)
+        led = self._visible(spark)
         if month is not None:
             led = led.where(F.col("snapshot_month") == validate_month(month))
         return (led.select("snapshot_month", "run_id", "committed_at", "row_count", "metrics")
@@ -271,12 +336,16 @@ class SnapshotTable:
 
     def current_runs(self, spark: SparkSession, *, as_of: dt.datetime | None = None,
                      as_of_run: str | None = None):
-        """Latest committed run per month (optionally as of a time / run)."""
-        led = self.ledger(spark)
+        """Latest committed run per month (optionally as of a time, or as of
+        a run's commit; a run that was never committed is an error)."""
+        led = self._visible(spark)
         if as_of is not None:
             led = led.where(F.col("committed_at") <= F.lit(as_of))
         if as_of_run is not None:
-            led = led.where(F.col("run_id") <= F.lit(as_of_run))
+            at = led.where(F.col("run_id") == as_of_run).agg(F.max("committed_at").alias("at"))
+            if at.first()["at"] is None:
+                raise ValueError(f"no committed run {as_of_run!r}")
+            led = led.join(F.broadcast(at), F.col("committed_at") <= F.col("at")).drop("at")  # one row
         latest = (led.groupBy("snapshot_month")
                   .agg(F.max_by(F.struct("run_id", "row_count", "schema_json"),
                                 F.struct("committed_at", "run_id")).alias("r"))
@@ -336,10 +405,21 @@ def literal_rows(spark: SparkSession, rows, schema: StructType) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(parsed))
 
 
+# Changes of a stored type that Parquet readers widen safely.
+_WIDER = {("byte", "short"), ("byte", "integer"), ("byte", "long"), ("short", "integer"), ("short", "long"),
+          ("integer", "long"), ("float", "double")}
+
+
 def _merged_schema(schema_jsons) -> StructType:
-    """Union of run schemas by column name (first type seen wins)."""
+    """Union of run schemas by column name; a column's widest type wins, and
+    types that do not widen into each other are an error."""
     fields: dict[str, StructField] = {}
     for s in schema_jsons:
         for f in StructType.fromJson(json.loads(s)).fields:
-            fields.setdefault(f.name, StructField(f.name, f.dataType, True))
+            old = fields.get(f.name)
+            if old is None or (old.dataType.typeName(), f.dataType.typeName()) in _WIDER:
+                fields[f.name] = StructField(f.name, f.dataType, True)
+            elif old.dataType != f.dataType and (f.dataType.typeName(), old.dataType.typeName()) not in _WIDER:
+                raise ValueError(f"column {f.name!r} changes type from {old.dataType.simpleString()} "
+                                 f"to {f.dataType.simpleString()}")
     return StructType(list(fields.values()))

@@ -144,7 +144,8 @@ def test_literal_rows_match_declared_schema(spark):
     from cardgeo.schemas import LEDGER_SCHEMA
     from cardgeo.sinks import literal_rows
     at = dt.datetime(2024, 2, 1, 12, 0)
-    got = [("2024-01", "r1", at, 5, "{}", {"a": 1, "b": 2 ** 40}), ("2024-02", "r1", at, 0, "{}", {})]
+    got = [("2024-01", "r1", at, 5, "{}", {"a": 1, "b": 2 ** 40}, None),
+           ("2024-02", "r1", at, 0, "{}", {}, "/other/_ledger")]
     df = literal_rows(spark, got, LEDGER_SCHEMA)
     assert names_and_types(df.schema) == names_and_types(LEDGER_SCHEMA)
     assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
@@ -162,6 +163,7 @@ _ledger_rows = st.lists(st.tuples(
     st.integers(-2 ** 63, 2 ** 63 - 1),
     _text,
     st.one_of(st.none(), st.dictionaries(_text, st.integers(-2 ** 63, 2 ** 63 - 1), max_size=4)),
+    st.one_of(st.none(), _text),
 ), min_size=1, max_size=5)
 
 
@@ -174,5 +176,57 @@ def test_literal_rows_round_trip(spark, got):
     from cardgeo.sinks import literal_rows
     back = [tuple(r) for r in literal_rows(spark, got, LEDGER_SCHEMA).collect()]
     # collected timestamps are naive local time, as createDataFrame takes them
-    want = [(m, r, at.astimezone().replace(tzinfo=None), n, s, mt) for m, r, at, n, s, mt in got]
+    want = [(m, r, at.astimezone().replace(tzinfo=None), n, s, mt, q) for m, r, at, n, s, mt, q in got]
     assert back == want
+
+
+def test_same_run_id_replaces_its_rows(spark, table_root):
+    t = SnapshotTable(table_root)
+    t.write(flags(spark, ["B1", "B2"]), "2023-01", run_id="r1")
+    t.write(flags(spark, ["B3"]), "2023-02")
+    t.write(flags(spark, ["B2"]), "2023-01", run_id="r1")
+    assert bins_of(t.read(spark), "2023-01") == ["B2"] and bins_of(t.read(spark), "2023-02") == ["B3"]
+
+
+def test_as_of_run_goes_by_commit_not_by_name(spark, table_root):
+    t = SnapshotTable(table_root)
+    early = t.stage(flags(spark, ["B1"]), "2023-01", run_id="a")
+    t.write(flags(spark, ["B2"]), "2023-01", run_id="b")
+    t.commit(early)
+    assert bins_of(t.read(spark, as_of_run="b"), "2023-01") == ["B2"]
+    assert bins_of(t.read(spark, as_of_run="a"), "2023-01") == ["B1"]
+    with pytest.raises(ValueError, match="no committed run"):
+        t.read(spark, as_of_run="c")
+
+
+def test_rows_without_month_are_left_out_and_counted(spark, table_root):
+    t = SnapshotTable(table_root)
+    df = flags(spark, ["B1", "B2", "B3"]).withColumn(
+        "snapshot_month", F.when(F.col("BIN") != "B2", F.lit("2023-01")))
+    t.write_months(df)
+    assert bins_of(t.read(spark), "2023-01") == ["B1", "B3"]
+    assert t.ledger(spark).first().metrics["null_month_rows"] == 1
+    with pytest.raises(ValueError, match="month"):
+        t.write_months(flags(spark, ["B1"]).withColumn("snapshot_month", F.lit("2023-1")))
+    assert t.read(spark).count() == 2
+
+
+def test_changed_column_type_is_refused_and_widening_is_read(spark, table_root):
+    t = SnapshotTable(table_root)
+    t.write(flags(spark, ["B1"]).withColumn("x", F.lit(3).cast("int")), "2023-01")
+    with pytest.raises(ValueError, match="changes type"):
+        t.write(flags(spark, ["B1"]).withColumn("x", F.lit("a")), "2023-02")
+    t.write(flags(spark, ["B1"]).withColumn("x", F.lit(1 << 40)), "2023-02")
+    assert rows(t.read(spark), "snapshot_month", "x") == [("2023-01", 3), ("2023-02", 1 << 40)]
+
+
+def test_prune_keeps_the_newest_runs(spark, table_root):
+    t = SnapshotTable(table_root)
+    first = t.write(flags(spark, ["B1"]), "2023-01")
+    t.write(flags(spark, ["B2"]), "2023-01")
+    t.write(flags(spark, ["B3"]), "2023-02")
+    assert t.prune(spark, keep=2) == []
+    assert t.prune(spark) == [("2023-01", first.run_id)]
+    assert bins_of(t.read(spark), "2023-01") == ["B2"] and bins_of(t.read(spark), "2023-02") == ["B3"]
+    with pytest.raises(ValueError):
+        t.prune(spark, keep=0)
