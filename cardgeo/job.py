@@ -49,6 +49,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--coverage", default="0.95")
     p.add_argument("--min-txns", type=int, default=100)
     p.add_argument("--no-gate", action="store_true", help="publish despite DQ violations")
+    p.add_argument("--row-bounds", default="0.5:2.0",
+                   help="LO:HI times the previous month's rows, or 'any'")
     p.add_argument("--strict", action="store_true",
                    help="also reject non-digit BINs and malformed country codes")
     a = p.parse_args(argv)
@@ -77,6 +79,7 @@ def main(argv=None, spark=None) -> list:
         gate=not a.no_gate,
         date_col=a.date_col,
         strict=a.strict,
+        row_bounds=None if a.row_bounds == "any" else tuple(map(float, a.row_bounds.split(":"))),
     )
     for r in results:
         print(json.dumps({"month": r.month, "run_id": r.run_id, **r.metrics}))

@@ -7,13 +7,11 @@ from .clean import (
     load_filtered,
     REASONS,
     reason_text,
-    reject_reason,
     reject_reason_code,
     reject_reasons,
     slice_month,
     strict_bin_rejects,
     strict_country_rejects,
-    with_snapshot_month,
 )
 from .compare import (
     discrepancy_severity,
@@ -44,7 +42,6 @@ from .quality import (
     dq_total_matches,
     dq_unique_bin,
     dq_unique_bin_country,
-    load_metrics,
     reason_counts,
     stage_metrics,
     support_metrics,
@@ -70,7 +67,6 @@ __all__ = [
     "dq_total_matches",
     "dq_unique_bin",
     "dq_unique_bin_country",
-    "load_metrics",
     "reason_counts",
     "snapshot_drift",
     "drift_summary",
@@ -96,7 +92,6 @@ __all__ = [
     "rank_window",
     "REASONS",
     "reason_text",
-    "reject_reason",
     "reject_reason_code",
     "reject_reasons",
     "select_top_countries",
@@ -107,5 +102,4 @@ __all__ = [
     "top1_country",
     "vendor_conflicts",
     "vendor_dedup",
-    "with_snapshot_month",
 ]

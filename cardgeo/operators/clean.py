@@ -22,13 +22,15 @@ _TXN_COLS = {"BIN", "billing_address_country", "fraud_label"}
 
 
 def slice_month(tx: DataFrame, month, ts_col: str = "timestamp",
-                date_col: str | None = None) -> DataFrame:
+                date_col: str | None = None, *, with_null: bool = False) -> DataFrame:
     """Rows of ``month`` -- one ``YYYY-MM`` or a list of them -- (``None`` =
     all history). Half-open timestamp ranges, so Parquet row groups outside
     them are skipped; several months are one OR of ranges, one scan.
 
     ``date_col`` names a date partition column of the table (e.g.
-    ``txn_date``); the same range on it prunes whole partitions.
+    ``txn_date``); the same range on it prunes whole partitions. ``with_null``
+    keeps rows without a timestamp, so that a run can account for them (with
+    ``date_col``: those in the partitions that it reads, and in the null one).
     """
     if month is None:
         return tx
@@ -36,9 +38,12 @@ def slice_month(tx: DataFrame, month, ts_col: str = "timestamp",
     months = [month] if isinstance(month, str) else list(month)
     if not months:
         raise ValueError("empty month list")
-    out = tx.where(in_month(ts_col, months, tx.schema[ts_col].dataType))
+    def ok(cond, c):
+        return cond | F.col(c).isNull() if with_null else cond
+
+    out = tx.where(ok(in_month(ts_col, months, tx.schema[ts_col].dataType), ts_col))
     if date_col:
-        out = out.where(in_month_dates(date_col, months, tx.schema[date_col].dataType))
+        out = out.where(ok(in_month_dates(date_col, months, tx.schema[date_col].dataType), date_col))
     return out
 
 
@@ -76,24 +81,21 @@ def load_filtered(
     return slice_month(tx, month, ts_col, date_col).where(cond)
 
 
-def with_snapshot_month(tx: DataFrame, ts_col: str = "timestamp") -> DataFrame:
-    """Add the row-level ``snapshot_month`` label (YYYY-MM). Aggregations
-    with ``by=("snapshot_month",)`` do not need it: they group by a cheaper
-    integer month key and render the label after aggregating."""
-    return tx.withColumn("snapshot_month", month_of(ts_col))
-
-
 # Reject reasons in first-match order; "kept" means the row passes.
-REASONS = ("null_label", "fraud", "null_country", "bad_bin_length",
+# "null_timestamp" applies to monthly runs: such a row belongs to no month.
+REASONS = ("null_timestamp", "null_label", "fraud", "null_country", "bad_bin_length",
            "bad_bin_format", "bad_country_format", "kept")
 
 
-def reject_reason_code(strict: bool = False):
+def reject_reason_code(strict: bool = False, monthly: bool = False):
     """First-match reason a row is dropped by :func:`load_filtered`, as an
     index into ``REASONS`` (an integer is a cheaper per-row grouping key
-    than text; :func:`reason_text` names it after aggregation)."""
+    than text; :func:`reason_text` names it after aggregation). ``monthly``:
+    a row without a timestamp is dropped too."""
     code = {r: i for i, r in enumerate(REASONS)}
-    r = (F.when(F.col("fraud_label").isNull(), code["null_label"])
+    no_time = F.col("timestamp").isNull() if monthly else F.lit(False)
+    r = (F.when(no_time, code["null_timestamp"])
+         .when(F.col("fraud_label").isNull(), code["null_label"])
          .when(F.col("fraud_label"), code["fraud"])
          .when(F.col("billing_address_country").isNull(), code["null_country"])
          .when(~bin_length_ok(), code["bad_bin_length"]))
@@ -107,20 +109,16 @@ def reason_text(code_col):
     return F.element_at(F.array(*[F.lit(r) for r in REASONS]), code_col + F.lit(1))
 
 
-def reject_reason(strict: bool = False):
-    """First-match reason a row is dropped by :func:`load_filtered` (text)."""
-    return reason_text(reject_reason_code(strict))
-
-
 def reject_reasons(
-    tx: DataFrame, month=None, *, strict: bool = False, by=()
+    tx: DataFrame, month=None, *, strict: bool = False, by=(), monthly: bool = False
 ) -> DataFrame:
-    """Rows per reason (``kept`` included) in one partial/final aggregate."""
+    """Rows per reason (``kept`` included) in one partial/final aggregate;
+    ``monthly`` as in :func:`reject_reason_code`."""
     from .counts import group_keys, months_as_text
     require_columns(tx.columns, _TXN_COLS, "transactions")
     sliced = slice_month(tx, month)
     return months_as_text(
-        sliced.groupBy(*group_keys(sliced, by), reject_reason_code(strict).alias("_code"))
+        sliced.groupBy(*group_keys(sliced, by), reject_reason_code(strict, monthly).alias("_code"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .select(*by, reason_text(F.col("_code")).alias("reason"), "n_rows"))
 

@@ -104,16 +104,29 @@ def dq_coverage_reached(top: DataFrame, coverage=DEFAULT_COVERAGE, by=()) -> Dat
             .where(F.col("reason").isNotNull()))
 
 
-def dq_row_count(snap: DataFrame, lo: float = 0.5, hi: float = 2.0) -> DataFrame:
-    """Rows per month against the previous month: anomalous when a month is
-    empty or its row count moved outside ``[lo, hi]`` times the previous.
-
-    The window has no partition key, but it runs over one row per month
-    (a few hundred rows at most), after the per-month aggregate.
+def dq_row_count(snap: DataFrame, lo: float = 0.5, hi: float = 2.0, months=None) -> DataFrame:
+    """Rows per month against the previous calendar month: anomalous when a
+    month is empty or its row count moved outside ``[lo, hi]`` times the
+    previous one.
+
+    Months without rows count as empty: those of ``months`` (a frame with
+    ``snapshot_month``, e.g. a ledger) or, by default, every month between the
+    first and the last one found. The windows and the sequence run over one
+    row per month (a few hundred rows at most), after the per-month aggregate.
     """
-    per_month = snap.groupBy("snapshot_month").agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = snap.where(F.col("snapshot_month").isNotNull()).groupBy("snapshot_month").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    if months is None:
+        day = lambda f: F.to_date(F.concat(f("snapshot_month"), F.lit("-01")))
+        every = F.sequence(day(F.min), day(F.max), F.expr("interval 1 month"))
+        months = (counted.where(F.col("snapshot_month").rlike(_MONTH_PATTERN))
+                  .agg(every.alias("d")).select(F.explode("d").alias("d"))
+                  .select(F.date_format("d", "yyyy-MM").alias("snapshot_month")))
+    listed = months.select("snapshot_month").unionByName(counted.select("snapshot_month")).distinct()
+    per_month = listed.join(counted, "snapshot_month", "left").select(
+        "snapshot_month", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
     prev = F.lag("n_rows").over(Window.orderBy("snapshot_month"))
-    ratio = share("n_rows", "prev_n_rows")
+    ratio = F.when(F.col("prev_n_rows") > 0, share("n_rows", "prev_n_rows"))
     return (per_month.withColumn("prev_n_rows", prev)
             .withColumn("ratio", ratio)
             .withColumn("is_anomalous",
@@ -132,14 +145,6 @@ def _metrics(one_row: DataFrame, spec) -> DataFrame:
     return one_row.select(F.inline(arr))
 
 
-def load_metrics(tx: DataFrame, month: str | None = None) -> DataFrame:
-    kept = reject_reason_code() == F.lit(REASONS.index("kept"))
-    one = slice_month(tx, month).agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.sum(F.when(kept, 1).otherwise(0)).alias("rows_out"))
-    return _metrics(one, [("load", "rows_in", "rows_in"), ("load", "rows_out", "rows_out")])
-
-
 def count_metrics(counts: DataFrame, coverage=DEFAULT_COVERAGE,
                   min_txns: int = DEFAULT_MIN_TXNS) -> DataFrame:
     """Aggregate, coverage and support metrics from the country counts in
@@ -180,11 +185,17 @@ def discrepancy_metrics(flags: DataFrame, vendor: DataFrame) -> DataFrame:
 
 def reason_counts(tx: DataFrame, month=None, by=(), *, strict: bool = False) -> DataFrame:
     """Rows per (reject reason, BIN, country): one scan and one partial/final
-    aggregate from which every stage metric can be derived."""
+    aggregate from which every stage metric can be derived. Rejected rows are
+    counted by reason only: malformed BINs have no bound on their number, and
+    nothing downstream needs (or should keep) their values. By month, a row
+    without a timestamp is rejected as ``null_timestamp``."""
     sliced = slice_month(tx, month)
     keys = group_keys(sliced, by)
-    agg = (sliced.groupBy(*keys, reject_reason_code(strict).alias("_code"), "BIN",
-                          F.col("billing_address_country").alias("country"))
+    code = reject_reason_code(strict, monthly="snapshot_month" in by)
+    kept = F.col("_code") == REASONS.index("kept")
+    agg = (sliced.withColumn("_code", code)
+           .groupBy(*keys, "_code", F.when(kept, F.col("BIN")).alias("BIN"),
+                    F.when(kept, F.col("billing_address_country")).alias("country"))
            .agg(F.count(F.lit(1)).alias("n")))
     return months_as_text(agg.select(*by, reason_text(F.col("_code")).alias("reason"),
                                      "BIN", "country", "n"))
@@ -200,15 +211,19 @@ def stage_metrics(tx: DataFrame, vendor: DataFrame, month=None, coverage=DEFAULT
     filters below the shared aggregate, so its shuffle cannot be reused.)"""
     from .compare import vendor_dedup
 
-    k = F.col("reason") == "kept"
+    # Rejected rows have no BIN, so they meet in the null BIN: one row per
+    # reason. Both windows share one sort: the columns they order by exist
+    # before them, and the unordered sum comes after the ordered ones.
+    k, kn = F.col("_kept"), F.col("_kn")
     part = Window.partitionBy("BIN")
     order = part.orderBy(k.desc(), F.col("n").desc(), F.col("country").asc_nulls_first())
-    kn = F.when(k, F.col("n")).otherwise(F.lit(0))
     ranked = (reason_counts(tx, month)
-              .withColumn("bin_total", F.sum(kn).over(part))
-              .withColumn("_cum", F.sum(kn).over(
-                  order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .withColumn("_rn", F.row_number().over(order)))
+              .withColumn("_kept", F.col("reason") == "kept")
+              .withColumn("_kn", F.when(k, F.col("n")).otherwise(F.lit(0)))
+              .withColumns({"_cum": F.sum(kn).over(
+                                order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                            "_rn": F.row_number().over(order)})
+              .withColumn("bin_total", F.sum(kn).over(part)))
     v = vendor_dedup(vendor).select("BIN", F.col("country").alias("vendor_country"))
     j = ranked.join(v, "BIN", "left")
     cov = k & within_coverage(F.col("_cum") - F.col("n"), "bin_total", coverage)

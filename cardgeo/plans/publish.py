@@ -10,14 +10,20 @@ One pass over the transactions per run, however many months. The flow:
    reason) is an exact aggregate of committed files, not an accumulator
    that a re-run stage could count twice;
 2. counts -> support -> coverage cut; stage the top-country map;
-3. flags from the staged map; map and flags checked (small aggregates);
-   flags staged; drift counts against the previous month (from this run or
-   the table) go into each month's ledger metrics;
-4. commit both runs to their ledgers only if the checks pass (``gate``);
-   otherwise nothing becomes visible and :class:`DataQualityError` is
-   raised. After a commit the work folder is deleted; a failed run keeps
-   it. Row counts of staged runs come from result-stage observations
-   (applied once per partition) on the writes.
+3. flags from the staged map, staged too; counts, map and flags checked on
+   the written files (small aggregates), row counts against the previous
+   month; drift counts against the previous month (from this run or the
+   table) go into each month's ledger metrics;
+4. commit only if the checks pass (``gate``); otherwise nothing becomes
+   visible and :class:`DataQualityError` is raised. The map's ledger rows
+   require the flags' commit, which comes second: that one append makes both
+   tables visible, and a failure before it shows neither. After a commit the
+   work folder is deleted; a failed run keeps it. Row counts of staged runs
+   come from result-stage observations (applied once per partition) on the
+   writes.
+
+Rows without a timestamp belong to no month; a run counts those it meets as
+``null_timestamp`` of the whole run, repeated in each month's metrics.
 """
 
 from __future__ import annotations
@@ -32,6 +38,7 @@ from ..operators import (
     REASONS,
     counts_from_partials,
     dq_coverage_reached,
+    dq_total_matches,
     drift_summary,
     filter_supported_bins,
     flag_discrepancies,
@@ -43,6 +50,10 @@ from ..params import Params, prev_month, validate_month
 from ..sinks import SnapshotTable, checkpoint_dir, new_run_id, remove_dir
 
 
+#: Rows of a month against the previous one that the gate accepts.
+ROW_BOUNDS = (0.5, 2.0)
+
+
 class DataQualityError(RuntimeError):
     def __init__(self, month: str, violations: dict[str, int], run_id: str | None = None):
         super().__init__(f"data-quality checks failed for {month}: {violations}")
@@ -90,6 +101,19 @@ def map_violations(top: DataFrame, coverage, by=("snapshot_month",)) -> DataFram
                                  F.count(F.lit(1)).alias("n"))))
 
 
+def row_count_anomalies(counts: dict[str, int], before: dict[str, int], bounds) -> int:
+    """How many of the run's months (``counts``) are empty, or leave
+    ``bounds`` times the previous calendar month's rows -- of this run, else of
+    the table (``before``). The rule of ``dq_row_count``, on ledger figures."""
+    lo, hi = bounds
+    bad = 0
+    for month, n in counts.items():
+        p = prev_month(month)
+        prior = counts.get(p, before.get(p, 0))
+        bad += n == 0 or (prior > 0 and not lo <= n / prior <= hi)
+    return bad
+
+
 def _months(months) -> list[str]:
     months = [validate_month(m) for m in ([months] if isinstance(months, str) else months)]
     if not months:
@@ -117,20 +141,23 @@ def publish_months(
     run_id: str | None = None,
     date_col: str | None = None,
     strict: bool = False,
+    row_bounds: tuple[float, float] | None = ROW_BOUNDS,
 ) -> list[PublishResult]:
     """Publish ``months`` (a list of ``YYYY-MM``) from ONE scan of ``tx``:
     the windows run per (month, BIN), each table gets one run id covering
     all months, and either every month is committed or none is. ``strict``
-    also rejects non-digit BINs and non-upper-case-letter country codes."""
+    also rejects non-digit BINs and non-upper-case-letter country codes.
+    ``row_bounds``: the gate refuses a month without flags, or with fewer or
+    more rows than these multiples of the previous month's (``None``: any)."""
     months = _months(months)
     run_id = run_id or new_run_id()
     # 1. The one pass over raw rows: counts per (month, reason, BIN, country).
     work = work_dir(tx.sparkSession, map_table, run_id)
-    sliced = slice_month(tx, months, date_col=date_col)
+    sliced = slice_month(tx, months, date_col=date_col, with_null=True)
     reason_counts(sliced, by=("snapshot_month",), strict=strict).write.mode("overwrite").parquet(work)
     results = _publish(tx.sparkSession.read.parquet(work), vendor, months,
                        flags_table=flags_table, map_table=map_table, params=params, gate=gate,
-                       run_id=run_id)
+                       run_id=run_id, row_bounds=row_bounds)
     # Committed: nothing reads the staged counts any more. A run that fails
     # (or is gated) keeps them for inspection.
     remove_dir(tx.sparkSession, work)
@@ -147,19 +174,21 @@ def publish_months_from_counts(
     params: Params = Params(),
     gate: bool = True,
     run_id: str | None = None,
+    row_bounds: tuple[float, float] | None = ROW_BOUNDS,
 ) -> list[PublishResult]:
     """Publish from committed partial counts ``(snapshot_month, reason, BIN,
     country, n)`` -- e.g. the incremental stream's table -- without touching
     the raw transactions (several rows per key are summed)."""
     months = _months(months)
-    partials = partials.where(F.col("snapshot_month").cast("string").isin(months))
+    month = F.col("snapshot_month").cast("string")
+    partials = partials.where(month.isin(months) | (F.col("reason") == "null_timestamp"))
     return _publish(partials, vendor, months, flags_table=flags_table, map_table=map_table,
-                    params=params, gate=gate, run_id=run_id or new_run_id())
+                    params=params, gate=gate, run_id=run_id or new_run_id(), row_bounds=row_bounds)
 
 
 def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
              flags_table: SnapshotTable, map_table: SnapshotTable, params: Params,
-             gate: bool, run_id: str) -> list[PublishResult]:
+             gate: bool, run_id: str, row_bounds) -> list[PublishResult]:
     spark = staged_counts.sparkSession
     by = ("snapshot_month",)
     staged_counts = staged_counts.withColumn(
@@ -169,9 +198,15 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
                       *[F.sum(F.when(F.col("reason") == r, F.col("n")).otherwise(0)).alias(r)
                         for r in REASONS]).collect())
     per_month = {m: dict.fromkeys(("rows_in",) + REASONS, 0) for m in months}
+    no_month = 0
     for r in load_rows:
-        per_month[r["snapshot_month"]].update(
-            {k: int(r[k] or 0) for k in ("rows_in",) + REASONS})
+        if r["snapshot_month"] in per_month:
+            per_month[r["snapshot_month"]].update(
+                {k: int(r[k] or 0) for k in ("rows_in",) + REASONS})
+        else:
+            no_month += int(r["null_timestamp"] or 0)
+    for m in months:
+        per_month[m]["null_timestamp"] = no_month
 
     # 2. Counts, support, coverage; stage the top-country map.
     kept = staged_counts.where(F.col("reason") == "kept").drop("reason")
@@ -180,17 +215,23 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
                                params.coverage, by=by)
     staged_map = map_table.stage_months(top, months, run_id=run_id)
 
-    # 3. Flags from the staged map; map and flags checked before staging.
+    # 3. Flags from the staged map, staged; what was written is checked.
     staged_top = map_table.read_run(spark, staged_map)
-    flags = flag_discrepancies(staged_top, vendor, by=by)
-    fv = flag_violations(flags)
+    staged_flags = flags_table.stage_months(flag_discrepancies(staged_top, vendor, by=by), months,
+                                            run_id=run_id)
+    staged = flags_table.read_run(spark, staged_flags)
+    fv = flag_violations(staged)
+    totals = dq_total_matches(counts, by=by).agg(F.lit("count_totals").alias("check"),
+                                                 F.count(F.lit(1)).alias("n"))
     checks = (fv.unpivot([], fv.columns, "check", "n")
-              .unionByName(map_violations(staged_top, params.coverage)))
+              .unionByName(map_violations(staged_top, params.coverage)).unionByName(totals))
     violations = {r["check"]: int(r["n"] or 0) for r in checks.collect()}  # one action
+    if row_bounds is not None:
+        before = {r["snapshot_month"]: r["row_count"] for r in flags_table.current_runs(spark)}
+        violations["row_count"] = row_count_anomalies(
+            {m: staged_flags.counts.get(m, 0) for m in months}, before, row_bounds)
     if gate and any(violations.values()):
         raise DataQualityError(",".join(months), violations, run_id)
-    staged_flags = flags_table.stage_months(flags, months, run_id=run_id)
-    staged = flags_table.read_run(spark, staged_flags)
 
     # Discrepant counts, and drift against the previous month (from this
     # run, else the table), in one action.
@@ -218,8 +259,8 @@ def _publish(staged_counts: DataFrame, vendor: DataFrame, months: list[str], *,
                             discrepant=disc.get(m, 0), **drift.get(m, {}))
         results.append(PublishResult(m, run_id, per_month[m]["map_rows"],
                                      per_month[m]["flag_rows"], per_month[m], violations))
+    map_table.commit(staged_map, month_metrics=per_month, requires=flags_table)
     flags_table.commit(staged_flags, month_metrics=per_month)
-    map_table.commit(staged_map, month_metrics=per_month)
     return results
 
 

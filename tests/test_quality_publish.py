@@ -17,7 +17,6 @@ from cardgeo.operators import (
     stage_metrics,
 )
 from cardgeo.plans import DataQualityError, publish_month
-from cardgeo.plans.oracle import PLANTED_ROWS
 from cardgeo.schemas import COUNTRY_COUNTS_SCHEMA, FLAGS_SCHEMA, SNAPSHOT_SCHEMA, TXN_SCHEMA
 from cardgeo.sinks import SnapshotTable, shared_dir
 from conftest import rows
@@ -26,29 +25,53 @@ T = dt.datetime(2023, 1, 10)
 
 
 def snapshot(spark):
-    good = [("450000", "US", "US", False, 1500), ("510000", "GB", "CA", True, 200)]
-    return (spark.createDataFrame(good, FLAGS_SCHEMA).withColumn("snapshot_month", F.lit("2023-01"))
-            .unionByName(spark.createDataFrame(PLANTED_ROWS, FLAGS_SCHEMA.fieldNames())
-                         .withColumn("snapshot_month", F.lit("2023-02"))))
-
-
-def test_planted_violations_reported_once(spark):
+    """March has two good rows, April one good row and one row per defect."""
+    march = [("402771", "NL", "NL", False, 41), ("40519930", "SE", "DK", True, 12)]
+    april = [("402771", "NL", "NL", False, 44), ("4410021", "N", None, False, 9),
+             ("4410022", "SE", "SWE", True, 8), ("4410", "PT", None, False, 7),
+             ("441002300", "PT", "PT", False, 6), (None, "NO", None, False, 5),
+             ("4410024", None, "NO", False, 4)]
+    return (spark.createDataFrame(march, FLAGS_SCHEMA).withColumn("snapshot_month", F.lit("2024-03"))
+            .unionByName(spark.createDataFrame(april, FLAGS_SCHEMA)
+                         .withColumn("snapshot_month", F.lit("2024-04"))))
+
+
+def test_each_defect_reported_once(spark):
     snap = snapshot(spark)
     assert rows(dq_nulls(snap)) == [("BIN", 1), ("inferred_top_country", 1)]
     assert rows(dq_country_code(snap), "BIN", "reason") == [
-        ("BADCTRY1", "bad_inferred_country"), ("BADCTRY2", "bad_inferred_country")]
-    assert rows(dq_bin_length(snap), "BIN", "bin_length") == [
-        ("LONGBINTOOLONG", 14), ("SHORT", 5)]
+        ("4410021", "bad_inferred_country"), ("4410022", "bad_vendor_country")]
+    assert rows(dq_bin_length(snap), "BIN", "bin_length") == [("4410", 4), ("441002300", 9)]
     assert dq_unique_bin(snap).count() == 0
-    dup = snap.unionByName(snap.where("BIN = '450000'"))
+    dup = snap.unionByName(snap.where("BIN = '402771'"))
     assert rows(dq_unique_bin(dup), "snapshot_month", "BIN", "n_rows") == [
-        ("2023-01", "450000", 2), ("2023-02", "450000", 2)]
+        ("2024-03", "402771", 2), ("2024-04", "402771", 2)]
 
 
 def test_row_count_anomaly(spark):
     got = {r.snapshot_month: r for r in dq_row_count(snapshot(spark)).collect()}
-    assert got["2023-01"].prev_n_rows is None and not got["2023-01"].is_anomalous
-    assert got["2023-02"].ratio == 4.0 and got["2023-02"].is_anomalous
+    assert got["2024-03"].prev_n_rows is None and not got["2024-03"].is_anomalous
+    assert got["2024-04"].ratio == 3.5 and got["2024-04"].is_anomalous
+
+
+def test_row_count_sees_empty_months(spark):
+    snap = snapshot(spark).where("snapshot_month = '2024-03'")
+    later = snap.withColumn("snapshot_month", F.lit("2024-06"))
+    got = rows(dq_row_count(snap.unionByName(later)), "snapshot_month", "n_rows", "prev_n_rows", "is_anomalous")
+    assert got == [("2024-03", 2, None, False), ("2024-04", 0, 2, True), ("2024-05", 0, 0, True),
+                   ("2024-06", 2, 0, False)]
+    listed = spark.createDataFrame([("2024-02",), ("2024-03",)], "snapshot_month string")
+    assert rows(dq_row_count(snap, months=listed), "snapshot_month", "n_rows", "is_anomalous") == [
+        ("2024-02", 0, True), ("2024-03", 2, False)]
+
+
+def test_row_count_gate():
+    from cardgeo.plans.publish import row_count_anomalies
+    bounds = (0.5, 2.0)
+    assert row_count_anomalies({"2024-04": 10}, {"2024-03": 9}, bounds) == 0
+    assert row_count_anomalies({"2024-04": 10}, {}, bounds) == 0
+    assert row_count_anomalies({"2024-04": 10}, {"2024-03": 21}, bounds) == 1
+    assert row_count_anomalies({"2024-03": 4, "2024-04": 0}, {"2024-02": 1}, bounds) == 2
 
 
 def test_count_checks(spark):
@@ -118,7 +141,7 @@ def test_publish_month_gates_and_commits(spark):
     assert path_matches(spark, work_dir(spark, map_t, e.value.run_id)) is True  # gated: kept
     assert res.violations == dict.fromkeys(
         ("null_critical", "duplicate_bins", "bad_bin_length", "bad_country_code",
-         "map_duplicate_pairs", "map_coverage"), 0)
+         "map_duplicate_pairs", "map_coverage", "count_totals", "row_count"), 0)
     assert rows(flags_t.read(spark)) == [("123456", "US", "US", False, 140, "2023-01")]
     ledger = flags_t.ledger(spark).first()
     assert ledger.row_count == 1 and ledger.metrics["discrepant"] == 0
@@ -135,7 +158,7 @@ def test_publish_months_one_scan_per_month_metrics(spark):
     flags_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
     map_t = SnapshotTable(shared_dir(spark, "cardgeo", "tests"))
     res = publish_months(tx, vendor, ["2023-01", "2023-02", "2023-03"], flags_table=flags_t,
-                         map_table=map_t, params=Params(min_txns=1))
+                         map_table=map_t, params=Params(min_txns=1), row_bounds=None)
     assert len({r.run_id for r in res}) == 1
     assert [(r.month, r.flag_rows, r.metrics["rows_in"], r.metrics["fraud"]) for r in res] == [
         ("2023-01", 1, 4, 0), ("2023-02", 1, 4, 1), ("2023-03", 0, 0, 0)]
@@ -209,3 +232,72 @@ def test_work_dir_prefers_the_shared_checkpoint_dir():
     t = SnapshotTable("/tables/maps/")
     assert work_dir(Session("/shared/ck/"), t, "r1") == "/shared/ck/cardgeo/publish/run_id=r1"
     assert work_dir(Session(None), t, "r1") == "/tables/maps/_work/run_id=r1"
+
+
+def _two_tables(spark):
+    return (SnapshotTable(shared_dir(spark, "cardgeo", "tests")),
+            SnapshotTable(shared_dir(spark, "cardgeo", "tests")))
+
+
+def test_failure_between_the_commits_shows_neither_table(spark, monkeypatch):
+    tx = txns(spark, [("402771", "NL", 6), ("402771", "BE", 2)])
+    vendor = spark.createDataFrame([("402771", "BE")], "BIN string, country string")
+    flags_t, map_t = _two_tables(spark)
+    plain = SnapshotTable.commit
+
+    def commit(self, staged, **kw):
+        if self == flags_t:
+            raise OSError("no ledger append")
+        return plain(self, staged, **kw)
+
+    monkeypatch.setattr(SnapshotTable, "commit", commit)
+    kw = dict(flags_table=flags_t, map_table=map_t, params=Params(min_txns=1), run_id="job-7")
+    with pytest.raises(OSError):
+        publish_month(tx, vendor, "2023-01", **kw)
+    assert flags_t.read(spark).count() == 0 and map_t.read(spark).count() == 0
+    assert map_t.runs(spark).count() == 0
+    monkeypatch.undo()
+    # The scheduler tries again under the same run id.
+    publish_month(tx, vendor, "2023-01", **kw)
+    assert flags_t.read(spark).count() == 1
+    assert rows(map_t.read(spark), "country", "txn_count") == [("BE", 2), ("NL", 6)]
+
+
+def test_gated_run_can_be_repeated_under_its_id(spark):
+    vendor = spark.createDataFrame([], "BIN string, country string")
+    flags_t, map_t = _two_tables(spark)
+    kw = dict(flags_table=flags_t, map_table=map_t, params=Params(min_txns=1), run_id="job-8")
+    with pytest.raises(DataQualityError):
+        publish_month(txns(spark, [("402771", "NLD", 3)]), vendor, "2023-01", **kw)
+    res = publish_month(txns(spark, [("402771", "NL", 3)]), vendor, "2023-01", **kw)
+    assert not any(res.violations.values())
+    assert rows(flags_t.read(spark), "BIN", "inferred_top_country") == [("402771", "NL")]
+
+
+def test_empty_month_is_refused_unless_allowed(spark):
+    tx = txns(spark, [("402771", "NL", 3)])
+    vendor = spark.createDataFrame([], "BIN string, country string")
+    flags_t, map_t = _two_tables(spark)
+    kw = dict(flags_table=flags_t, map_table=map_t, params=Params(min_txns=1))
+    with pytest.raises(DataQualityError) as e:
+        publish_month(tx, vendor, "2023-02", **kw)
+    assert e.value.violations["row_count"] == 1
+    assert publish_month(tx, vendor, "2023-02", row_bounds=None, **kw).flag_rows == 0
+
+
+def test_rows_without_timestamp_are_accounted_for(spark):
+    jan = dt.datetime(2023, 1, 10)
+    tx = spark.createDataFrame([("a", jan, "402771", "NL", False), ("b", jan, "402771", "NL", True),
+                                ("c", None, "402771", "NL", False)], TXN_SCHEMA)
+    vendor = spark.createDataFrame([], "BIN string, country string")
+    flags_t, map_t = _two_tables(spark)
+    m = publish_month(tx, vendor, "2023-01", flags_table=flags_t, map_table=map_t,
+                      params=Params(min_txns=1)).metrics
+    assert (m["rows_in"], m["fraud"], m["kept"], m["null_timestamp"]) == (2, 1, 1, 1)
+
+
+def test_rejected_values_are_not_staged(spark):
+    from cardgeo.operators import reason_counts
+    data = [(f"t{i}", T, f"{4 * 10 ** 15 + i}", "NL", False) for i in range(50)] + [("k", T, "402771", "NL", False)]
+    got = reason_counts(spark.createDataFrame(data, TXN_SCHEMA), by=("snapshot_month",))
+    assert rows(got) == [("2023-01", "bad_bin_length", None, None, 50), ("2023-01", "kept", "402771", "NL", 1)]
