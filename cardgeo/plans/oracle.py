@@ -16,9 +16,11 @@ from ..params import DEFAULT_COVERAGE, DEFAULT_MIN_TXNS, as_decimal, month_bound
 
 
 def bin_sql(k: str) -> str:
-    return ("substr(concat('4', lpad(CAST({k} AS VARCHAR), 4, '0'), '0000'), 1, "
-            "CASE WHEN {k} % 10 = 0 THEN 5 WHEN {k} % 10 = 1 THEN 9 "
-            "WHEN {k} % 10 <= 4 THEN 6 WHEN {k} % 10 <= 7 THEN 7 ELSE 8 END)").format(k=k)
+    text = f"CAST({k} AS VARCHAR)"
+    w = f"greatest(4, length({text}))"
+    return (f"substr(concat(CAST({w} AS VARCHAR), lpad({text}, CAST({w} AS INTEGER), '0'), '0000'), 1, greatest({w} + 1, "
+            f"CASE WHEN {k} % 10 = 0 THEN 5 WHEN {k} % 10 = 1 THEN 9 "
+            f"WHEN {k} % 10 <= 4 THEN 6 WHEN {k} % 10 <= 7 THEN 7 ELSE 8 END))")
 
 
 def code_sql(n: str) -> str:
@@ -27,7 +29,7 @@ def code_sql(n: str) -> str:
 
 TX_CTE = f"""tx AS (
   SELECT concat(CAST(l.l_orderkey AS VARCHAR), '-', CAST(l.l_linenumber AS VARCHAR)) AS transaction_id,
-         l.l_shipdate AS "timestamp",
+         CASE WHEN l.l_orderkey % 97 <> 0 OR l.l_linenumber <> 5 THEN l.l_shipdate END AS "timestamp",
          {bin_sql('l.l_suppkey')} AS "BIN",
          CASE WHEN l.l_linenumber = 7 AND l.l_quantity <= 10 THEN NULL
               WHEN l.l_partkey % 10 < 7 THEN {code_sql('s.s_nationkey')}
@@ -92,6 +94,8 @@ def stage_ctes(
         where.append(month_pred(month))
     if months:
         where.append("(" + " OR ".join(f"({month_pred(m)})" for m in months) + ")")
+    if by:
+        where.append('"timestamp" IS NOT NULL')
     month_col = ", strftime(\"timestamp\", '%Y-%m') AS snapshot_month" if by else ""
     return [
         f"""{p}clean AS (SELECT *{month_col} FROM tx WHERE {' AND '.join(where)})""",
@@ -122,36 +126,3 @@ def with_(*ctes: str | list[str]) -> str:
 
 
 BASE = [TX_CTE, VENDOR_CTE]
-
-
-# The planted quality violations of the reference's
-# regression fixture (two valid rows, then bad country lengths, bad BIN
-# lengths, a null BIN and a null inferred country).
-PLANTED_ROWS = [
-    ("450000", "US", "US", False, 1600),
-    ("789012", "MX", "MX", False, 300),
-    ("BADCTRY1", "X", "X", False, 50),
-    ("BADCTRY2", "XYZ", "XYZ", False, 55),
-    ("SHORT", "CA", "CA", False, 60),
-    ("LONGBINTOOLONG", "BR", "BR", False, 70),
-    (None, "US", "US", False, 100),
-    ("NULCNTRY", None, "US", True, 110),
-]
-
-
-def _lit(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, int):
-        return f"CAST({v} AS BIGINT)"
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def planted_sql(month: str) -> str:
-    """``SELECT`` of the planted rows in the flags layout plus a month."""
-    rows = ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in PLANTED_ROWS)
-    return (f"""SELECT "BIN", inferred_top_country, vendor_country, is_discrepant, bin_total,
-  '{month}' AS snapshot_month
-FROM (VALUES {rows}) AS t("BIN", inferred_top_country, vendor_country, is_discrepant, bin_total)""")

@@ -15,9 +15,14 @@ from pyspark.sql import functions as F
 
 from .. import operators as ops
 from ..params import Params
-from ..schemas import FLAGS_SCHEMA
-from ..sinks import SnapshotTable, literal_rows, shared_dir
-from ..sources import tx_from_tables, vendor_dup_from_tables, vendor_from_tables
+from ..sinks import SnapshotTable, shared_dir
+from ..sources import (
+    read_transactions,
+    read_vendor,
+    tx_from_tables,
+    vendor_dup_from_tables,
+    vendor_from_tables,
+)
 from ..streaming import counts_from_partials, read_partials, start_count_stream
 from . import oracle as o
 from .inference import infer, report
@@ -77,6 +82,13 @@ def q_vendor_scan(spark, sf):
     return _vendor(spark, sf)
 
 
+@query("vendor_read", """SELECT CAST(s_suppkey AS VARCHAR) AS "BIN", CAST(s_nationkey AS VARCHAR) AS country
+FROM supplier""")
+def q_vendor_read(spark, sf):
+    """The vendor reader on a given table, its columns named by parameters."""
+    return read_vendor(spark, f"{sf}/supplier.parquet", bin_col="s_suppkey", country_col="s_nationkey")
+
+
 # ------------------------------------------------------------- filters
 
 
@@ -202,7 +214,7 @@ def q_report_sorted_flags(spark, sf):
 
 # ------------------------------------------------- load accounting, formats
 
-REASON_SQL = """CASE WHEN fraud_label IS NULL THEN 'null_label' WHEN fraud_label THEN 'fraud'
+REASON_SQL = """CASE WHEN "timestamp" IS NULL THEN 'null_timestamp' WHEN fraud_label IS NULL THEN 'null_label' WHEN fraud_label THEN 'fraud'
   WHEN billing_address_country IS NULL THEN 'null_country'
   WHEN NOT coalesce(length("BIN") BETWEEN 6 AND 8, FALSE) THEN 'bad_bin_length'
   ELSE 'kept' END"""
@@ -211,7 +223,7 @@ REASON_SQL = """CASE WHEN fraud_label IS NULL THEN 'null_label' WHEN fraud_label
 @query("filter_reject_reasons", o.with_(o.BASE)
        + f"SELECT {REASON_SQL} AS reason, count(*) AS n_rows FROM tx GROUP BY ALL")
 def q_filter_reject_reasons(spark, sf):
-    return ops.reject_reasons(_tx(spark, sf))
+    return ops.reject_reasons(_tx(spark, sf), monthly=True)
 
 
 @query("load_filtered_strict", o.with_(o.BASE) + f"""SELECT {TX_COLS} FROM tx
@@ -507,6 +519,35 @@ def q_snapshot_as_of(spark, sf):
     return t.read(spark, as_of_run=second.run_id)
 
 
+@query("snapshot_rerun_same_run", o.with_(o.BASE, A5_CTES) + _snap_sql("a5_", MONTH_A))
+def q_snapshot_rerun_same_run(spark, sf):
+    """A run repeated under its own id replaces what it wrote before."""
+    t = _table(spark, "same_run")
+    t.write(_flags(spark, sf, MONTH_A), MONTH_A, run_id="scheduled")
+    t.write(_flags(spark, sf, MONTH_A, RERUN), MONTH_A, run_id="scheduled")
+    return t.read(spark)
+
+
+@query("snapshot_as_of_late_commit", o.with_(o.BASE, A5_CTES) + _snap_sql("a5_", MONTH_A))
+def q_snapshot_as_of_late_commit(spark, sf):
+    """A run that started first but commits last is not visible as of a run
+    that committed before it."""
+    t = _table(spark, "late_commit")
+    early = t.stage(_flags(spark, sf, MONTH_A), MONTH_A, run_id="a-started-first")
+    t.write(_flags(spark, sf, MONTH_A, RERUN), MONTH_A, run_id="b-committed-first")
+    t.commit(early)
+    return t.read(spark, as_of_run="b-committed-first")
+
+
+@query("snapshot_sql_filter", o.with_(o.BASE, AB_CTES)
+       + f"SELECT * FROM ({SNAP_AB}) WHERE is_discrepant AND bin_total >= 5 AND snapshot_month = '{MONTH_A}'")
+def q_snapshot_sql_filter(spark, sf):
+    """A filter given as SQL text on a stored snapshot."""
+    t = _table(spark, "sql_filter")
+    _publish_ab(spark, sf, t)
+    return t.read(spark).where(f"is_discrepant AND bin_total >= 5 AND snapshot_month = '{MONTH_A}'")
+
+
 @query("snapshot_empty_month", o.with_(o.BASE, AB_CTES) + _snap_sql("a_", MONTH_A))
 def q_snapshot_empty_month(spark, sf):
     """B re-run with no surviving BIN: B reads empty, A is untouched."""
@@ -573,36 +614,56 @@ def q_snapshot_drift(spark, sf):
     return ops.snapshot_drift(t.read_month(spark, MONTH_A), t.read_month(spark, MONTH_B))
 
 
-@query("drift_summary", o.with_(o.BASE, AB_CTES) + f"""
-SELECT '{MONTH_B}' AS snapshot_month, change, count(*) AS n_bins
-FROM ({DRIFT_SQL}) d GROUP BY change""")
+EVERY_CTES = o.stage_ctes(None, MONTHLY.min_txns, MONTHLY.coverage, by="snapshot_month", prefix="m_")
+NEXT_MONTH = "strftime(CAST(concat(snapshot_month, '-01') AS DATE) + INTERVAL 1 MONTH, '%Y-%m')"
+
+
+@query("drift_summary", o.with_(o.BASE, EVERY_CTES, [
+    'cur AS (SELECT snapshot_month AS m, "BIN", inferred_top_country AS c FROM m_flags)',
+    f'prv AS (SELECT {NEXT_MONTH} AS m, "BIN", inferred_top_country AS p FROM m_flags)',
+    "has AS (SELECT DISTINCT m FROM cur INTERSECT SELECT DISTINCT m FROM prv)"]) + """
+SELECT coalesce(cur.m, prv.m) AS snapshot_month,
+  CASE WHEN prv.m IS NULL THEN 'added' WHEN cur.m IS NULL THEN 'removed'
+       WHEN p IS NOT DISTINCT FROM c THEN 'same' ELSE 'country_changed' END AS change,
+  count(*) AS n_bins
+FROM cur FULL OUTER JOIN prv ON cur.m = prv.m AND cur."BIN" = prv."BIN"
+WHERE coalesce(cur.m, prv.m) IN (SELECT m FROM has) GROUP BY ALL""")
 def q_drift_summary(spark, sf):
-    """Per-month drift counts of a two-month run (one pass, one join)."""
-    flags = infer(_tx(spark, sf), _vendor(spark, sf), [MONTH_A, MONTH_B], MONTHLY,
-                  by=("snapshot_month",)).flags
-    return ops.drift_summary(flags)
+    """Per-month drift counts over all history (one pass, one join)."""
+    return ops.drift_summary(
+        infer(_tx(spark, sf), _vendor(spark, sf), None, MONTHLY, by=("snapshot_month",)).flags)
 
 
 # ------------------------------------------------- checks on a snapshot
 #
-# The checked table: months A and B published by the reference's unguarded
-# join against the duplicated vendor mapping (so BINs repeat), plus the
-# planted rows of the reference's regression fixture as month C.
+# The checked table: every month of history, published in one pass by the
+# unguarded join against the duplicated vendor mapping (so BINs repeat), with
+# defects that depend on each row's bin_total, and without one month.
+
+EMPTY_MONTH = "1995-06"
+DEFECTS = {
+    "BIN": """CASE WHEN bin_total % 13 = 0 THEN NULL WHEN bin_total % 11 = 0 THEN substr("BIN", 1, 4)
+      WHEN bin_total % 10 = 0 THEN concat("BIN", "BIN") ELSE "BIN" END""",
+    "inferred_top_country": """CASE WHEN bin_total % 17 = 0 THEN NULL
+      WHEN bin_total % 7 = 0 THEN substr(inferred_top_country, 1, 1) ELSE inferred_top_country END""",
+    "vendor_country": """CASE WHEN bin_total % 9 = 0 AND vendor_country IS NOT NULL
+      THEN concat(vendor_country, 'X') ELSE vendor_country END""",
+}
 
 DQ_CTES = (VDUP
-           + o.stage_ctes(MONTH_A, MONTHLY.min_txns, MONTHLY.coverage, prefix="a_",
+           + o.stage_ctes(None, MONTHLY.min_txns, MONTHLY.coverage, by="snapshot_month", prefix="m_",
                           vendor="vendor_dup", dedup=False)
-           + o.stage_ctes(MONTH_B, MONTHLY.min_txns, MONTHLY.coverage, prefix="b_",
-                          vendor="vendor_dup", dedup=False)
-           + ["snap AS (" + SNAP_AB + "\nUNION ALL " + o.planted_sql(MONTH_C) + ")"])
+           + ["snap AS (SELECT " + ", ".join(f'{sql} AS "{c}"' for c, sql in DEFECTS.items())
+              + f", is_discrepant, bin_total, snapshot_month FROM m_flags WHERE snapshot_month <> '{EMPTY_MONTH}')"])
 
 
 def _dq_snapshot(spark, sf):
     t = _table(spark, "dq")
     vdup = vendor_dup_from_tables(spark, sf)
-    t.write(_flags(spark, sf, MONTH_A, vendor=vdup, dedup=False), MONTH_A)
-    t.write(_flags(spark, sf, MONTH_B, vendor=vdup, dedup=False), MONTH_B)
-    t.write(literal_rows(spark, o.PLANTED_ROWS, FLAGS_SCHEMA), MONTH_C)
+    r = infer(_tx(spark, sf), vdup, None, MONTHLY, by=("snapshot_month",))
+    flags = ops.flag_discrepancies(r.top_countries, vdup, by=("snapshot_month",), dedup=False)
+    bad = flags.withColumns({c: F.expr(sql.replace('"BIN"', "BIN")) for c, sql in DEFECTS.items()})
+    t.write_months(bad.where(F.col("snapshot_month") != EMPTY_MONTH))
     return t.read(spark)
 
 
@@ -651,12 +712,17 @@ def q_dq_snapshot_month(spark, sf):
     return ops.dq_snapshot_month(_dq_snapshot(spark, sf))
 
 
-@query("dq_row_count", o.with_(DQ_CTES) + """
-SELECT snapshot_month, n_rows, prev_n_rows, n_rows / CAST(prev_n_rows AS DOUBLE) AS ratio,
-  n_rows = 0 OR coalesce(n_rows / CAST(prev_n_rows AS DOUBLE) < 0.5
-                         OR n_rows / CAST(prev_n_rows AS DOUBLE) > 2.0, FALSE) AS is_anomalous
-FROM (SELECT snapshot_month, n_rows, lag(n_rows) OVER (ORDER BY snapshot_month) AS prev_n_rows
-      FROM (SELECT snapshot_month, count(*) AS n_rows FROM snap GROUP BY snapshot_month))""")
+@query("dq_row_count", o.with_(DQ_CTES, [
+    "per AS (SELECT snapshot_month, count(*) AS n FROM snap GROUP BY snapshot_month)",
+    """every AS (SELECT strftime(unnest(generate_series(
+      CAST(concat(min(snapshot_month), '-01') AS DATE), CAST(concat(max(snapshot_month), '-01') AS DATE),
+      INTERVAL 1 MONTH)), '%Y-%m') AS snapshot_month FROM per)""",
+    "filled AS (SELECT snapshot_month, coalesce(n, 0) AS n_rows FROM every LEFT JOIN per USING (snapshot_month))",
+    """lagged AS (SELECT *, lag(n_rows) OVER (ORDER BY snapshot_month) AS prev_n_rows FROM filled)""",
+    """rated AS (SELECT *, CASE WHEN prev_n_rows > 0 THEN n_rows / CAST(prev_n_rows AS DOUBLE) END AS ratio
+      FROM lagged)"""]) + """
+SELECT snapshot_month, n_rows, prev_n_rows, ratio,
+  n_rows = 0 OR coalesce(ratio < 0.5 OR ratio > 2.0, FALSE) AS is_anomalous FROM rated""")
 def q_dq_row_count(spark, sf):
     return ops.dq_row_count(_dq_snapshot(spark, sf))
 
@@ -664,30 +730,29 @@ def q_dq_row_count(spark, sf):
 # ------------------------------------------------------------- streaming
 
 
-
 def _stream_all(spark, sf) -> str:
-    """All transactions land as several files; an available-now stream folds
-    them into partial counts, one micro-batch per file. Returns the root."""
+    """The line items as a file stream, joined with the dimension tables in
+    each batch and folded into partial counts. Returns the counts' path."""
     root = shared_dir(spark, "cardgeo", "queries", "stream")
-    landing = f"{root}/landing"
-    _tx(spark, sf).repartition(4).write.parquet(landing)
-    q = start_count_stream(spark, landing, f"{root}/partials", f"{root}/_checkpoint",
-                           schema=spark.read.parquet(landing).schema, max_files_per_trigger=1)
+    # A file stream takes the path of a single file only as a pattern.
+    q = start_count_stream(spark, f"{sf}/lineitem.parque[t]", f"{root}/partials", f"{root}/_checkpoint",
+                           schema=read_transactions(spark, f"{sf}/lineitem.parquet").schema,
+                           transform=lambda li: tx_from_tables(spark, sf, li))
     q.awaitTermination()
-    return root
+    return f"{root}/partials"
 
 
-@query("stream_country_counts", o.with_(o.BASE, AB_CTES) + f"SELECT {COUNT_COLS} FROM a_counts")
+@query("stream_country_counts", o.with_(o.BASE, EVERY_CTES) + f"SELECT snapshot_month, {COUNT_COLS} FROM m_counts")
 def q_stream_country_counts(spark, sf):
-    return counts_from_partials(spark, f"{_stream_all(spark, sf)}/partials", MONTH_A)
+    """Counts of every month from the stream's partial counts."""
+    return counts_from_partials(spark, _stream_all(spark, sf))
 
 
 @query("stream_publish_months", o.with_(o.BASE, AB_CTES) + SNAP_AB)
 def q_stream_publish_months(spark, sf):
     """Months A and B published from the stream's partial counts."""
-    root = _stream_all(spark, sf)
     flags_t, map_t = _table(spark, "stream_flags"), _table(spark, "stream_map")
-    publish_months_from_counts(read_partials(spark, f"{root}/partials"), _vendor(spark, sf),
+    publish_months_from_counts(read_partials(spark, _stream_all(spark, sf)), _vendor(spark, sf),
                                [MONTH_A, MONTH_B], flags_table=flags_t, map_table=map_t,
                                params=MONTHLY)
     return flags_t.read(spark)

@@ -8,8 +8,12 @@ country, vendor disagreements, case mismatches and vendor nulls); they are
 spelled out identically in the DuckDB oracle (``plans/oracle.py``).
 
 Fixed values of the fixture:
-  * BIN of supplier key k = first L characters of '4' + lpad(k, 4, '0') + '0000'
-    with L by k % 10: 0 -> 5, 1 -> 9, 2..4 -> 6, 5..7 -> 7, 8..9 -> 8.
+  * BIN of supplier key k: first L characters of lead + k + '0000', where k is
+    padded with zeros to w = max(4, its digits), lead is the digit w, and
+    L = max(1 + w, by k % 10: 0 -> 5, 1 -> 9, 2..4 -> 6, 5..7 -> 7, 8..9 -> 8).
+    So no key is cut and no two keys share a BIN; keys of 8 digits and more
+    make BINs that are too long.
+  * timestamp: NULL if orderkey % 97 = 0 and linenumber = 5.
   * country code of nation n = chr(65 + n) || chr(90 - n).
   * billing country: NULL if linenumber = 7 and quantity <= 10; else the
     supplier's nation if partkey % 10 < 7; else the customer's nation.
@@ -24,23 +28,14 @@ Fixed values of the fixture:
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Resolved scans per session and directory, like temp views registered once
-# per session: the test tables are read-only, and listing files and reading
-# footers again for every query costs more than running it at small scale.
-_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+from .transactions import read_transactions
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cache = _SCANS.setdefault(spark, {})
-    if path not in cache:
-        cache[path] = spark.read.parquet(path)
-    return cache[path]
+    return read_transactions(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def nation_code(n: Column) -> Column:
@@ -49,39 +44,25 @@ def nation_code(n: Column) -> Column:
 
 
 def bin_of(key: Column) -> Column:
-    full = F.concat(F.lit("4"), F.lpad(key.cast("string"), 4, "0"), F.lit("0000"))
+    text = key.cast("string")
+    width = F.greatest(F.lit(4), F.length(text))
+    full = F.concat(width.cast("string"), F.lpad(text, width, F.lit("0")), F.lit("0000"))
     m = key % 10
     length = (F.when(m == 0, 5).when(m == 1, 9).when(m <= 4, 6)
               .when(m <= 7, 7).otherwise(8))
-    return full.substr(F.lit(1), length)
-
-
-def _cached(spark: SparkSession, sf_dir: str, name: str, build):
-    cache = _SCANS.setdefault(spark, {})
-    key = (sf_dir.rstrip("/"), name)
-    if key not in cache:
-        cache[key] = build(spark, sf_dir)
-    return cache[key]
+    return full.substr(F.lit(1), F.greatest(width + 1, length))
 
 
-def tx_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``TXN_SCHEMA``-shaped transactions (``timestamp`` is TIMESTAMP_NTZ)."""
-    return _cached(spark, sf_dir, "tx", _build_tx)
-
-
-def vendor_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vendor mapping ``(BIN, country)`` derived from the supplier table."""
-    return _cached(spark, sf_dir, "vendor", _build_vendor)
-
-
-def _build_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``TXN_SCHEMA``-shaped transactions (``timestamp`` is TIMESTAMP_NTZ).
+def tx_from_tables(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """``TXN_SCHEMA``-shaped transactions (``timestamp`` is TIMESTAMP_NTZ);
+    ``lineitem``: other rows of that table, e.g. a stream of them.
 
     BIN and nation codes depend only on the supplier / customer key, so they
     are computed once per dimension row and carried through the joins
     instead of once per line item.
     """
-    li = _table(spark, sf_dir, "lineitem").select(
+    li = _table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
+    li = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_returnflag", "l_shipdate")
     s = _table(spark, sf_dir, "supplier")
@@ -106,14 +87,16 @@ def _build_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
-        F.col("l_shipdate").alias("timestamp"),
+        F.when((F.col("l_orderkey") % 97 != 0) | (F.col("l_linenumber") != 5),
+               F.col("l_shipdate")).alias("timestamp"),
         F.col("BIN"),
         country.alias("billing_address_country"),
         fraud.alias("fraud_label"),
     )
 
 
-def _build_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vendor_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor mapping ``(BIN, country)`` derived from the supplier table."""
     s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
     country = (F.when(k % 11 == 0, F.lit(None).cast("string"))

@@ -70,19 +70,3 @@ def read_vendor(
 def vendor_from_rows(spark: SparkSession, rows) -> DataFrame:
     """Small literal vendor mapping (tests and examples)."""
     return spark.createDataFrame(rows, VENDOR_SCHEMA)
-
-
-def load_transactions(
-    spark: SparkSession,
-    path: str,
-    month=None,
-    fmt: str = "parquet",
-    *,
-    allow_missing: bool = False,
-    strict: bool = False,
-    date_col: str | None = None,
-) -> DataFrame:
-    """Scan + load filter in one call (lazy): the clean rows of ``month``."""
-    from ..operators.clean import load_filtered
-    tx = read_transactions(spark, path, fmt, allow_missing=allow_missing)
-    return load_filtered(tx, month, strict=strict, date_col=date_col)

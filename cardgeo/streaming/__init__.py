@@ -1,5 +1,5 @@
 """Streaming: incremental monthly country counts from landing files."""
 
-from .incremental import counts_from_partials, read_partials, start_count_stream
+from .incremental import compact_partials, counts_from_partials, read_partials, start_count_stream
 
-__all__ = ["counts_from_partials", "read_partials", "start_count_stream"]
+__all__ = ["compact_partials", "counts_from_partials", "read_partials", "start_count_stream"]

@@ -20,6 +20,8 @@ then stop) or continuously.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,16 +41,27 @@ def start_count_stream(
     fmt: str = "parquet",
     schema=TXN_SCHEMA,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = None,
     available_now: bool = True,
+    strict: bool = False,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
+    """Fold the files of ``source_path`` into partial counts. A batch takes
+    what has landed, or at most so many files or bytes. ``transform`` turns a
+    batch's rows into transactions (e.g. joins with static tables);
+    ``strict`` as in ``load_filtered``."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     rows = reader.load(source_path)
 
     def write_partials(batch: DataFrame, batch_id: int) -> None:
-        (reason_counts(batch, by=("snapshot_month",))
+        tx = transform(batch) if transform else batch
+        (reason_counts(tx, by=("snapshot_month",), strict=strict)
          .withColumn("batch_id", F.lit(int(batch_id)))
+         .hint("rebalance", "snapshot_month")  # about one file per month and batch
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("snapshot_month", "batch_id").parquet(partials_path))
 
@@ -58,17 +71,33 @@ def start_count_stream(
     return writer.start()
 
 
-def read_partials(spark: SparkSession, partials_path: str) -> DataFrame:
-    """The partial-count table ``(snapshot_month, reason, BIN, country, n,
+def compact_partials(spark: SparkSession, partials_path: str, compacted_path: str) -> None:
+    """Add the partial counts up into a new table: one row per key and about
+    one file per month, under batch id -1, which no batch has. The caller
+    points readers at it, and starts a new partial table, between two runs of
+    the stream (whose checkpoint goes on); both are then read together."""
+    keys = ["snapshot_month", "reason", "BIN", "country"]
+    (read_partials(spark, partials_path).groupBy(*keys).agg(F.sum("n").alias("n"))
+     .withColumn("batch_id", F.lit(-1)).hint("rebalance", "snapshot_month")
+     .write.mode("overwrite").partitionBy("snapshot_month", "batch_id").parquet(compacted_path))
+
+
+def read_partials(spark: SparkSession, *partials_paths: str) -> DataFrame:
+    """The partial-count table(s) ``(snapshot_month, reason, BIN, country, n,
     batch_id)``; filters on ``snapshot_month`` prune partitions."""
-    return (spark.read.parquet(partials_path)
-            .withColumn("snapshot_month", F.col("snapshot_month").cast("string")))
+    read = lambda p: spark.read.parquet(p).withColumn(
+        "snapshot_month", F.col("snapshot_month").cast("string"))
+    first, *more = map(read, partials_paths)
+    for df in more:
+        first = first.unionByName(df)
+    return first
 
 
-def counts_from_partials(spark: SparkSession, partials_path: str, month: str) -> DataFrame:
-    """``(BIN, country, txn_count, bin_total)`` of ``month`` from the
-    partial counts (partition-pruned to that month, kept rows only)."""
-    validate_month(month)
-    partials = read_partials(spark, partials_path).where(
-        (F.col("snapshot_month") == month) & (F.col("reason") == "kept"))
-    return _sum_partials(partials)
+def counts_from_partials(spark: SparkSession, partials_path: str, month: str | None = None) -> DataFrame:
+    """``(BIN, country, txn_count, bin_total)`` of ``month`` from the partial
+    counts (partition-pruned to that month, kept rows only); of every month,
+    with ``snapshot_month``, if none is named."""
+    partials = read_partials(spark, partials_path).where(F.col("reason") == "kept")
+    if month is None:
+        return _sum_partials(partials, by=("snapshot_month",))
+    return _sum_partials(partials.where(F.col("snapshot_month") == validate_month(month)))

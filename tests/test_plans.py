@@ -91,3 +91,29 @@ def test_date_partition_pruned(spark):
     part = re.search(r"PartitionFilters: \[([^\]]*)\]", p).group(1)
     assert "txn_date" in part and "2023-02-01" in part and "2023-03-01" in part
     assert clean.count() == 10
+
+
+def test_stage_metrics_sorts_once(spark):
+    from cardgeo.operators import stage_metrics
+    tx = tx_table(spark)
+    p = plan(stage_metrics(tx, spark.createDataFrame([], "BIN string, country string")))
+    sorts = re.findall(r"\) Sort\n(?:.+\n)*?Arguments: \[(.*?)\], (?:true|false)", p)
+    ranked = [x for x in sorts if "_kept#" in x]
+    assert len(ranked) == 1, sorts
+    bin_id = re.match(r"BIN#\d+", ranked[0])[0]  # the vendor side sorts its own BIN
+    assert sum(x.startswith(bin_id + " ") for x in sorts) == 1, sorts
+
+
+def test_bins_grow_with_suppliers(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from cardgeo.plans.oracle import bin_sql
+    from cardgeo.sources.adapters import bin_of
+    keys = [*range(1, 400), *range(9990, 10300), *range(99990, 100300), *range(999990, 1000300)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = {r.k: r.b for r in df.select("k", bin_of(F.col("k")).alias("b")).collect()}
+    want = dict(duckdb.execute(f"SELECT k, {bin_sql('k')} FROM (SELECT unnest(?) AS k)", [keys]).fetchall())
+    assert got == want
+    usable = [b for k, b in got.items() if k > 9999]
+    assert len(set(usable)) == len(usable) and all(6 <= len(b) <= 9 for b in usable)

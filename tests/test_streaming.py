@@ -61,3 +61,22 @@ def test_publish_from_stream_equals_publish_from_scan(spark):
     assert ra.metrics == rb.metrics
     assert (rb.metrics["rows_in"], rb.metrics["fraud"], rb.metrics["bad_bin_length"],
             rb.metrics["null_country"]) == (10, 1, 1, 1)
+
+
+def test_strict_stream_and_compaction(spark):
+    from cardgeo.streaming import compact_partials, read_partials
+
+    root = shared_dir(spark, "cardgeo", "tests", "stream")
+    landing, feb = f"{root}/landing", dt.datetime(2023, 2, 5)
+    land(spark, landing, [("t1", feb, "402771", "NL", False), ("t2", feb, "40277x", "NL", False)])
+    land(spark, landing, [("t3", feb, "402771", "NL", False), ("t4", None, "402771", "NL", False)])
+    start_count_stream(spark, landing, f"{root}/partials", f"{root}/_ckpt", strict=True,
+                       max_files_per_trigger=1).awaitTermination()
+    want = [("2023-02", "402771", "NL", 2, 2)]
+    assert rows(counts_from_partials(spark, f"{root}/partials")) == want
+    compact_partials(spark, f"{root}/partials", f"{root}/compacted")
+    got = read_partials(spark, f"{root}/compacted")
+    assert rows(got, "snapshot_month", "reason", "BIN", "n") == [
+        ("2023-02", "bad_bin_format", None, 1), ("2023-02", "kept", "402771", 2),
+        (None, "null_timestamp", None, 1)]
+    assert rows(counts_from_partials(spark, f"{root}/compacted")) == want
