@@ -52,12 +52,12 @@ def main() -> None:
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC"))
+    if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        # One machine; a cluster names a folder that its executors share.
+        builder = builder.config("spark.checkpoint.dir",
+                                 os.environ.get("BENCH_SHARED_DIR", "/tmp/cardgeo-bench-shared"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    from cardgeo.sinks import checkpoint_dir
-    if not checkpoint_dir(spark):
-        import tempfile
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cardgeo-bench-"))
 
     from cardgeo.plans.queries import QUERIES
 

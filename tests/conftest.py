@@ -9,21 +9,25 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 
+def _preset(key: str) -> bool:
+    """Whether the environment's submit arguments set ``key``."""
+    return key in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[*]")
-         .appName("cardgeo-tests")
-         .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC")
-         .getOrCreate())
+    builder = (SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]"))
+               .appName("cardgeo-tests")
+               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.sql.session.timeZone", "UTC"))
+    if not _preset("spark.checkpoint.dir"):  # normally named by the cluster
+        builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+    s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # Tests only: a shared folder is normally named by the cluster.
-    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
 

@@ -22,47 +22,32 @@ def flags(spark, inf, ven):
     return rows(flag_discrepancies(inferred(spark, inf), vendor(spark, ven)))
 
 
-def test_vendor_differs(spark):
-    assert flags(spark, [("B1", "US", 10, 10)], [("B1", "CA")]) == [("B1", "US", "CA", True, 10)]
+@pytest.mark.parametrize("vendor_country,discrepant", [
+    ("PT", True),      # another country
+    ("ES", False),     # the same one
+    ("es", True),      # compared as stored
+    (None, False),     # the vendor names none
+])
+def test_single_bin(spark, vendor_country, discrepant):
+    assert flags(spark, [("4017321", "ES", 7, 7)], [("4017321", vendor_country)]) == [
+        ("4017321", "ES", vendor_country, discrepant, 7)]
 
 
-def test_vendor_same(spark):
-    assert flags(spark, [("B1", "US", 10, 10)], [("B1", "US")]) == [("B1", "US", "US", False, 10)]
-
-
-def test_top1_of_several(spark):
-    assert flags(spark, [("B1", "US", 70, 100), ("B1", "CA", 30, 100)], [("B1", "US")]) == [
-        ("B1", "US", "US", False, 100)]
+def test_leading_country_is_compared(spark):
+    counts = [("4017321", "ES", 21, 48), ("4017321", "AD", 2, 48), ("4017321", "PT", 25, 48)]
+    assert flags(spark, counts, [("4017321", "ES")]) == [("4017321", "PT", "ES", True, 48)]
 
 
 def test_top1_tie_country_ascending(spark):
-    assert flags(spark, [("B1", "US", 50, 100), ("B1", "CA", 50, 100)], [("B1", "US")]) == [
-        ("B1", "CA", "US", True, 100)]
-
-
-def test_not_in_vendor(spark):
-    assert flags(spark, [("B1", "DE", 5, 5)], [("B2", "FR")]) == [("B1", "DE", None, False, 5)]
-
-
-def test_only_in_vendor_gives_no_row(spark):
-    assert flags(spark, [("B1", "DE", 5, 5)], [("B1", "DE"), ("B9", "FR")]) == [
-        ("B1", "DE", "DE", False, 5)]
-
-
-def test_case_sensitive(spark):
-    assert flags(spark, [("B1", "US", 5, 5)], [("B1", "us")])[0][3] is True
-
-
-def test_vendor_null_not_discrepant(spark):
-    assert flags(spark, [("B1", "US", 5, 5)], [("B1", None)]) == [("B1", "US", None, False, 5)]
+    counts = [("4017321", "PT", 4, 11), ("4017321", "FR", 3, 11), ("4017321", "ES", 4, 11)]
+    assert flags(spark, counts, [("4017321", "PT")]) == [("4017321", "ES", "PT", True, 11)]
 
 
-def test_mix(spark):
-    inf = [("BIN1", "US", 5, 5), ("BIN2", "CA", 5, 5), ("BIN3", "GB", 5, 5), ("BIN4", "DE", 5, 5)]
-    ven = [("BIN1", "US"), ("BIN2", "MX"), ("BIN3", "GB"), ("BIN5", "FR")]
-    got = flags(spark, inf, ven)
-    assert len(got) == 4
-    assert [r[0] for r in got if r[3]] == ["BIN2"]
+def test_bins_of_one_side_only(spark):
+    counts = [("4017321", "ES", 7, 7), ("4017322", "PT", 3, 3), ("4017323", "FR", 2, 2)]
+    known = [("4017322", "AD"), ("4017323", "FR"), ("4017999", "GR")]
+    assert flags(spark, counts, known) == [
+        ("4017321", "ES", None, False, 7), ("4017322", "PT", "AD", True, 3), ("4017323", "FR", "FR", False, 2)]
 
 
 def test_empty_inferred(spark):

@@ -29,9 +29,10 @@ def bin_counts(spark, counts, total=None):
 
 
 def test_country_counts(spark):
-    df = clean(spark, [("Z", "GB"), ("Z", "GB"), ("Z", "FR"), ("X", "US"), ("X", "US"), ("Y", "CA")])
+    df = clean(spark, [("401", "IE"), ("402", "NO"), ("401", "IE"), ("401", "IS"), ("402", "NO"),
+                       ("401", "IE"), ("402", "NO"), ("403", "IS")])
     out = country_counts(df)
-    assert rows(out) == [("X", "US", 2, 2), ("Y", "CA", 1, 1), ("Z", "FR", 1, 3), ("Z", "GB", 2, 3)]
+    assert rows(out) == [("401", "IE", 3, 4), ("401", "IS", 1, 4), ("402", "NO", 3, 3), ("403", "IS", 1, 1)]
     assert same_shape(out.schema, COUNTRY_COUNTS_SCHEMA)
 
 
@@ -46,30 +47,29 @@ def kept(spark, counts, coverage=Decimal("0.95")):
 
 
 def test_coverage_tie_goes_country_ascending(spark):
-    # US 60, CA 30, then MX 5 and GB 5 tie: GB sorts first and is kept.
-    assert kept(spark, [("US", 60), ("CA", 30), ("MX", 5), ("GB", 5)]) == ["US", "CA", "GB"]
+    # After 180 of 200, two tied tens: the one that sorts first reaches 190.
+    assert kept(spark, [("SE", 110), ("NO", 70), ("IS", 10), ("DK", 10)]) == ["SE", "NO", "DK"]
 
 
 def test_coverage_tie_order_and_values(spark):
-    out = select_top_countries(bin_counts(spark, [("Gamma", 40), ("Alpha", 30), ("Beta", 30)]))
+    out = select_top_countries(bin_counts(spark, [("IS", 4), ("NO", 8), ("DK", 4)]))
     got = [(r.country, r.country_pct, r.cumulative_pct)
            for r in out.orderBy("cumulative_pct").collect()]
-    assert [g[0] for g in got] == ["Gamma", "Alpha", "Beta"]
-    assert [g[2] for g in got] == pytest.approx([0.4, 0.7, 1.0])
+    assert got == [("NO", 0.5, 0.5), ("DK", 0.25, 0.75), ("IS", 0.25, 1.0)]
     assert same_shape(out.schema, TOP_COUNTRIES_SCHEMA)
 
 
 def test_single_country_suffices(spark):
-    assert kept(spark, [("US", 98), ("CA", 2)]) == ["US"]
+    assert kept(spark, [("SE", 39), ("NO", 1)]) == ["SE"]
 
 
 def test_target_never_reached_keeps_all(spark):
-    assert kept(spark, [("A", 10), ("B", 10), ("C", 10)], Decimal("1")) == ["A", "B", "C"]
-    assert sorted(kept(spark, [("A", 10), ("B", 10), ("C", 10)], Decimal("0.99")))[0] == "A"
+    assert kept(spark, [("SE", 4), ("NO", 3), ("DK", 2)], Decimal("1")) == ["SE", "NO", "DK"]
+    assert kept(spark, [("SE", 4), ("NO", 3), ("DK", 2)], Decimal("0.99")) == ["SE", "NO", "DK"]
 
 
 def test_exact_boundary_stops(spark):
-    assert kept(spark, [("A", 90), ("B", 5), ("C", 5)]) == ["A", "B"]
+    assert kept(spark, [("SE", 26), ("NO", 12), ("DK", 2)]) == ["SE", "NO"]
 
 
 def test_exact_boundary_not_fooled_by_doubles(spark):

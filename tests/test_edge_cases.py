@@ -1,5 +1,4 @@
-"""Remaining unit cases of the reference's test plan (same inputs, our
-decisions where SURVEY §2.14 says so)."""
+"""Edge cases: one-row, empty and several-BIN inputs, layout, the job."""
 
 import os
 
@@ -31,13 +30,14 @@ def tx(spark, pairs, fraud=False):
 
 
 def test_counts_single_bin_many_countries(spark):
-    out = country_counts(tx(spark, [("B1", "US")] * 3 + [("B1", "CA")] * 2 + [("B1", "MX")]))
-    assert rows(out) == [("B1", "CA", 2, 6), ("B1", "MX", 1, 6), ("B1", "US", 3, 6)]
+    out = country_counts(tx(spark, [("420117", c) for c in ("BR", "AR", "BR", "CL", "BR", "AR", "BR", "UY")]))
+    assert rows(out) == [("420117", "AR", 2, 8), ("420117", "BR", 4, 8), ("420117", "CL", 1, 8),
+                         ("420117", "UY", 1, 8)]
 
 
 def test_counts_single_transaction_and_single_country(spark):
-    assert rows(country_counts(tx(spark, [("B1", "US")]))) == [("B1", "US", 1, 1)]
-    assert rows(country_counts(tx(spark, [("B2", "DE")] * 4))) == [("B2", "DE", 4, 4)]
+    assert rows(country_counts(tx(spark, [("420117", "CL")]))) == [("420117", "CL", 1, 1)]
+    assert rows(country_counts(tx(spark, [("420118", "UY")] * 7))) == [("420118", "UY", 7, 7)]
 
 
 def test_counts_schema_on_data(spark):
@@ -45,7 +45,7 @@ def test_counts_schema_on_data(spark):
 
 
 def test_no_valid_rows(spark):
-    df = tx(spark, [("123456", "US"), ("654321", "CA")], fraud=True)
+    df = tx(spark, [("420117", "CL"), ("420118", "UY"), ("420118", "AR")], fraud=True)
     assert load_filtered(df).count() == 0
 
 
@@ -54,11 +54,10 @@ def counts(spark, data):
 
 
 def test_coverage_several_bins(spark):
-    df = counts(spark, [("B1", "US", 60, 100), ("B1", "CA", 30, 100), ("B1", "MX", 10, 100),
-                        ("B2", "DE", 90, 100), ("B2", "FR", 10, 100),
-                        ("B3", "JP", 100, 100)])
+    df = counts(spark, [("420117", "BR", 19, 20), ("420117", "AR", 1, 20),
+                        ("420118", "CL", 30, 50), ("420118", "PE", 15, 50), ("420118", "UY", 5, 50)])
     assert rows(select_top_countries(df), "BIN", "country") == [
-        ("B1", "CA"), ("B1", "MX"), ("B1", "US"), ("B2", "DE"), ("B2", "FR"), ("B3", "JP")]
+        ("420117", "BR"), ("420118", "CL"), ("420118", "PE"), ("420118", "UY")]
 
 
 def test_coverage_empty_and_schema(spark):
@@ -67,11 +66,11 @@ def test_coverage_empty_and_schema(spark):
 
 
 def test_support_all_above_all_below_empty_and_schema(spark):
-    top = select_top_countries(counts(spark, [("B1", "US", 150, 150), ("B2", "CA", 120, 120)]))
-    assert filter_supported_bins(top, 100).count() == 2
-    assert filter_supported_bins(top, 200).count() == 0
-    assert filter_supported_bins(select_top_countries(counts(spark, [])), 100).count() == 0
-    assert same_shape(filter_supported_bins(top, 100).schema, TOP_COUNTRIES_SCHEMA)
+    top = select_top_countries(counts(spark, [("420117", "BR", 33, 33), ("420118", "CL", 48, 48)]))
+    assert filter_supported_bins(top, 33).count() == 2
+    assert filter_supported_bins(top, 49).count() == 0
+    assert filter_supported_bins(select_top_countries(counts(spark, [])), 1).count() == 0
+    assert same_shape(filter_supported_bins(top, 33).schema, TOP_COUNTRIES_SCHEMA)
 
 
 def test_empty_vendor(spark):
@@ -116,7 +115,7 @@ def test_job_cli(spark, capsys):
     spark.createDataFrame([("123456", "CA")], VENDOR_SCHEMA).write.parquet(f"{root}/vendor")
     res = main(["--months", "2023-01:2023-02", "--transactions", f"{root}/tx",
                 "--vendor", f"{root}/vendor", "--flags-table", f"{root}/flags",
-                "--map-table", f"{root}/map", "--min-txns", "1"], spark=spark)
+                "--map-table", f"{root}/map", "--min-txns", "1", "--row-bounds", "any"], spark=spark)
     assert [(r.month, r.flag_rows) for r in res] == [("2023-01", 1), ("2023-02", 0)]
     assert '"month": "2023-01"' in capsys.readouterr().out
     assert rows(SnapshotTable(f"{root}/flags").read(spark)) == [

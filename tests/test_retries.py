@@ -22,17 +22,16 @@ SCRIPT = textwrap.dedent('''
     from pyspark.sql.types import BooleanType
     spark = (SparkSession.builder.master("local[4,4]")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp())
              .config("spark.sql.shuffle.partitions", "4").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp())
     from cardgeo import Params
     from cardgeo.plans import publish_month
     from cardgeo.schemas import FLAGS_SCHEMA, TXN_SCHEMA
     from cardgeo.sinks import SnapshotTable, shared_dir
 
     import os
-    marks = tempfile.mkdtemp()
+    marks = tempfile.mkdtemp()  # one machine: a local test of task retries
 
     def failing(tag):
         @F.udf(BooleanType())
