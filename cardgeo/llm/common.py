@@ -29,7 +29,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+def text_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
     """``df``, its session set to hand at most ``rows`` texts at a time to
     Python: batches of long documents stay within a task's memory."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"

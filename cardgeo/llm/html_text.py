@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 #: A path is content above this share of the best path's fused ratio.
 SHARE = 0.2
 #: Weights of a block's neighbours in the smoothing, from itself outwards.
@@ -210,4 +212,4 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") ->
         for batch in batches:
             yield batch.map(main_text, na_action=None) if len(batch) else batch
 
-    return pages.withColumn(text_col, text(F.col(html_col)))
+    return text_batches(pages).withColumn(text_col, text(F.col(html_col)))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, HashedWords, materialize, mix64, text_chunks, window_hashes
+from .common import HashedWords, U64, materialize, mix64, text_batches, text_chunks, window_hashes
 from .components import connected_components
 
 SHINGLE = 5
@@ -297,7 +297,7 @@ def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id",
     spark = docs.sparkSession
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     docs = docs.select(as_col(id_col).cast("long").alias("doc_id"), as_col(text_col).cast("binary").alias("text"))
-    signed = materialize(docs.mapInPandas(_sign, SIGNED), "op1-signed")
+    signed = materialize(text_batches(docs).mapInPandas(_sign, SIGNED), "op1-signed")
     live = signed.where("doc_id is not null and node is not null")
     first = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sigs = materialize(live.select("node", "sig").dropDuplicates(["node"]), "op1-nodes")

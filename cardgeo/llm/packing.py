@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import read_text
-from .common import BoundedCache, materialize
+from .common import BoundedCache, materialize, text_batches
 
 LENGTH = 1024
 TOKENS = "doc_id long, part int, before long, n long, ids binary"
@@ -92,7 +92,7 @@ def tokenized(docs: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
             total = int(ends[-1]) if len(ends) else total
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return materialize(narrow.mapInPandas(run, TOKENS), "op3-tokens")
+    return materialize(text_batches(narrow).mapInPandas(run, TOKENS), "op3-tokens")
 
 
 def cut(tokens: DataFrame, length: int = LENGTH) -> DataFrame:

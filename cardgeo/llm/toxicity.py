@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, text_batches
 from .lm import held_out
 
 POSITIVES, UNLABELLED = 8192, 16384
@@ -108,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
               .groupBy("doc_id").agg(F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled")))
     sample = materialize(sample, "op8-sample")  # at most POSITIVES + UNLABELLED rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-    bags = materialize(texts.mapInPandas(_bag, "positive int, unlabelled int, n long, words array<string>, "
+    bags = materialize(text_batches(texts).mapInPandas(_bag, "positive int, unlabelled int, n long, words array<string>, "
                                                "counts array<int>"), "op8-bags")
     size = bags.agg(F.sum("positive"), F.sum("unlabelled")).first()
     n_p, n_u = size[0] or 0, size[1] or 0
@@ -147,7 +147,7 @@ def score(docs: DataFrame, model: Classifier, text_col: str = "text", score_col:
         for texts in batches:
             yield pd.Series([shared.value.score(t) for t in texts], dtype=float)
 
-    return docs.withColumn(score_col, of(F.col(text_col)))
+    return text_batches(docs).withColumn(score_col, of(F.col(text_col)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
