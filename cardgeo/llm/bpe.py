@@ -140,6 +140,9 @@ class BpeModel:
             self.pieces[rank] = piece
         self._encoder = None
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_encoder": None}  # each process makes its own
+
     def encode_piece(self, piece: str) -> bytes:
         raw = piece.encode()
         one = self.whole.get(raw)

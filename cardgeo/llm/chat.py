@@ -103,13 +103,15 @@ def parse(text: str) -> tuple[str, list[dict]]:
 
 
 EVENTS = "array<struct<kind:string,id:string,name:string,body:string,needs:array<string>>>"
-PARSED = f"row long, conv_id long, turn long, role string, content string, events {EVENTS}"
+#: Ids and turns pass through pandas as text: a null beside them would make
+#: them floats.
+PARSED = f"row long, conv_id string, turn string, role string, content string, events {EVENTS}"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         both = [parse(t) if isinstance(t, str) else ("", []) for t in pdf["text"]]
-        out = pdf[["row", "conv_id", "turn", "role"]].astype({"conv_id": "Int64", "turn": "Int64"})
+        out = pdf[["row", "conv_id", "turn", "role"]]
         blank = {"name": None, "needs": []}
         yield out.assign(content=[c for c, _ in both], events=[[blank | e for e in ev] for _, ev in both])
 
@@ -158,9 +160,11 @@ def format_chat(messages: DataFrame) -> DataFrame:
     """One row per message of ``messages`` (conv_id, turn, role, text):
     ``conv_id, turn, role, n_calls, n_results, n_linked, n_invalid,
     order_turn, order_level, json``."""
-    docs = messages.select(F.monotonically_increasing_id().alias("row"), F.col("conv_id").cast("long").alias("conv_id"),
-                           F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "text")
-    parsed = materialize(docs.mapInPandas(_parse, PARSED), "op7-parsed")
+    text = lambda c: F.col(c).cast("long").cast("string").alias(c)
+    docs = messages.select(F.monotonically_increasing_id().alias("row"), text("conv_id"), text("turn"),
+                           F.col("role").cast("string").alias("role"), "text")
+    whole = {c: F.col(c).cast("long") for c in ("conv_id", "turn")}
+    parsed = materialize(docs.mapInPandas(_parse, PARSED).withColumns(whole), "op7-parsed")
     events = parsed.where(F.size("events") > 0).select("row", "conv_id", "turn", F.posexplode("events").alias("pos", "e"))
     events = materialize(events.select("row", "conv_id", "turn", "pos", "e.*"), "op7-events")
     out = parsed.withColumnsRenamed({"row": "__row"})
@@ -196,12 +200,8 @@ def format_chat(messages: DataFrame) -> DataFrame:
                           F.coalesce("after", "turn").alias("order_turn"),
                           F.coalesce(F.col("level"), F.lit(0)).cast("int").alias("order_level")))
     columns = ["conv_id", "turn", "role", "n_calls", "n_results", "n_linked", "n_invalid", "order_turn", "order_level"]
-    kinds = ("conv_id long, turn long, role string, n_calls long, n_results long, n_linked long, n_invalid long, "
-             "order_turn long, order_level int, json string")
-
-    def serialise(batches):
-        for pdf in _serialise(batches):
-            ints = [c for c in columns if c != "role"]
-            yield pdf.astype({c: "Int64" for c in ints})
-
-    return linked.select(*columns, "content", "events").mapInPandas(serialise, kinds)
+    kinds = ("conv_id string, turn string, role string, n_calls long, n_results long, n_linked long, n_invalid long, "
+             "order_turn string, order_level int, json string")
+    named = linked.select(*(F.col(c).cast("string").alias(c) if c in ("conv_id", "turn", "order_turn") else c
+                            for c in columns), "content", "events")
+    return named.mapInPandas(_serialise, kinds).withColumns(whole | {"order_turn": F.col("order_turn").cast("long")})

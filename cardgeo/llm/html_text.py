@@ -2,9 +2,9 @@
 
 A page is read once into text blocks, each with the path of tags from the root
 to it. Text length and punctuation are aggregated per path; a path's ratios are
-text per block and punctuation per block. The ratios are smoothed over the
-blocks in page order, fused by their product and compared with a threshold;
-paths above it are content. The deepest element that holds the content paths
+text per block and punctuation per block. Their product is smoothed over the
+blocks in page order, fused with the path's own value by the geometric mean and
+compared with a threshold; paths above it are content. The deepest element that holds the content paths
 is the article, and every block in it is kept, short ones too, except what
 markup names as something else: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments.
@@ -160,17 +160,17 @@ def path_ratios(blocks: list[Block]) -> dict[str, float]:
         size[b.element.path] += len(b.text)
         marks[b.element.path] += len(_PUNCTUATION.findall(b.text))
         count[b.element.path] += 1
-    raw = [(size[p] / count[p]) * (1 + marks[p] / count[p]) for p in (b.element.path for b in blocks)]
-    fused = defaultdict(float)
+    own = {p: (size[p] / count[p]) * (1 + marks[p] / count[p]) for p in count}
+    raw = [own[b.element.path] for b in blocks]
+    smooth = defaultdict(float)
     for i, b in enumerate(blocks):
         total = weight = 0.0
         for d, w in enumerate(SMOOTH):
             for j in {i - d, i + d}:
                 if 0 <= j < len(raw):
                     total, weight = total + w * raw[j], weight + w
-        # A path counts by its text as well: its blocks' smoothed ratios add up.
-        fused[b.element.path] += total / weight * len(b.text) / max(size[b.element.path], 1) * count[b.element.path] ** 0.5
-    return fused
+        smooth[b.element.path] += total / weight / count[b.element.path]
+    return {p: (own[p] * smooth[p]) ** 0.5 for p in own}
 
 
 def _chain(element: Element) -> list[Element]:

@@ -89,17 +89,16 @@ def digest_of(shingles: np.ndarray) -> int:
     return int.from_bytes(d, "little", signed=True)
 
 
-SIGNED = "doc_id long, node long, n_shingles long, sig binary"
+#: Ids pass through pandas as text: a null beside them would make them floats.
+SIGNED = "doc_id string, node long, n_shingles long, sig binary"
 
 
 def _sign(batches):
     for pdf in batches:
-        out = []
-        for doc, s in zip(pdf["doc_id"], shingle_sets(pdf["text"])):
-            out.append((doc, digest_of(s), len(s), signature(s).tobytes()) if len(s)
-                       else (doc, None, 0, None))
-        yield pd.DataFrame(out, columns=["doc_id", "node", "n_shingles", "sig"]).astype(
-            {"doc_id": "Int64", "node": "Int64"})
+        sets = list(shingle_sets(pdf["text"]))
+        yield pd.DataFrame({
+            "doc_id": pdf["doc_id"], "node": pd.array([digest_of(s) if len(s) else None for s in sets], "Int64"),
+            "n_shingles": [len(s) for s in sets], "sig": [signature(s).tobytes() if len(s) else None for s in sets]})
 
 
 def _forest_rows(batches):
@@ -141,7 +140,7 @@ def _regions(lcp: np.ndarray, n: int):
         if b - a <= REGION:
             yield a, b
         elif depth == DEPTH:
-            for start in range(a, b - 1, REGION - REGION // 8):
+            for start in range(a, b - 1, REGION - max(1, REGION // 8)):
                 yield start, min(start + REGION, b)
         else:
             cuts = (np.flatnonzero(lcp[a:b - 1] < depth + 1) + a + 1).tolist()
@@ -297,7 +296,9 @@ def near_duplicates(docs: DataFrame, id_col: str | Column = "doc_id",
     spark = docs.sparkSession
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     docs = docs.select(as_col(id_col).cast("long").alias("doc_id"), as_col(text_col).cast("binary").alias("text"))
-    signed = materialize(text_batches(docs).mapInPandas(_sign, SIGNED), "op1-signed")
+    named = text_batches(docs).withColumn("doc_id", F.col("doc_id").cast("string"))
+    signed = materialize(named.mapInPandas(_sign, SIGNED).withColumn("doc_id", F.col("doc_id").cast("long")),
+                         "op1-signed")
     live = signed.where("doc_id is not null and node is not null")
     first = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sigs = materialize(live.select("node", "sig").dropDuplicates(["node"]), "op1-nodes")

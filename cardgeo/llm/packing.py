@@ -30,7 +30,8 @@ from .bpe import read_text
 from .common import BoundedCache, materialize, text_batches
 
 LENGTH = 1024
-TOKENS = "doc_id long, part int, before long, n long, ids binary"
+#: Ids pass through pandas as text: a null beside them would make them floats.
+TOKENS = "doc_id string, part int, before long, n long, ids binary"
 
 
 def byte_spelling() -> dict[int, str]:
@@ -50,6 +51,9 @@ class TokenizerFile:
         self.json_text, self.pattern, self.separator = json_text, pattern, separator
         self._encoder = None
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_encoder": None}  # each process makes its own
+
     def encoder(self) -> Callable[[str | None], bytes]:
         """text -> packed ids and the separator; the cache of pre-tokens lasts
         as long as the worker process keeps this object."""
@@ -87,12 +91,13 @@ def tokenized(docs: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
             ids = [encode(t) for t in pdf["text"]]
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             ends = total + np.cumsum(n)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "part": part, "before": ends - n,
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "part": part, "before": ends - n,
                                 "n": n, "ids": pd.Series(ids, dtype=object)})
             total = int(ends[-1]) if len(ends) else total
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return materialize(text_batches(narrow).mapInPandas(run, TOKENS), "op3-tokens")
+    narrow = text_batches(docs).select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
+    tokens = narrow.mapInPandas(run, TOKENS).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return materialize(tokens, "op3-tokens")
 
 
 def cut(tokens: DataFrame, length: int = LENGTH) -> DataFrame:
