@@ -20,7 +20,7 @@ def spark(tmp_path_factory):
 
     builder = (SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]"))
                .appName("cardgeo-tests")
-               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.shuffle.partitions", "4")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC"))
