@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import materialize, text_batches
 from .lm import held_out
 
-POSITIVES, UNLABELLED = 8192, 16384
+POSITIVES, UNLABELLED = 4096, 8192
 FEATURES = 512
 #: A feature word occurs in at least so many positives, and so many times as
 #: often in them as in unlabelled texts, by so many standard errors.
@@ -66,20 +66,23 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and offset minimising the non-negative PU risk."""
-    p, u = np.c_[positive, np.ones(len(positive))], np.c_[unlabelled, np.ones(len(unlabelled))]
-    w = np.zeros(p.shape[1])
+def fit_pu(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+    """Weights and offset minimising the non-negative PU risk over the rows of
+    ``x``; the flags say which are positive and which count as unlabelled
+    (both, for a positive row of the unlabelled sample)."""
+    in_p, in_u = positive / positive.sum(), unlabelled / unlabelled.sum()
+    w = np.zeros(x.shape[1] + 1)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
     falling = lambda z: 1 / (1 + np.exp(np.clip(z, -30, 30)))  # noqa: E731  -l'(z)
     loss = lambda z: np.logaddexp(0, -z)
     for step in range(1, STEPS + 1):
-        zp, zu = p @ w, u @ w
-        plus = -prior * (falling(zp) @ p) / len(p)
-        minus = (falling(-zu) @ u) / len(u) - prior * (falling(-zp) @ p) / len(p)
-        below = loss(-zu).mean() - prior * loss(-zp).mean() < 0
-        g = (-minus if below else plus + minus) + DECAY * np.r_[w[:-1], 0]
+        z = x @ w[:-1].astype(x.dtype) + w[-1]
+        plus = -prior * falling(z) * in_p
+        minus = falling(-z) * (in_u - prior * in_p)
+        below = loss(-z) @ (in_u - prior * in_p) < 0
+        c = -minus if below else plus + minus
+        g = np.r_[c.astype(x.dtype) @ x, c.sum()] + DECAY * np.r_[w[:-1], 0]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return w[:-1], float(w[-1])
@@ -127,14 +130,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         return Classifier({}, float(np.log(prior / (1 - prior))))
     pairs = F.arrays_zip("words", "counts")
     chosen = F.array(*map(F.lit, names))
-    rows = bags.select("positive", "unlabelled", "n",
-                       F.filter(pairs, lambda x: F.array_contains(chosen, x["words"])).alias("hits")).toPandas()
+    hits = F.filter(pairs, lambda h: F.array_contains(chosen, h["words"]))
+    rows = (bags.withColumn("hits", hits)
+            .select("positive", "unlabelled", "n", F.col("hits.words").alias("words"), F.col("hits.counts").alias("counts"))
+            .toPandas())
     at = {w: i for i, w in enumerate(names)}
-    x = np.zeros((len(rows), len(names)))
-    for i, (n, hits) in enumerate(zip(rows["n"], rows["hits"])):
-        for h in hits:
-            x[i, at[h["words"]]] = rate(h["counts"], n)
-    weights, offset = fit_pu(x[rows["positive"] == 1], x[rows["unlabelled"] == 1], float(prior))
+    x = np.zeros((len(rows), len(names)), np.float32)
+    for i, (n, words, counts) in enumerate(zip(rows["n"], rows["words"], rows["counts"])):
+        for w, c in zip(words, counts):
+            x[i, at[w]] = rate(c, n)
+    weights, offset = fit_pu(x, rows["positive"].to_numpy(float), rows["unlabelled"].to_numpy(float), float(prior))
     return Classifier({w: float(v) for w, v in zip(names, weights)}, offset)
 
 

@@ -63,5 +63,5 @@ def test_risk_estimate_recovers_a_boundary():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 3))
     truth = x[:, 0] > 1.0
-    w, b = tox.fit_pu(x[truth], x, float(truth.mean()))
+    w, b = tox.fit_pu(x, truth.astype(float), np.ones(len(x)), float(truth.mean()))
     assert ((x @ w + b > 0) == truth).mean() > 0.95
