@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, html_text, lm, packing, quality, secret_scan, toxicity
+from . import ann, bpe, chat, dialogue, html_text, lm, packing, quality, secret_scan, toxicity
 from .common import table
 from .near_dedup import near_duplicates
 
@@ -61,10 +61,16 @@ def op10_html_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return dialogue.repair_report(conversations, dialogue.damage(conversations))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_near_dedup, op2_byte_bpe, op3_pack_concat_cut, op4_hilbert_nearest, op5_quality_perplexity,
-        op6_elias_fano_lm, op7_chat_tool_links, op8_toxicity_pu, op9_secret_links, op10_html_path_ratios)
+        op6_elias_fano_lm, op7_chat_tool_links, op8_toxicity_pu, op9_secret_links, op10_html_path_ratios,
+        op11_dialogue_repair)
 }
 
 ORACLE: dict[str, str] = {
