@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, dialogue, html_text, lm, packing, quality, secret_scan, toxicity
+from . import ann, bpe, chat, dialogue, html_text, lm, merkle, packing, pii, quality, secret_scan, toxicity
 from .common import table
 from .near_dedup import near_duplicates
 
@@ -66,13 +66,23 @@ def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue.repair_report(conversations, dialogue.damage(conversations))
 
 
+def op12_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_near_dedup, op2_byte_bpe, op3_pack_concat_cut, op4_hilbert_nearest, op5_quality_perplexity,
         op6_elias_fano_lm, op7_chat_tool_links, op8_toxicity_pu, op9_secret_links, op10_html_path_ratios,
-        op11_dialogue_repair)
+        op11_dialogue_repair, op12_disclosure_pii, op13_merkle_manifest)
 }
 
 ORACLE: dict[str, str] = {
     "op9_secret_links": secret_scan.oracle_sql(),
+    "op12_disclosure_pii": pii.oracle_sql(),
+    "op13_merkle_manifest": merkle.oracle_sql(),
 }
