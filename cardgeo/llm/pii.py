@@ -3,16 +3,16 @@
 Base spans: e-mail addresses, IP addresses, card numbers (Luhn) and phone
 numbers. Each value found is a protected entity. Words near an entity may give
 it away although they are no personal data by form: the corpus says how
-strongly. With n(t), n(e) and n(t, e) the distinct texts (of N) that hold the
-word t, the entity e, or t within ``SCOPE`` code points of e,
+strongly. With n(t), n(e) and n(t, e) the documents (of N) that hold the word
+t, the entity e, or t within ``SCOPE`` code points of e,
 
     PMI(t; e) / IC(e) = 1 - log(n(t) / n(t, e)) / log(N / n(e))
 
 is the share of e's information that t discloses: 1 if t is met only beside e.
 A word that discloses over ``GENERALISED`` = 3/4 of an entity is a span of kind
 ``term`` beside each mention of it: generalised, or removed if it discloses all. One
-text says nothing of a word, so n(t, e) must be 2 or more; copies of a text are
-one text. Documents without an entity have no spans.
+text says nothing of a word, nor do its copies: two different texts must show
+the word beside the entity. Documents without an entity have no spans.
 
 Words are tokens between white space that hold letters, no digit and no ``@``;
 punctuation around the letters is not part of them, and so no word overlaps a
@@ -20,7 +20,8 @@ base span. A-Z count as lower case. What is beside an entity reaches to the
 next mention of its kind at most, and to words that lie in scope whole.
 
 Every mention brings a bounded number of words, so pairs grow with the
-mentions. Counts are partial aggregates. Words meet their counts salted by
+mentions. Counts are partial aggregates; a second pass over the texts counts
+all documents' words and writes none of them. Words meet their counts salted by
 entity, so that a word beside a third of all entities is dealt to many tasks.
 
 Positions are code points, end exclusive, found by marking matches in the text
@@ -68,8 +69,6 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 _GAP = "\\x20\\x09-\\x0D"
 _AROUND = f"[^\\p{{L}}\\p{{N}}@{_GAP}]*+"
 WORD = f"(?<=[{_GAP}])({_AROUND})(\\p{{L}}++)({_AROUND})(?=[{_GAP}])"
-#: Distinct texts that must show a word beside an entity.
-SUPPORT = 2
 #: The share 1 - 1 / ROOT of an entity's information that a word may disclose.
 ROOT = 4
 GENERALISED = 1 - 1 / ROOT
@@ -131,12 +130,17 @@ def _entity(kind: Column, value: Column) -> Column:
 
 def read(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
     """One pass over the texts, written: the columns ``keep``, a row number,
-    the text's digest, its cuts at the matches, its distinct words."""
+    the text's digest and its cuts at the matches."""
     src = docs.select(*keep, _padded(text_col).alias("__text"))
     text = F.col("__text")
-    words = F.array_distinct(F.regexp_extract_all(lower(text), F.lit(WORD), F.lit(2)))
     return materialize(src.select(*keep, F.monotonically_increasing_id().alias("__row"), F.sha2(text, 256).alias("__digest"),
-                                  F.concat(*(_parts(text, k) for k in BASE)).alias("__parts"), words.alias("__words")), "op12-read")
+                                  F.concat(*(_parts(text, k) for k in BASE)).alias("__parts")), "op12-read")
+
+
+def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``term, n_term``: documents that hold each word."""
+    words = F.array_distinct(F.regexp_extract_all(lower(_padded(text_col)), F.lit(WORD), F.lit(2)))
+    return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
 def mentions(found: DataFrame) -> DataFrame:
@@ -178,15 +182,16 @@ def contexts(found: DataFrame) -> DataFrame:
         "__row", "__digest", "kind", "entity", "w.*")
 
 
-def disclosures(read_: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
+def disclosures(n_term: DataFrame, read_: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
     """Words that disclose too much: ``kind, entity, term``, the counts, the
-    share disclosed and whether the word is to be removed or generalised."""
-    texts = read_.groupBy("__digest").agg(F.any_value("__words").alias("words"))
-    n_term = texts.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = read_.agg(F.count_distinct("__digest").alias("total"))  # one row
-    of_entity = found.groupBy("kind", "entity").agg(F.count_distinct("__digest").alias("n_entity"))
-    pairs = (near.groupBy("kind", "entity", "term").agg(F.count_distinct("__digest").alias("n_both"))
-             .where(F.col("n_both") >= SUPPORT))
+    share disclosed and whether the word is to be removed or generalised.
+    ``n_term``: :func:`document_counts`."""
+    total = read_.agg(F.count(F.lit(1)).alias("total"))  # one row
+    of_entity = found.groupBy("kind", "entity").agg(F.count_distinct("__row").alias("n_entity"))
+    once = near.select("kind", "entity", "term", "__row", "__digest").distinct()
+    pairs = (once.groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.min("__digest").alias("one"),
+                                                        F.max("__digest").alias("other"))
+             .where("one < other").drop("one", "other"))
     pairs = materialize(pairs.join(of_entity, ["kind", "entity"]), "op12-pairs")
     # A word's count goes to every salt; its pairs, dealt by entity, meet one.
     counts = (n_term.join(pairs.select("term").distinct(), "term", "left_semi")
@@ -213,7 +218,7 @@ def scan(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
     read_ = read(docs, *keep, text_col=text_col)
     found = mentions(read_)
     near = contexts(found)
-    shown = materialize(disclosures(read_, found, near), "op12-terms")
+    shown = materialize(disclosures(document_counts(docs, text_col), read_, found, near), "op12-terms")
     every = (found.select("__row", "start", "end", "kind", F.lit(None).cast("string").alias("action"))
              .unionByName(_term_spans(near, shown).withColumn("kind", F.lit(TERM))))
     spans = every.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "action"))).alias("all"))
@@ -294,13 +299,12 @@ ent AS (SELECT r, x, kind, s, s + length(v) AS en, CASE kind WHEN 0 THEN transla
   ELSE length(d) BETWEEN {PHONE_DIGITS[0]} AND {PHONE_DIGITS[1]} END),
 near AS (SELECT r, x, kind, e, translate(term, {az}) AS term, s, s + length(term) AS en FROM (
   {words("lft", "s - length(lft)")} UNION ALL {words("rgt", "en")})),
-texts AS (SELECT DISTINCT x FROM t),
-toks AS (SELECT x, unnest(list_distinct(list_transform(list_filter(regexp_split_to_array(x, '{gap}'), lambda w: regexp_full_match(w,
-    '{around}\\p{{L}}+{around}')), lambda w: translate(regexp_extract(w, '\\p{{L}}+'), {az})))) AS term FROM texts),
+toks AS (SELECT r, unnest(list_distinct(list_transform(list_filter(regexp_split_to_array(x, '{gap}'), lambda w: regexp_full_match(w,
+    '{around}\\p{{L}}+{around}')), lambda w: translate(regexp_extract(w, '\\p{{L}}+'), {az})))) AS term FROM t),
 nt AS (SELECT term, count(*) AS nt FROM toks GROUP BY term),
-ne AS (SELECT kind, e, count(DISTINCT x) AS ne FROM ent GROUP BY kind, e),
-nte AS (SELECT kind, e, term, count(DISTINCT x) AS nte FROM near GROUP BY ALL HAVING count(DISTINCT x) >= {SUPPORT}),
-num AS (SELECT kind, e, term, nt::DOUBLE AS a, ne::DOUBLE AS b, nte::DOUBLE AS c, (SELECT count(*) FROM texts)::DOUBLE AS n
+ne AS (SELECT kind, e, count(DISTINCT r) AS ne FROM ent GROUP BY kind, e),
+nte AS (SELECT kind, e, term, count(DISTINCT r) AS nte FROM near GROUP BY ALL HAVING count(DISTINCT x) > 1),
+num AS (SELECT kind, e, term, nt::DOUBLE AS a, ne::DOUBLE AS b, nte::DOUBLE AS c, (SELECT count(*) FROM t)::DOUBLE AS n
   FROM nte JOIN nt USING (term) JOIN ne USING (kind, e)),
 shown AS (SELECT kind, e, term FROM num WHERE a * a * a * a * b <= n * (c * c * c * c)),
 spans AS (SELECT r, kind, s, en FROM ent UNION ALL
