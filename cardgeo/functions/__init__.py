@@ -12,9 +12,11 @@ from .columns import (
     month_key_text,
     month_of,
     not_fraud,
+    row_hash,
     share,
     strict_bin_ok,
     strict_country_ok,
+    wilson_bound,
     within_coverage,
 )
 
@@ -30,8 +32,10 @@ __all__ = [
     "month_key_text",
     "month_of",
     "not_fraud",
+    "row_hash",
     "share",
     "strict_bin_ok",
     "strict_country_ok",
+    "wilson_bound",
     "within_coverage",
 ]

@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType
+from pyspark.sql.types import DataType, DateType, MapType, StringType, StructType, TimestampNTZType
 
 from ..params import BIN_MAX_LEN, BIN_MIN_LEN, as_decimal, month_intervals
 
@@ -123,3 +123,23 @@ def share(num, den) -> Column:
 def is_discrepant(inferred="inferred_top_country", vendor="vendor_country") -> Column:
     """True iff the vendor has a country and it differs (case-sensitively)."""
     return F.coalesce(_c(inferred) != _c(vendor), F.lit(False))
+
+
+def row_hash(schema: StructType, salt: int = 0) -> Column:
+    """64-bit hash of a row's columns by name, so that column order does not
+    matter; another one for each ``salt``. A hash skips nulls, so each column's
+    null flag is hashed too; maps count as their sorted entries."""
+    parts = [F.lit(salt)]
+    for f in sorted(schema.fields, key=lambda f: f.name):
+        c = F.col(f"`{f.name}`")
+        parts += [c.isNull(), F.array_sort(F.map_entries(c)) if isinstance(f.dataType, MapType) else c]
+    return F.xxhash64(*parts)
+
+
+def wilson_bound(successes, trials, z: float, sign: int) -> Column:
+    """A bound (``sign`` -1 lower, 1 upper) of Wilson's score interval for the
+    share ``successes / trials`` (null without trials)."""
+    k, n, zz = _c(successes).cast("double"), _c(trials).cast("double"), F.lit(z * z)
+    p = F.try_divide(k, n)
+    half = F.lit(z) * F.sqrt(F.try_divide(p * (1 - p), n) + F.try_divide(zz, 4 * n * n))
+    return F.try_divide(p + F.try_divide(zz, 2 * n) + F.lit(sign) * half, 1 + F.try_divide(zz, n))

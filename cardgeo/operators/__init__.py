@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators of the BIN country inference."""
 
+from .changes import apply_changes, row_changes
 from .clean import (
     filter_bin_length,
     filter_fraud,
@@ -13,6 +14,7 @@ from .clean import (
     strict_bin_rejects,
     strict_country_rejects,
 )
+from .codes import MAX_BROADCAST_CODES, code_list, known_codes, unknown_codes, with_known
 from .compare import (
     discrepancy_severity,
     discrepant_bins,
@@ -26,10 +28,11 @@ from .counts import (
     counts_from_partials,
     distinct_bins,
     distinct_support,
+    distinct_support_from_partials,
     group_keys,
     months_as_text,
 )
-from .drift import drift_summary, next_month, snapshot_drift
+from .drift import SHIFTED, country_drift, drift_summary, next_month, snapshot_drift
 from .quality import (
     count_metrics,
     discrepancy_metrics,
@@ -56,6 +59,16 @@ from .coverage import (
 )
 
 __all__ = [
+    "apply_changes",
+    "row_changes",
+    "SHIFTED",
+    "country_drift",
+    "MAX_BROADCAST_CODES",
+    "code_list",
+    "known_codes",
+    "unknown_codes",
+    "with_known",
+    "distinct_support_from_partials",
     "count_metrics",
     "discrepancy_metrics",
     "dq_bin_length",

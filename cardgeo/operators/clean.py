@@ -17,6 +17,7 @@ from ..functions import (
     strict_country_ok,
 )
 from ..schemas import require_columns
+from .codes import known_codes, with_known
 
 _TXN_COLS = {"BIN", "billing_address_country", "fraud_label"}
 
@@ -64,12 +65,13 @@ def load_filtered(
     month=None,
     *,
     strict: bool = False,
+    codes: DataFrame | None = None,
     ts_col: str = "timestamp",
     date_col: str | None = None,
 ) -> DataFrame:
     """Clean transactions: not fraud (null label dropped), country present,
-    BIN of 6..8 characters, optionally a month (or list of months) and
-    strict formats.
+    BIN of 6..8 characters, optionally a month (or list of months), strict
+    formats and countries of a list (``codes``, see ``codes.py``).
 
     One ``where`` so Catalyst sees the whole conjunction; the comparisons on
     stored columns become Parquet pushed filters.
@@ -78,13 +80,15 @@ def load_filtered(
     cond = not_fraud() & country_present() & bin_length_ok()
     if strict:
         cond = cond & strict_bin_ok() & strict_country_ok("billing_address_country")
-    return slice_month(tx, month, ts_col, date_col).where(cond)
+    out = slice_month(tx, month, ts_col, date_col).where(cond)
+    return out if codes is None else known_codes(out, codes)
 
 
 # Reject reasons in first-match order; "kept" means the row passes.
-# "null_timestamp" applies to monthly runs: such a row belongs to no month.
+# "null_timestamp" applies to monthly runs: such a row belongs to no month;
+# "unknown_country" is found after counting, against a list of codes.
 REASONS = ("null_timestamp", "null_label", "fraud", "null_country", "bad_bin_length",
-           "bad_bin_format", "bad_country_format", "kept")
+           "bad_bin_format", "bad_country_format", "unknown_country", "kept")
 
 
 def reject_reason_code(strict: bool = False, monthly: bool = False):
@@ -109,18 +113,35 @@ def reason_text(code_col):
     return F.element_at(F.array(*[F.lit(r) for r in REASONS]), code_col + F.lit(1))
 
 
+def reject_unknown(counted: DataFrame, codes: DataFrame, country: str) -> DataFrame:
+    """Counted rows (``_code``, ``country`` and others) with the kept ones of
+    unknown countries rejected. The list meets counts, not raw rows."""
+    kept, unknown = REASONS.index("kept"), REASONS.index("unknown_country")
+    judged = with_known(counted, codes, {"_known": country})
+    return judged.withColumn("_code", F.when((F.col("_code") == kept) & ~F.col("_known"), unknown)
+                             .otherwise(F.col("_code"))).drop("_known")
+
+
 def reject_reasons(
-    tx: DataFrame, month=None, *, strict: bool = False, by=(), monthly: bool = False
+    tx: DataFrame, month=None, *, strict: bool = False, by=(), monthly: bool = False,
+    codes: DataFrame | None = None
 ) -> DataFrame:
     """Rows per reason (``kept`` included) in one partial/final aggregate;
-    ``monthly`` as in :func:`reject_reason_code`."""
+    ``monthly`` as in :func:`reject_reason_code`. With a list of ``codes`` the
+    rows are counted per country first and judged by it after."""
     from .counts import group_keys, months_as_text
     require_columns(tx.columns, _TXN_COLS, "transactions")
     sliced = slice_month(tx, month)
-    return months_as_text(
-        sliced.groupBy(*group_keys(sliced, by), reject_reason_code(strict, monthly).alias("_code"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(*by, reason_text(F.col("_code")).alias("reason"), "n_rows"))
+    code = reject_reason_code(strict, monthly)
+    if codes is None:
+        counted = (sliced.groupBy(*group_keys(sliced, by), code.alias("_code"))
+                   .agg(F.count(F.lit(1)).alias("n_rows")))
+    else:
+        kept = F.when(F.col("_code") == REASONS.index("kept"), F.col("billing_address_country"))
+        per = (sliced.withColumn("_code", code).groupBy(*group_keys(sliced, by), "_code", kept.alias("_country"))
+               .agg(F.count(F.lit(1)).alias("n")))
+        counted = reject_unknown(per, codes, "_country").groupBy(*by, "_code").agg(F.sum("n").alias("n_rows"))
+    return months_as_text(counted.select(*by, reason_text(F.col("_code")).alias("reason"), "n_rows"))
 
 
 def strict_bin_rejects(tx: DataFrame) -> DataFrame:

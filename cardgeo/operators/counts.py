@@ -79,5 +79,18 @@ def distinct_support(clean: DataFrame, min_txns: int, by=(), *,
             .withColumn("is_supported_distinct", F.col("distinct_txns") >= F.lit(int(min_txns))))
 
 
+def distinct_support_from_partials(partials: DataFrame, min_txns: int, by=()) -> DataFrame:
+    """Support on distinct transaction ids from the sketches of partial counts
+    (``ids``, see ``reason_counts``), without the raw rows: sketches of a BIN's
+    countries, batches and (unless in ``by``) months are merged, so an id seen
+    in several of them counts once. The relative standard error of
+    ``distinct_txns`` is about 1.04 / sqrt(2^lg_k); small counts are exact."""
+    require_columns(partials.columns, {"BIN", "n", "ids", *by}, "partial counts")
+    return (partials.where(F.col("ids").isNotNull()).groupBy(*by, "BIN")
+            .agg(F.sum("n").cast("long").alias("bin_total"),
+                 F.hll_sketch_estimate(F.hll_union_agg("ids")).alias("distinct_txns"))
+            .withColumn("is_supported_distinct", F.col("distinct_txns") >= F.lit(int(min_txns))))
+
+
 def distinct_bins(df: DataFrame) -> DataFrame:
     return df.select("BIN").distinct()

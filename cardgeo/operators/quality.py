@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import bin_length_ok, share, strict_country_ok, within_coverage
 from ..params import DEFAULT_COVERAGE, DEFAULT_MIN_TXNS
 from ..schemas import require_columns
-from .clean import REASONS, reason_text, reject_reason_code, slice_month
+from .clean import REASONS, reason_text, reject_reason_code, reject_unknown, slice_month
+from .codes import with_known
 from .counts import group_keys, months_as_text
 from .coverage import rank_window, running_count
 
@@ -39,15 +40,20 @@ def dq_unique_bin(snap: DataFrame, by=("snapshot_month",)) -> DataFrame:
             .where(F.col("n_rows") > 1))
 
 
-def dq_country_code(snap: DataFrame, *, strict: bool = False) -> DataFrame:
+def dq_country_code(snap: DataFrame, *, strict: bool = False, codes: DataFrame | None = None) -> DataFrame:
     """Rows whose inferred or (non-null) vendor country is not a two-letter
-    code; ``strict`` also demands upper-case letters."""
+    code; ``strict`` also demands upper-case letters, ``codes`` a country of
+    that list (``unknown_...`` where only the list is broken)."""
     def bad(c):
         ok = strict_country_ok(c) if strict else (F.length(F.col(c)) == 2)
         return F.col(c).isNotNull() & ~ok
 
     reason = (F.when(bad("inferred_top_country"), "bad_inferred_country")
               .when(bad("vendor_country"), "bad_vendor_country"))
+    if codes is not None:
+        snap = with_known(snap, codes, {"_inferred_known": "inferred_top_country", "_vendor_known": "vendor_country"})
+        reason = (reason.when(F.col("inferred_top_country").isNotNull() & ~F.col("_inferred_known"), "unknown_inferred_country")
+                  .when(F.col("vendor_country").isNotNull() & ~F.col("_vendor_known"), "unknown_vendor_country"))
     keep = [c for c in ("snapshot_month",) if c in snap.columns]
     return (snap.select(*keep, "BIN", "inferred_top_country", "vendor_country",
                         reason.alias("reason"))
@@ -183,22 +189,35 @@ def discrepancy_metrics(flags: DataFrame, vendor: DataFrame) -> DataFrame:
             .unionByName(_metrics(v, [("compare", "vendor_rows", "vendor_rows")])))
 
 
-def reason_counts(tx: DataFrame, month=None, by=(), *, strict: bool = False) -> DataFrame:
+def reason_counts(tx: DataFrame, month=None, by=(), *, strict: bool = False, codes: DataFrame | None = None,
+                  lg_k: int | None = None) -> DataFrame:
     """Rows per (reject reason, BIN, country): one scan and one partial/final
     aggregate from which every stage metric can be derived. Rejected rows are
     counted by reason only: malformed BINs have no bound on their number, and
     nothing downstream needs (or should keep) their values. By month, a row
-    without a timestamp is rejected as ``null_timestamp``."""
+    without a timestamp is rejected as ``null_timestamp``.
+
+    ``codes`` rejects countries that are not in the list, after counting.
+    ``lg_k`` adds ``ids``, a sketch of the kept rows' distinct transaction ids
+    (HLL of 2^lg_k buckets) that can be merged over months, countries and
+    batches (see ``distinct_support_from_partials``)."""
     sliced = slice_month(tx, month)
     keys = group_keys(sliced, by)
     code = reject_reason_code(strict, monthly="snapshot_month" in by)
     kept = F.col("_code") == REASONS.index("kept")
+    id_sketch = [] if lg_k is None else [F.hll_sketch_agg(F.when(kept, F.col("transaction_id")), F.lit(int(lg_k))).alias("ids")]
     agg = (sliced.withColumn("_code", code)
            .groupBy(*keys, "_code", F.when(kept, F.col("BIN")).alias("BIN"),
                     F.when(kept, F.col("billing_address_country")).alias("country"))
-           .agg(F.count(F.lit(1)).alias("n")))
+           .agg(F.count(F.lit(1)).alias("n"), *id_sketch))
+    ids = [] if lg_k is None else ["ids"]
+    if codes is not None:
+        merged = [F.first("ids").alias("ids")] if ids else []  # a kept row is alone in its group
+        agg = (reject_unknown(agg, codes, "country")
+               .groupBy(*by, "_code", F.when(kept, F.col("BIN")).alias("BIN"), F.when(kept, F.col("country")).alias("country"))
+               .agg(F.sum("n").alias("n"), *merged))
     return months_as_text(agg.select(*by, reason_text(F.col("_code")).alias("reason"),
-                                     "BIN", "country", "n"))
+                                     "BIN", "country", "n", *(F.when(kept, F.col(c)).alias(c) for c in ids)))
 
 
 def stage_metrics(tx: DataFrame, vendor: DataFrame, month=None, coverage=DEFAULT_COVERAGE,

@@ -1,7 +1,7 @@
 """Sinks: versioned monthly snapshot tables with a run ledger."""
 
-from .snapshot import (Commit, SnapshotTable, StagedRun, checkpoint_dir, literal_rows, new_run_id,
-                       path_matches, remove_dir, shared_dir)
+from .snapshot import (Commit, Run, SnapshotTable, StagedRun, checkpoint_dir, literal_rows, matching_paths,
+                       new_attempt, new_run_id, path_matches, remove_dir, shared_dir)
 
-__all__ = ["Commit", "SnapshotTable", "StagedRun", "checkpoint_dir", "literal_rows", "new_run_id",
-           "path_matches", "remove_dir", "shared_dir"]
+__all__ = ["Commit", "Run", "SnapshotTable", "StagedRun", "checkpoint_dir", "literal_rows", "matching_paths",
+           "new_attempt", "new_run_id", "path_matches", "remove_dir", "shared_dir"]

@@ -2,9 +2,9 @@
 
 Layout under ``root``::
 
-    data/snapshot_month=YYYY-MM/run_id=<run>/part-*.parquet   (versioned)
-    data/snapshot_month=YYYY-MM/part-*.parquet                (versioned=False)
-    _ledger/part-*.parquet     one row per committed run
+    data/snapshot_month=YYYY-MM/run_id=<run>/attempt=<n>/part-*.parquet   (versioned)
+    data/snapshot_month=YYYY-MM/part-*.parquet                            (versioned=False)
+    _ledger/part-*.parquet     one row per committed run and month
 
 A run writes its files with Spark's commit protocol (task retries after a
 lost executor are handled there), then appends one ledger row. Readers take,
@@ -14,33 +14,46 @@ hides the month's older rows, and earlier runs stay readable "as of" a time
 or run. The ledger also stores each run's schema, so reads get a declared
 schema (no footer sampling) and older months read null for newer columns.
 
-A run id names one set of partitions: writing again under the same id replaces
-exactly those (so a scheduler may retry under its own id). Two tables commit
-as one: the first one's ledger rows name the second table's ledger
-(``requires``), and count only once the run is in that ledger too. Rows
-without a month belong to no partition; they are left out and counted in the
-ledger metric ``null_month_rows``.
-
-The ledger grows by one row per run (months x re-runs), not with the data;
-it is the only thing brought to the driver. One writer per month at a time.
+A run id may be repeated (a scheduler retries under its own id): every attempt
+writes its own files and the ledger names the attempt, so an attempt that is
+refused, fails or is still running changes nothing that was committed, under
+its id or any other. Two tables commit as one: the first one's ledger rows name
+the second table's ledger (``requires``), and count only once the same attempt
+of the run is in that ledger too. Rows without a month belong to no partition;
+they are left out and counted in the ledger metric ``null_month_rows``.
+
+The ledger keeps, per run and month, the rows written and an order-free
+checksum of them (metric ``checksum``), taken while they were written;
+:meth:`SnapshotTable.verify` recomputes both from the files.
+
+The ledger grows by one row per run (months x re-runs), not with the data; it
+is the only thing brought to the driver, once per operation. One writer per
+month at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import random
+import time
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import xor
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from ..functions import row_hash
+from ..operators import row_changes
 from ..params import validate_month
 from ..schemas import LEDGER_SCHEMA
 
-PARTITION_COLS = ("snapshot_month", "run_id")
+PARTITION_COLS = ("snapshot_month", "run_id", "attempt")
 
 
 def new_run_id(now: dt.datetime | None = None) -> str:
@@ -49,6 +62,16 @@ def new_run_id(now: dt.datetime | None = None) -> str:
     return now.strftime("%Y%m%dT%H%M%S%fZ") + "-" + uuid.uuid4().hex[:8]
 
 
+def new_attempt() -> int:
+    """A number for one attempt of a run: microseconds, then ten random bits.
+    Later attempts have larger numbers, and no file system is asked."""
+    return time.time_ns() // 1000 << 10 | random.getrandbits(10)
+
+
+def attempt_time(attempt: int) -> dt.datetime:
+    return dt.datetime.fromtimestamp((attempt >> 10) / 1e6, dt.timezone.utc)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The session's ``spark.checkpoint.dir`` (conf first; the context's
     setting where a classic SparkContext is available)."""
@@ -93,6 +116,13 @@ def remove_dir(spark: SparkSession, path: str) -> bool:
     return fsp is not None and bool(fsp[0].delete(fsp[1], True))
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """What ``pattern`` (a glob) names; none where the file system is not reachable."""
+    fsp = _hadoop_path(spark, pattern)
+    found = fsp and fsp[0].globStatus(fsp[1])
+    return [f.getPath().toString() for f in found or []]
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -111,6 +141,23 @@ class Commit:
     run_id: str
     committed_at: dt.datetime
     row_count: int
+    attempt: int | None = None
+
+
+class Run(NamedTuple):
+    """A visible ledger row."""
+
+    snapshot_month: str
+    run_id: str
+    attempt: int | None
+    committed_at: dt.datetime
+    row_count: int
+    schema_json: str
+    metrics: dict
+
+    @property
+    def order(self):
+        return self.committed_at, self.run_id, self.attempt or 0
 
 
 @dataclass(frozen=True)
@@ -121,8 +168,15 @@ class StagedRun:
     counts: dict
     schema_json: str
     metrics: dict
+    attempt: int | None = None
+    checksums: dict = field(default_factory=dict)
     spark: SparkSession = field(repr=False, compare=False, default=None)
 
+    @property
+    def checksum(self) -> int:
+        """Of all months' rows."""
+        return reduce(xor, self.checksums.values(), 0)
+
 
 @dataclass(frozen=True)
 class SnapshotTable:
@@ -157,8 +211,9 @@ class SnapshotTable:
         return self.commit(self.stage_months(df, months, run_id=run_id, metrics=metrics))
 
     def stage_months(self, df: DataFrame, months=None, *, run_id: str | None = None,
-                     metrics: dict[str, int] | None = None) -> "StagedRun":
-        """Like :meth:`write_months` but without committing (see :meth:`stage`)."""
+                     metrics: dict[str, int] | None = None, attempt: int | None = None) -> "StagedRun":
+        """Like :meth:`write_months` but without committing (see :meth:`stage`).
+        Tables that commit as one (``requires``) share an ``attempt``."""
         if "snapshot_month" not in df.columns:
             raise ValueError("write_months needs a snapshot_month column")
         if months is not None:
@@ -169,7 +224,7 @@ class SnapshotTable:
         # an oversized one by the advisory partition size, so no month ends
         # up whole in one task. No sampling job either (a range partitioner
         # re-runs its input stage once to sample the bounds).
-        return self._stage(df.hint("rebalance", "snapshot_month"), months, run_id, metrics)
+        return self._stage(df.hint("rebalance", "snapshot_month"), months, run_id, metrics, attempt)
 
     def prune(self, spark: SparkSession, keep: int = 1) -> list[tuple[str, str]]:
         """Delete the files of all but each month's ``keep`` newest runs and
@@ -177,14 +232,32 @@ class SnapshotTable:
         history; a read as of a deleted run fails on its missing path."""
         if keep < 1:
             raise ValueError("keep at least one run per month")
-        newest = Window.partitionBy("snapshot_month").orderBy(F.desc("committed_at"), F.desc("run_id"))
-        runs = (self._visible(spark).groupBy("snapshot_month", "run_id")
-                .agg(F.max("committed_at").alias("committed_at"))
-                .withColumn("_n", F.row_number().over(newest)).where(F.col("_n") > keep))
-        gone = sorted((r["snapshot_month"], r["run_id"]) for r in runs.collect())
-        for month, run in gone:
-            remove_dir(spark, f"{self.data_path}/snapshot_month={month}/run_id={run}")
-        return gone
+        by_month: dict[str, list[Run]] = {}
+        for r in sorted(self._entries(spark), key=lambda r: r.order, reverse=True):
+            by_month.setdefault(r.snapshot_month, []).append(r)
+        gone = [r for runs in by_month.values() for r in runs[keep:]]
+        deleted = []
+        for r in gone:
+            found = matching_paths(spark, self._run_path(r))
+            for path in found:
+                remove_dir(spark, path)
+            if found or _hadoop_path(spark, self.root) is None:
+                deleted.append((r.snapshot_month, r.run_id))
+        return sorted(deleted)
+
+    def sweep(self, spark: SparkSession, older_than: dt.timedelta = dt.timedelta(days=2)) -> list[str]:
+        """Delete the files of attempts that were never committed and began
+        longer ago than ``older_than`` (younger ones may still be running);
+        returns their paths."""
+        known = {(r["snapshot_month"], r["run_id"], _attempt(r)) for r in self.ledger(spark).collect()}
+        before = dt.datetime.now(dt.timezone.utc) - older_than
+        gone = []
+        for path in matching_paths(spark, f"{self.data_path}/snapshot_month=*/run_id=*/attempt=*"):
+            month, run, attempt = (part.split("=", 1)[1] for part in path.rstrip("/").split("/")[-3:])
+            if (month, run, int(attempt)) not in known and attempt_time(int(attempt)) < before:
+                remove_dir(spark, path)
+                gone.append(path)
+        return sorted(gone)
 
     def _write(self, out: DataFrame, months, run_id, metrics) -> list[Commit]:
         return self.commit(self._stage(out, months, run_id, metrics))
@@ -199,47 +272,51 @@ class SnapshotTable:
         validate_month(month)
         return self._stage(df.withColumn("snapshot_month", F.lit(month)), [month], run_id, metrics)
 
-    def _stage(self, out: DataFrame, months, run_id, metrics) -> "StagedRun":
+    def _stage(self, out: DataFrame, months, run_id, metrics, attempt=None) -> "StagedRun":
         run_id = run_id or new_run_id()
+        attempt = (attempt or new_attempt()) if self.versioned else None
         metrics = dict(metrics or {})
-        schema_json = out.drop(*PARTITION_COLS).schema.json()
+        out = out.drop("run_id", "attempt")
+        schema_json = out.drop("snapshot_month").schema.json()
         self._check_types(out.sparkSession, schema_json)
+        digest = F.bit_xor(row_hash(out.drop("snapshot_month").schema))
         obs, no_month = None, None
         if months is None:
             no_month = Observation(f"snapshot-null-{run_id}")
             out = out.observe(no_month, F.sum(F.when(F.col("snapshot_month").isNull(), 1).otherwise(0)).alias("n"))
             out = out.where(F.col("snapshot_month").isNotNull())
         if months is not None:
-            # Rows per month counted while writing (no second pass).
+            # Rows and checksum per month taken while writing (no second pass).
             obs = Observation(f"snapshot-{run_id}")
+            here = lambda m: F.col("snapshot_month") == F.lit(m)
+            hashed = row_hash(out.drop("snapshot_month").schema)
             out = out.observe(obs, *[
-                F.sum(F.when(F.col("snapshot_month") == F.lit(m), 1).otherwise(0))
-                 .alias(f"m{i}") for i, m in enumerate(months)] or [F.count(F.lit(1)).alias("n")])
+                F.sum(F.when(here(m), 1).otherwise(0)).alias(f"m{i}") for i, m in enumerate(months)],
+                *[F.bit_xor(F.when(here(m), hashed)).alias(f"x{i}") for i, m in enumerate(months)],
+                F.count(F.lit(1)).alias("n"))
         elif not self.versioned:
             raise ValueError("an unversioned table needs the list of months a run replaces")
-        writer_df = out.withColumn("run_id", F.lit(run_id)) if self.versioned else out
-        w = writer_df.write.format(self.fmt)
-        if self.versioned:
-            # Only this run's partitions: a first attempt's files go.
-            (w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*PARTITION_COLS).save(self.data_path))
-        else:
-            (w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("snapshot_month").save(self.data_path))
+        writer_df = (out.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(attempt).cast("long")})
+                     if self.versioned else out)
+        (writer_df.write.format(self.fmt)
+         # Only this attempt's partitions; concurrent writers stage apart.
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*(PARTITION_COLS if self.versioned else PARTITION_COLS[:1])).save(self.data_path))
         if obs is not None:
             got = obs.get
             counts = {m: int(got.get(f"m{i}") or 0) for i, m in enumerate(months)}
+            checksums = {m: int(got.get(f"x{i}") or 0) for i, m in enumerate(months)}
         else:
-            counts = self._written_counts(out.sparkSession, run_id)
+            counts, checksums = self._written(out.sparkSession, run_id, attempt, schema_json, digest)
             months = [validate_month(m) for m in sorted(counts)]
             metrics["null_month_rows"] = int(no_month.get.get("n") or 0)
-        return StagedRun(self, tuple(months), run_id, counts, schema_json, metrics,
+        return StagedRun(self, tuple(months), run_id, counts, schema_json, metrics, attempt, checksums,
                          out.sparkSession)
 
     def _check_types(self, spark, schema_json: str) -> None:
         """New columns and safe widening may join a table; any other change of
         a column's type would make its older months unreadable."""
-        known = {r["schema_json"] for r in self.current_runs(spark)}
+        known = {r.schema_json for r in self.current_runs(spark)}
         _merged_schema([*sorted(known), schema_json])
 
     def commit(self, staged: "StagedRun", metrics: dict[str, int] | None = None,
@@ -251,9 +328,11 @@ class SnapshotTable:
         spark = staged.spark
         now = dt.datetime.now(dt.timezone.utc)
         base = {**staged.metrics, **(metrics or {})}
-        commits = [Commit(m, staged.run_id, now, staged.counts.get(m, 0)) for m in staged.months]
+        commits = [Commit(m, staged.run_id, now, staged.counts.get(m, 0), staged.attempt) for m in staged.months]
+        own = {} if staged.attempt is None else {"attempt": staged.attempt}
         rows = [(c.snapshot_month, c.run_id, c.committed_at, c.row_count, staged.schema_json,
-                 {**base, **(month_metrics or {}).get(c.snapshot_month, {})},
+                 {**base, **(month_metrics or {}).get(c.snapshot_month, {}), **own,
+                  "checksum": staged.checksums.get(c.snapshot_month, 0)},
                  requires.ledger_path if requires else None) for c in commits]
         if rows:
             (literal_rows(spark, rows, LEDGER_SCHEMA)
@@ -262,126 +341,172 @@ class SnapshotTable:
 
     def read_run(self, spark: SparkSession, staged: "StagedRun") -> DataFrame:
         """Rows of one (staged or committed) run with ``snapshot_month``."""
-        schema = StructType(list(_merged_schema([staged.schema_json]).fields)
-                            + [StructField("snapshot_month", StringType(), True),
-                               StructField("run_id", StringType(), True)])
-        paths = [f"{self.data_path}/snapshot_month={m}/run_id={staged.run_id}"
-                 for m in staged.months if staged.counts.get(m, 0) > 0]
-        if not paths:
-            return spark.createDataFrame([], schema).drop("run_id")
-        return (spark.read.format(self.fmt).schema(schema)
-                .option("basePath", self.data_path).load(paths).drop("run_id"))
-
-    def _written_counts(self, spark, run_id) -> dict[str, int]:
-        """Rows per month of one versioned run, read back from its committed
-        files only (a glob on this run id, not a listing of the whole
-        table); Parquet answers the counts from footers."""
-        pattern = f"{self.data_path}/snapshot_month=*/run_id={run_id}"
+        runs = [Run(m, staged.run_id, staged.attempt, None, staged.counts.get(m, 0), staged.schema_json, {})
+                for m in staged.months]
+        return self._load(spark, runs, _merged_schema([staged.schema_json])).drop("run_id")
+
+    def _load(self, spark, runs, schema: StructType) -> DataFrame:
+        """Rows of the files of ``runs`` with ``snapshot_month`` and, of a
+        versioned table, ``run_id``."""
+        month, run_id = StructField("snapshot_month", StringType(), True), StructField("run_id", StringType(), True)
+        full = StructType([*schema.fields, month, *([run_id] if self.versioned else [])])
+        found = [r for r in runs if r.row_count > 0]
+        # Runs written before attempts had numbers lie one folder higher.
+        numbered = [r for r in found if r.attempt is not None]
+        plain = [r for r in found if r.attempt is None]
+        if not found:
+            return spark.createDataFrame([], full)
+        out = None
+        for part, extra in ((numbered, [StructField("attempt", LongType(), True)]), (plain, [])):
+            if part:
+                df = (spark.read.format(self.fmt).schema(StructType([*full.fields, *extra]))
+                      .option("basePath", self.data_path).load([self._run_path(r) for r in part]))
+                df = df.drop("attempt") if extra else df
+                out = df if out is None else out.unionByName(df)
+        return out
+
+    def _written(self, spark, run_id, attempt, schema_json, digest) -> tuple[dict, dict]:
+        """Rows and checksum per month of one versioned run, read back from its
+        committed files only (a glob on this attempt, not a listing of the
+        whole table)."""
+        pattern = f"{self.data_path}/snapshot_month=*/run_id={run_id}/attempt={attempt}"
         if path_matches(spark, pattern) is False:  # the run wrote no rows
-            return {}
+            return {}, {}
+        schema = StructType([*_merged_schema([schema_json]).fields, StructField("snapshot_month", StringType(), True),
+                             StructField("run_id", StringType(), True), StructField("attempt", LongType(), True)])
         try:
-            df = (spark.read.format(self.fmt).option("basePath", self.data_path)
-                  .load(pattern))
+            df = spark.read.format(self.fmt).schema(schema).option("basePath", self.data_path).load(pattern)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":  # the run wrote no rows
-                return {}
+                return {}, {}
             raise
-        return {r[0]: int(r[1])
-                for r in df.groupBy(F.col("snapshot_month").cast("string")).count().collect()}
+        rows = df.groupBy("snapshot_month").agg(F.count(F.lit(1)), digest).collect()
+        return {r[0]: int(r[1]) for r in rows}, {r[0]: int(r[2]) for r in rows}
+
+    def verify(self, spark: SparkSession, months=None, **as_of) -> DataFrame:
+        """Runs whose files are not what the ledger says was written:
+        ``snapshot_month, run_id, row_count, found_rows, same_rows``. One
+        aggregate over the files of the current runs; runs without a checksum
+        (written before they had one) are compared by rows only."""
+        runs = [r for r in self.current_runs(spark, **as_of) if months is None or r.snapshot_month in set(months)]
+        schema = "snapshot_month string, run_id string, row_count long, checksum long"
+        want = literal_rows(spark, [(r.snapshot_month, r.run_id, r.row_count, r.metrics.get("checksum")) for r in runs],
+                            StructType.fromDDL(schema))
+        got = None
+        for text in sorted({r.schema_json for r in runs}):
+            there = [r for r in runs if r.schema_json == text and (
+                r.row_count == 0 or path_matches(spark, self._run_path(r)) is not False)]
+            own = _merged_schema([text])
+            part = self._load(spark, there, own).groupBy("snapshot_month").agg(
+                F.count(F.lit(1)).alias("found_rows"), F.bit_xor(row_hash(own)).alias("found"))
+            got = part if got is None else got.unionByName(part)
+        if got is None:
+            return want.select("snapshot_month", "run_id", "row_count", F.lit(0).cast("long").alias("found_rows"),
+                               F.lit(False).alias("same_rows")).where("false")
+        both = want.join(got, "snapshot_month", "left")
+        n = F.coalesce("found_rows", F.lit(0)).cast("long")
+        same = F.col("checksum").isNull() | (F.col("checksum") == F.coalesce("found", F.lit(0)))
+        return (both.select("snapshot_month", "run_id", "row_count", n.alias("found_rows"),
+                            ((n == F.col("row_count")) & same).alias("same_rows")).where("NOT same_rows"))
 
     # ------------------------------------------------------------- read
 
     def ledger(self, spark: SparkSession) -> DataFrame:
-        if path_matches(spark, self.ledger_path) is False:  # no run committed yet
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        try:
-            return spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return spark.createDataFrame([], LEDGER_SCHEMA)
-            raise
+        return _read_ledger(spark, self.ledger_path)
 
-    def _visible(self, spark: SparkSession) -> DataFrame:
+    def _entries(self, spark: SparkSession) -> list[Run]:
         """Ledger rows whose commit is complete: a row that requires another
-        table's commit counts only if that ledger has its run."""
-        led = self.ledger(spark)
-        others = [r[0] for r in led.where("requires is not null").select("requires").distinct().collect()]
-        if not others:
-            return led
-        done = None
-        for path in others:
-            if path_matches(spark, path) is False:  # never committed
-                continue
-            try:
-                part = spark.read.schema(LEDGER_SCHEMA).parquet(path).select(
-                    F.lit(path).alias("requires"), "snapshot_month", "run_id").distinct()
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                continue
-            done = part if done is None else done.unionByName(part)
-        own = led.where("requires is null")
-        if done is None:
-            return own
-        return own.unionByName(led.join(done, ["requires", "snapshot_month", "run_id"], "left_semi")
-                               .select(*led.columns))
+        table's commit counts only if that ledger has the same attempt of its
+        run. Each ledger is read once."""
+        rows = self.ledger(spark).collect()
+        done = {(path, r["snapshot_month"], r["run_id"], _attempt(r))
+                for path in {r["requires"] for r in rows if r["requires"] is not None}
+                for r in _read_ledger(spark, path).select("snapshot_month", "run_id", "metrics").collect()}
+        return [Run(r["snapshot_month"], r["run_id"], _attempt(r), r["committed_at"].astimezone(dt.timezone.utc),
+                    r["row_count"], r["schema_json"], dict(r["metrics"] or {})) for r in rows
+                if r["requires"] is None or (r["requires"], r["snapshot_month"], r["run_id"], _attempt(r)) in done]
 
     def runs(self, spark: SparkSession, month: str | None = None) -> DataFrame:
         """Version history: every committed run (of ``month``), newest first."""
-        led = self._visible(spark)
-        if month is not None:
-            led = led.where(F.col("snapshot_month") == validate_month(month))
-        return (led.select("snapshot_month", "run_id", "committed_at", "row_count", "metrics")
+        kept = [r for r in self._entries(spark) if month is None or r.snapshot_month == validate_month(month)]
+        rows = [(r.snapshot_month, r.run_id, r.committed_at, r.row_count, r.schema_json, r.metrics, None) for r in kept]
+        return (literal_rows(spark, rows, LEDGER_SCHEMA)
+                .select("snapshot_month", "run_id", "committed_at", "row_count", "metrics")
                 .orderBy(F.col("committed_at").desc(), F.col("run_id").desc()))
 
     def current_runs(self, spark: SparkSession, *, as_of: dt.datetime | None = None,
-                     as_of_run: str | None = None):
+                     as_of_run: str | None = None) -> list[Run]:
         """Latest committed run per month (optionally as of a time, or as of
         a run's commit; a run that was never committed is an error)."""
-        led = self._visible(spark)
-        if as_of is not None:
-            led = led.where(F.col("committed_at") <= F.lit(as_of))
-        if as_of_run is not None:
-            at = led.where(F.col("run_id") == as_of_run).agg(F.max("committed_at").alias("at"))
-            if at.first()["at"] is None:
-                raise ValueError(f"no committed run {as_of_run!r}")
-            led = led.join(F.broadcast(at), F.col("committed_at") <= F.col("at")).drop("at")  # one row
-        latest = (led.groupBy("snapshot_month")
-                  .agg(F.max_by(F.struct("run_id", "row_count", "schema_json"),
-                                F.struct("committed_at", "run_id")).alias("r"))
-                  .select("snapshot_month", "r.*"))
-        return sorted(latest.collect(), key=lambda r: r["snapshot_month"])
+        return _latest(self._entries(spark), as_of, as_of_run)
 
     def read(self, spark: SparkSession, months=None, *, as_of: dt.datetime | None = None,
              as_of_run: str | None = None, with_run_id: bool = False) -> DataFrame:
         """Current content of ``months`` (default all) as one DataFrame."""
         if not self.versioned and (as_of is not None or as_of_run is not None):
             raise ValueError("as-of reads need a versioned table")
-        runs = self.current_runs(spark, as_of=as_of, as_of_run=as_of_run)
+        entries = self._entries(spark)
+        runs = _latest(entries, as_of, as_of_run)
         if months is not None:
             wanted = {validate_month(m) for m in months}
-            runs = [r for r in runs if r["snapshot_month"] in wanted]
-        schema = _merged_schema([r["schema_json"] for r in runs] or
-                                [r["schema_json"] for r in self.current_runs(spark)])
-        full = StructType(list(schema.fields)
-                          + [StructField("snapshot_month", StringType(), True)]
-                          + ([StructField("run_id", StringType(), True)] if self.versioned else []))
-        paths = [self._run_path(r) for r in runs if r["row_count"] > 0]
-        if not paths:
-            df = spark.createDataFrame([], full)
-        else:
-            df = (spark.read.format(self.fmt).schema(full)
-                  .option("basePath", self.data_path).load(paths))
-        if self.versioned and not with_run_id:
-            df = df.drop("run_id")
-        return df
+            runs = [r for r in runs if r.snapshot_month in wanted]
+        schema = _merged_schema([r.schema_json for r in runs] or
+                                [r.schema_json for r in _latest(entries)])
+        df = self._load(spark, runs, schema)
+        return df.drop("run_id") if self.versioned and not with_run_id else df
 
     def read_month(self, spark: SparkSession, month: str, **kw) -> DataFrame:
         return self.read(spark, [month], **kw)
 
+    def changes(self, spark: SparkSession, since: dict, until: dict | None = None,
+                keys=("snapshot_month", "BIN")) -> DataFrame:
+        """What changed between two versions of the table, as the feed of
+        ``operators.row_changes``. A version is ``{"as_of": time}`` or
+        ``{"as_of_run": id}``; ``until`` defaults to now. Months that both
+        versions take from the same attempt are not read."""
+        entries = self._entries(spark)
+        old, new = ({r.snapshot_month: r for r in _latest(entries, **v)} for v in (since, until or {}))
+        moved = [m for m in sorted({*old, *new}) if old.get(m) != new.get(m)]
+        schema = _merged_schema([r.schema_json for v in (old, new) for r in v.values()])
+        before, after = (self._load(spark, [v[m] for m in moved if m in v], schema).drop("run_id") for v in (old, new))
+        return row_changes(before, after, keys)
+
     def _run_path(self, r) -> str:
-        p = f"{self.data_path}/snapshot_month={r['snapshot_month']}"
-        return f"{p}/run_id={r['run_id']}" if self.versioned else p
+        p = f"{self.data_path}/snapshot_month={r.snapshot_month}"
+        if not self.versioned:
+            return p
+        p = f"{p}/run_id={r.run_id}"
+        return f"{p}/part-*" if r.attempt is None else f"{p}/attempt={r.attempt}"
+
+
+def _attempt(ledger_row) -> int | None:
+    return (ledger_row["metrics"] or {}).get("attempt")
+
+
+def _read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    if path_matches(spark, path) is False:  # no run committed yet
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], LEDGER_SCHEMA)
+        raise
+
+
+def _latest(entries: list[Run], as_of: dt.datetime | None = None, as_of_run: str | None = None) -> list[Run]:
+    """Each month's latest run among the ledger rows of a time or a run."""
+    if as_of is not None:
+        entries = [r for r in entries if r.committed_at <= as_of.astimezone(dt.timezone.utc)]
+    if as_of_run is not None:
+        at = max((r.committed_at for r in entries if r.run_id == as_of_run), default=None)
+        if at is None:
+            raise ValueError(f"no committed run {as_of_run!r}")
+        entries = [r for r in entries if r.committed_at <= at]
+    latest: dict[str, Run] = {}
+    for r in sorted(entries, key=lambda r: r.order):
+        latest[r.snapshot_month] = r
+    return [latest[m] for m in sorted(latest)]
 
 
 def literal_rows(spark: SparkSession, rows, schema: StructType) -> DataFrame:

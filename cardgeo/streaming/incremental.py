@@ -44,12 +44,16 @@ def start_count_stream(
     max_bytes_per_trigger: str | None = None,
     available_now: bool = True,
     strict: bool = False,
+    codes: DataFrame | None = None,
+    lg_k: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Fold the files of ``source_path`` into partial counts. A batch takes
     what has landed, or at most so many files or bytes. ``transform`` turns a
-    batch's rows into transactions (e.g. joins with static tables);
-    ``strict`` as in ``load_filtered``."""
+    batch's rows into transactions (e.g. joins with static tables); ``strict``,
+    ``codes`` and ``lg_k`` as in ``reason_counts``: with the last, partial counts
+    carry sketches of distinct transaction ids, so that support on distinct ids
+    needs no second look at the raw rows."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -59,7 +63,7 @@ def start_count_stream(
 
     def write_partials(batch: DataFrame, batch_id: int) -> None:
         tx = transform(batch) if transform else batch
-        (reason_counts(tx, by=("snapshot_month",), strict=strict)
+        (reason_counts(tx, by=("snapshot_month",), strict=strict, codes=codes, lg_k=lg_k)
          .withColumn("batch_id", F.lit(int(batch_id)))
          .hint("rebalance", "snapshot_month")  # about one file per month and batch
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -77,14 +81,17 @@ def compact_partials(spark: SparkSession, partials_path: str, compacted_path: st
     points readers at it, and starts a new partial table, between two runs of
     the stream (whose checkpoint goes on); both are then read together."""
     keys = ["snapshot_month", "reason", "BIN", "country"]
-    (read_partials(spark, partials_path).groupBy(*keys).agg(F.sum("n").alias("n"))
+    partials = read_partials(spark, partials_path)
+    # A union of no sketches is an empty sketch; rejected rows keep none.
+    ids = ([F.when(F.count("ids") > 0, F.hll_union_agg("ids")).alias("ids")] if "ids" in partials.columns else [])
+    (partials.groupBy(*keys).agg(F.sum("n").alias("n"), *ids)
      .withColumn("batch_id", F.lit(-1)).hint("rebalance", "snapshot_month")
      .write.mode("overwrite").partitionBy("snapshot_month", "batch_id").parquet(compacted_path))
 
 
 def read_partials(spark: SparkSession, *partials_paths: str) -> DataFrame:
     """The partial-count table(s) ``(snapshot_month, reason, BIN, country, n,
-    batch_id)``; filters on ``snapshot_month`` prune partitions."""
+    batch_id)``, with ``ids`` if they were sketched; filters on ``snapshot_month`` prune partitions."""
     read = lambda p: spark.read.parquet(p).withColumn(
         "snapshot_month", F.col("snapshot_month").cast("string"))
     first, *more = map(read, partials_paths)
