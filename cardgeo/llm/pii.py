@@ -194,7 +194,9 @@ def disclosures(n_term: DataFrame, read_: DataFrame, found: DataFrame, near: Dat
              .where("one < other").drop("one", "other"))
     pairs = materialize(pairs.join(of_entity, ["kind", "entity"]), "op12-pairs")
     # A word's count goes to every salt; its pairs, dealt by entity, meet one.
-    counts = (n_term.join(pairs.select("term").distinct(), "term", "left_semi")
+    # (Not a semi-join: Spark moves those below the aggregate, and then every
+    # word of every text is shuffled instead of the words' partial counts.)
+    counts = (n_term.join(pairs.select("term").distinct(), "term")
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("kind", "entity"), F.lit(SALTS)).cast("int"))
     met = salted.join(counts, ["term", "salt"]).join(F.broadcast(total))
