@@ -8,6 +8,7 @@ from .columns import (
     in_month,
     in_month_dates,
     is_discrepant,
+    month_index,
     month_key,
     month_key_text,
     month_of,
@@ -28,6 +29,7 @@ __all__ = [
     "in_month",
     "in_month_dates",
     "is_discrepant",
+    "month_index",
     "month_key",
     "month_key_text",
     "month_of",

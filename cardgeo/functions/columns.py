@@ -107,6 +107,14 @@ def month_key_text(key) -> Column:
                     F.lpad((k % 100).cast("string"), 2, "0"))
 
 
+def month_index(month) -> Column:
+    """``YYYY-MM`` text -> months since year 0, for ranges over calendar months
+    (null if malformed)."""
+    m = _c(month)
+    ok = m.rlike("^[0-9]{4}-(0[1-9]|1[0-2])$")
+    return F.when(ok, F.substring(m, 1, 4).cast("int") * 12 + F.substring(m, 6, 2).cast("int"))
+
+
 def within_coverage(prior_count, bin_total, coverage) -> Column:
     """Exact coverage cut: keep a row while the share *before* it is below
     ``coverage``. ``bigint * decimal`` is exact, so 95 of 100 stops at the

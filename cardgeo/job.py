@@ -53,7 +53,16 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="LO:HI times the previous month's rows, or 'any'")
     p.add_argument("--strict", action="store_true",
                    help="also reject non-digit BINs and malformed country codes")
+    p.add_argument("--country-codes", help="table of valid country codes (column code, or --country-codes-col)")
+    p.add_argument("--country-codes-col", default="code")
+    p.add_argument("--distinct-lg-k", type=int,
+                   help="support counts distinct transaction ids, by sketches of 2^k buckets")
+    p.add_argument("--run-id", help="the scheduler's own id; a repeat is another attempt of the run")
+    p.add_argument("--resume", action="store_true",
+                   help="go on from the counts that a failed attempt of --run-id had written")
     a = p.parse_args(argv)
+    if a.resume and not a.run_id:
+        p.error("--resume needs --run-id")
     a.all_months = [validate_month(m) for m in a.month] + (month_range(a.months) if a.months else [])
     if not a.all_months:
         p.error("give --month or --months")
@@ -69,6 +78,9 @@ def main(argv=None, spark=None) -> list:
     from cardgeo.sources import read_transactions, read_vendor
 
     spark = spark or SparkSession.builder.appName("cardgeo-publish").getOrCreate()
+    codes = None
+    if a.country_codes:
+        codes = read_transactions(spark, a.country_codes).withColumnRenamed(a.country_codes_col, "code").select("code")
     results = publish_months(
         read_transactions(spark, a.transactions, a.transactions_format),
         read_vendor(spark, a.vendor, a.vendor_format),
@@ -79,6 +91,10 @@ def main(argv=None, spark=None) -> list:
         gate=not a.no_gate,
         date_col=a.date_col,
         strict=a.strict,
+        codes=codes,
+        lg_k=a.distinct_lg_k,
+        run_id=a.run_id,
+        resume=a.resume,
         row_bounds=None if a.row_bounds == "any" else tuple(map(float, a.row_bounds.split(":"))),
     )
     for r in results:

@@ -16,6 +16,8 @@ from .clean import (
 )
 from .codes import MAX_BROADCAST_CODES, code_list, known_codes, unknown_codes, with_known
 from .compare import (
+    Z_95,
+    discrepancy_significance,
     discrepancy_severity,
     discrepant_bins,
     flag_discrepancies,
@@ -57,8 +59,12 @@ from .coverage import (
     select_top_countries,
     support_flag,
 )
+from .trend import trend_anomalies
 
 __all__ = [
+    "Z_95",
+    "discrepancy_significance",
+    "trend_anomalies",
     "apply_changes",
     "row_changes",
     "SHIFTED",

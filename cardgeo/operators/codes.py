@@ -28,24 +28,24 @@ def code_list(codes: DataFrame, col: str = "code", name: str = "code") -> DataFr
 
 def known_codes(df: DataFrame, codes: DataFrame, col: str = "billing_address_country") -> DataFrame:
     """Rows of ``df`` whose ``col`` is in the list (case-sensitively)."""
-    listed = code_list(codes, name="_code")
-    return df.join(listed, F.col(col) == F.col("_code"), "left_semi")
+    listed = code_list(codes, name="_listed")
+    return df.join(listed, F.col(col) == F.col("_listed"), "left_semi")
 
 
 def unknown_codes(df: DataFrame, codes: DataFrame, col: str = "billing_address_country") -> DataFrame:
     """``(country, n_rows)`` of values that are not in the list (nulls are not
     judged). Rows are counted first; only the counts meet the list."""
-    listed = code_list(codes, name="_code")
+    listed = code_list(codes, name="_listed")
     counted = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("country"))
                .agg(F.count(F.lit(1)).alias("n_rows")))
-    return counted.join(listed, F.col("country") == F.col("_code"), "left_anti")
+    return counted.join(listed, F.col("country") == F.col("_listed"), "left_anti")
 
 
 def with_known(df: DataFrame, codes: DataFrame, cols: dict[str, str]) -> DataFrame:
     """``df`` with a boolean per entry of ``cols`` (new name -> column): whether
     the column's value is in the list (false for null)."""
     for name, col in cols.items():
-        listed = code_list(codes, name="_code")
-        df = (df.join(listed, F.col(col) == F.col("_code"), "left")
-              .withColumn(name, F.col("_code").isNotNull()).drop("_code"))
+        listed = code_list(codes, name="_listed")
+        df = (df.join(listed, F.col(col) == F.col("_listed"), "left")
+              .withColumn(name, F.col("_listed").isNotNull()).drop("_listed"))
     return df

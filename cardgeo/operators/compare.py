@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_discrepant, share, within_coverage
+from ..functions import is_discrepant, share, wilson_bound, within_coverage
 from ..params import DEFAULT_COVERAGE
 from ..schemas import require_columns
 from .coverage import rank_window, running_count
@@ -106,3 +106,30 @@ def discrepancy_severity(
         (F.col("_vendor_kept") == 1).alias("vendor_in_top"),
         (disc & (F.col("_vendor_kept") == 0)).alias("is_significant"),
     )
+
+
+#: Two-sided 95 %.
+Z_95 = 1.959963984540054
+
+
+def discrepancy_significance(counts: DataFrame, vendor: DataFrame, z: float = Z_95, coverage=DEFAULT_COVERAGE,
+                             by=()) -> DataFrame:
+    """Whether a disagreement with the vendor is more than chance: the counts of
+    :func:`discrepancy_severity` with Wilson's interval of the vendor country's
+    share (``vendor_pct_low`` / ``_high``) and the lower bound of the leading
+    country's share among the two (``lead_low``).
+
+    ``is_significant``: the countries differ and the leading one is ahead beyond
+    the interval (``lead_low`` over one half). Three rows of three are not
+    enough at 95 % (lower bound 0.44). Bounds are rounded to nine places."""
+    s = discrepancy_severity(counts, vendor, coverage, by)
+    both = F.col("top_country_txns") + F.col("vendor_country_txns")
+    bound = lambda k, n, sign: F.round(wilson_bound(k, n, z, sign), 9)
+    lead = bound("top_country_txns", both, -1)
+    known = F.col("vendor_country").isNotNull()
+    return s.select(*by, "BIN", "inferred_top_country", "vendor_country", "is_discrepant", "bin_total",
+                    "top_country_txns", "vendor_country_txns",
+                    F.when(known, bound("vendor_country_txns", "bin_total", -1)).alias("vendor_pct_low"),
+                    F.when(known, bound("vendor_country_txns", "bin_total", 1)).alias("vendor_pct_high"),
+                    F.when(F.col("is_discrepant"), lead).alias("lead_low"),
+                    F.coalesce(F.col("is_discrepant") & (lead > 0.5), F.lit(False)).alias("is_significant"))

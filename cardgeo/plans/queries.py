@@ -730,14 +730,14 @@ def q_dq_row_count(spark, sf):
 # ------------------------------------------------------------- streaming
 
 
-def _stream_all(spark, sf) -> str:
+def _stream_all(spark, sf, **kw) -> str:
     """The line items as a file stream, joined with the dimension tables in
     each batch and folded into partial counts. Returns the counts' path."""
     root = shared_dir(spark, "cardgeo", "queries", "stream")
     # A file stream takes the path of a single file only as a pattern.
     q = start_count_stream(spark, f"{sf}/lineitem.parque[t]", f"{root}/partials", f"{root}/_checkpoint",
                            schema=read_transactions(spark, f"{sf}/lineitem.parquet").schema,
-                           transform=lambda li: tx_from_tables(spark, sf, li))
+                           transform=lambda li: tx_from_tables(spark, sf, li), **kw)
     q.awaitTermination()
     return f"{root}/partials"
 
@@ -756,3 +756,6 @@ def q_stream_publish_months(spark, sf):
                                [MONTH_A, MONTH_B], flags_table=flags_t, map_table=map_t,
                                params=MONTHLY)
     return flags_t.read(spark)
+
+
+from . import audit_queries  # noqa: E402, F401  (registers its own queries)
