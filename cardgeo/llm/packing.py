@@ -12,11 +12,14 @@ All sequences but the last are full. Written files hold the order: a lost
 executor in pass 2 reads the same partition numbers and offsets again.
 
 Defined results: null text is empty and contributes its separator only; null
-ids and repeated rows are documents like any other.
+ids and repeated rows are documents like any other; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,21 +45,36 @@ def byte_spelling() -> dict[int, str]:
     return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
+class _Units(BoundedCache):
+    """Ids of short units only: a long run without spaces is not worth holding."""
+
+    def __missing__(self, key):
+        return self.make(key) if len(key) > 64 else super().__missing__(key)
+
+
 class TokenizerFile:
     """A ``tokenizers`` file of byte-level BPE. The library encodes each
     distinct pre-token of a task once; the pre-tokenizer's own pattern splits
-    the texts, so that its ids are those of the whole text."""
-
-    def __init__(self, json_text: str, pattern: str, separator: int = 0):
-        self.json_text, self.pattern, self.separator = json_text, pattern, separator
+    the texts, so that its ids are those of the whole text.
+
+    A text is first cut at spaces that follow something other than white space:
+    no pre-token and no lookahead of the pattern reaches over such a place, so
+    each unit (mostly a word with its space and punctuation) is split by itself,
+    once, and its ids are kept. ``added_tokens``: names of the file's added
+    tokens in a text are those tokens, as in the library's plain call;
+    otherwise they are text like any other.
+    """
+
+    def __init__(self, json_text: str, pattern: str, separator: int = 0, added_tokens: bool = False):
+        self.json_text, self.pattern, self.separator, self.added_tokens = json_text, pattern, separator, added_tokens
         self._encoder = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_encoder": None}  # each process makes its own
 
     def encoder(self) -> Callable[[str | None], bytes]:
-        """text -> packed ids and the separator; the cache of pre-tokens lasts
-        as long as the worker process keeps this object."""
+        """text -> packed ids and the separator; the caches last as long as
+        the worker process keeps this object."""
         if self._encoder is None:
             self._encoder = self._make()
         return self._encoder
@@ -64,21 +82,72 @@ class TokenizerFile:
     def _make(self) -> Callable[[str | None], bytes]:
         from tokenizers import Tokenizer
 
-        # The tokenizer's model on one pre-token, spelt in its byte alphabet;
-        # names of special tokens are text like any other.
+        # The tokenizer's model on one pre-token, spelt in its byte alphabet.
         model, spelling = Tokenizer.from_str(self.json_text).model, byte_spelling()
+        tokenize, space = model.tokenize, spelling[0x20]
 
-        def one(piece: str) -> bytes:
-            spelt = piece.encode().decode("latin-1").translate(spelling)
-            return np.array([t.id for t in model.tokenize(spelt)], "<u4").tobytes()
-
-        split, cache = regex.compile(self.pattern).findall, BoundedCache(one)
-        end = np.array([self.separator], "<u4").tobytes()
-        return lambda text: b"".join(map(cache.__getitem__, split(text or ""))) + end
+        def pack_ids(ids) -> bytes:
+            out = array("I", ids)
+            if sys.byteorder != "little":
+                out.byteswap()
+            return out.tobytes()
 
-
-def load_tokenizer(path: str, pattern: str) -> TokenizerFile:
-    return TokenizerFile(read_text(path), pattern)
+        def one(piece: str) -> bytes:
+            if piece.isascii() and piece.isprintable():  # spelt as they are, but for the space
+                spelt = piece.replace(" ", space)
+            else:
+                spelt = piece.encode().decode("latin-1").translate(spelling)
+            return pack_ids([t.id for t in tokenize(spelt)])
+
+        split, pre_tokens = regex.compile(self.pattern).findall, BoundedCache(one)
+        unit = lambda text: b"".join(map(pre_tokens.__getitem__, split(text)))
+        # What follows a space, up to the next; None: the next space follows
+        # white space, so the unit goes on. (Taking more for white space than
+        # the pattern does only makes a unit longer.)
+        spaced = _Units(lambda rest: None if not rest or rest[-1].isspace() else unit(" " + rest))
+
+        def encode(text: str) -> bytes:
+            first, *rest = text.split(" ")
+            if first and not first[-1].isspace():
+                try:
+                    return unit(first) + b"".join(map(spaced.__getitem__, rest))
+                except TypeError:  # a None among them
+                    pass
+            out, run = [], first
+            for r in rest:
+                if run and not run[-1].isspace():
+                    out.append(unit(run))
+                    run = ""
+                run += " " + r
+            return b"".join(out) + unit(run)
+
+        end = pack_ids([self.separator])
+        added = self._added()
+        if not added:
+            return lambda text: encode(text or "") + end
+        # Longest first, as the library matches them; a group keeps the names.
+        names = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")
+        added = {name: pack_ids([i]) for name, i in added.items()}
+
+        def whole(text: str | None) -> bytes:
+            text = text or ""
+            if not any(name in text for name in added):
+                return encode(text) + end
+            return b"".join(added.get(part) or encode(part) for part in names.split(text)) + end
+
+        return whole
+
+    def _added(self) -> dict[str, int]:
+        if not self.added_tokens:
+            return {}
+        listed = json.loads(self.json_text).get("added_tokens") or []
+        if any(t.get(flag) for t in listed for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that strip, normalise or want whole words are not supported")
+        return {t["content"]: t["id"] for t in listed}
+
+
+def load_tokenizer(path: str, pattern: str, added_tokens: bool = False) -> TokenizerFile:
+    return TokenizerFile(read_text(path), pattern, added_tokens=added_tokens)
 
 
 def tokenized(docs: DataFrame, tokenizer: TokenizerFile) -> DataFrame:

@@ -28,7 +28,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
 
 def op3_pack_concat_cut(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
-    tokenizer = packing.load_tokenizer(path, public_tokenizers.PATTERN)
+    tokenizer = packing.load_tokenizer(path, public_tokenizers.PATTERN, added_tokens=True)
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer)
 
 

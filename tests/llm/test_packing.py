@@ -3,6 +3,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cardgeo.llm import packing
@@ -26,6 +28,35 @@ def test_ids_are_the_librarys(tokenizer, reference):
         assert np.frombuffer(encode(t), "<u4").tolist() == reference(t)
 
 
+@pytest.fixture(scope="module")
+def plain():
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+ODD = ["a<|endoftext|>b", "<|endoftext|><|endoftext|>", " <|endoftext|> x", "<|endoftext", "a  b", "a \n b", "a\n b", " a", "  a ",
+       "a ", "\n", " ", "a \t\u3000 b", "x\x1f y", "x\u2028 y \u00a0 z", "it's  we'll 're", "1 2  3\r\n\r\n4", "a" * 100 + " " + "b" * 100]
+
+
+def test_ids_of_the_plain_call(plain):
+    """The library as it comes, its added token included."""
+    encode = packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, True).encoder()
+    for t in ODD + [" ".join(ODD), "\n".join(ODD)]:
+        assert np.frombuffer(encode(t), "<u4").tolist() == plain(t), repr(t)
+
+
+@pytest.fixture(scope="module")
+def encode_plain():
+    return packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, True).encoder()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" ", " ", "a", "Bc", "é", "1", ".", "'s", "\n", "\t", "\u3000", "\x1e", "🙂", "<|endoftext|>"]),
+                max_size=30).map("".join))
+def test_units_do_not_change_ids(plain, encode_plain, text):
+    assert np.frombuffer(encode_plain(text), "<u4").tolist() == plain(text)
+
+
 def check(rows, texts, reference, length):
     """Every id once, in gapless full sequences, with its piece's crc."""
     by_sequence, left = {}, {}
