@@ -48,7 +48,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining texts as pieces of sequences of 1024 ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, packing.load_tokenizer(path, public_tokenizers.PATTERN))
+    return packing.pack(docs, packing.load_tokenizer(path, public_tokenizers.PATTERN, added_tokens=True))
 
 
 STAGES = [
