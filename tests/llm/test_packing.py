@@ -1,3 +1,5 @@
+import json
+import time
 import zlib
 
 import numpy as np
@@ -57,6 +59,24 @@ def test_units_do_not_change_ids(plain, encode_plain, text):
     assert np.frombuffer(encode_plain(text), "<u4").tolist() == plain(text)
 
 
+def test_long_runs_and_other_files(plain, encode_plain):
+    """Runs that go unit by unit, in linear time; a file whose merges are not
+    in rank order goes the same way."""
+    for t in ["ab" * 5000 + " x  y", "word " * 10 + " " * 5000 + "end", "é" * 3000, "x " * 5000, "。，" * 2500 + "\n a"]:
+        assert np.frombuffer(encode_plain(t), "<u4").tolist() == plain(t)
+    at = time.time()
+    encode_plain("a" * 400_000), encode_plain(" " * 400_000 + "a")
+    assert time.time() - at < 60
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    file = json.loads(open(path).read())
+    file["model"]["merges"].append(file["model"]["merges"][0])  # one token by two merges
+    other = packing.TokenizerFile(json.dumps(file), public_tokenizers.PATTERN, added_tokens=True)
+    assert other._by_rank() is None
+    library = Tokenizer.from_str(json.dumps(file))
+    for t in ODD:
+        assert np.frombuffer(other.encoder()(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids + [0]
+
+
 def check(rows, texts, reference, length):
     """Every id once, in gapless full sequences, with its piece's crc."""
     by_sequence, left = {}, {}
