@@ -56,6 +56,10 @@ from ..schemas import LEDGER_SCHEMA
 PARTITION_COLS = ("snapshot_month", "run_id", "attempt")
 
 
+#: Months of a run whose rows are told apart while they are written.
+OBSERVED_MONTHS = 12
+
+
 def new_run_id(now: dt.datetime | None = None) -> str:
     """Sortable, unique and never all digits (so it stays a string)."""
     now = now or dt.datetime.now(dt.timezone.utc)
@@ -279,37 +283,38 @@ class SnapshotTable:
         out = out.drop("run_id", "attempt")
         schema_json = out.drop("snapshot_month").schema.json()
         self._check_types(out.sparkSession, schema_json)
-        digest = F.bit_xor(row_hash(out.drop("snapshot_month").schema))
-        obs, no_month = None, None
-        if months is None:
-            no_month = Observation(f"snapshot-null-{run_id}")
-            out = out.observe(no_month, F.sum(F.when(F.col("snapshot_month").isNull(), 1).otherwise(0)).alias("n"))
-            out = out.where(F.col("snapshot_month").isNotNull())
-        if months is not None:
-            # Rows and checksum per month taken while writing (no second pass).
-            obs = Observation(f"snapshot-{run_id}")
-            here = lambda m: F.col("snapshot_month") == F.lit(m)
-            hashed = row_hash(out.drop("snapshot_month").schema)
-            out = out.observe(obs, *[
-                F.sum(F.when(here(m), 1).otherwise(0)).alias(f"m{i}") for i, m in enumerate(months)],
-                *[F.bit_xor(F.when(here(m), hashed)).alias(f"x{i}") for i, m in enumerate(months)],
-                F.count(F.lit(1)).alias("n"))
-        elif not self.versioned:
+        hashed = row_hash(out.drop("snapshot_month").schema)
+        here = lambda m: F.col("snapshot_month") == F.lit(m)
+        if months is None and not self.versioned:
             raise ValueError("an unversioned table needs the list of months a run replaces")
+        # Rows and checksum taken while writing: of each month, or of a long
+        # list's rows together (an expression per month and row costs more than
+        # the look at the written files that then tells the months apart).
+        each = months is not None and (len(months) <= OBSERVED_MONTHS or not self.versioned)
+        obs = Observation(f"snapshot-{run_id}")
+        known = F.col("snapshot_month").isNotNull()
+        out = out.observe(obs, F.sum(F.when(known, 0).otherwise(1)).alias("none"),
+                          F.sum(F.when(known, 1).otherwise(0)).alias("n"), F.bit_xor(F.when(known, hashed)).alias("x"),
+                          *([F.sum(F.when(here(m), 1).otherwise(0)).alias(f"m{i}") for i, m in enumerate(months)] if each else []),
+                          *([F.bit_xor(F.when(here(m), hashed)).alias(f"x{i}") for i, m in enumerate(months)] if each else []))
+        out = out.where(known)
         writer_df = (out.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(attempt).cast("long")})
                      if self.versioned else out)
         (writer_df.write.format(self.fmt)
          # Only this attempt's partitions; concurrent writers stage apart.
          .mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*(PARTITION_COLS if self.versioned else PARTITION_COLS[:1])).save(self.data_path))
-        if obs is not None:
-            got = obs.get
+        got = obs.get
+        if each:
             counts = {m: int(got.get(f"m{i}") or 0) for i, m in enumerate(months)}
             checksums = {m: int(got.get(f"x{i}") or 0) for i, m in enumerate(months)}
         else:
-            counts, checksums = self._written(out.sparkSession, run_id, attempt, schema_json, digest)
-            months = [validate_month(m) for m in sorted(counts)]
-            metrics["null_month_rows"] = int(no_month.get.get("n") or 0)
+            counts, checksums = self._written(out.sparkSession, run_id, attempt, schema_json, F.bit_xor(hashed))
+            if (sum(counts.values()), reduce(xor, checksums.values(), 0)) != (int(got.get("n") or 0), int(got.get("x") or 0)):
+                raise RuntimeError(f"files of run {run_id!r}, attempt {attempt}, are not what was written")
+            if months is None:
+                metrics["null_month_rows"] = int(got.get("none") or 0)
+            months = [validate_month(m) for m in (sorted(counts) if months is None else months)]
         return StagedRun(self, tuple(months), run_id, counts, schema_json, metrics, attempt, checksums,
                          out.sparkSession)
 
