@@ -21,8 +21,12 @@ One row per message, no conversation is gathered in one place: the order is a
 key (``order_turn``, ``order_level``, ``turn``) that sorts a conversation.
 
 Defined results: null text or role is empty; null conversations or turns are
-kept, but their events link with nothing; malformed JSON counts as an invalid
-event; repeated rows are formatted like any other.
+kept, but their events link with nothing; repeated rows are formatted like any
+other; extra columns are ignored. An event is broken, and counts as invalid, if
+its JSON is malformed, holds numbers or characters that JSON or UTF-8 cannot
+(NaN, infinities, lone surrogates) or is nested deeper than ``DEPTH``. A call
+whose schema is malformed (a bound that is no number, an enum that is no list)
+is invalid. An event tag without its end is text.
 """
 
 from __future__ import annotations
@@ -37,19 +41,49 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-_EVENT = re.compile(r"<(tools|tool_call|tool_result)>(.*?)</\1>", re.S)
+_OPEN = re.compile("<(tools|tool_call|tool_result)>")
+#: Levels of nested JSON that an event may have.
+DEPTH = 100
 #: JSON schema's names of types.
 TYPES = {"object": dict, "array": list, "string": str, "number": (int, float), "integer": int, "boolean": bool,
          "null": type(None)}
 
 
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def _refuse(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+def load(text: str):
+    """A JSON value that can be written again; else ``ValueError``."""
+    try:
+        value = json.loads(text, parse_constant=_refuse)
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+    open_ = [(value, 1)]
+    while open_:
+        v, depth = open_.pop()
+        if depth > DEPTH:
+            raise ValueError("nested too deeply")
+        if isinstance(v, (dict, list)):
+            open_ += [(x, depth + 1) for x in (v.values() if isinstance(v, dict) else v)]
+    canonical(value).encode()  # infinities, lone surrogates
+    return value
 
 
 def fits(value, schema) -> bool:
     """Whether a value satisfies a schema (types, enum, bounds, required and
-    further properties, items)."""
+    further properties, items); nothing satisfies a malformed one."""
+    try:
+        return _fits(value, schema)
+    except (TypeError, AttributeError, ValueError):
+        return False
+
+
+def _fits(value, schema) -> bool:
     if not isinstance(schema, dict):
         return schema is not False
     kind = schema.get("type")
@@ -59,7 +93,7 @@ def fits(value, schema) -> bool:
                                                               or k not in ("number", "integer")) for k in kinds)
         if not ok:
             return False
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(value == x for x in list(schema["enum"])):
         return False
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value) or value > schema.get("maximum", value):
@@ -69,9 +103,9 @@ def fits(value, schema) -> bool:
         if any(k not in value for k in schema.get("required", [])):
             return False
         more = schema.get("additionalProperties", True)
-        return all(fits(v, properties.get(k, more)) for k, v in value.items())
+        return all([_fits(v, properties.get(k, more)) for k, v in value.items()])
     if isinstance(value, list):
-        return all(fits(v, schema.get("items", True)) for v in value)
+        return all([_fits(v, schema.get("items", True)) for v in value])
     return True
 
 
@@ -83,23 +117,45 @@ def references(value) -> list[str]:
     return [r for v in value for r in references(v)] if isinstance(value, list) else []
 
 
+def _pieces(text: str) -> Iterator[tuple[str | None, str]]:
+    """A text in parts: (None, plain) and (tag, body). One look per tag: an end
+    that is not found is not looked for again."""
+    at, plain, missing = 0, 0, set()
+    while m := _OPEN.search(text, at):
+        at = m.end()
+        close = -1 if m[1] in missing else text.find(f"</{m[1]}>", at)
+        if close < 0:
+            missing.add(m[1])
+            continue
+        yield None, text[plain:m.start()]
+        yield m[1], text[at:close]
+        at = plain = close + len(m[1]) + 3
+    yield None, text[plain:]
+
+
+def _events(tag: str, body: str) -> list[dict]:
+    value = load(body)
+    if tag == "tools":
+        return [{"kind": "tool", "id": str(t["name"]), "body": canonical(t.get("parameters", {}))} for t in value]
+    if tag == "tool_call":
+        args = value.get("arguments", {})
+        return [{"kind": "call", "id": str(value["id"]), "name": str(value["name"]), "body": canonical(args),
+                 "needs": sorted(set(references(args)))}]
+    return [{"kind": "result", "id": str(value["id"]), "body": canonical(value.get("content"))}]
+
+
 def parse(text: str) -> tuple[str, list[dict]]:
     """A message's plain text and its events."""
-    events = []
-    for m in _EVENT.finditer(text):
+    plain, events = [], []
+    for tag, part in _pieces(text):
+        if tag is None:
+            plain.append(part)
+            continue
         try:
-            body = json.loads(m[2])
-            if m[1] == "tools":
-                events += [{"kind": "tool", "id": str(t["name"]), "body": canonical(t.get("parameters", {}))} for t in body]
-            elif m[1] == "tool_call":
-                args = body.get("arguments", {})
-                events.append({"kind": "call", "id": str(body["id"]), "name": str(body["name"]), "body": canonical(args),
-                               "needs": sorted(set(references(args)))})
-            else:
-                events.append({"kind": "result", "id": str(body["id"]), "body": canonical(body.get("content"))})
+            events += _events(tag, part)
         except (ValueError, KeyError, TypeError, AttributeError):
-            events.append({"kind": "broken", "id": None, "body": m[2]})
-    return (_EVENT.sub("", text).strip() if events else text), events
+            events.append({"kind": "broken", "id": None, "body": part})
+    return ("".join(plain).strip() if len(plain) > 1 else text), events
 
 
 EVENTS = "array<struct<kind:string,id:string,name:string,body:string,needs:array<string>>>"
