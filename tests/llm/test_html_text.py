@@ -1,3 +1,7 @@
+import time
+
+import pytest
+
 from cardgeo.llm import html_text as h
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body>
@@ -42,3 +46,48 @@ def test_columns(spark):
     assert sorted((r.page_id or 0, r.text) for r in out) == sorted(
         (i or 0, h.main_text(page)) for i, _, page, _ in rows)
     assert h.extract(spark.createDataFrame([], "page_id long, html string")).collect() == []
+
+
+LONG = "<p>A long paragraph, with commas, and sentences. Many of them, one after another.</p>" * 4
+TEXT = "\n".join(["A long paragraph, with commas, and sentences. Many of them, one after another."] * 4)
+
+
+@pytest.mark.parametrize("page", [
+    f'<body class="has-sidebar"><div>{LONG}</div></body>', f'<div id="main" class="no-comments">{LONG}</div>',
+    f"<html><body><form action=x><div>{LONG}</div></form></body></html>", f'<main class="widget">{LONG}</main>',
+    f'<body><nav><a>Home</a></nav><div class="share-page"><div class="no-ad">{LONG}</div></div></body>'])
+def test_page_wide_elements_are_the_page(page):
+    assert h.main_text(page) == TEXT
+
+
+def test_other_elements_inside_a_block():
+    page = ("<article><p>Keep <button>Buy</button>this <label>Mail</label>text, <span class=ad>Ad!</span>all "
+            "<span hidden>gone </span><b style='display:none'>x</b>of <i>it</i>.</p>" + LONG + "</article>")
+    assert h.main_text(page).split("\n")[0] == "Keep this text, all of it."
+
+
+def test_comments_longer_than_the_article_stay_out():
+    page = f'<body><div class=post>{LONG}</div><div class="comments">{LONG * 3}</div></body>'
+    assert h.main_text(page) == TEXT
+
+
+def test_ratios_decide(monkeypatch):
+    """Without article or main, what is kept depends on them; with one, text
+    of better ratios elsewhere still wins."""
+    links = "".join(f"<li>Link {i}</li>" for i in range(40))
+    page = f"<body><div><ul>{links}</ul></div><div><div>{LONG}</div></div></body>"
+    assert h.main_text(page) == TEXT
+    teaser = f"<body><main><ul>{links}</ul></main><div><div>{LONG}</div></div></body>"
+    assert h.main_text(teaser) == TEXT
+    monkeypatch.setattr(h, "fused_ratios", lambda blocks: dict.fromkeys((b.element.path for b in blocks), 1.0))
+    assert "Link 1" in h.main_text(page) and "Link 1" in h.main_text(teaser)
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<a " * 330_000, "<div>" * 100_000 + "deep", "<b>" * 100_000 + "x</i>" * 100_000,
+                                  "<div class=ad>" * 50_000 + "x", "<script>" * 100_000, "</p>" * 250_000, "<!--" * 250_000,
+                                  "<a '\">" * 150_000, "<p>x" * 100_000, "<svg>" * 100_000 + ">", "<a \"" * 100_000 + ">" + "<" * 100_000])
+def test_hostile_pages_take_linear_time(page):
+    at = time.time()
+    h.main_text(page)
+    assert time.time() - at < 20
+    assert len(h.main_text("<article>" + LONG + "</article>" + page)) >= len(TEXT)
