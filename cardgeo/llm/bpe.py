@@ -10,8 +10,12 @@ the vocabulary, not by the data). Texts are processed whole, batch by batch;
 results of pre-tokens are kept in a cache of bounded size.
 
 Ids travel as one binary per row: little-endian unsigned 32-bit integers
-(``unpack_ids`` gives an array column). Null text encodes like the empty text:
-no ids; null ids decode to no bytes.
+(``unpack_ids`` gives an array column).
+
+Defined results: null text encodes like the empty text: no ids; null ids decode
+to no bytes; texts of any length are encoded whole; null document ids and
+repeated rows are encoded like any other, each for itself; columns of the same
+names as the results' are replaced, others are kept.
 """
 
 from __future__ import annotations

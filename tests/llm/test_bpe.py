@@ -62,3 +62,15 @@ def test_bounded_cache_keeps_values():
     cache = BoundedCache(lambda k: made.append(k) or k * 2, limit=3)
     assert [cache[k] for k in (1, 2, 3, 4, 1, 5, 6, 7, 8, 1)] == [2, 4, 6, 8, 2, 10, 12, 14, 16, 2]
     assert len(cache) <= 3 and len(cache.old) <= 3
+
+
+def test_repeats_nulls_and_clashing_columns(spark):
+    import public_tokenizers
+    from cardgeo.llm import bpe
+    model = bpe.load_model(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = [(1, "same text", "a", "b"), (1, "same text", "c", "d"), (None, "same text", "e", None), (2, None, None, "f"), (3, "", "g", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded string")
+    out = bpe.decode(bpe.encode(df, model), model).collect()
+    assert sorted(str((r.doc_id, r.text, bytes(r.decoded))) for r in out) == sorted(
+        str((i, t, (t or "").encode())) for i, t, _, _ in rows)
+    assert bpe.decode(bpe.encode(df.limit(0), model), model).collect() == []
