@@ -163,6 +163,7 @@ def _stage_counts(tx: DataFrame, months, work: str, resume: bool, *, date_col, s
     remove_dir(spark, f"{work}/manifest")  # first: half-written counts have none
     sliced = slice_month(tx, months, date_col=date_col, with_null=True)
     counts = reason_counts(sliced, by=("snapshot_month",), strict=strict, codes=codes, lg_k=lg_k)
+    schema = counts.schema
     obs = Observation()
     # Read back, every column is nullable; hashes take no notice of that.
     (counts.observe(obs, F.count(F.lit(1)).alias("rows"), F.bit_xor(row_hash(counts.schema)).alias("checksum"))
@@ -170,7 +171,7 @@ def _stage_counts(tx: DataFrame, months, work: str, resume: bool, *, date_col, s
     rows, checksum = int(obs.get["rows"] or 0), int(obs.get["checksum"] or 0)
     (literal_rows(spark, [(params, rows, checksum)], StructType.fromDDL(MANIFEST_SCHEMA))
      .write.mode("overwrite").parquet(f"{work}/manifest"))
-    return spark.read.parquet(f"{work}/counts"), rows, checksum
+    return spark.read.schema(schema).parquet(f"{work}/counts"), rows, checksum
 
 
 def publish_months(
