@@ -15,7 +15,7 @@ from ..streaming import read_partials
 from . import oracle as o
 from . import queries as q
 from .inference import infer
-from .publish import DataQualityError, publish_months
+from .publish import DataQualityError, publish_months, publish_months_from_counts
 
 query = q.query
 BY_MONTH = ("snapshot_month",)
@@ -147,6 +147,17 @@ def q_publish_distinct_support(spark, sf):
     return flags_t.read(spark)
 
 
+@query("stream_publish_every_month", o.with_(o.BASE, q.EVERY_CTES) + f"SELECT {q.FLAG_COLS}, snapshot_month FROM m_flags")
+def q_stream_publish_every_month(spark, sf):
+    """Every month published from the stream's partial counts."""
+    flags_t, map_t = q._table(spark, "stream_all_flags"), q._table(spark, "stream_all_map")
+    partials = read_partials(spark, q._stream_all(spark, sf))
+    months = sorted(r.snapshot_month for r in partials.where("reason <> 'null_timestamp'").select("snapshot_month").distinct().collect())
+    publish_months_from_counts(partials, q._vendor(spark, sf), months, flags_table=flags_t, map_table=map_t,
+                               params=q.MONTHLY, row_bounds=None)
+    return flags_t.read(spark)
+
+
 # ----------------------------------------------------- attempts and changes
 
 
