@@ -34,6 +34,10 @@ from pyspark.sql import functions as F
 from .transactions import read_transactions
 
 
+#: Whose nation is a line item's billing country.
+_NOBODY, _SUPPLIER, _CUSTOMER = range(3)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_transactions(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -58,40 +62,41 @@ def tx_from_tables(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None
     ``lineitem``: other rows of that table, e.g. a stream of them.
 
     BIN and nation codes depend only on the supplier / customer key, so they
-    are computed once per dimension row and carried through the joins
-    instead of once per line item.
+    are computed once per dimension row. Orders meet their customers first:
+    line items, the largest table, are then dealt once, by order, whatever
+    the size of the customer table; and only with what their rules need of
+    them, the supplier's texts joining after that.
     """
     li = _table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
+    whose = (F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") <= 10), _NOBODY)
+             .when(F.col("l_partkey") % 10 < 7, _SUPPLIER).otherwise(_CUSTOMER))
+    fraud = (F.when(F.col("l_returnflag") == "R", F.lit(True))
+             .when((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "A"),
+                   F.lit(None).cast("boolean"))
+             .otherwise(F.lit(False)))
     li = li.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_quantity", "l_returnflag", "l_shipdate")
+        "l_orderkey", "l_suppkey", "l_linenumber", whose.alias("whose"), fraud.alias("fraud_label"),
+        F.when((F.col("l_orderkey") % 97 != 0) | (F.col("l_linenumber") != 5),
+               F.col("l_shipdate")).alias("timestamp"))
     s = _table(spark, sf_dir, "supplier")
     su = s.select("s_suppkey", bin_of(F.col("s_suppkey")).alias("BIN"),
                   nation_code(F.col("s_nationkey")).alias("s_code"))
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = _table(spark, sf_dir, "customer")
     cu = c.select("c_custkey", nation_code(F.col("c_nationkey")).alias("c_code"))
-    # Smallest dimension first; Catalyst / AQE pick broadcast or
-    # sort-merge per join from the measured sizes.
-    j = (li.join(su, li.l_suppkey == su.s_suppkey)
-         .join(od, li.l_orderkey == od.o_orderkey)
-         .join(cu, od.o_custkey == cu.c_custkey))
-    country = (F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") <= 10),
-                      F.lit(None).cast("string"))
-               .when(F.col("l_partkey") % 10 < 7, F.col("s_code"))
+    # Catalyst / AQE pick broadcast or sort-merge per join from the measured sizes.
+    bought = od.join(cu, od.o_custkey == cu.c_custkey).select("o_orderkey", "c_code")
+    j = li.join(bought, li.l_orderkey == bought.o_orderkey).join(su, li.l_suppkey == su.s_suppkey)
+    country = (F.when(F.col("whose") == _NOBODY, F.lit(None).cast("string"))
+               .when(F.col("whose") == _SUPPLIER, F.col("s_code"))
                .otherwise(F.col("c_code")))
-    fraud = (F.when(F.col("l_returnflag") == "R", F.lit(True))
-             .when((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "A"),
-                   F.lit(None).cast("boolean"))
-             .otherwise(F.lit(False)))
     return j.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
-        F.when((F.col("l_orderkey") % 97 != 0) | (F.col("l_linenumber") != 5),
-               F.col("l_shipdate")).alias("timestamp"),
+        "timestamp",
         F.col("BIN"),
         country.alias("billing_address_country"),
-        fraud.alias("fraud_label"),
+        "fraud_label",
     )
 
 
