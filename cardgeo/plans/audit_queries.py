@@ -168,9 +168,9 @@ def q_snapshot_refused_rerun(spark, sf):
     flags_t, map_t = q._table(spark, "refused_flags"), q._table(spark, "refused_map")
     kw = dict(flags_table=flags_t, map_table=map_t, run_id="scheduled")
     tx, vendor = q._tx(spark, sf), q._vendor(spark, sf)
-    publish_months(tx, vendor, months := _months(tx), params=q.MONTHLY, row_bounds=None, **kw)
+    first = publish_months(tx, vendor, None, params=q.MONTHLY, row_bounds=None, **kw)
     try:
-        publish_months(tx, vendor, months, params=q.NONE_KEPT, **kw)
+        publish_months(tx, vendor, [r.month for r in first], params=q.NONE_KEPT, **kw)
     except DataQualityError:
         return flags_t.read(spark)
     raise AssertionError("a run without rows was not refused")

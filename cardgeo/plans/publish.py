@@ -154,14 +154,14 @@ def _stage_counts(tx: DataFrame, months, work: str, resume: bool, *, date_col, s
     folder, with what was written (rows, checksum). ``resume`` takes those of
     an earlier attempt if its manifest has the same parameters."""
     spark = tx.sparkSession
-    params = json.dumps({"months": sorted(months), "date_col": date_col, "strict": strict,
+    params = json.dumps({"months": None if months is None else sorted(months), "date_col": date_col, "strict": strict,
                          "codes": codes is not None, "lg_k": lg_k}, sort_keys=True)
     if resume and path_matches(spark, f"{work}/manifest") is not False:
         found = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{work}/manifest").first()
         if found is not None and found["params"] == params:
             return spark.read.parquet(f"{work}/counts"), found["rows"], found["checksum"]
     remove_dir(spark, f"{work}/manifest")  # first: half-written counts have none
-    sliced = slice_month(tx, months, date_col=date_col, with_null=True)
+    sliced = slice_month(tx, months, date_col=date_col, with_null=True)  # None: all of them
     counts = reason_counts(sliced, by=("snapshot_month",), strict=strict, codes=codes, lg_k=lg_k)
     schema = counts.schema
     obs = Observation()
@@ -191,7 +191,8 @@ def publish_months(
     row_bounds: tuple[float, float] | None = ROW_BOUNDS,
     resume: bool = False,
 ) -> list[PublishResult]:
-    """Publish ``months`` (a list of ``YYYY-MM``) from ONE scan of ``tx``:
+    """Publish ``months`` (a list of ``YYYY-MM``; ``None``: every month that the
+    transactions have, found in the scan's counts) from ONE scan of ``tx``:
     the windows run per (month, BIN), each table gets one run id covering
     all months, and either every month is committed or none is. ``strict``
     also rejects non-digit BINs and non-upper-case-letter country codes,
@@ -203,7 +204,7 @@ def publish_months(
     ``resume``: a run that failed after its scan goes on, under its ``run_id``
     and the same parameters, from the counts it had written; the caller vouches
     that its transactions are the same. A refused run is never resumed."""
-    months = _months(months)
+    months = None if months is None else _months(months)
     if resume and run_id is None:
         raise ValueError("a run to resume needs its run_id")
     run_id = run_id or new_run_id()
@@ -212,6 +213,9 @@ def publish_months(
     work = work_dir(spark, map_table, run_id)
     counts, rows, checksum = _stage_counts(tx, months, work, resume, date_col=date_col, strict=strict,
                                            codes=codes, lg_k=lg_k)
+    if months is None:
+        found = counts.select("snapshot_month").where("snapshot_month IS NOT NULL").distinct().collect()
+        months = _months(sorted(str(r.snapshot_month) for r in found))
     try:
         results = _publish(counts, vendor, months, flags_table=flags_table, map_table=map_table, params=params,
                            gate=gate, run_id=run_id, row_bounds=row_bounds, codes=codes, distinct=lg_k is not None,
