@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..functions import month_index, month_key, month_key_text
+from ..functions import month_index
 from ..sinks import BucketedTable, shared_dir
 from ..sources import vendor_from_tables
 from ..sources.adapters import nation_code
@@ -21,13 +21,6 @@ query = q.query
 BY_MONTH = ("snapshot_month",)
 
 
-def _months(tx) -> list[str]:
-    """Every month that the transactions have (a list by months, not rows)."""
-    keys = tx.select(month_key("timestamp").alias("k")).where("k IS NOT NULL").distinct()
-    return sorted(r.m for r in keys.select(month_key_text("k").alias("m")).collect())
-
-
-
 # ------------------------------------------------------------- code lists
 
 CODES_CTE = f"codes AS (SELECT {o.code_sql('n_nationkey')} AS code FROM nation WHERE n_nationkey % 5 <> 3)"
@@ -88,7 +81,7 @@ def q_publish_known_countries(spark, sf):
     codes = _codes(spark, sf)
     vendor = ops.known_codes(q._vendor(spark, sf), codes, "country")
     tx = q._tx(spark, sf)
-    publish_months(tx, vendor, _months(tx), flags_table=flags_t, map_table=map_t, params=q.MONTHLY,
+    publish_months(tx, vendor, None, flags_table=flags_t, map_table=map_t, params=q.MONTHLY,
                    codes=codes, row_bounds=None)
     return flags_t.read(spark)
 
@@ -142,7 +135,7 @@ def q_publish_distinct_support(spark, sf):
     the sketches stored with the counts of the one scan."""
     flags_t, map_t = q._table(spark, "ids_flags"), q._table(spark, "ids_map")
     tx = q._tx(spark, sf)
-    publish_months(tx, q._vendor(spark, sf), _months(tx), flags_table=flags_t, map_table=map_t,
+    publish_months(tx, q._vendor(spark, sf), None, flags_table=flags_t, map_table=map_t,
                    params=q.MONTHLY, lg_k=LG_K, row_bounds=None)
     return flags_t.read(spark)
 
