@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from cardgeo.llm import quality as q
 
@@ -147,6 +148,27 @@ def test_largest_entries_are_kept(spark, monkeypatch):
         assert abs(np.exp(small.log_probability("en", (g & ~np.uint64(0xFFFF)) | every)).sum() - 1) < 1e-4
 
 
+@pytest.mark.parametrize("entries", [50, 2])
+def test_entries_that_are_not_broadcast_count_the_same(spark, monkeypatch, entries):
+    """Whatever is broadcast, each probability, figure and verdict is the whole
+    model's: copies, unseen units, untaught texts and ids that repeat included."""
+    r = random.Random(5)
+    words = "un deux trois quatre cinq six sept huit neuf dix onze".split()
+    extra = [(300 + i, " ".join(r.choices(words, k=40)), r.choice(["fr", None]), True) for i in range(20)]
+    extra += [(400, "never seen 日本 # " * 8, "fr", True), (401, None, "en", True), (401, "", "xx", True)] + extra[:3] * 2
+    df = english(spark, extra)
+    texts = df.selectExpr("cast(text as binary) text", "lang")
+    of = lambda: sorted(map(str, [tuple(round(x, 5) if isinstance(x, float) else x for x in row) for row in q.quality(df).collect()]))
+    everything, known = q.fit(texts), of()
+    monkeypatch.setattr(q, "ENTRIES", entries)
+    small = q.fit(texts)
+    assert not everything.more and ("en", 4) in small.more and all(len(v[0]) <= entries for v in small.of.values())
+    for lang in ("en", "fr", "xx"):
+        grams, _ = q.gram_keys(["the of un deux never 日本 #".encode(), b""])
+        assert np.allclose(small.log_probability(lang, grams), everything.log_probability(lang, grams), atol=1e-9)
+    assert of() == known and len(known) == 60 + len(extra)
+
+
 def test_junk_goes_and_good_texts_stay_in_every_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
