@@ -132,3 +132,37 @@ def test_rare_ngrams_count_whatever_the_tries_size(spark, monkeypatch, head, gra
     for r in lm.score(df).collect():
         t = tokens(next(t for i, t in rows if i == r.doc_id))
         assert abs(r.score - want(t)) < 0.03 * len(t)  # the trie's values are quantised
+
+
+@pytest.mark.parametrize("head, grams, hot, bucket", [(1 << 21, 1 << 16, 1 << 20, 300), (1 << 21, 1 << 16, 60, 300),
+                                                      (1 << 21, 32, 100, 500), (40, 1 << 16, 60, 400)])
+def test_words_dealt_over_buckets_score_the_same(spark, monkeypatch, head, grams, hot, bucket):
+    """Whatever is dealt by word, pair or triple, each n-gram counts once and whole."""
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_scores(rows)
+    for name, value in (("HEAD", head), ("GRAMS", grams), ("HOT", hot), ("BUCKET", bucket)):
+        monkeypatch.setattr(lm, name, value)
+    out = lm.score(df).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        t = tokens(next(t for i, t in rows if i == r.doc_id))
+        assert abs(r.score - want(t)) < (0.03 if grams == 32 else 0.015) * len(t)
+
+
+def test_little_is_written(spark):
+    """All tables that a run writes together take less than its texts, though
+    nearly every n-gram is kept or asked for."""
+    import glob
+    import os
+
+    r = random.Random(3)
+    words = [f"word{i}" for i in range(2000)]
+    share = [1 / (i + 1) for i in range(len(words))]
+    rows = [(i, " ".join(r.choices(words, share, k=200))) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    size = lambda: sum(os.path.getsize(f) for f in glob.glob(f"{root}/**/*.parquet", recursive=True))
+    before = size()
+    assert len(lm.score(df).collect()) == len(rows)
+    assert size() - before < sum(len(t) for _, t in rows)
