@@ -66,3 +66,26 @@ def test_repeated_and_empty(spark):
     assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "None"]
     for _, stage in p.STAGES:
         assert stage(spark, df.limit(0), SF).collect() == []
+
+
+@pytest.mark.parametrize("entries", [50, 2])
+def test_quality_stage_is_the_same_whatever_is_broadcast(spark, monkeypatch, entries):
+    """Entries of the language model beyond the broadcast ones count in the
+    pipeline's stage as if all were broadcast: same rows stay."""
+    import random
+
+    import corpus_pipeline as p
+    from cardgeo.llm import quality
+    r = random.Random(11)
+    words = "un deux trois quatre cinq six sept huit neuf dix onze douze".split()
+    odd = "zqx wvk jjx qqz kkw xzj vvq".split()
+    rows = [(i, " ".join(r.choices(words, k=40)), "fr" if i % 3 else None) for i in range(60)]
+    rows += [(100 + i, " ".join(r.choices(words, k=40 - 5 * i) + r.choices(odd, k=5 * i)), "fr") for i in range(9)]
+    rows += [(150 + i, " ".join("".join(r.choices("qzxjkw#%&", k=6)) for _ in range(30)), "fr") for i in range(5)]
+    rows += [(200, None, "fr"), (None, rows[0][1], "fr"), (0, rows[0][1], "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = lambda: sorted(str(x.doc_id) for x in p.drop_low_quality(spark, docs, "").collect())
+    everything = ids()
+    assert 30 < len(everything) < len(rows) - 1  # some texts go, and not only for their length
+    monkeypatch.setattr(quality, "ENTRIES", entries)
+    assert ids() == everything
